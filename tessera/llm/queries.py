@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import url_filter
+from . import simhash, url_filter
 from ._common import table
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url")).drop("score")
 
