@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, simhash, url_filter
+from . import ann, pii, simhash, url_filter
 from ._common import table
 
 
@@ -19,6 +19,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url")).drop("score")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
+
+
 def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
