@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, packing, pii, quality, simhash, token_counts, url_filter
+from . import ann, bwt_dedup, decontaminate, packing, pii, quality, simhash, substring_tree, token_counts, url_filter
 from ._common import table
 
 
@@ -15,6 +15,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op2_substring_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_tree.remove(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -23,6 +27,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
