@@ -1,17 +1,564 @@
-"""The named queries of the library and the SQL each must agree with."""
+"""The named queries of the library over the given tables, and the SQL each must agree with.
+
+The tables stand in for the engine's: orders are submissions and lineitem rows their upload events, documents are raw
+and canonical documents, labels their index states, embeddings indexed chunks, events timestamped registry updates.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import keys, markdown, text, times
+from ..operators import attach, chunking, dedupe, indexing, monitor, readiness as ready_ops, receipts, retrieval, validate, versions
+from ..sources import objects, registry
+from ..session import checkpoint_folder, workers_find_library
+from ..streaming import receipts as streams
+
+NOW = datetime(2024, 1, 30, 12, 0)
+CHUNK = 4000
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return workers_find_library(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def now() -> Column:
+    return F.lit(NOW).cast("timestamp_ntz")
+
+
+def csv(values: Column) -> Column:
+    return F.array_join(values, ",")
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as receipts."""
+    rows = read(spark, sf_dir, "lineitem")
+    return rows.select(F.col("l_orderkey").alias("submissionId"), F.col("l_linenumber").alias("fileId"), F.col("l_shipdate").alias("ts"), "l_partkey")
+
+
+def submission_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders with the files that lineitem has of them."""
+    files = deliveries(spark, sf_dir).groupBy("submissionId").agg(F.array_sort(F.collect_set(F.col("fileId").cast("string"))).alias("fileIds"))
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("submissionId"), F.col("o_orderstatus").alias("status")).join(files, "submissionId", "left")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
+    """Raw documents to distinct canonical ones, chunked: chunks and characters by document."""
+    docs = dedupe.hashed(read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text")
+    claimed = dedupe.claims(docs.select("doc_id", "rawFileHash"), empty_raw(spark), ("doc_id",)).where("ownershipClaimed")
+    unique = docs.join(claimed.select("doc_id"), "doc_id", "left_semi")
+    made = unique.select(keys.document_id(keys.content_hash(text.normalized(F.col("text")))).alias("documentId"), text.normalized(F.col("text")).alias("markdown")).dropDuplicates(["documentId"])
+    return chunking.chunk_records(made, CHUNK).groupBy("documentId").agg(F.count("*").alias("chunks"), F.sum(F.length("content")).alias("chars"))
+
+
+def empty_raw(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "rawFileHash string, status string, documentId string, canonicalHash string")
+
+
+# receipts and validation
+
+
+@query("""
+select l_orderkey as submission_id, count(*) as received_file_count, string_agg(f, ',' order by ts, l_linenumber) as file_ids, cast(sum(n) - count(*) as bigint) as duplicates_ignored
+from (select l_orderkey, l_linenumber, cast(l_linenumber as varchar) f, min(l_shipdate) ts, count(*) n from lineitem group by 1, 2, 3) group by 1""")
+def receipts_rollup(spark, sf_dir):
+    found = receipts.submissions(deliveries(spark, sf_dir), ("ts", "fileId"))
+    return found.select(F.col("submissionId").alias("submission_id"), F.col("receivedFileCount").alias("received_file_count"), csv(F.transform("fileIds", lambda x: x.cast("string"))).alias("file_ids"), F.col("duplicatesIgnored").cast("long").alias("duplicates_ignored"))
+
+
+@query("select count(*) as deliveries, count(*) - count(distinct (l_orderkey, l_linenumber)) as ignored from lineitem")
+def receipts_duplicates_ignored(spark, sf_dir):
+    first = receipts.first_receipts(deliveries(spark, sf_dir), ("ts",))
+    return first.agg(F.sum("deliveries").alias("deliveries"), (F.sum("deliveries") - F.count("*")).alias("ignored"))
+
+
+@query("""
+with k as (select l_orderkey, l_linenumber, case l_linenumber % 5 when 0 then 'processed/' when 1 then 'ingestion/' else 'ingestion/sub ' || l_orderkey || '/' end
+  || case when l_linenumber % 5 = 3 then '' else 'dir/part ' || l_partkey || '.json' end as key from lineitem),
+c as (select *, case when not starts_with(key, 'ingestion/') then 'ignored' when regexp_matches(key, '^ingestion/[^/]+/.+$') then 'recorded' else 'malformed' end as action from k)
+select key, action, case when action = 'recorded' then regexp_extract(key, '^ingestion/([^/]+)/(.+)$', 1) end as submission_id,
+  case when action = 'recorded' then regexp_extract(key, '^ingestion/([^/]+)/(.+)$', 2) end as file_id, count(*) as n from c group by all""")
+def key_parse(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem")
+    kind = F.col("l_linenumber") % 5
+    head = F.when(kind == 0, "processed/").when(kind == 1, "ingestion/").otherwise(F.format_string("ingestion/sub+%d/", "l_orderkey"))
+    encoded = F.concat(head, F.when(kind == 3, "").otherwise(F.format_string("dir/part%%20%d.json", "l_partkey")))
+    event = F.struct(F.lit("ObjectCreated:Put").alias("eventName"), F.struct(F.struct(F.lit("b").alias("name")).alias("bucket"), F.struct(encoded.alias("key"), F.lit("0").alias("sequencer")).alias("object")).alias("s3"))
+    found = receipts.classified(receipts.unnested(rows.select(F.array(event).alias("Records"))))
+    return found.groupBy("key", "action", F.col("submissionId").alias("submission_id"), F.col("fileId").alias("file_id")).agg(F.count("*").alias("n"))
+
+
+@query("""
+with r as (select o_orderkey, coalesce(list_sort(list(distinct cast(l_linenumber as varchar)) filter (where l_linenumber is not null)), []) as actual from orders left join lineitem on l_orderkey = o_orderkey group by 1),
+m as (select *, list_filter(['1', '2', '3', '4'], lambda x: not list_contains(actual, x)) as missing from r)
+select o_orderkey as submission_id, len(missing) = 0 as is_valid, case when len(missing) > 0 then 'MISSING_FILES' else 'OK' end as reason, coalesce(array_to_string(missing, ','), '') as missing_files, coalesce(array_to_string(actual, ','), '') as actual_files from m""")
+def submission_validation(spark, sf_dir):
+    known = submission_registry(spark, sf_dir)
+    asked = known.select("submissionId", F.array(*(F.lit(str(i)) for i in range(1, 5))).alias("expectedFileIds"))
+    found = validate.validated(asked, known)
+    return found.select(F.col("submissionId").alias("submission_id"), F.col("isValid").alias("is_valid"), "reason", csv(F.col("missingFileIds")).alias("missing_files"), csv(F.col("actualFileIds")).alias("actual_files"))
+
+
+@query("""
+select p as submission_id, case when o_orderkey is null then 'SUBMISSION_NOT_FOUND' when coalesce(n, 0) = 0 then 'MISSING_FILES' else 'OK' end as reason
+from (select distinct l_partkey * 7 as p from lineitem) left join orders on o_orderkey = p left join (select l_orderkey, count(*) filter (where l_linenumber = 1) n from lineitem group by 1) on l_orderkey = p""")
+def submission_not_found(spark, sf_dir):
+    asked = deliveries(spark, sf_dir).select((F.col("l_partkey") * 7).alias("submissionId"), F.array(F.lit("1")).alias("expectedFileIds")).distinct()
+    return validate.validated(asked, submission_registry(spark, sf_dir)).select(F.col("submissionId").alias("submission_id"), "reason")
+
+
+# exact duplicates and canonical documents
+
+
+def hashed_documents(spark, sf_dir) -> DataFrame:
+    """doc_id and hash only: contents stay behind."""
+    return dedupe.hashed(read(spark, sf_dir, "documents").where("text is not null"), "text").select("doc_id", "source", "rawFileHash")
+
+
+@query("""
+select doc_id, 'sha256:' || sha256(text) as raw_file_hash, row_number() over (partition by sha256(text) order by doc_id) = 1 as ownership_claimed,
+  case when row_number() over (partition by sha256(text) order by doc_id) = 1 then 'raw_file_claimed' else 'raw_file_reused' end as action from documents where text is not null""")
+def raw_claims(spark, sf_dir):
+    found = dedupe.claims(hashed_documents(spark, sf_dir), empty_raw(spark), ("doc_id",))
+    return found.select("doc_id", F.col("rawFileHash").alias("raw_file_hash"), F.col("ownershipClaimed").alias("ownership_claimed"), "action")
+
+
+@query("select 'sha256:' || sha256(text) as raw_file_hash, min(doc_id) as first_seen, max(doc_id) as last_seen, count(*) as deliveries from documents where text is not null group by 1")
+def raw_registry(spark, sf_dir):
+    found = dedupe.seen(hashed_documents(spark, sf_dir), "doc_id")
+    return found.select(F.col("rawFileHash").alias("raw_file_hash"), F.col("firstSeenAt").alias("first_seen"), F.col("lastSeenAt").alias("last_seen"), "deliveries")
+
+
+def variants(spark, sf_dir) -> DataFrame:
+    """Each text as it is and with other newlines: other bytes, the same canonical text."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", "text")
+    both = docs.select("*", F.lit(0).alias("variant")).unionByName(docs.select("doc_id", "source", F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("text"), F.lit(1).alias("variant")))
+    return both.select("doc_id", "source", "variant", keys.content_hash(F.col("text")).alias("rawFileHash"), keys.content_hash(text.normalized(F.col("text"))).alias("canonicalHash"))
+
+
+def empty_documents(spark) -> DataFrame:
+    return spark.createDataFrame([], "documentId string, canonicalHash string")
+
+
+VARIANTS = """with v as (select doc_id, source, 0 as variant, text from documents where text is not null union all select doc_id, source, 1, replace(text, chr(10), chr(13) || chr(10)) from documents where text is not null),
+h as (select doc_id, source, variant, 'sha256:' || sha256(text) as raw, 'sha256:' || sha256(trim(replace(text, chr(13) || chr(10), chr(10)), chr(10) || ' ' || chr(9))) as canonical from v)
+"""
+
+
+@query(VARIANTS + "select 'doc-' || substr(canonical, 8, 16) as document_id, canonical as canonical_hash, count(*) as files, count(distinct raw) as raw_files, min(doc_id) as first_doc from h group by 1, 2")
+def canonical_registry(spark, sf_dir):
+    found = dedupe.resolved(variants(spark, sf_dir), empty_documents(spark), ("doc_id", "variant"))
+    return found.groupBy(F.col("documentId").alias("document_id"), F.col("canonicalHash").alias("canonical_hash")).agg(F.count("*").alias("files"), F.count_distinct("rawFileHash").alias("raw_files"), F.min("doc_id").alias("first_doc"))
+
+
+@query(VARIANTS + ", c as (select source, row_number() over (partition by canonical order by doc_id, variant) = 1 as made from h) select source, count(*) filter (where made) as created, count(*) filter (where not made) as reused from c group by 1")
+def canonical_reuse(spark, sf_dir):
+    found = dedupe.resolved(variants(spark, sf_dir), empty_documents(spark), ("doc_id", "variant"))
+    return found.groupBy("source").agg(F.count_if("created").alias("created"), F.count_if(~F.col("created")).alias("reused"))
+
+
+@query(VARIANTS + """select a.doc_id as a, b.doc_id as b, a.raw = b.raw as raw_equal, a.canonical = b.canonical as canonical_equal
+from (select * from h where variant = 0) a join (select * from h where variant = 1) b on a.doc_id = b.doc_id""")
+def identity_compare(spark, sf_dir):
+    rows = variants(spark, sf_dir)
+    left = rows.where("variant = 0").select("doc_id", F.col("rawFileHash").alias("raw"), F.col("canonicalHash").alias("canonical"))
+    right = rows.where("variant = 1").select("doc_id", "rawFileHash", "canonicalHash")
+    both = left.join(right, "doc_id")
+    return both.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), (F.col("raw") == F.col("rawFileHash")).alias("raw_equal"), (F.col("canonical") == F.col("canonicalHash")).alias("canonical_equal"))
+
+
+@query("""
+select event_id, 'K: ' || json_extract_string(props, '$.k') as markdown,
+ 'sha256:' || sha256('{"markdownText":"K: ' || json_extract_string(props, '$.k') || '","normalizationStrategy":"json_to_markdown_lines_v2"}') as canonical_hash, 'object' as top_level_type, cast(strlen(props) as bigint) as size_bytes from events""")
+def render_documents(spark, sf_dir):
+    # equal contents are rendered once: their hash is the key that the result is joined back by
+    rows = read(spark, sf_dir, "events").select("event_id", keys.content_hash(F.col("props")).alias("h"), "props")
+    unique = rows.groupBy("h").agg(F.first("props").alias("props"))
+    made = unique.select("h", markdown.normalize_document(F.col("props").cast("binary")).alias("r"))
+    return rows.select("event_id", "h").join(made, "h").select("event_id", "r.markdown", F.col("r.canonicalHash").alias("canonical_hash"), F.col("r.topLevelType").alias("top_level_type"), F.col("r.sizeBytes").alias("size_bytes"))
+
+
+@query("select doc_id, cast(strlen(text) as bigint) as size_bytes, cast(length(text) as bigint) as chars, cast(case when text = '' then 0 else length(text) - length(replace(text, chr(10), '')) + 1 end as bigint) as lines from documents where text is not null")
+def extracted_metadata(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", F.octet_length("text").cast("long").alias("size_bytes"), F.length("text").cast("long").alias("chars"), text.line_count(F.col("text")).alias("lines"))
+
+
+# chunks
+
+
+def pack_sql(joiner: str, items: str, most: int = CHUNK) -> str:
+    """A greedy fold in SQL: pieces joined while they fit."""
+    return f"""list_reduce({items}, lambda s, x: case when s.now is null then {{'done': s.done, 'now': x.now}} when length(s.now) + {len(joiner)} + length(x.now) <= {most}
+  then {{'done': s.done, 'now': s.now || '{joiner}' || x.now}} else {{'done': list_append(s.done, s.now), 'now': x.now}} end, {{'done': cast([] as varchar[]), 'now': cast(null as varchar)}})"""
+
+
+LINES = "list_transform(string_split(t, chr(10)), lambda l: {'done': cast([] as varchar[]), 'now': rtrim(l)})"
+CHUNKS_SQL = f"""with d as (select doc_id, trim(text, chr(10) || ' ' || chr(9)) as t from documents where text is not null),
+p as (select doc_id, t, case when length(t) > {CHUNK} and contains(t, chr(10)) then {pack_sql("NL", LINES).replace("'NL'", "chr(10)").replace("+ 2 +", "+ 1 +")} end as f from d),
+c as (select doc_id, unnest(case when length(t) <= {CHUNK} then [t] when f is not null then list_filter(list_append(f.done, f.now), lambda x: x <> '')
+  else list_filter(list_transform(range(0, cast(length(t) as bigint), {CHUNK}), lambda i: trim(substr(t, i + 1, {CHUNK}))), lambda x: x <> '') end) as content,
+  generate_subscripts(case when length(t) <= {CHUNK} then [t] when f is not null then list_filter(list_append(f.done, f.now), lambda x: x <> '')
+  else list_filter(list_transform(range(0, cast(length(t) as bigint), {CHUNK}), lambda i: trim(substr(t, i + 1, {CHUNK}))), lambda x: x <> '') end, 1) as chunk_index from p)
+"""
+
+
+def document_chunks(spark, sf_dir) -> DataFrame:
+    return chunking.chunk_records(read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"), CHUNK, "doc_id", "text")
+
+
+@query(CHUNKS_SQL + "select doc_id, cast(chunk_index as bigint) as chunk_index, cast(length(content) as bigint) as chars, sha256(content) as content_sha256 from c")
+def chunks(spark, sf_dir):
+    found = document_chunks(spark, sf_dir)
+    return found.select("doc_id", F.col("chunkIndex").cast("long").alias("chunk_index"), F.length("content").cast("long").alias("chars"), F.sha2("content", 256).alias("content_sha256"))
+
+
+@query(CHUNKS_SQL + "select doc_id, count(*) as chunks, cast(sum(length(content)) as bigint) as chars, cast(max(length(content)) as bigint) as longest from c group by 1")
+def chunk_counts(spark, sf_dir):
+    n = F.length("content").cast("long")
+    return document_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(n).alias("chars"), F.max(n).alias("longest"))
+
+
+@query(CHUNKS_SQL + "select doc_id, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md' as content_key, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md.metadata.json' as metadata_key, '{\"metadataAttributes\":{\"documentId\":\"' || doc_id || '\"}}' as metadata from c")
+def chunk_keys(spark, sf_dir):
+    return document_chunks(spark, sf_dir).select("doc_id", F.col("contentKey").alias("content_key"), F.col("metadataKey").alias("metadata_key"), "metadata")
+
+
+@query(f"""
+with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from documents where text is not null),
+q as (select doc_id, {pack_sql("NN", "list_transform(ps, lambda l: {'done': cast([] as varchar[]), 'now': l})").replace("'NN'", "chr(10) || chr(10)")} as f from d where len(list_filter(ps, lambda l: length(l) > {CHUNK})) = 0 and len(ps) > 0)
+select doc_id, cast(len(f.done) + 1 as bigint) as chunks, sha256(array_to_string(list_append(f.done, f.now), '|')) as contents_sha256 from q""")
+def paragraph_chunks(spark, sf_dir):
+    """Texts whose lines are paragraphs, none too long: the packing path."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
+    short = docs.where(F.forall(F.split("t", "\n\n"), lambda p: F.length(text.stripped(p)) <= CHUNK) & (text.stripped(F.col("t")) != ""))
+    found = short.select("doc_id", text.chunks(F.col("t"), CHUNK).alias("c"))
+    return found.select("doc_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("contents_sha256"))
+
+
+@query(CHUNKS_SQL + """, e as (select 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md' as k from c), a as (select k from e where right(k, 7) <> '0002.md'), m as (select k from e except select k from a)
+select count(*) as missing, array_to_string(list_slice(list_sort(list(k)), 1, 10), ',') as first_missing from m""")
+def chunk_persistence_check(spark, sf_dir):
+    expected = document_chunks(spark, sf_dir).select(F.col("contentKey").alias("k"))
+    gone = objects.missing_keys(expected, expected.where(~F.col("k").endswith("0002.md")), "k")
+    return gone.agg(F.count("*").alias("missing"), csv(F.slice(F.array_sort(F.collect_list("k")), 1, 10)).alias("first_missing"))
+
+
+# versions
+
+
+def candidates(spark, sf_dir) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return docs.select(F.col("source").alias("businessDocumentKey"), F.col("doc_id").cast("string").alias("documentId"), F.concat(F.lit("v"), F.col("doc_id") % 13).alias("sourceVersion"), F.lit(None).cast("string").alias("sourceUpdatedAt"), F.col("doc_id").alias("seq"))
+
+
+ACTIVE_SQL = "select source as business_key, arg_max(cast(doc_id as varchar), ('v' || (doc_id % 13), doc_id)) as active_document, count(*) as candidates from documents where source is not null group by 1"
+
+
+@query(ACTIVE_SQL)
+def active_version(spark, sf_dir):
+    found = versions.elected_by_order(candidates(spark, sf_dir), "seq")
+    return found.select(F.col("businessDocumentKey").alias("business_key"), F.col("activeDocumentId").alias("active_document"), "candidates")
+
+
+@query(ACTIVE_SQL)
+def active_version_fold(spark, sf_dir):
+    found = versions.elected(candidates(spark, sf_dir), "seq")
+    return found.select(F.col("businessDocumentKey").alias("business_key"), F.col("activeDocumentId").alias("active_document"), "candidates")
+
+
+@query("""
+select doc_id, source as business_key, max('v' || (doc_id % 13)) over (partition by source order by doc_id rows unbounded preceding) as active_version,
+  ('v' || (doc_id % 13)) = max('v' || (doc_id % 13)) over (partition by source order by doc_id rows unbounded preceding) as took_over from documents""")
+def activation_history(spark, sf_dir):
+    from pyspark.sql import Window as W
+
+    best = F.max("sourceVersion").over(W.partitionBy("businessDocumentKey").orderBy("seq").rowsBetween(W.unboundedPreceding, 0))
+    return candidates(spark, sf_dir).select(F.col("seq").alias("doc_id"), F.col("businessDocumentKey").alias("business_key"), best.alias("active_version"), (F.col("sourceVersion") == best).alias("took_over"))
+
+
+@query("with a as (select arg_max(doc_id, ('v' || (doc_id % 13), doc_id)) as w from documents where source = 'src3') select cast(doc_id as varchar) as document_id, 'v' || (doc_id % 13) as version, doc_id = w as is_active from documents, a where source = 'src3'")
+def versions_of_key(spark, sf_dir):
+    rows = versions.versions_of(candidates(spark, sf_dir), "src3")
+    found = versions.flagged(rows, versions.elected_by_order(rows, "seq"))
+    return found.select(F.col("documentId").alias("document_id"), F.col("sourceVersion").alias("version"), F.col("isActive").alias("is_active"))
+
+
+# documents of submissions, index runs, readiness
+
+
+@query("""
+select o_orderkey as submission_id, coalesce(array_to_string(list_sort(list_distinct(list_concat(['p' || (o_orderkey % 9)], coalesce(l, [])))), ','), '') as document_ids, case when l is null then o_orderstatus else 'COMPLETE' end as status
+from orders left join (select l_orderkey, list(distinct 'p' || (l_partkey % 50)) as l from lineitem group by 1) on l_orderkey = o_orderkey""")
+def attach_documents(spark, sf_dir):
+    subs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("submissionId"), F.col("o_orderstatus").alias("status"), F.array(F.concat(F.lit("p"), F.col("o_orderkey") % 9)).alias("documentIds"))
+    files = deliveries(spark, sf_dir).select("submissionId", F.concat(F.lit("p"), F.col("l_partkey") % 50).alias("canonicalDocumentId"), F.lit("").alias("resolvedDocumentId"))
+    found = attach.attached(subs, attach.document_of(files))
+    return found.select(F.col("submissionId").alias("submission_id"), csv(F.col("documentIds")).alias("document_ids"), "status")
+
+
+def labelled(spark, sf_dir) -> DataFrame:
+    """documents as a registry: toxic ones failed, good ones are indexed, others and unlabelled ones pend."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    status = F.when(F.col("toxic") == 1, "FAILED").when(F.col("quality") == 1, "INDEXED").when(F.col("quality") == 0, "PENDING_INGESTION")
+    return read(spark, sf_dir, "documents").select("doc_id", "source").join(labels, "doc_id", "left").select(F.col("doc_id").alias("documentId"), "source", status.alias("kbIngestionStatus"), F.col("doc_id").alias("createdAt"))
+
+
+STATUS_SQL = "with s as (select d.doc_id, d.source, case when toxic = 1 then 'FAILED' when quality = 1 then 'INDEXED' when quality = 0 then 'PENDING_INGESTION' end as status from documents d left join labels l on d.doc_id = l.doc_id)\n"
+
+
+@query(STATUS_SQL + "select doc_id, source from s where status = 'PENDING_INGESTION' order by doc_id limit 10")
+def pending_batch(spark, sf_dir):
+    return indexing.pending(labelled(spark, sf_dir)).select(F.col("documentId").alias("doc_id"), "source")
+
+
+@query("""
+with j as (select case o_orderstatus when 'F' then 'COMPLETE' when 'O' then 'IN_PROGRESS' when 'P' then 'STOPPED' else o_orderstatus end as job, o_orderkey % 3 as failed, case when o_orderkey % 7 = 0 then ['disk', 'net ' || (o_orderkey % 2)] else [] end as reasons from orders),
+r as (select case when job in ('STARTING', 'IN_PROGRESS', 'STOPPING') then 'STARTED' when job = 'COMPLETE' and failed = 0 and len(reasons) = 0 then 'SUCCEEDED' else 'FAILED' end as run_status, nullif(left(array_to_string(reasons, ' | '), 2048), '') as error_summary from j)
+select run_status, case run_status when 'SUCCEEDED' then 'INDEXED' when 'FAILED' then 'FAILED' else 'INGESTING' end as document_status, error_summary, count(*) as n from r group by all""")
+def job_status_map(spark, sf_dir):
+    o, key = read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    job = F.when(F.col("o_orderstatus") == "F", "COMPLETE").when(F.col("o_orderstatus") == "O", "IN_PROGRESS").when(F.col("o_orderstatus") == "P", "STOPPED").otherwise(F.col("o_orderstatus"))
+    jobs = o.select(job.alias("job"), (key % 3).alias("failed"), F.when(key % 7 == 0, F.array(F.lit("disk"), F.concat(F.lit("net "), key % 2))).otherwise(F.array().cast("array<string>")).alias("reasons"))
+    runs = jobs.select(indexing.run_status(F.col("job"), indexing.has_failures(F.col("failed"), F.col("reasons"))).alias("run_status"), indexing.error_summary(F.col("reasons")).alias("error_summary"))
+    return runs.groupBy("run_status", indexing.document_status(F.col("run_status")).alias("document_status"), "error_summary").agg(F.count("*").alias("n"))
+
+
+@query("""
+with r as (select l_partkey as run, any_value(case l_partkey % 3 when 0 then 'SUCCEEDED' when 1 then 'FAILED' else 'STARTED' end) as status, list(distinct l_orderkey) as docs from lineitem where l_linenumber = 1 and l_partkey % 4 = 0 group by 1),
+x as (select unnest(docs) as d, run, status from r), f as (select d, max(run) as run from x group by 1)
+select status as run_status, case status when 'SUCCEEDED' then 'INDEXED' when 'FAILED' then 'FAILED' when 'STARTED' then 'INGESTING' else 'PENDING_INGESTION' end as document_status, count(*) as documents
+from orders left join (select f.d, x.status from f join x on f.d = x.d and f.run = x.run) on d = o_orderkey group by 1, 2""")
+def run_fanout(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_partkey % 4 = 0")
+    last = rows.groupBy("l_orderkey").agg(F.max("l_partkey").alias("run"))  # a document is in one run at a time
+    status = F.when(F.col("run") % 3 == 0, "SUCCEEDED").when(F.col("run") % 3 == 1, "FAILED").otherwise("STARTED")
+    runs = last.groupBy("run").agg(F.collect_list("l_orderkey").alias("documentIds")).select(F.concat(F.lit("run-"), "run").alias("ingestionRunId"), status.alias("status"), "documentIds", F.lit(None).cast("string").alias("errorSummary"))
+    none = {c: F.lit(None).cast("string") for c in ("pendingIngestionRunId", "lastSuccessfulIngestionRunId", "lastIngestionError")}
+    docs = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("documentId"), F.lit("PENDING_INGESTION").alias("kbIngestionStatus")).withColumns(none)
+    found = indexing.fanned_out(docs, runs)
+    run = F.when(F.col("kbIngestionStatus") == "INDEXED", "SUCCEEDED").when(F.col("kbIngestionStatus") == "FAILED", "FAILED").when(F.col("kbIngestionStatus") == "INGESTING", "STARTED")
+    return found.groupBy(run.alias("run_status"), F.col("kbIngestionStatus").alias("document_status")).agg(F.count("*").alias("documents"))
+
+
+def submission_states(spark, sf_dir) -> DataFrame:
+    """Sources as submissions of their documents."""
+    return labelled(spark, sf_dir).select(F.concat("source", F.lit("-"), F.col("documentId") % 7).alias("submissionId"), "documentId", F.col("kbIngestionStatus").alias("status"))
+
+
+@query(STATUS_SQL + """, g as (select source || '-' || (doc_id % 7) as submission_id, count(*) filter (where status = 'INDEXED') as indexed, count(*) filter (where status = 'FAILED') as failed, count(*) filter (where status is null or status not in ('INDEXED', 'FAILED')) as pending from s group by 1)
+select submission_id, case when failed > 0 then 'FAILED' when pending = 0 then 'READY' else 'WAITING_FOR_INDEX' end as status, indexed, failed, pending from g""")
+def readiness(spark, sf_dir):
+    found = ready_ops.readiness(submission_states(spark, sf_dir))
+    return found.select(F.col("submissionId").alias("submission_id"), "status", "indexed", "failed", "pending")
+
+
+@query(STATUS_SQL + "select source || '-' || (doc_id % 7) as submission_id, string_agg(doc_id || '=' || coalesce(status, 'MISSING'), ',' order by doc_id) as documents from s group by 1")
+def document_state_summary(spark, sf_dir):
+    found = ready_ops.summaries(submission_states(spark, sf_dir))
+    return found.select(F.col("submissionId").alias("submission_id"), csv(F.transform("documents", lambda x: F.concat(x["documentId"], F.lit("="), x["status"]))).alias("documents"))
+
+
+# monitoring
+
+NOW_SQL = f"timestamp '{NOW}'"
+STATUS_OF_EVENT = {"click": "RECEIVING", "view": "COMPLETE", "purchase": "WAITING_FOR_INDEX", "error": "FAILED"}
+EVENT_STATUS_SQL = "case event_type " + " ".join(f"when '{k}' then '{v}'" for k, v in STATUS_OF_EVENT.items()) + " else 'READY' end"
+
+
+def updates(spark, sf_dir) -> DataFrame:
+    """events as rows of registries."""
+    status = F.lit("READY")
+    for kind, said in STATUS_OF_EVENT.items():
+        status = F.when(F.col("event_type") == kind, said).otherwise(status)
+    rows = read(spark, sf_dir, "events")
+    return rows.select("event_id", "event_type", "user_id", "value", F.col("ts").alias("updatedAt"), status.alias("status"), F.when(F.col("event_type") == "error", "FAILED").alias("callbackStatus"), F.when(F.col("event_type") == "click", "INGESTING").otherwise("INDEXED").alias("kbIngestionStatus"))
+
+
+@query("select coalesce(o_orderstatus, 'UNKNOWN') as status, count(*) as n from orders group by 1")
+def status_counts(spark, sf_dir):
+    return monitor.count_by_status(read(spark, sf_dir, "orders"), "o_orderstatus")
+
+
+AGE_SQL = f"(epoch_us({NOW_SQL}) - epoch_us(ts)) / 60000000.0"
+
+
+@query(f"select event_id, {EVENT_STATUS_SQL} as status, round({AGE_SQL}, 6) as minutes from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15")
+def stale_submissions(spark, sf_dir):
+    return monitor.stale_submissions(updates(spark, sf_dir), now()).select("event_id", "status", F.round(times.minutes_since(F.col("updatedAt"), now()), 6).alias("minutes"))
+
+
+@query(f"select event_id, user_id from events where event_type = 'click' and coalesce({AGE_SQL}, 0) >= 15")
+def stuck_documents(spark, sf_dir):
+    return monitor.stuck_documents(updates(spark, sf_dir), now()).select("event_id", "user_id")
+
+
+@query("select event_id, user_id from events where event_type = 'error'")
+def callback_failures(spark, sf_dir):
+    return monitor.callback_failures(updates(spark, sf_dir)).select("event_id", "user_id")
+
+
+@query(f"""
+select 'STALE_SUBMISSION' as alert_type, event_id, {EVENT_STATUS_SQL} as status, cast(null as bigint) as user_id from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15
+union all select 'STUCK_DOCUMENT', event_id, null, user_id from events where event_type = 'click' and coalesce({AGE_SQL}, 0) >= 15
+union all select 'CALLBACK_FAILURE', event_id, {EVENT_STATUS_SQL}, user_id from events where event_type = 'error'""")
+def manual_review_union(spark, sf_dir):
+    rows = updates(spark, sf_dir)
+    found = monitor.alerts(
+        STALE_SUBMISSION=monitor.stale_submissions(rows, now()).select("event_id", "status"),
+        STUCK_DOCUMENT=monitor.stuck_documents(rows, now()).select("event_id", "user_id"),
+        CALLBACK_FAILURE=monitor.callback_failures(rows).select("event_id", "status", "user_id"),
+    )
+    return found.select(F.col("alertType").alias("alert_type"), "event_id", "status", "user_id")
+
+
+@query("select event_type, event_id, cast((row_number() over (partition by event_type order by event_id) - 1) // 20 as bigint) as batch from events")
+def metric_batches(spark, sf_dir):
+    return monitor.metric_batches(read(spark, sf_dir, "events"), ("event_id",), group="event_type").select("event_type", "event_id", "batch")
+
+
+@query("select event_type as name, epoch(time_bucket(interval '5 minutes', ts)) as bucket, count(*) as occurrences, count(*) >= 2 as in_alarm from events group by 1, 2")
+def alarms_5m(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").select(F.col("event_type").alias("name"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).cast("long").alias("value"))
+    found = monitor.alarms(rows, threshold=2)
+    return found.select("name", F.unix_timestamp("bucket").cast("double").alias("bucket"), F.col("value").alias("occurrences"), F.col("inAlarm").alias("in_alarm"))
+
+
+@query("select epoch(time_bucket(interval '5 minutes', ts)) as bucket, " + ", ".join(f"coalesce(max(value) filter (where event_type = '{k}'), 0.0) as {k}" for k in ("click", "error", "purchase", "view")) + " from events group by 1")
+def dashboard_series(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").select(F.col("event_type").alias("status"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    kinds = ["click", "error", "purchase", "view"]
+    return monitor.dashboard(rows, kinds).select(F.unix_timestamp("bucket").cast("double").alias("bucket"), *kinds)
+
+
+@query(f"select event_id from events where ts >= {NOW_SQL} - case event_id % 3 when 0 then interval 14 days when 1 then interval 3 days else interval 1000 days end")
+def lifecycle_expiry(spark, sf_dir):
+    prefix = F.when(F.col("event_id") % 3 == 0, "ingestion/").when(F.col("event_id") % 3 == 1, "processed/").otherwise("canonical/")
+    rows = read(spark, sf_dir, "events").select("event_id", "ts", F.concat(prefix, F.col("event_id").cast("string")).alias("key"))
+    return objects.live(rows, "key", "ts", now()).select("event_id")
+
+
+@query("select user_id, arg_max(event_type, event_id) as status, max(event_id) as seq, arg_max(value, event_id) as value from events where value is not null and event_type is not null group by 1")
+def latest_state(spark, sf_dir):
+    log = read(spark, sf_dir, "events").where("value is not null and event_type is not null").select("user_id", F.col("event_type").alias("status"), F.col("event_id").alias("seq"), "value")
+    return registry.latest_state(log, "user_id", "seq").select("user_id", "status", "seq", "value")
+
+
+@query("select user_id, min(event_id) as event_id from events where user_id % 3 <> 0 group by 1")
+def insert_if_absent(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").select("user_id", "event_id")
+    known = rows.where("user_id % 3 = 0").select("user_id").distinct()
+    return registry.insert_if_absent(rows, known, "user_id", F.col("event_id"))[0]
+
+
+# retrieval
+
+COSINE_SQL = "list_cosine_similarity(cast(e.embedding as double[]), cast(q.embedding as double[]))"
+TOPK_SQL = f"from embeddings e, (select embedding from embeddings where vec_id = 0) q where e.label in (1, 3, 5) order by {COSINE_SQL} desc, e.vec_id limit 10"
+
+
+def indexed_chunks(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "embeddings").select(F.col("label").alias("documentId"), F.col("vec_id").alias("chunkIndex"), "embedding")
+
+
+def top_chunks(spark, sf_dir) -> DataFrame:
+    rows = indexed_chunks(spark, sf_dir)
+    probe = rows.where("chunkIndex = 0").first()
+    scope = spark.createDataFrame([(1,), (3,), (5,)], "documentId int")
+    return retrieval.nearest(retrieval.scoped(rows, scope, 3), probe["embedding"] if probe else [0.0], 50, ties=("chunkIndex",))
+
+
+@query(f"select e.vec_id, e.label, round({COSINE_SQL}, 6) as score {TOPK_SQL}")
+def scoped_topk(spark, sf_dir):
+    return top_chunks(spark, sf_dir).select(F.col("chunkIndex").alias("vec_id"), F.col("documentId").alias("label"), F.round("score", 6).alias("score"))
+
+
+@query(f"select array_to_string(list_sort(list(distinct cast(label as varchar))), ',') as document_ids, count(*) as results from (select e.label, e.vec_id {TOPK_SQL})")
+def retrieved_ids(spark, sf_dir):
+    found = top_chunks(spark, sf_dir).select(F.col("documentId").cast("string").alias("documentId"))
+    return found.agg(csv(retrieval.document_ids(found)).alias("document_ids"), F.count("*").alias("results"))
+
+
+@query(f"select count(*) filter (where label not in (1, 3, 5)) as leaked, count(*) filter (where label in (2, 4)) as foreign_hits from (select e.label, e.vec_id {TOPK_SQL})")
+def scope_leak_check(spark, sf_dir):
+    found = top_chunks(spark, sf_dir).select("documentId")
+    own, other = (spark.createDataFrame([(i,) for i in ids], "documentId int") for ids in ((1, 3, 5), (2, 4)))
+    return retrieval.leaks(found, own).agg(F.count("*").alias("leaked")).crossJoin(found.join(other, "documentId", "left_semi").agg(F.count("*").alias("foreign_hits")))
+
+
+@query(f"select case when count(*) = 0 then 'No matching content was retrieved for this submission.' else 'Retrieved ' || count(*) || ' matching chunk(s) within the submission''s scope.' end as summary from (select e.vec_id {TOPK_SQL})")
+def placeholder_summary(spark, sf_dir):
+    n = top_chunks(spark, sf_dir).agg(F.count("*").alias("n"))
+    return n.select(F.when(F.col("n") == 0, retrieval.placeholder(0)).otherwise(F.format_string(retrieval.placeholder(987654321).replace("987654321", "%d"), "n")).alias("summary"))
+
+
+@query("select doc_id, left(text, 1200) as text, 'TEXT' as content_type from documents")
+def snippets(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("documentId"), "doc_id", F.lit(0.0).alias("score"), F.col("text").alias("content"), F.lit("").alias("contentKey"))
+    return retrieval.projected(rows).select(F.col("documentId").cast("long").alias("doc_id"), "text", F.col("contentType").alias("content_type"))
+
+
+@query("""
+with n as (select source, doc_id, left(text, 1200) as t, row_number() over (partition by source order by doc_id) as k from documents)
+select source, string_agg('[' || k || '] ' || t, chr(10) || chr(10) order by k) as context from n where k <= 4 group by 1""")
+def prompt_context(spark, sf_dir):
+    from pyspark.sql import Window as W
+
+    rows = read(spark, sf_dir, "documents").select("source", F.left("text", F.lit(retrieval.SNIPPET_CHARS)).alias("t"), F.row_number().over(W.partitionBy("source").orderBy("doc_id")).alias("k"))
+    first = rows.where(F.col("k") <= retrieval.CONTEXT_SNIPPETS).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("all"))
+    return first.select("source", F.array_join(F.transform("all", lambda x: F.concat(F.lit("["), x["k"], F.lit("] "), x["t"])), "\n\n").alias("context"))
+
+
+@query("select cast(r.vec_id as bigint) as query_id, e.vec_id, round(list_cosine_similarity(cast(e.embedding as double[]), cast(r.embedding as double[])), 6) as score from embeddings e, embeddings r where r.vec_id in (7, 11) and e.label = r.label and e.vec_id <> r.vec_id")
+def scored_pairs(spark, sf_dir):
+    """Chunks scored against two queries of their own scope."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    asked = rows.where("vec_id in (7, 11)").select(F.col("vec_id").alias("query_id"), "label", F.col("embedding").alias("q"))
+    both = rows.join(F.broadcast(asked), "label").where("vec_id <> query_id")
+    return both.select("query_id", "vec_id", F.round(retrieval.cosine(F.col("embedding"), F.col("q")), 6).alias("score"))
+
+
+# streaming
+
+
+@query("select user_id as submission_id, event_type as file_id, min(event_id) as first_event, count(*) as deliveries from events group by 1, 2")
+def stream_receipts(spark, sf_dir):
+    """The events table read as a stream to its end, batch by batch; the batches' logs give the registry."""
+    import uuid
 
+    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    stream = streams.table_stream(spark, f"{sf_dir}/events.parquet")
+    rows = stream.select(F.col("user_id").alias("submissionId"), F.col("event_type").alias("fileId"), "event_id")
 
-def queries():
-    return {}
+    def each(batch: DataFrame, batch_id: int) -> None:  # by batch id: a batch that is run again writes the same folder
+        receipts.first_receipts(batch, ("event_id",)).write.mode("overwrite").parquet(f"{folder}/log/batch={batch_id}")
 
+    streams.drain(rows, each, f"{folder}/state")
+    log = spark.read.parquet(f"{folder}/log")
+    return log.groupBy(F.col("submissionId").alias("submission_id"), F.col("fileId").alias("file_id")).agg(F.min("arrived.event_id").alias("first_event"), F.sum("deliveries").alias("deliveries"))
 
-def oracle_sql():
-    return {}
