@@ -23,10 +23,10 @@ def claims(files: DataFrame, registry: DataFrame, order: tuple[str, ...], retry_
     """
     known = registry.select("rawFileHash", F.col("status").alias("rawFileStatus"), F.nullif("documentId", F.lit("")).alias("documentId"), F.nullif("canonicalHash", F.lit("")).alias("canonicalHash"))
     free = F.col("rawFileStatus").isNull() | (F.lit(retry_failed) & (F.col("rawFileStatus") == "FAILED"))
-    placed = files.join(known, "rawFileHash", "left").withColumn("place", F.row_number().over(W.partitionBy("rawFileHash").orderBy(*order)))
-    claimed = free & (F.col("place") == 1)
+    placed = files.join(known, "rawFileHash", "left").withColumn("__turn", F.row_number().over(W.partitionBy("rawFileHash").orderBy(*order)))
+    claimed = free & (F.col("__turn") == 1)
     action = F.when(claimed, CLAIMED).when(free | (F.col("rawFileStatus") == "RESOLVED"), REUSED).otherwise(IN_PROGRESS)
-    return placed.withColumns({"ownershipClaimed": claimed, "action": action}).drop("place")
+    return placed.withColumns({"ownershipClaimed": claimed, "action": action}).drop("__turn")
 
 
 def seen(files: DataFrame, at: str) -> DataFrame:

@@ -98,8 +98,7 @@ class Engine:
         verdict = validate.validated(request, self.state("submissions")).first().asDict()
         if not verdict["isValid"]:
             return verdict
-        seq, order = self.next_seq(), F.create_map(*(F.lit(x) for i, f in reversed(list(enumerate(expected))) for x in (f, i))) if len(set(expected)) == len(expected) else F.lit(None)
-        place = order[F.col("fileId")] if len(set(expected)) == len(expected) else F.array_position(F.array(*map(F.lit, expected)), F.col("fileId"))
+        seq, place = self.next_seq(), F.array_position(F.array(*map(F.lit, expected)), F.col("fileId"))
         files = objects.raw_files(self.spark, self.root).where((F.col("submissionId") == submission) & F.col("fileId").isin(expected)).withColumn("place", place)
         claims = dedupe.claims(dedupe.hashed(files, "content").select("fileId", "key", "place", "rawFileHash"), self.state("raw_files"), ("place",)).checkpoint()
         owned = files.select("key", "content").join(claims.where("ownershipClaimed"), "key")
