@@ -1,23 +1,23 @@
 """Benchmark decontamination by q-gram lemma filtering with banded alignment.
 
-Items and texts are folded (lower case, every run of characters that are not letters or digits one blank). An item of
-m characters within e = floor(EDIT_SHARE * m) edits of a region of a text shares at least m + 1 - q - q * e of its
-q-grams with it, all within a band of 2 * e + 1 diagonals. For each item, hits are counted in overlapping bands of
-twice that width (so one band holds every such region whole), bands that reach the bound are retained, and a banded
-alignment verifies them and gives the region's edits and bounds. q is chosen for each item so that the bound is
-positive; the filter therefore loses no region.
+Items and texts are folded (lower case; every run of ASCII characters that are neither letters nor digits is one
+blank) and compared as UTF-8 bytes. An item of m bytes within e = floor(EDIT_SHARE * m) edits of a region of a text
+shares at least m + 1 - q - q * e of its q-grams with it, all within a band of 2 * e + 1 diagonals. Hits are counted
+for each text and item in bands three strips of e + 1 diagonals wide, each overlapping the next by two strips, so one
+band holds every such region whole; bands that reach the bound are retained, and a banded alignment verifies them and
+gives the region's edits and bounds. q is chosen for each item so that the bound is positive: the filter loses no
+region.
 
-Items are sent to executors only in slices of at most SLICE_BYTES of folded text; a larger benchmark is taken in
-several slices, each against all texts. Texts are worked on whole, in overlapping parts of bounded size.
+Items are sent to executors only in slices of at most SLICE_BYTES of text; a larger benchmark is taken in several
+slices, each against all texts. Texts are worked on whole, long ones in parts that overlap by two items' length.
 
 Edge cases: null and empty texts hold nothing; null, empty or folded-to-nothing items, and items shorter than
-LEAST_CHARS, match nothing (they would occur by chance). Items and texts that are repeated each give their own rows,
+LEAST_BYTES, match nothing (they would occur by chance). Items and texts that are repeated each give their own rows,
 one for each pair of row ids; the best region (fewest edits, then first) is shown. Null ids are kept.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,48 +26,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ._common import ready, utf8
+from ._common import ready, steps, utf8
 
-EDIT_SHARE = 0.1
-LEAST_CHARS, LEAST_Q, MOST_Q = 24, 4, 8
+EDIT_SHARE = 0.06
+LEAST_BYTES, LEAST_Q, MOST_Q = 24, 4, 12
 SLICE_BYTES = 4 << 20
 PART = 1 << 20
 FILTER_BITS = 22
 
-_MARKS = re.compile(r"[\W_]+")
+#: Folding of single bytes: ASCII letters to lower case, digits and bytes beyond ASCII as they are, all else a blank.
+FOLD = np.full(256, 32, np.uint8)
+FOLD[48:58], FOLD[97:123], FOLD[65:91], FOLD[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(97, 123), np.arange(128, 256)
 
-#: Folding of plain ASCII bytes: letters to lower case, digits as they are, all else a blank.
-ASCII = np.full(128, 32, np.uint8)
-ASCII[48:58], ASCII[97:123], ASCII[65:91] = np.arange(48, 58), np.arange(97, 123), np.arange(97, 123)
 
+def fold(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Folded bytes of many texts, and where each begins."""
+    out = FOLD[data]
+    if len(data) > 1:  # the capitals of Latin-1 are two bytes
+        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][capital] += 0x20
+    keep = np.ones(len(out), bool)
+    keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
+    return out[keep], np.r_[0, np.cumsum(keep)][offsets]
 
-def fold(text: str) -> str:
-    return _MARKS.sub(" ", text.lower()).strip()
 
-
-def codes(text: str) -> np.ndarray:
-    """Folded characters as integers."""
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+def fold_text(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return np.frombuffer(fold(raw, np.array([0, len(raw)]))[0].tobytes().strip(), np.uint8)
 
 
 def grams(chars: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of each q-gram."""
+    """A 64-bit hash of each q-gram, its high bits well spread."""
     n = len(chars) - q + 1
     out = np.zeros(max(n, 0), np.uint64)
     for i in range(q if n > 0 else 0):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + chars[i : i + n].astype(np.uint64) + np.uint64(1)
-    return out ^ (out >> np.uint64(29))
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += chars[i : i + n]
+        out += np.uint64(1)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def plan(length: int) -> tuple[int, int, int] | None:
-    """(q, edits, least shared q-grams) for an item of so many characters; None if it is too short."""
-    if length < LEAST_CHARS:
+    """(q, edits, least shared q-grams) for an item of so many bytes; None if it is too short."""
+    if length < LEAST_BYTES:
         return None
     edits = int(EDIT_SHARE * length)
     for q in range(MOST_Q, LEAST_Q - 1, -1):
-        if (least := length + 1 - q - q * edits) > 0 and (q == LEAST_Q or least >= 3):
+        if (least := length + 1 - q - q * edits) >= 3:
             return q, edits, least
-    return LEAST_Q, (length - LEAST_Q) // LEAST_Q, 1
+    return None
 
 
 class Index:
@@ -77,10 +84,13 @@ class Index:
         self.items = []
         by_q: dict[int, list] = {}
         for key, text in items:
-            chars = codes(text)
+            chars = fold_text(text)
             if p := plan(len(chars)):
                 by_q.setdefault(p[0], []).append((grams(chars, p[0]), len(self.items)))
                 self.items.append((key, chars, *p))
+        self.edits = np.array([x[3] for x in self.items], np.int64)
+        self.least = np.array([x[4] for x in self.items], np.int64)
+        self.reach = 2 * max((len(x[1]) for x in self.items), default=0)
         self.tables = {}
         for q, found in by_q.items():
             h = np.concatenate([g for g, _ in found])
@@ -91,37 +101,53 @@ class Index:
             flags[h >> np.uint64(64 - FILTER_BITS)] = True
             self.tables[q] = h[order], item[order], at[order], flags
 
-    def regions(self, chars: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, lowest diagonal, highest diagonal) of the bands that reach the bound."""
+    def bands(self, chars: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item, lowest diagonal, highest diagonal) of the bands that reach the bound."""
+        found: list[tuple[int, int, int, int]] = []
         for q, (known, item, at, flags) in self.tables.items():
             g = grams(chars, q)
             place = np.flatnonzero(flags[g >> np.uint64(64 - FILTER_BITS)])
-            if not len(place):
-                continue
             lo, hi = np.searchsorted(known, g[place]), np.searchsorted(known, g[place], "right")
-            n = hi - lo
-            if not n.any():
+            row = np.searchsorted(bounds, place, "right") - 1
+            n = np.where(place + q <= bounds[np.minimum(row + 1, len(bounds) - 1)], hi - lo, 0)
+            if not n.sum():
+                continue
+            k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            of, rows = item[k], np.repeat(row, n)
+            pair = rows * len(self.items) + of
+            pairs, inverse, total = np.unique(pair, return_inverse=True, return_counts=True)
+            some = (total >= self.least[pairs % len(self.items)])[inverse]  # a band has no more hits than its text
+            if not some.any():
                 continue
-            k = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-            of, diagonal = item[k], np.repeat(place, n) - at[k]
-            edits = np.array([x[3] for x in self.items])[of]
-            least = np.array([x[4] for x in self.items])
-            width = edits + 1
-            shift = len(chars) + (1 << 20)
-            strip = (diagonal + (1 << 20)) // width  # bands: strips of width edits + 1, three by three and overlapping
-            key, inverse = np.unique(of * shift + strip, return_inverse=True)
-            count = np.bincount(inverse, minlength=len(key))
-            owner, s = key // shift, key % shift
-            around = {int(x): int(c) for x, c in zip(key, count, strict=True)}
-            for x, i, band in zip(key.tolist(), owner.tolist(), s.tolist(), strict=True):
-                if around[x] + around.get(x + 1, 0) + around.get(x + 2, 0) >= least[i] or around[x] + around.get(x + 1, 0) + around.get(x - 1, 0) >= least[i]:
-                    w = self.items[i][3] + 1
-                    first = (band - 1) * w - (1 << 20)
-                    yield i, first, first + 4 * w - 1
+            of, rows, pair = of[some], rows[some], pair[some]
+            width = self.edits[of] + 1
+            strip = (np.repeat(place, n)[some] - bounds[rows] - at[k[some]] + self.reach) // width
+            far = int(strip.max()) + 3
+            key, count = np.unique(pair * far + strip, return_counts=True)
+            counts = dict(zip(key.tolist(), count.tolist(), strict=True))
+            for x in {x - d for x in key.tolist() for d in (0, 1, 2)}:  # each x starts a band of three strips
+                i = x // far % len(self.items)
+                if counts.get(x, 0) + counts.get(x + 1, 0) + counts.get(x + 2, 0) >= self.least[i]:
+                    first = x % far * int(self.edits[i] + 1) - self.reach
+                    found.append((x // far // len(self.items), i, first, first + 3 * int(self.edits[i] + 1) - 1))
+        wide = None
+        for band in sorted(found):  # bands of one text and item that touch are verified as one, up to a few of them
+            if wide and wide[:2] == band[:2] and band[2] <= wide[3] + 1 and band[3] - wide[2] < 12 * int(self.edits[band[1]] + 1):
+                wide = (*wide[:3], band[3])
+            else:
+                if wide:
+                    yield wide
+                wide = band
+        if wide:
+            yield wide
 
     def verify(self, i: int, chars: np.ndarray, low: int, high: int) -> tuple[int, int, int] | None:
         """Banded alignment of a whole item with any region on diagonals low..high: (edits, start, end), or None."""
         _, item, _, most, _ = self.items[i]
+        begin = max(0, low)
+        whole = chars[begin : max(begin, high + len(item))].tobytes().find(item.tobytes())
+        if whole >= 0:  # nothing has fewer edits than none
+            return 0, begin + whole, begin + whole + len(item)
         width = high - low + 1
         far = len(item) + width + 1
         diagonals = np.arange(low, high + 1)
@@ -134,9 +160,8 @@ class Index:
             same[inside] = chars[column[inside] - 1] == item[row - 1]
             new = np.where(inside, cost + ~same, far)
             start = since.copy()
-            up = np.r_[cost[1:], far] + 1  # the item's character is missing in the text
-            better = up < new
-            new, start = np.where(better, up, new), np.where(better, np.r_[since[1:], 0], start)
+            start[:-1] = np.where((better := cost[1:] + 1 < new[:-1]), since[1:], since[:-1])  # the item's byte is missing in the text
+            new[:-1] = np.where(better, cost[1:] + 1, new[:-1])
             new = np.where((column >= 0) & (column <= len(chars)), new, far)
             # runs of added characters: the least of new[j] + (k - j) over j <= k
             lead = new - np.arange(width)
@@ -149,50 +174,21 @@ class Index:
         return (int(cost[k]), int(since[k]), int(diagonals[k] + len(item))) if cost[k] <= most else None
 
 
-def search(index: Index, text: str) -> dict[int, tuple[int, int, int]]:
-    """For each item found its best (edits, start, end) in the folded text."""
-    out: dict[int, tuple[int, int, int]] = {}
-    chars = codes(text)
-    reach = 2 * max((len(x[1]) for x in index.items), default=0)
-    for begin in range(0, max(1, len(chars)), PART):
-        part = chars[begin : begin + PART + reach]
-        merged: dict[int, list[list[int]]] = {}
-        for i, low, high in sorted(index.regions(part)):
-            bands = merged.setdefault(i, [])
-            if bands and low <= bands[-1][1] + 1 and bands[-1][1] - bands[-1][0] < 8 * (index.items[i][3] + 1):
-                bands[-1][1] = max(high, bands[-1][1])
-            else:
-                bands.append([low, high])
-        for i, bands in merged.items():
-            for low, high in bands:
-                if found := index.verify(i, part, low, high):
-                    found = found[0], found[1] + begin, found[2] + begin
-                    out[i] = min(out.get(i, found), found)
-    return out
-
-
-def may_hold(index: Index, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows of plain ASCII whose folded q-grams can reach no item's bound are False; all others True."""
-    n = len(offsets) - 1
-    out = np.zeros(n, bool)
-    plain = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(data >= 128, out=plain[1:])
-    rows = plain[offsets[1:]] > plain[offsets[:-1]]
-    out |= rows
-    folded = ASCII[np.minimum(data, 127)]
-    keep = np.ones(len(data), bool)
-    keep[1:] = (folded[1:] != 32) | (folded[:-1] != 32)
-    position = np.r_[0, np.cumsum(keep)]
-    folded, bounds = folded[keep], position[offsets]
-    least = {q: min(x[4] for x in index.items if x[2] == q) for q in index.tables}
-    for q, (known, _, _, flags) in index.tables.items():
-        g = grams(folded, q)
-        place = np.flatnonzero(flags[g >> np.uint64(64 - FILTER_BITS)])
-        k = np.minimum(np.searchsorted(known, g[place]), len(known) - 1)
-        place = place[known[k] == g[place]]
-        hits = np.bincount(np.searchsorted(bounds, place, "right") - 1, minlength=n)[:n]
-        out |= hits >= least[q]
-    return out
+def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """(row, item, edits, start, end): the best region of each item in each row."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    folded, bounds = fold(data, offsets)
+    parts = [(r, a, min(b, a + PART + index.reach)) for r, (lo, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) for a in range(lo, max(b, lo + 1), PART)]
+    cut = [0, *(k for k in range(1, len(parts)) if parts[k][1] != parts[k - 1][2]), len(parts)]
+    for a, b in zip(cut, cut[1:], strict=False):  # neighbours without overlap are searched together
+        base = parts[a][1]
+        for row, i, low, high in index.bands(folded[base : parts[b - 1][2]], np.array([p[1] - base for p in parts[a:b]] + [parts[b - 1][2] - base])):
+            r, begin, end = parts[a + row]
+            if found := index.verify(i, folded[begin:end], low, high):
+                shift = begin - int(bounds[r])
+                found = found[0], found[1] + shift, found[2] + shift
+                best[r, i] = min(best.get((r, i), found), found)
+    return [(*k, *v) for k, v in best.items()]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -201,31 +197,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     kind, item_kind = docs.schema[id_column].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, `{item_column}` {item_kind}, edits int, start long, end long"
     sized = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("words")).where("words is not null and words <> ''")
-    slices = max(1, -(-int(sized.agg(F.sum(F.octet_length("words"))).first()[0] or 0) * 2 // SLICE_BYTES))
+    slices = max(1, -(-int(sized.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // SLICE_BYTES))
     source = docs.select(F.col(id_column), F.col(text_column).alias("__text"))
     items_type = to_arrow_type(benchmark.schema[item_column].dataType)
     out = None
     for k in range(slices):
         some = sized.where(F.pmod(F.xxhash64("words"), F.lit(slices)) == k).orderBy("item", "words").collect()
-        shared = spark.sparkContext.broadcast([(r["item"], fold(r["words"])) for r in some])
+        shared = spark.sparkContext.broadcast([(r["item"], r["words"]) for r in some])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value)
             for batch in batches:
                 data, offsets = utf8(batch.column(1))
-                rows: list[tuple] = []
-                at = 0
-                while index.items and at < len(batch):
-                    upto = min(len(batch), max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART, "right")) - 1))
-                    maybe = may_hold(index, data[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
-                    for r in np.flatnonzero(maybe) + at:
-                        text = batch.column(1)[int(r)].as_py()
-                        for i, (edits, start, end) in search(index, fold(text)).items() if text else ():
-                            rows.append((int(r), index.items[i][0], edits, start, end))
-                    at = upto
-                columns = list(zip(*rows, strict=True)) or [()] * 5
+                rows = [(r + i, *x) for i, j in steps(offsets, PART) for r, *x in search(index, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])] if index.items else []
+                which, item, *rest = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(columns[0], pa.int64())), pa.array(columns[1], items_type), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64())],
+                    [batch.column(0).take(pa.array(which, pa.int64())), pa.array([index.items[i][0] for i in item], items_type), *(pa.array(c, t) for c, t in zip(rest, (pa.int32(), pa.int64(), pa.int64()), strict=True))],
                     [id_column, item_column, "edits", "start", "end"],
                 )
 
