@@ -173,18 +173,18 @@ def scan(
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))).repartition(n, "block")
 
-    def sent(buckets: np.ndarray, block: int, many: int) -> list[tuple[int, np.ndarray]]:
+    def sent(buckets: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """The places that go to each bucket."""
+        if not len(buckets):
+            return []
         order = np.argsort(buckets, kind="stable")
-        cut = np.searchsorted(buckets[order], np.arange(many + 1)) if many < len(order) else None
-        if cut is None:
-            kinds, first = np.unique(buckets[order], return_index=True)
-            return list(zip(kinds.tolist(), np.split(order, first[1:]), strict=True))
-        return [(b, order[cut[b] : cut[b + 1]]) for b in range(many) if cut[b] < cut[b + 1]]
+        kinds, first = np.unique(buckets[order], return_index=True)
+        return list(zip(kinds.tolist(), np.split(order, first[1:]), strict=True))
 
     def keys_of(key: tuple, table: pa.Table) -> pa.Table:
         data, offsets = utf8(table.column("text"))
         keys = np.unique(Anchors(units_of(data, offsets), size, gram, ranges=False).key)
-        out = sent(keys % key_buckets, key[0].as_py(), key_buckets)
+        out = sent(keys % key_buckets)
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()), "keys": pa.array([keys[at].tobytes() for _, at in out], pa.binary())})
 
     def repeated(key: tuple, table: pa.Table) -> pa.Table:
@@ -203,7 +203,7 @@ def scan(
 
     def stretches(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
         data, _, _, e = entries_of(mine, answers)
-        out = sent(e.key % stretch_buckets, 0, stretch_buckets) if len(e.key) else []
+        out = sent(e.key % stretch_buckets)
         blob = lambda values, kind: pa.array([values[at].astype(kind).tobytes() for _, at in out], pa.binary())
         length = e.end - e.begin
         return pa.table(
@@ -232,7 +232,7 @@ def scan(
         at = np.cumsum(e.windows) - e.windows
         hits = np.zeros(int(e.windows.sum()), bool)
         bits = dict(zip(answers.column("bucket").to_pylist(), answers.column("answer").to_pylist(), strict=True))
-        for bucket, some in sent(e.key % stretch_buckets, 0, stretch_buckets) if len(e.key) else []:
+        for bucket, some in sent(e.key % stretch_buckets):
             where = ragged(at[some], e.windows[some])
             hits[where] = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(where)).astype(bool)
         flags = hits[ragged(at[e.entry], e.length)] | np.repeat(whole(e.own, e.weight[e.entry]), e.length)
