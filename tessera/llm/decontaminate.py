@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ._common import ready, steps, utf8
 
-EDIT_SHARE = 0.06
+EDIT_SHARE = 0.1
 LEAST_BYTES, LEAST_Q, MOST_Q = 24, 4, 12
 SLICE_BYTES = 4 << 20
 PART = 1 << 20
@@ -115,21 +115,33 @@ class Index:
             k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
             of, rows = item[k], np.repeat(row, n)
             pair = rows * len(self.items) + of
-            pairs, inverse, total = np.unique(pair, return_inverse=True, return_counts=True)
-            some = (total >= self.least[pairs % len(self.items)])[inverse]  # a band has no more hits than its text
+            pairs = len(self.items) * (len(bounds) - 1)
+            if pairs <= 1 << 22:  # a band has no more hits than its text
+                some = np.bincount(pair, minlength=pairs)[pair] >= self.least[of]
+            else:
+                _, inverse, total = np.unique(pair, return_inverse=True, return_counts=True)
+                some = total[inverse] >= self.least[of]
             if not some.any():
                 continue
             of, rows, pair = of[some], rows[some], pair[some]
             width = self.edits[of] + 1
-            strip = (np.repeat(place, n)[some] - bounds[rows] - at[k[some]] + self.reach) // width
+            diagonal = np.repeat(place, n)[some] - bounds[rows] - at[k[some]]
+            strip = (diagonal + self.reach) // width
             far = int(strip.max()) + 3
-            key, count = np.unique(pair * far + strip, return_counts=True)
-            counts = dict(zip(key.tolist(), count.tolist(), strict=True))
-            for x in {x - d for x in key.tolist() for d in (0, 1, 2)}:  # each x starts a band of three strips
-                i = x // far % len(self.items)
-                if counts.get(x, 0) + counts.get(x + 1, 0) + counts.get(x + 2, 0) >= self.least[i]:
-                    first = x % far * int(self.edits[i] + 1) - self.reach
-                    found.append((x // far // len(self.items), i, first, first + 3 * int(self.edits[i] + 1) - 1))
+            spot = pair * far + strip
+            order = np.argsort(spot, kind="stable")
+            spot, position, diagonal = spot[order], at[k[some]][order], diagonal[order]
+            first = np.unique(np.concatenate([spot, spot - 1, spot - 2]))  # each starts a band of three strips
+            a, b = np.searchsorted(spot, first), np.searchsorted(spot, first + 3)
+            owner = first // far % len(self.items)
+            for c in np.flatnonzero(b - a >= self.least[owner]):
+                i = int(owner[c])
+                near = np.sort(diagonal[a[c] : b[c]])
+                if (np.searchsorted(near, near + 2 * self.edits[i], "right") - np.arange(len(near))).max() < self.least[i]:
+                    continue  # no 2 * edits + 1 diagonals of the band reach the bound
+                if len(np.unique(position[a[c] : b[c]])) >= self.least[i]:  # an item's q-gram counts once
+                    low = int(first[c] % far) * int(self.edits[i] + 1) - self.reach
+                    found.append((int(first[c] // far // len(self.items)), i, low, low + 3 * int(self.edits[i] + 1) - 1))
         wide = None
         for band in sorted(found):  # bands of one text and item that touch are verified as one, up to a few of them
             if wide and wide[:2] == band[:2] and band[2] <= wide[3] + 1 and band[3] - wide[2] < 12 * int(self.edits[band[1]] + 1):
