@@ -20,9 +20,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the smallest id. Documents with null ids stay if their whole group has none."""
+    """One document of each group of near copies (five-word shingles, 0.8 or more) stays: the one with the smallest id.
+
+    Rows with that id stay together; a row with a null id can't be told apart from others and stays.
+    """
     ready(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"), **simhash.NEAR)
     gone = groups.where("component_id is not null and doc_id <> component_id").select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
     return kept.select(*COLUMNS)

@@ -55,10 +55,49 @@ def test_tiles_return_a_forest():
     rnd = np.random.default_rng(2)
     base = rnd.integers(0, 1 << 63, 1, dtype=np.uint64)
     near = np.unique(base ^ (np.uint64(1) << rnd.integers(0, 64, 300, dtype=np.uint64)))
-    u, v = simhash.linked(near, near, 4)
+    nodes = np.arange(len(near))
+    u, v = simhash.linked(near[:, None], near[:, None], nodes, nodes, 4)
     assert len(u) == len(near) - 1 and len(set(v.tolist())) == 1
 
 
+def test_near_pairs_of_long_fingerprints():
+    rnd = np.random.default_rng(8)
+    a = rnd.integers(0, 1 << 63, (50, 4), dtype=np.uint64)
+    b = np.concatenate([a[:20] ^ (rnd.integers(0, 1 << 12, (20, 4), dtype=np.uint64)), ~a[:3], a[3:6]])
+    apart = np.array([[sum(bin(int(x) ^ int(y)).count("1") for x, y in zip(p, q, strict=True)) for q in b] for p in a])
+    assert sorted(zip(*simhash.near_pairs(a, b, 24), strict=True)) == sorted(zip(*np.nonzero(apart <= 24), strict=True))
+
+
+def test_tiles_that_meet():
+    rnd = np.random.default_rng(5)
+    sizes = {int(p): int(n) for p, n in zip(rnd.integers(0, 65, 30), rnd.integers(1, 40, 30), strict=True)}
+    for radius in (0, 4, 70):
+        first, many, low, high = simhash.tiling(sizes, 64, radius, 16)
+        for p in range(65):
+            for q in range(p, min(65, p + radius + 1)):
+                assert low[q] <= first[p] and first[q] + many[q] - 1 <= high[p]
+
+
+def test_long_fingerprints_find_near_copies(spark):
+    """Pairs from far to near by five-word Jaccard similarity: those from 0.83 are linked, those up to 0.3 are not."""
+    import random
+
+    rnd, rows, similar = random.Random(4), [], {}
+    cut = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(len(w) - 4)}
+    for k in range(120):
+        w = [f"{rnd.choice(corpus.WORDS)}{rnd.randint(0, 999)}" for _ in range(rnd.randint(80, 300))]
+        rate = rnd.choice([0.003, 0.01, 0.02, 0.3])
+        v = [x if rnd.random() > rate else x + "q" for x in w]
+        a, b = " ".join(w), " ".join(v)
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        similar[2 * k + 1] = len(cut(a) & cut(b)) / len(cut(a) | cut(b))
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(corpus.frame(spark, rows), **simhash.NEAR).collect()}
+    high, low = [i for i, s in similar.items() if s >= 0.83], [i for i, s in similar.items() if s <= 0.3]
+    assert len(high) > 20 and len(low) > 10
+    assert sum(found[i] == i - 1 for i in high) >= 0.97 * len(high) and all(found[i] == i for i in low)
+    assert all(found[2 * k] == 2 * k for k in range(120))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(1001, 1000)], "u long, v long")
     found = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
