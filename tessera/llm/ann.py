@@ -91,7 +91,7 @@ class Best:
                 at = at[ids[at] != self.ids[q]]
                 if not len(at):
                     continue
-                exact = (vectors[at] * self.vectors[q]).sum(1)
+                exact = np.cumsum(vectors[at] * self.vectors[q], axis=1)[:, -1]  # summed in the components' order
                 score, vec = np.concatenate([self.found[q][0], exact]), np.concatenate([self.found[q][1], ids[at]])
                 order = np.lexsort((vec, -score))[: self.k]
                 self.found[q] = score[order], vec[order]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bwt_dedup, decontaminate, packing, pii, quality, simhash, substring_tree, token_counts, url_filter
+from . import ann, bwt_dedup, decontaminate, packing, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
 from ._common import table
 
 
@@ -57,4 +57,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLES)
