@@ -408,9 +408,9 @@ def status_counts(spark, sf_dir):
 AGE_SQL = f"(epoch_us({NOW_SQL}) - epoch_us(ts)) / 60000000.0"
 
 
-@query(f"select event_id, {EVENT_STATUS_SQL} as status, round({AGE_SQL}, 6) as minutes from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15")
+@query(f"select event_id, {EVENT_STATUS_SQL} as status, cast(floor({AGE_SQL}) as bigint) as minutes from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15")
 def stale_submissions(spark, sf_dir):
-    return monitor.stale_submissions(updates(spark, sf_dir), now()).select("event_id", "status", F.round(times.minutes_since(F.col("updatedAt"), now()), 6).alias("minutes"))
+    return monitor.stale_submissions(updates(spark, sf_dir), now()).select("event_id", "status", F.floor(times.minutes_since(F.col("updatedAt"), now())).alias("minutes"))
 
 
 @query(f"select event_id, user_id from events where event_type = 'click' and coalesce({AGE_SQL}, 0) >= 15")
