@@ -9,8 +9,8 @@ Texts are dealt into blocks of about BLOCK bytes by a hash of the whole row. A u
 2. A bucket tells each block which of its keys other blocks have too.
 3. A block sends, for each anchor whose key repeats, the stretch of text that the anchor's windows cover: equal
    stretches once. This is all the text that is shuffled beside the blocks themselves.
-4. A bucket sorts the stretches of each key into an index (the operator's own) and tells each block which windows
-   are hit.
+4. A bucket sorts the stretches of its keys into indexes (the operator's own) of at most SLICE bytes, whole keys
+   together; a key with more is split by longer prefixes. It tells each block which windows are hit.
 5. A block marks the units of its hit windows.
 
 The blocks' exchange is one shuffle that all three passes over the text reuse. A key that every document holds is one
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ._common import partitions, ragged, ready, span_hashes, text_bytes, utf8
 
-BLOCK, KEY_BUCKET, STRETCH_BUCKET = 4 << 20, 16 << 20, 4 << 20
+BLOCK, KEY_BUCKET, STRETCH_BUCKET = 2 << 20, 16 << 20, 2 << 20
 #: Bytes of stretches that one index holds.
 SLICE = 1 << 20
 
@@ -69,11 +69,12 @@ class Anchors:
         least = least_of(g, span, np.minimum)
         held = np.zeros(len(g) + span - 1, np.uint64)
         held[span - 1 : span - 1 + len(least)] = np.where(whole, least, 0)
-        at = np.flatnonzero(least_of(held, span, np.maximum) == g)
+        flags = least_of(held, span, np.maximum) == g
+        at = np.flatnonzero(flags)
         self.key = (g[at] >> np.uint64(16)).astype(np.uint32)
         if ranges:
             start = np.flatnonzero(whole)
-            mine, wanted = np.searchsorted(at, start), least[start]
+            mine, wanted = (np.cumsum(flags, dtype=np.int32) - flags)[start], least[start]
             left = np.flatnonzero(g[at[mine]] != wanted)
             while len(left):  # an anchor of a higher hash stands before the window's own
                 mine[left] += 1
@@ -119,7 +120,8 @@ class Found:
         self.sizes = np.array([len(k) for k in keys])
         self.own = np.concatenate(get("weights", np.int64))
         length = np.concatenate(lengths).astype(np.int64)
-        self.text = np.concatenate(get("text", np.uint8))
+        sizes = [int(x.sum()) for x in lengths]
+        self.text = np.concatenate([np.frombuffer(pa.decompress(b, n, "zstd", asbytes=True), np.uint8) for b, n in zip(table.column("text").to_pylist(), sizes, strict=True)])
         end = np.cumsum(length)
         content = np.zeros(len(end), np.uint64)
         i = 0
@@ -134,35 +136,84 @@ class Found:
         self.key, self.begin, self.end = np.concatenate(keys)[first], (end - length)[first], end[first]
         self.windows = np.concatenate(windows)[first].astype(np.int64)
 
-    def values(self, index: Callable) -> tuple[np.ndarray, np.ndarray]:
+    def values(self, index: Callable, windows_of: Callable, add: np.ufunc) -> tuple[np.ndarray, np.ndarray]:
         """For each window of each stretch the weights added over all its occurrences; and where each stretch's windows begin."""
         at = np.cumsum(self.windows) - self.windows
         out = np.repeat(self.weight, self.windows)  # right as it is where a key has one stretch only
         order = np.argsort(self.key, kind="stable")
         kinds, first, count = np.unique(self.key[order], return_index=True, return_counts=True)
+        length = self.end - self.begin
         group: list[np.ndarray] = []
         held = 0
         for a, n in [*zip(first[count > 1].tolist(), count[count > 1].tolist(), strict=True), (0, 0)]:
-            if group and (not n or held > SLICE):
+            mine = order[a : a + n]
+            size = int(length[mine].sum())
+            if group and (not n or held + size > SLICE):
                 some = np.concatenate(group)
-                texts = self.end[some] - self.begin[some]
-                found = index(self.text[ragged(self.begin[some], texts)], texts, self.weight[some])
-                out[ragged(at[some], self.windows[some])] = found
+                out[ragged(at[some], self.windows[some])] = index(self.text[ragged(self.begin[some], length[some])], length[some], self.weight[some])
                 group, held = [], 0
-            if n:
-                group.append(order[a : a + n])
-                held += int((self.end[group[-1]] - self.begin[group[-1]]).sum())
+            if size > SLICE:
+                out[ragged(at[mine], self.windows[mine])] = self.by_longer_prefixes(mine, index, windows_of, add)
+            elif n:
+                group.append(mine)
+                held += size
         return out, at
 
+    def by_longer_prefixes(self, some: np.ndarray, index: Callable, windows_of: Callable, add: np.ufunc) -> np.ndarray:
+        """The same for the stretches of one key that are too many for one index.
+
+        Windows are split by a prefix twice as long as the key's. One that no other window has is a leaf; equal
+        windows behind the others become one, and groups of whole prefixes are indexed apart.
+        """
+        begin, end, prefix, content, own = ([] for _ in range(5))
+        length = self.end[some] - self.begin[some]
+        i = 0
+        reach = np.cumsum(length)
+        while i < len(some):  # hashes in steps of bounded size
+            j = max(i + 1, int(np.searchsorted(reach, reach[i] - length[i] + SLICE, "right")))
+            text = self.text[ragged(self.begin[some[i:j]], length[i:j])]
+            a, b, p, owner = windows_of(text, length[i:j])
+            shift = self.begin[some[i:j]] - (np.cumsum(length[i:j]) - length[i:j])
+            prefix.append(span_hashes(text, a, p))
+            content.append(span_hashes(text, a, b))
+            begin.append(a + shift[owner])
+            end.append(b + shift[owner])
+            own.append(self.weight[some[i:j]][owner])
+            i = j
+        begin, end, prefix, content, own = map(np.concatenate, (begin, end, prefix, content, own))
+        _, kind, count = np.unique(prefix, return_inverse=True, return_counts=True)
+        shared = np.flatnonzero(count[kind] > 1)
+        out = own.copy()
+        if not len(shared):
+            return out
+        _, first, same = np.unique(content[shared], return_index=True, return_inverse=True)
+        order = np.argsort(same, kind="stable")
+        weight = add.reduceat(own[shared][order], np.flatnonzero(np.r_[True, np.diff(same[order]) != 0]))
+        a, b, of = begin[shared][first], end[shared][first], prefix[shared][first]
+        order = np.argsort(of, kind="stable")
+        found = np.zeros(len(first), np.int64)
+        reach, parted = np.cumsum((b - a)[order]), np.r_[True, of[order][1:] != of[order][:-1], True]
+        i = 0
+        while i < len(order):
+            j = max(i + 1, int(np.searchsorted(reach, reach[i] - (b - a)[order[i]] + SLICE, "right")))
+            while not parted[j]:  # whole prefixes
+                j += 1
+            part = order[i:j]
+            found[part] = index(self.text[ragged(a[part], (b - a)[part])], (b - a)[part], weight[part])
+            i = j
+        out[shared] = found[same]
+        return out
+
 
 def scan(
     docs: DataFrame, id_column: str, text_column: str, size: int, gram: int,
-    units_of: Callable, weights_of: Callable, add: np.ufunc, index: Callable, hit: Callable, whole: Callable, finish: Callable, schema: str,
+    units_of: Callable, weights_of: Callable, add: np.ufunc, index: Callable, windows_of: Callable, hit: Callable, whole: Callable, finish: Callable, schema: str,
 ) -> DataFrame:
     """Runs the plan.
 
     units_of(data, offsets) gives the units; weights_of(ids) a weight for each row, add joins the weights of equal
-    windows; index(text, lengths, weights) gives for each window of each stretch the joined weight; hit(joined, own)
+    windows; index(text, lengths, weights) gives for each window of each stretch the joined weight, windows_of(text,
+    lengths) the windows' starts, ends, ends of their prefixes, and stretches; hit(joined, own)
     says which windows of an entry are hit, whole(own, entry's) which occurrences are hit in their block already;
     finish(ids, data, offsets, units, hit starts) gives the block's rows.
     """
@@ -210,13 +261,13 @@ def scan(
             {
                 "bucket": pa.array([b for b, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()),
                 "keys": blob(e.key, np.uint32), "lengths": blob(length, np.uint32), "windows": blob(e.windows, np.uint32), "weights": blob(e.weight, np.int64),
-                "text": pa.array([data[ragged(e.begin[at], length[at])].tobytes() for _, at in out], pa.binary()),
+                "text": pa.array([pa.compress(data[ragged(e.begin[at], length[at])].tobytes(), "zstd", asbytes=True) for _, at in out], pa.binary()),
             }
         )
 
     def resolve(key: tuple, table: pa.Table) -> pa.Table:
         found = Found(table, add)
-        values, at = found.values(index)
+        values, at = found.values(index, windows_of, add)
         answers, k = [], 0
         for n_entries in found.sizes.tolist():
             e = found.entry[k : k + n_entries]

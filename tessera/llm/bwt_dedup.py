@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _repeats
+from ._common import ragged
 from ._repeats import Units
 
 SIZE, GRAM = 50, 24
@@ -31,27 +32,30 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> t
     n = len(text)
     end = np.repeat(starts + lengths, lengths)
     place = np.arange(n)
-    padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = text.astype(np.uint64) + np.uint64(1)
+    present = np.bincount(text, minlength=256) > 0
+    code = np.cumsum(present)[text].astype(np.uint64)  # from 1; 0 stands behind a string's end
+    bits = int(present.sum()).bit_length()
+    padded = np.zeros(n + 64, np.uint64)
+    padded[:n] = code
+    room = end - place
+    have = 63 // bits
     key = np.zeros(n, np.uint64)
-    for i in range(7):  # 7 characters of 9 bits
-        key = (key << np.uint64(9)) | np.where(place + i < end, padded[i : n + i], 0)
-    order = np.argsort(key, kind="stable")
-    have = 7
-    sorted_key = key[order]
-    rank = np.zeros(n + 1, np.int64)
-    rank[order] = np.cumsum(np.r_[True, sorted_key[1:] != sorted_key[:-1]])
-    while have < int(lengths.max()):
-        far = np.minimum(place + have, n)
-        second = np.where(place + have < end, rank[far], 0)
-        key = rank[:n] * (n + 2) + second
+    for i in range(have):
+        key = (key << np.uint64(bits)) | np.where(room > i, padded[i : n + i], 0)
+    rank = np.zeros(n + 1, np.uint64)
+    while True:
         order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.cumsum(np.r_[True, sorted_key[1:] != sorted_key[:-1]])
-        rank[order] = new
-        have *= 2
-        if new[-1] == n:
+        ordered = key[order]
+        ranked = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]])
+        rank[order] = ranked
+        if ranked[-1] == n or have >= int(lengths.max()):
             break
+        wide = int(ranked[-1]).bit_length()
+        key = rank[:n].copy()
+        times = max(2, 64 // wide)  # ranks that one key can hold: each sort multiplies the order's depth
+        for i in range(1, times):
+            key = (key << np.uint64(wide)) | np.where(room > i * have, rank[np.minimum(place + i * have, n)], 0)
+        have *= times
     return order, end
 
 
@@ -109,6 +113,15 @@ def index(size: int):
     return least_of_equal
 
 
+def windows(size: int, prefix: int):
+    def of(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        count = lengths - size + 1
+        start = ragged(np.cumsum(lengths) - lengths, count)
+        return start, start + size, start + prefix, np.repeat(np.arange(len(lengths)), count)
+
+    return of
+
+
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
     return Units(data, np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)), None, None)
 
@@ -132,7 +145,7 @@ def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str =
 
     kind = docs.schema[id_column].dataType.simpleString()
     return _repeats.scan(
-        docs, id_column, text_column, size, gram, units_of, weights_of, np.minimum, index(size),
+        docs, id_column, text_column, size, gram, units_of, weights_of, np.minimum, index(size), windows(size, min(2 * gram, size)),
         hit=lambda least, own: least < own, whole=lambda own, least: own > least, finish=finish,
         schema=f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )

@@ -1,7 +1,8 @@
 """Substring dedup over words with prefix-partitioned suffix trees.
 
 Suffixes are split by the prefix at their anchor (see _repeats): the groups of one bucket are taken together until
-SLICE bytes are full, so a tree has a memory-sized group of whole prefixes. A tree is built as its sorted suffixes and the depths at
+SLICE bytes are full, and a group with more is split by prefixes twice as long, so a tree has a memory-sized group of
+whole prefixes of variable length. A tree is built as its sorted suffixes and the depths at
 which neighbours part; an internal node of depth at least the window's is a repeat, and the suffixes below the
 topmost such node are the occurrences of one window. Windows with two or more occurrences are hit.
 
@@ -75,6 +76,15 @@ def index(size: int):
     return occurrences
 
 
+def windows(size: int, prefix: int):
+    def of(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        starts, ends, rows = word_spans(text, np.r_[0, np.cumsum(lengths)])
+        at = np.flatnonzero(rows[: len(rows) - size + 1] == rows[size - 1 :]) if len(rows) >= size else np.zeros(0, np.int64)
+        return starts[at], ends[at + size - 1], ends[at + prefix - 1], rows[at]
+
+    return of
+
+
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
     starts, ends, rows = word_spans(data, offsets)
     return Units(word_hashes(data, starts, ends), rows.astype(np.int32), starts, ends)
@@ -98,7 +108,7 @@ def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str =
 
     kind = docs.schema[id_column].dataType.simpleString()
     return _repeats.scan(
-        docs, id_column, text_column, size, gram, units_of, lambda ids: np.ones(len(ids), np.int64), np.add, index(size),
+        docs, id_column, text_column, size, gram, units_of, lambda ids: np.ones(len(ids), np.int64), np.add, index(size), windows(size, min(2 * gram, size)),
         hit=lambda total, own: total > 1, whole=lambda own, total: total > 1, finish=finish,
         schema=f"`{id_column}` {kind}, n_words long, n_removed long, kept_sha256 string",
     )

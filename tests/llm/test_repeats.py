@@ -70,6 +70,29 @@ def test_empty_tables(spark, remove):
     assert [r["n_removed"] for r in remove(corpus.frame(spark, [(1, None), (1, "")])).collect()] == [0, 0]
 
 
+@pytest.mark.parametrize("add", [np.add, np.minimum])
+@pytest.mark.parametrize("module", [substring_tree, bwt_dedup])
+def test_groups_too_large_for_one_index(monkeypatch, module, add):
+    """Stretches of one key, resolved by longer prefixes in small slices, as by one index."""
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(3)
+    words = [f"w{k} " for k in range(3)]
+    texts = ["".join(rnd.choice(words, 60)) if i % 2 else "".join(words * 20)[: 150 + i] for i in range(30)]
+    size = module.SIZE
+    units = [len(WORD.findall(t.encode())) if module is substring_tree else len(t) for t in texts]
+    texts, units = zip(*((t, u) for t, u in zip(texts, units, strict=True) if u >= size), strict=True)
+    blob = lambda values, kind: [np.array(values, kind).tobytes()]
+    table = pa.table({"block": [1], "keys": blob([5] * len(texts), np.uint32), "lengths": blob([len(t) for t in texts], np.uint32), "windows": blob([u - size + 1 for u in units], np.uint32), "weights": blob(range(1, len(texts) + 1), np.int64), "text": [pa.compress("".join(texts).encode(), "zstd", asbytes=True)]})
+    index = module.index(size) if add is (np.add if module is substring_tree else np.minimum) else None
+    if index is None:
+        pytest.skip("not this operator's weight")
+    whole, _ = _repeats.Found(table, add).values(index, module.windows(size, 16), add)
+    monkeypatch.setattr(_repeats, "SLICE", 400)
+    parted, _ = _repeats.Found(table, add).values(index, module.windows(size, 16), add)
+    assert whole.tolist() == parted.tolist()
+
+
 def test_matching_statistics_are_longest_matches():
     rnd = np.random.default_rng(4)
     for _ in range(20):
