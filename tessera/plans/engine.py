@@ -30,6 +30,7 @@ LOGS = {
     "receipts": (RECEIPT, None), "submissions": (schemas.SUBMISSION, "submissionId"), "raw_files": (schemas.RAW_FILE, "rawFileHash"),
     "documents": (schemas.DOCUMENT, "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId"), "chunks": (CHUNK, None),
     "candidates": (CANDIDATE, None), "vectors": (VECTOR, None), "manual_review": (schemas.MANUAL_REVIEW, None),
+    "audit_log": (schemas.AUDIT, None),
 }
 
 
@@ -69,6 +70,15 @@ class Engine:
     def now(self):
         return F.lit(self.clock()).cast("timestamp")
 
+    def audit(self, rows: DataFrame, action, *fields: str) -> None:
+        """One log line a row: its action and the named columns as text."""
+        said = F.create_map(*(x for f in sorted(fields) for x in (F.lit(f), F.col(f).cast("string"))))
+        self.append("audit_log", rows.select((F.lit(action) if isinstance(action, str) else action).alias("action"), said.alias("fields"), self.now().alias("at")), self.next_seq())
+
+    def note(self, action: str, **fields) -> None:
+        names = sorted(fields)
+        self.audit(self.spark.createDataFrame([tuple(None if fields[n] is None else str(fields[n]) for n in names)], ", ".join(f"{n} string" for n in names)), action, *names)
+
     # steps
 
     def receive(self, events: DataFrame) -> DataFrame:
@@ -90,17 +100,22 @@ class Engine:
             ),
             seq,
         )
+        known = new.select("key", F.lit(True).alias("new")).dropDuplicates(["key"])
+        said = F.when(F.col("action") == "ignored", "ignore_non_ingestion_key").when(F.col("action") == "malformed", "malformed_ingestion_key").when(F.col("new"), "recorded_submission_file").otherwise("ignored_duplicate_submission_file")
+        self.audit(rows.join(known, "key", "left"), said, "key", "submissionId", "fileId", "sequencer")
         return rows.groupBy("action").agg(F.count("*").alias("n"))
 
     def complete(self, submission: str, expected: list[str], fail: bool = False) -> dict:
         """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents."""
         request = self.spark.createDataFrame([(submission, expected)], "submissionId string, expectedFileIds array<string>")
         verdict = validate.validated(request, self.state("submissions")).first().asDict()
+        self.note("submission_validation_completed", submissionId=submission, reason=verdict["reason"], missingFileIds=",".join(verdict["missingFileIds"]))
         if not verdict["isValid"]:
             return verdict
         seq, place = self.next_seq(), F.array_position(F.array(*map(F.lit, expected)), F.col("fileId"))
         files = objects.raw_files(self.spark, self.root).where((F.col("submissionId") == submission) & F.col("fileId").isin(expected)).withColumn("place", place)
         claims = dedupe.claims(dedupe.hashed(files, "content").select("fileId", "key", "place", "rawFileHash"), self.state("raw_files"), ("place",)).checkpoint()
+        self.audit(claims, F.col("action"), "fileId", "rawFileHash", "documentId")
         owned = files.select("key", "content").join(claims.where("ownershipClaimed"), "key")
         rendered = owned.select("fileId", "place", "rawFileHash", markdown.normalize_document("content").alias("r")).select("fileId", "place", "rawFileHash", "r.*")
         if fail:
@@ -108,6 +123,8 @@ class Engine:
         rendered = rendered.checkpoint()
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
         made = dedupe.resolved(good, self.state("documents"), ("place",)).checkpoint()
+        self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
+        self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
         documents = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
         records = chunking.chunk_records(documents, self.chunk_chars).checkpoint()
         self.append("chunks", records, seq)
@@ -136,6 +153,7 @@ class Engine:
             return verdict | {"isValid": False, "reason": "FILES_UNRESOLVED"}
         mine = self.state("submissions").where(F.col("submissionId") == submission)
         self.append("submissions", attach.attached(mine, attached).withColumn("updatedAt", self.now()), seq + 1)
+        self.note("submission_documents_attached", submissionId=submission, files=len(expected))
         return verdict
 
     def coordinate(self, job: Callable[[list[str]], dict] | None = None, poll: Callable[[str], dict] | None = None, batch: int = indexing.BATCH) -> str:
@@ -172,7 +190,9 @@ class Engine:
         self.append("runs", run.withColumns({"startedAt": F.lit(started), "completedAt": ended}), seq)
         hit = self.state("documents").where(F.col("documentId").isin(documents))
         self.append("documents", indexing.fanned_out(hit, run.select("ingestionRunId", "status", "documentIds", "errorSummary")).withColumn("updatedAt", self.now()).checkpoint(), seq)
-        return run.first()["status"]
+        outcome = run.first()["status"]
+        self.note("kb_coordinator_ingestion_completed" if outcome != "STARTED" else "kb_coordinator_ingestion_started", ingestionRunId=run_id, status=outcome, documents=len(documents))
+        return outcome
 
     def refresh(self, callback: Callable[[dict], None] | None = None) -> DataFrame:
         """Readiness of all complete submissions; those that turn READY are called back."""
@@ -189,9 +209,27 @@ class Engine:
                 fields = {"callbackStatus": F.lit("FAILED"), "callbackFailedAt": self.now(), "callbackFailureReason": F.lit(str(e)[:2048])}
                 self.append("manual_review", self.spark.createDataFrame([("CALLBACK_FAILED", sid, str(e)[:2048])], "alertType string, submissionId string, error string").withColumn("raisedAt", self.now()), seq)
             changed = changed.withColumns({k: F.when(F.col("submissionId") == sid, v).otherwise(F.col(k)) for k, v in fields.items()})
-        self.append("submissions", changed.checkpoint(), seq)
+        changed = changed.checkpoint()
+        self.append("submissions", changed, seq)
+        outcome = F.col("status")
+        self.audit(changed, F.when(outcome == "READY", "submission_ready").when(outcome == "FAILED", "submission_readiness_failed").otherwise("submission_waiting_for_index"), "submissionId")
+        self.audit(changed.where("callbackStatus is not null"), F.concat(F.lit("ready_callback_"), F.lower("callbackStatus")), "submissionId")
         return said
 
+    def drive(self, submission: str, seconds: float, pause: float = 10.0, **callbacks) -> str:
+        """Coordinates and refreshes until the submission is READY or FAILED, or the time is up; returns its last status."""
+        import time
+
+        until = time.monotonic() + seconds
+        while True:
+            self.coordinate(**{k: v for k, v in callbacks.items() if k in ("job", "poll")})
+            self.refresh(callbacks.get("callback"))
+            row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
+            status = row["status"] if row else "UNKNOWN"
+            if status in ("READY", "FAILED", "UNKNOWN") or time.monotonic() + pause > until:
+                return status
+            time.sleep(pause)
+
     def query(self, submission: str, text: str, results: int | None = None, model: Callable[[str], str] | None = None, embedder: Callable[[str], list[float]] = retrieval.embed) -> dict:
         """Retrieval strictly within one submission's documents; its status is echoed, READY is not required."""
         row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
@@ -218,4 +256,5 @@ class Engine:
             monitor.status_metrics(monitor.count_by_status(documents, "kbIngestionStatus"), "DocumentsByStatus", environment, now)
         )
         self.append("manual_review", monitor.once(found).withColumn("raisedAt", now), self.next_seq())
+        self.note("ops_monitor_completed", alerts=found.count())
         return monitor.metric_batches(metrics, ("name", F.col("dimensions")["Status"])), found

@@ -31,6 +31,7 @@ MANIFEST = struct(
     files=T.ArrayType(struct(fileId=S, logicalName=S, source=S, transform=struct(type=S, fields=T.MapType(S, S)))),
 )
 MANUAL_REVIEW = struct(alertType=S, submissionId=S, documentId=S, rawFileHash=S, status=S, error=S, ageMinutes=T.DoubleType(), raisedAt=TS)
+AUDIT = struct(action=S, fields=T.MapType(S, S), at=TS)
 METRIC = struct(name=S, dimensions=T.MapType(S, S), ts=TS, value=T.DoubleType())
 
 #: States of submissions, raw files, documents, runs and jobs.

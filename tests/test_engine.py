@@ -154,6 +154,26 @@ def test_a_failing_job_fails_run_and_documents(spark, tmp_path):
     assert {r["value"] for r in metrics.collect()} == {1.0} and alerts.count() == 0
 
 
+def test_driving_to_the_end(spark, tmp_path):
+    engine = Engine(spark, str(tmp_path), clock=Clock())
+    upload(spark, engine, tmp_path, "X", [("ok.json", report(9, "soap"))])
+    engine.complete("X", ["ok.json"])
+    assert engine.drive("X", 60, pause=0.1) == "READY"
+    said = {r["action"] for r in engine.state("audit_log").collect()}
+    assert {"recorded_submission_file", "submission_validation_completed", "raw_file_claimed", "preprocessing_completed", "canonical_document_created", "submission_documents_attached", "kb_coordinator_ingestion_completed", "submission_ready", "ready_callback_delivered"} <= said
+
+    def callback(row):
+        raise RuntimeError("gone")
+
+    upload(spark, engine, tmp_path, "Y", [("ok.json", report(9, "soap"))])
+    engine.complete("Y", ["ok.json"])
+    assert engine.drive("Y", 60, pause=0.1, callback=callback) == "READY"
+    row = engine.state("submissions").where("submissionId = 'Y'").first()
+    assert (row["callbackStatus"], row["callbackFailureReason"]) == ("FAILED", "gone")
+    metrics, alerts = engine.monitor()
+    assert [r["alertType"] for r in alerts.collect()] == ["CALLBACK_FAILURE"]
+
+
 def test_listing_and_repair(spark, tmp_path):
     engine = Engine(spark, str(tmp_path), clock=Clock())
     upload(spark, engine, tmp_path, "X", [("a/b.json", b"1"), ("c.json", b"2")])
