@@ -75,7 +75,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: in
         at = np.flatnonzero(np.r_[True, shingle_rows[i + 1 : j] != shingle_rows[i : j - 1]])
         mine = shingle_rows[i:j][at]
         for k in range(parts):
-            of = mix(hashes + np.uint64(k) * np.uint64(0xD6E8FEB86659FD93)) if k else hashes
+            of = mix(hashes + np.uint64(k * 0xD6E8FEB86659FD93 % (1 << 64))) if k else hashes
             bits = np.unpackbits(of.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
             total[mine, 64 * k : 64 * k + 64] += np.add.reduceat(bits, at, axis=0, dtype=np.int64)
         count[mine] += np.diff(np.r_[at, j - i])
