@@ -66,12 +66,18 @@ def prompt(query: str, snippets: list[str]) -> str:
     return f"Question: {query}\n\nContext:\n{listed}"
 
 
-def summarized(query: str, snippets: list[str], model: Callable[[str], str] | None) -> dict:
+def answer_text(blocks: list[dict]) -> str:
+    """The text blocks of a model's response, one a line."""
+    return "\n".join(b["text"] for b in blocks if b.get("text")).strip()
+
+
+def summarized(query: str, snippets: list[str], model: Callable[[str], str | list[dict]] | None) -> dict:
     """The model's answer, or the placeholder with the error if it fails or is absent."""
     out = {"summary": placeholder(len(snippets)), "modelInvoked": False, "modelError": None}
     if model and snippets:
         try:
-            if answer := model(prompt(query, snippets)).strip():
+            said = model(prompt(query, snippets))
+            if answer := (answer_text(said) if isinstance(said, list) else said.strip()):
                 out |= {"summary": answer, "modelInvoked": True}
         except Exception as e:  # the contract: any failure of the model becomes a field
             out["modelError"] = f"{type(e).__name__}: {e}"[:2048]

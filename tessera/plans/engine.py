@@ -122,6 +122,7 @@ class Engine:
             rendered = rendered.withColumn("error", F.lit("forced failure"))
         rendered = rendered.checkpoint()
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
+        objects.write_processed(good.select(F.lit(submission).alias("submissionId"), "fileId", "markdown"), f"{self.root}/processed")
         made = dedupe.resolved(good, self.state("documents"), ("place",)).checkpoint()
         self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")

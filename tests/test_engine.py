@@ -113,6 +113,12 @@ def test_a_failing_model_leaves_the_placeholder(world):
     found = world.query("A", "robots", model=model)
     assert found["modelError"] == "RuntimeError: down" and not found["modelInvoked"]
     assert world.query("A", "robots", model=lambda p: f"seen {p.count('[')}")["summary"].startswith("seen")
+    assert world.query("A", "robots", model=lambda p: [{"text": "a"}, {"image": 1}, {"text": "b"}])["summary"] == "a\nb"
+
+
+def test_processed_texts_are_kept(spark, world):
+    rows = spark.read.parquet(f"{world.root}/processed").where("submissionId = 'A'").collect()
+    assert sorted(r["fileId"] for r in rows) == ["f0.json", "f1.json"] and all(r["markdown"].startswith("Report Id: sample-00") for r in rows)
 
 
 def test_unknown_submissions_raise_and_missing_files_are_named(world):
