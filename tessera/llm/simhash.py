@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, parts: int
         distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
     roots = components(links(distinct.select("node", "print"), radius)).withColumnRenamed("node", "of")
     placed = distinct.join(roots, F.col("node") == F.col("of"), "left").select("print", "least", F.coalesce("root", "node").alias("root"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # apart from the join, so that a large group's rows there are a plain shuffle that Spark can split
+    named = placed.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
     of = placed.join(named, "root").select("print", "component_id")
     shown = F.array_join(F.transform("print", lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
     return prints.join(of, "print").select(F.col("id").alias(id_column), shown.alias("fingerprint"), "component_id")
