@@ -8,6 +8,11 @@
    finds, at most one row a fingerprint: a group of n near copies never gives n * n rows.
 4. Large-star and small-star rounds turn the forests into stars; each round is checkpointed to the shared folder.
 
+With `similar` the links of steps 2 to 4 are candidates only. Texts are then told apart by their sets of shingles, each
+group of candidates is dealt to tasks of bounded size (a large one as pairs of its parts), every candidate link whose
+ends aren't joined yet is verified there by the exact Jaccard similarity of the sets, and step 4 is repeated over
+verified links alone.
+
 Copies share a fingerprint, so a hot group is one row from step 2 on. The driver sees a histogram of population
 counts and two numbers a round. Comparisons grow with the square of the distinct fingerprints (that is the method);
 tiles of fixed size bound memory.
@@ -30,10 +35,15 @@ from ._common import mix, ragged, ready, steps, utf8, word_spans
 
 SEED = 42
 TILE = 4096
-#: Settings for near copies by five-word shingles of Jaccard similarity 0.8 or more. Such a pair's cosine is 0.89, so it
-#: differs in 38.8 of 256 bits on average (standard deviation 5.7): 50 bits keep 97 % of the pairs at the very bound and
-#: practically all above 0.83. Pairs at 0.6 pass by 1 in 10, at 0.5 by 1 in 200; unrelated texts are 128 bits apart.
-NEAR = {"words": 5, "parts": 4, "radius": 50}
+#: Pairs of fingerprints that one vectorised step compares.
+STEP_PAIRS = 1 << 17
+#: Text bytes that one part of a group of candidates holds.
+PART_BYTES = 8 << 20
+#: Settings for near copies by distinct five-word shingles of Jaccard similarity 4 / 5 or more. By calculation such a
+#: pair differs in 38.8 of 256 bits on average (standard deviation 5.7), one of four against five shingles in 48 (6.2):
+#: 72 bits leave out some pairs of the shortest texts, 1 in 10,000. Unrelated texts are 128 bits apart (8). Links within the
+#: radius are candidates, each is verified.
+NEAR = {"words": 5, "parts": 4, "radius": 72, "similar": (4, 5)}
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -50,15 +60,11 @@ def shingle_spans(words_of_row: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return first, last, rows
 
 
-def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: int = 1) -> np.ndarray:
-    """One fingerprint of 64 * parts bits a row: a bit is 1 if over half of the shingles' hashes have it.
-
-    The first 64 bits are of the shingles' XXH64, each further 64 of a mix of it.
-    """
-    out = np.zeros((len(offsets) - 1, parts), np.uint64)
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 and row of every shingle, in order."""
     starts, ends, rows = word_spans(data, offsets)
     if not len(starts):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     lengths = ends - starts + 1  # with one space after each word
     joined = _LOWER[data[np.minimum(ragged(starts, lengths), len(data) - 1)]]
     after = np.cumsum(lengths)
@@ -67,21 +73,61 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: in
     first, last, shingle_rows = shingle_spans(rows, words)
     begin, end = (after - lengths)[first], (after - 1)[last]
     digest = xxhash.xxh64_intdigest
-    for i in range(0, len(first), 1 << 18):  # a huge text is summed up in parts
+    hashes = np.zeros(len(first), np.uint64)
+    for i in range(0, len(first), 1 << 18):  # a huge text in parts
         j = min(len(first), i + (1 << 18))
-        if i == 0:
-            total, count = np.zeros((len(out), 64 * parts), np.int64), np.zeros(len(out), np.int64)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begin[i:j].tolist(), end[i:j].tolist(), strict=True)], np.uint64)
-        at = np.flatnonzero(np.r_[True, shingle_rows[i + 1 : j] != shingle_rows[i : j - 1]])
-        mine = shingle_rows[i:j][at]
+        hashes[i:j] = [digest(joined[a:b], SEED) for a, b in zip(begin[i:j].tolist(), end[i:j].tolist(), strict=True)]
+    return hashes, shingle_rows
+
+
+def distinct_shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every row's different shingles, ordered by row and hash."""
+    hashes, rows = shingle_hashes(data, offsets, words)
+    order = np.lexsort((hashes, rows))
+    hashes, rows = hashes[order], rows[order]
+    keep = np.ones(len(rows), bool)
+    keep[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
+    return hashes[keep], rows[keep]
+
+
+def majority(hashes: np.ndarray, rows: np.ndarray, n: int, parts: int) -> np.ndarray:
+    """One fingerprint of 64 * parts bits for each of n rows: a bit is 1 if over half of the row's hashes have it.
+
+    The first 64 bits are of the hashes, each further 64 of a mix of them.
+    """
+    total, count = np.zeros((n, 64 * parts), np.int64), np.zeros(n, np.int64)
+    for i in range(0, len(hashes), 1 << 18):  # a huge text is summed up in parts
+        j = min(len(hashes), i + (1 << 18))
+        at = np.flatnonzero(np.r_[True, rows[i + 1 : j] != rows[i : j - 1]])
+        mine = rows[i:j][at]
         for k in range(parts):
-            of = mix(hashes + np.uint64(k * 0xD6E8FEB86659FD93 % (1 << 64))) if k else hashes
+            of = mix(hashes[i:j] + np.uint64(k * 0xD6E8FEB86659FD93 % (1 << 64))) if k else hashes[i:j]
             bits = np.unpackbits(of.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
             total[mine, 64 * k : 64 * k + 64] += np.add.reduceat(bits, at, axis=0, dtype=np.int64)
         count[mine] += np.diff(np.r_[at, j - i])
     return np.packbits(2 * total > count[:, None], axis=1).view(">u8").reshape(-1, parts).astype(np.uint64)
 
 
+def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: int = 1) -> np.ndarray:
+    """One fingerprint a row, over all its shingles."""
+    return majority(*shingle_hashes(data, offsets, words), len(offsets) - 1, parts)
+
+
+def sets_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """One fingerprint a row over its different shingles, and a 64-bit hash of their set."""
+    hashes, rows = distinct_shingles(data, offsets, words)
+    content = np.zeros(len(offsets) - 1, np.uint64)
+    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else rows
+    if len(at):
+        content[rows[at]] = np.add.reduceat(mix(hashes ^ np.uint64(0xA0761D6478BD642F)), at)
+    return majority(hashes, rows, len(offsets) - 1, parts), content
+
+
+def print_lists(prints: np.ndarray) -> pa.ListArray:
+    parts = prints.shape[1]
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, prints.size + 1, parts, dtype=np.int32)), pa.array(prints.view(np.int64).ravel()))
+
+
 def fingerprints(docs: DataFrame, words: int = 4, parts: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, print): the fingerprint as signed longs."""
     ready(docs.sparkSession)
@@ -90,20 +136,44 @@ def fingerprints(docs: DataFrame, words: int = 4, parts: int = 1, id_column: str
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             found = [np.zeros((0, parts), np.uint64), *(fingerprints_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words, parts) for i, j in steps(offsets))]
-            prints = np.concatenate(found).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, prints.size + 1, parts, dtype=np.int32)), pa.array(prints.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), print_lists(np.concatenate(found))], ["id", "print"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(run, f"id {kind}, print array<long>")
 
 
+def shingle_sets(docs: DataFrame, words: int, parts: int, id_column: str, text_column: str) -> DataFrame:
+    """(id, text, print, content): the fingerprint over different shingles, and a hash of their set."""
+    ready(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            found = [(np.zeros((0, parts), np.uint64), np.zeros(0, np.uint64)), *(sets_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words, parts) for i, j in steps(offsets))]
+            prints, content = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), print_lists(prints), pa.array(content.view(np.int64))], ["id", "text", "print", "content"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    return docs.select(id_column, text_column).mapInArrow(run, f"id {kind}, text string, print array<long>, content long")
+
+
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a and b at most `radius` bits apart. Only pairs near in the first half are compared in the rest."""
+    """Rows of a and b at most `radius` bits apart.
+
+    Only pairs near in the first half are compared in the rest, unless most pairs are that near in it.
+    """
     half = (a.shape[1] + 1) // 2
     apart = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
     for k in range(1, half):
         apart += np.bitwise_count(a[:, None, k] ^ b[None, :, k])
+    if radius >= 26 * half and half < a.shape[1] <= 4:
+        rest = np.bitwise_count(a[:, None, half] ^ b[None, :, half])
+        for k in range(half + 1, a.shape[1]):
+            rest += np.bitwise_count(a[:, None, k] ^ b[None, :, k])
+        near = apart <= radius  # the sum of both halves may be 256, which is 0 in a byte
+        rest += apart
+        near &= rest <= radius
+        return np.nonzero(near)
     u, v = np.nonzero(apart <= radius)
     if half < a.shape[1]:
         near = np.bitwise_count(a[u] ^ b[v]).sum(1, dtype=np.int64) <= radius
@@ -117,7 +187,7 @@ def linked(a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray, ra
     left, right = place[: len(a)], place[len(a) :]
     label = np.arange(len(nodes))
     us, vs = [], []
-    step = max(1, (1 << 20) // max(1, len(b)))
+    step = max(1, STEP_PAIRS // max(1, len(b)))
     for i in range(0, len(a), step):
         u, v = near_pairs(a[i : i + step], b, radius)
         u, v = left[u + i], right[v]
@@ -223,21 +293,110 @@ def components(edges: DataFrame) -> DataFrame:
         turned = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().checkpoint()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, parts: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def alike(ids: np.ndarray, at: np.ndarray, u: np.ndarray, v: np.ndarray, similar: tuple[int, int], mark: np.ndarray) -> np.ndarray:
+    """For each pair of sets whether its Jaccard similarity is similar[0] / similar[1] or more.
+
+    Set k is ids[at[k] : at[k + 1]]; u is sorted; mark is all False, one for each id.
+    """
+    size = np.diff(at)
+    shared = np.zeros(len(u), np.int64)
+    first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]]) if len(u) else u
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(u)], strict=True):
+        mine, others = ids[at[u[i]] : at[u[i] + 1]], v[i:j]
+        mark[mine] = True
+        n = size[others]
+        shared[i:j] = np.add.reduceat(mark[ids[ragged(at[others], n)]], np.cumsum(n) - n, dtype=np.int64)
+        mark[mine] = False
+    return similar[1] * shared >= similar[0] * (size[u] + size[v] - shared)
+
+
+def verified(prints: np.ndarray, ids: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, similar: tuple[int, int]) -> np.ndarray:
+    """For each row the smallest one that it is joined to by verified links between rows of `left` and of `right`.
+
+    A link whose ends are joined already says nothing new and is left out; of the others each row's are verified 1, 2,
+    4, ... at a time.
+    """
+    label, size = np.arange(len(prints)), np.diff(at)
+    mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    step = max(1, STEP_PAIRS // max(1, len(right)))
+    for i in range(0, len(left), step):
+        u, v = near_pairs(prints[left[i : i + step]], prints[right], radius)
+        u, v = left[u + i], right[v]
+        small, large = np.minimum(size[u], size[v]), np.maximum(size[u], size[v])
+        hope = (u != v) & (small > 0) & (similar[1] * small >= similar[0] * large)
+        u, v, take = u[hope], v[hope], 1
+        while len(u := u[apart := label[u] != label[v]]):
+            v = v[apart]
+            first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+            now = np.arange(len(u)) - np.repeat(first, np.diff(np.r_[first, len(u)])) < take
+            same = np.flatnonzero(now)[alike(ids, at, u[now], v[now], similar, mark)]
+            if len(same):
+                settle(label, u[same], v[same])
+            u, v, take = u[~now], v[~now], 2 * take
+    return label
+
+
+def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius: int, similar: tuple[int, int]) -> DataFrame:
+    """(u, v): forests of the candidate links that hold. candidates: (node, print, size, root); texts: (node, text)."""
+    sizes = candidates.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    sizes = sizes.withColumn("k", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("bytes") / PART_BYTES), F.lit(1)).cast("int")).checkpoint()
+    n, size = sizes.where("k = 1").agg(F.sum("n"), F.sum("bytes")).first()
+    buckets = max(1, -(-(n or 0) // TILE), -(-(size or 0) // PART_BYTES))
+    large = sizes.where("k > 1").select("root", "k")  # at least a tile or PART_BYTES each
+    dealt = (
+        candidates.join(F.broadcast(large), "root", "left")
+        .withColumn("key", F.when(F.col("k").isNull(), -1 - F.pmod(F.xxhash64("root"), F.lit(buckets))).otherwise(F.col("root")))
+        .withColumn("k", F.coalesce("k", F.lit(1)))
+        .select("node", "print", "key", "k", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("part"))
+        .join(texts, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "print", "text")
+    )
+
+    def verify(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        data, offsets = utf8(table.column("text"))
+        found = [distinct_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words) for i, j in steps(offsets)]
+        rows = np.concatenate([r + i for (_, r), (i, _) in zip(found, steps(offsets), strict=True)])
+        ids = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)[1]
+        prints = np.array(table.column("print").to_pylist(), np.int64).view(np.uint64).reshape(len(offsets) - 1, -1)
+        part = table.column("part").to_numpy()
+        left, right = (np.flatnonzero(part == k.as_py()) for k in key[1:])
+        label = verified(prints, ids, np.searchsorted(rows, np.arange(len(offsets))), left, right, radius, similar)
+        node, moved = table.column("node").to_numpy(), np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"u": pa.array(node[moved], pa.int64()), "v": pa.array(node[label[moved]], pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(verify, "u long, v long")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 4, radius: int = 4, parts: int = 1, id_column: str = "doc_id", text_column: str = "text", similar: tuple[int, int] | None = None
+) -> DataFrame:
     """(id, fingerprint, component_id): groups of fingerprints reachable over links; its id is the smallest in it.
 
     parts: the fingerprint's length in 64 bits. More of them tell lower similarities apart, see NEAR.
+    similar: links hold only between sets of different shingles of that Jaccard similarity (a fraction) or more.
     """
-    prints = fingerprints(docs, words, parts, id_column, text_column).checkpoint()
-    distinct = prints.groupBy("print").agg(F.min("id").alias("least"))
-    if parts == 1:
-        distinct = distinct.withColumn("node", F.col("print")[0])
-    else:  # checkpointed, so that a node's number is the same whenever it is read
-        distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
-    roots = components(links(distinct.select("node", "print"), radius)).withColumnRenamed("node", "of")
-    placed = distinct.join(roots, F.col("node") == F.col("of"), "left").select("print", "least", F.coalesce("root", "node").alias("root"))
+    if similar:
+        prints = shingle_sets(docs, words, parts, id_column, text_column).withColumn("row", F.monotonically_increasing_id()).checkpoint()
+        same = ["print", "content"]
+        distinct = prints.groupBy(*same).agg(F.min("id").alias("least"), F.min("row").alias("node"), F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")).checkpoint()
+        loose = components(links(distinct.select("node", "print"), radius))
+        members = loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct())
+        edges = verified_links(distinct.select("node", "print", "size").join(members, "node"), prints.select(F.col("row").alias("node"), "text"), words, radius, similar)
+    else:
+        prints = fingerprints(docs, words, parts, id_column, text_column).checkpoint()
+        same = ["print"]
+        distinct = prints.groupBy("print").agg(F.min("id").alias("least"))
+        if parts == 1:
+            distinct = distinct.withColumn("node", F.col("print")[0])
+        else:  # checkpointed, so that a node's number is the same whenever it is read
+            distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
+        edges = links(distinct.select("node", "print"), radius)
+    roots = components(edges).withColumnRenamed("node", "of")
+    placed = distinct.join(roots, F.col("node") == F.col("of"), "left").select(*same, "least", F.coalesce("root", "node").alias("root"))
     # apart from the join, so that a large group's rows there are a plain shuffle that Spark can split
     named = placed.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
-    of = placed.join(named, "root").select("print", "component_id")
+    of = placed.join(named, "root").select(*same, "component_id")
     shown = F.array_join(F.transform("print", lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
-    return prints.join(of, "print").select(F.col("id").alias(id_column), shown.alias("fingerprint"), "component_id")
+    return prints.select("id", *same).join(of, same).select(F.col("id").alias(id_column), shown.alias("fingerprint"), "component_id")

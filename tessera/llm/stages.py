@@ -20,7 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8 or more) stays: the one with the smallest id.
+    """One document of each group of near copies stays: the one with the smallest id. A group is what links reach, each
+    verified as an exact Jaccard similarity of distinct five-word shingles of 0.8 or more.
 
     Rows with that id stay together; a row with a null id can't be told apart from others and stays.
     """

@@ -102,3 +102,52 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(1001, 1000)], "u long, v long")
     found = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
     assert all(found[i] == 0 for i in range(1, 201)) and found[1001] == 1000
+
+
+def plain_groups(rows, size: int = 5) -> dict:
+    """The smallest id of each row's group by exact Jaccard similarity of distinct shingles of 0.8 or more."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").lower())
+        sets.append({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    group = list(range(len(rows)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                group[y] = x
+    return {i: rows[root(k)][0] for k, (i, _) in enumerate(rows)}
+
+
+def templates(pairs: list[float], each: int) -> list[tuple[int, str]]:
+    """Groups of texts with a common part, so that two of a group have about the given similarity; short texts too."""
+    import random
+
+    rnd, rows = random.Random(12), []
+    word = lambda: f"{rnd.choice(corpus.WORDS)}{rnd.randint(0, 999)}"
+    for similarity in pairs:
+        common = 2 * similarity / (1 + similarity)
+        base = [word() for _ in range(120)]
+        for _ in range(each):
+            own = [word() for _ in range(round(120 * (1 - common)))]
+            rows.append((len(rows), " ".join(base[: 120 - len(own)] + own)))
+    short = [word() for _ in range(9)]
+    rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate([short, short[:8], short[1:], short[:7], short + [word()]])]
+    rows += [(len(rows), "la " * 90 + "one two three four five six"), (len(rows) + 1, "la " * 90 + "seven eight nine ten eleven twelve")]
+    return rows
+
+
+def test_groups_below_the_similarity_stay_apart(spark, monkeypatch):
+    """Template groups at 0.5 to 0.79, where chance links of fingerprints join everything, and near copies at 0.85."""
+    rows = templates([0.5, 0.6, 0.7, 0.76, 0.79, 0.85], 40)
+    want = plain_groups(rows)
+    assert len(set(want.values())) > 150 and len({want[i] for i in range(200, 240)}) < 5
+    for tile in (4096, 16):  # whole groups in one task, and pairs of parts
+        monkeypatch.setattr(simhash, "TILE", tile)
+        assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(corpus.frame(spark, rows), **simhash.NEAR).collect()} == want
