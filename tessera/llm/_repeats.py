@@ -45,10 +45,14 @@ def least_of(a: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Units:
-    """The units of a block: a hash of each, its row, and its bounds in bytes."""
+    """The units of a block: a hash of each, its row, and its bounds in the bytes of `data`.
 
-    def __init__(self, hashes: np.ndarray, rows: np.ndarray, starts: np.ndarray | None, ends: np.ndarray | None):
-        self.hashes, self.rows, self.starts, self.ends = hashes, rows, starts, ends
+    Equal stretches of units have equal bytes: `data` is the block's text for units of one byte, else words joined by
+    one space.
+    """
+
+    def __init__(self, hashes: np.ndarray, rows: np.ndarray, starts: np.ndarray | None, ends: np.ndarray | None, data: np.ndarray):
+        self.hashes, self.rows, self.starts, self.ends, self.data = hashes, rows, starts, ends, data
 
     def bounds(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the stretches of units a..b-1."""
@@ -253,7 +257,7 @@ def scan(
         return data, offsets, units, Entries(data, units, size, gram, keys, weights_of(mine.column("id")), add)
 
     def stretches(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
-        data, _, _, e = entries_of(mine, answers)
+        _, _, units, e = entries_of(mine, answers)
         out = sent(e.key % stretch_buckets)
         blob = lambda values, kind: pa.array([values[at].astype(kind).tobytes() for _, at in out], pa.binary())
         length = e.end - e.begin
@@ -261,7 +265,7 @@ def scan(
             {
                 "bucket": pa.array([b for b, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()),
                 "keys": blob(e.key, np.uint32), "lengths": blob(length, np.uint32), "windows": blob(e.windows, np.uint32), "weights": blob(e.weight, np.int64),
-                "text": pa.array([pa.compress(data[ragged(e.begin[at], length[at])].tobytes(), "zstd", asbytes=True) for _, at in out], pa.binary()),
+                "text": pa.array([pa.compress(units.data[ragged(e.begin[at], length[at])].tobytes(), "zstd", asbytes=True) for _, at in out], pa.binary()),
             }
         )
 

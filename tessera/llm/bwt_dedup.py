@@ -123,7 +123,7 @@ def windows(size: int, prefix: int):
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
-    return Units(data, np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)), None, None)
+    return Units(data, np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets)), None, None, data)
 
 
 def weights_of(ids: pa.ChunkedArray) -> np.ndarray:

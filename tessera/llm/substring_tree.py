@@ -86,8 +86,13 @@ def windows(size: int, prefix: int):
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
+    """Words, joined by one space: windows are word sequences whatever white space the text has between the words."""
     starts, ends, rows = word_spans(data, offsets)
-    return Units(word_hashes(data, starts, ends), rows.astype(np.int32), starts, ends)
+    hashes, lengths = word_hashes(data, starts, ends), ends - starts + 1
+    joined = data[np.minimum(ragged(starts, lengths), max(0, len(data) - 1))] if len(starts) else np.zeros(0, np.uint8)
+    after = np.cumsum(lengths)
+    joined[after - 1] = 32
+    return Units(hashes, rows.astype(np.int32), after - lengths, after - 1, joined)
 
 
 def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -98,9 +103,8 @@ def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str =
         gone = _repeats.covered(starts, size, len(units.hashes))
         keep = np.flatnonzero(~gone)
         length = units.ends[keep] - units.starts[keep] + 1  # with a blank after each word
-        joined = data[np.minimum(ragged(units.starts[keep], length), max(0, len(data) - 1))] if len(keep) else np.zeros(0, np.uint8)
+        joined = units.data[ragged(units.starts[keep], length)]
         after = np.cumsum(length)
-        joined[after - 1] = 32
         bounds = np.r_[0, after][np.searchsorted(units.rows[keep], np.arange(rows + 1))]
         kept = [hashlib.sha256(joined[a : max(a, b - 1)].tobytes()).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         count = lambda of: np.bincount(of, minlength=rows).astype(np.int64)

@@ -117,3 +117,33 @@ def test_tree_depths():
     for k in range(1, len(words)):
         a, b = suffix[tree.order[k - 1]], suffix[tree.order[k]]
         assert tree.depth[k] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
+    """Equal words with other white space between them repeat, in groups of stretches beyond one index too."""
+    import random
+
+    import pyarrow as pa
+
+    rnd = random.Random(21)
+    passage = corpus.words(rnd, 62).split()
+    wrap = lambda words: "".join(w + rnd.choice([" ", "\n", "  ", "\t", " \r\n"]) for w in words)
+    texts = [f"{corpus.words(rnd, 40)} {wrap(passage)} {corpus.words(rnd, 40)}".encode() for _ in range(60)]
+    rows = []
+    for block, text in enumerate(texts):  # each text is a block, as in scan
+        data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        units = substring_tree.units_of(data, offsets)
+        keys = _repeats.Anchors(units, 35, 8, ranges=False).key
+        e = _repeats.Entries(data, units, 35, 8, keys, np.ones(1, np.int64), np.add)
+        sent = getattr(units, "data", data)
+        stretches = [sent[a:b].tobytes() for a, b in zip(e.begin, e.end, strict=True)]
+        blob = lambda values, kind: np.array(values, kind).tobytes()
+        rows.append({"block": block, "keys": blob(e.key, np.uint32), "lengths": blob([len(x) for x in stretches], np.uint32), "windows": blob(e.windows, np.uint32), "weights": blob(e.weight, np.int64), "text": pa.compress(b"".join(stretches), "zstd", asbytes=True)})
+    windows = [tuple(w[k : k + 35]) for t in texts for w in [WORD.findall(t)] for k in range(len(w) - 34)]
+    seen = Counter(windows)
+    for size in (1 << 20, 1000):
+        monkeypatch.setattr(_repeats, "SLICE", size)
+        found = _repeats.Found(pa.Table.from_pylist(rows), np.add)
+        values, at = found.values(substring_tree.index(35), substring_tree.windows(35, 16), np.add)
+        hits = sum(int((values[at[k] : at[k] + found.windows[k]] > 1).sum()) * int(np.sum(found.entry == k)) for k in range(len(at)))
+        assert hits == sum(seen[w] > 1 for w in windows) >= 60 * (62 - 35 + 1)
