@@ -1,11 +1,16 @@
 """Lexical retrieval packing: windows filled with a seed document and its BM25 neighbours.
 
 Each text becomes token ids and an end id. Its full windows stand alone; what remains (shorter than a window) is
-packed. Remainders are dealt evenly by hash into shards of about SHARD_TOKENS tokens, each with an inverted index of its own over
-token ids; document frequencies and the mean length come from all remainders of the corpus. In a shard the longest
-unused remainder seeds a window and the best-scoring unused neighbours are added whole while they fit; the best one
-left is cut to fill the window to the end, and what it has left seeds the next window. So only a shard's last window
-is padded. A shard's size is fixed, so memory is bounded and copies of one text spread over all shards.
+packed. Remainders are dealt by content into shards of about SHARD_TOKENS tokens, each with an inverted index of its
+own over token ids; document frequencies and the mean length come from all remainders of the corpus. In a shard the
+longest unused remainder seeds a window and the best-scoring unused neighbours are added whole while they fit; the best
+one left is cut to fill the window to the end, and what it has left seeds the next window. So only a shard's last window
+is padded.
+
+Dealing: a remainder's key is its term that comes first in one random order of all terms, rare ones sooner (weighted
+minhash: two remainders have the same key with the weighted Jaccard similarity of their terms, whatever the corpus'
+size). Neighbouring keys fill a shard. A key too large for that is dealt by a second such key; what is too large still
+holds remainders alike in both and is dealt evenly by row, so memory is bounded.
 
 Edge cases: null and empty texts are the end id alone. Null ids and repeated rows are packed like any other row; every
 row's pieces carry its id. An empty table gives no pieces.
@@ -15,14 +20,14 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import STEP_BYTES, ready
+from ._common import STEP_BYTES, mix, ready, utf8
 from ._tokens import Encoder, encoder
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
@@ -30,6 +35,8 @@ WINDOW = 1024
 #: Terms a query takes from its seed, the rarest first; BM25's saturation and length weights.
 QUERY_TERMS, K1, B = 24, 1.2, 0.75
 SHARD_TOKENS = 1 << 20
+#: A term comes first among others in proportion to its idf to this power.
+RARE = 3
 PIECE = "id {}, start long, length long, ids_crc32 long, doc_tokens long"
 
 _PART = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -189,6 +196,50 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> I
         yield now
 
 
+def orders(df: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Each term's place in two random orders of the terms, rare ones sooner; a term of one document only comes last."""
+    clocks = np.random.default_rng(7).exponential(size=(2, len(idf))) / np.maximum(idf, 1e-9) ** RARE
+    clocks[:, df < 2] = np.inf
+    return np.argsort(np.argsort(clocks, axis=1, kind="stable"), axis=1, kind="stable")
+
+
+class Dealing:
+    """Which shard a remainder goes to: from the tokens of each first key, and of each part of the large ones."""
+
+    def __init__(self, order: np.ndarray, most: int):
+        self.order, self.most = order, most
+
+    def keys(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both keys of the remainders that begin at `at`."""
+        return tuple(np.minimum.reduceat(order[ids], at) if len(at) else at for order in self.order)
+
+    def first(self, tokens: np.ndarray) -> None:
+        """Neighbouring keys share a shard; a key of over half a shard is dealt into parts."""
+        large = tokens > self.most // 2
+        held = np.where(large, 0, tokens)
+        self.shard = np.where(large, -1, (np.cumsum(held) - held) // self.most)
+        self.shards = int(self.shard.max(initial=-1)) + 1
+        self.parts = np.where(large, -(-tokens // self.most), 0)
+        self.parts_at = np.cumsum(self.parts) - self.parts
+
+    def part(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The part of each remainder of a large key, numbered over all keys; -1 for others."""
+        spread = mix(second.astype(np.uint64) + np.uint64(1)) % np.maximum(self.parts[first], 1).astype(np.uint64)
+        return np.where(self.parts[first] > 0, self.parts_at[first] + spread.astype(np.int64), -1)
+
+    def second(self, tokens: np.ndarray) -> None:
+        """A part of over one and a half shards is dealt evenly."""
+        self.even = np.where(tokens > self.most * 3 // 2, -(-tokens // self.most), 1)
+        self.even_at = self.shards + np.cumsum(self.even) - self.even
+
+    def shard_of(self, first: np.ndarray, second: np.ndarray, row: np.ndarray) -> np.ndarray:
+        part = self.part(first, second)
+        if not len(self.even):
+            return self.shard[first]
+        evenly = (mix(row.astype(np.uint64)) % self.even[part].astype(np.uint64)).astype(np.int64)
+        return np.where(part < 0, self.shard[first], self.even_at[part] + evenly)
+
+
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset): one row a piece."""
     spark = ready(docs.sparkSession)
@@ -212,12 +263,46 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW, id
     df[counted["term"].to_numpy()] = counted["df"].to_numpy()
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
     mean = (tokens or 0) / max(n, 1)
+    kind_of = "<u2" if size <= 1 << 16 else "<u4"
     shared = spark.sparkContext.broadcast(idf)
-    shards = max(1, -(-(tokens or 0) // SHARD_TOKENS))
+    dealing = Dealing(orders(df, idf), SHARD_TOKENS)
+
+    def keyed(batch: pa.RecordBatch, deal: Dealing) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data, offsets = utf8(batch.column(batch.schema.get_field_index("ids")))
+        at = offsets // np.dtype(kind_of).itemsize
+        return *deal.keys(np.frombuffer(data.tobytes(), kind_of), at[:-1]), np.diff(at)
+
+    def summed(which: Callable, many: int) -> np.ndarray:
+        """Tokens of each number that `which` gives for the remainders' keys."""
+        sent = spark.sparkContext.broadcast(dealing)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(many + 1, np.int64)  # the last place is for -1
+            for batch in batches:
+                first, second, length = keyed(batch, sent.value)
+                np.add.at(total, which(sent.value, first, second), length)
+            at = np.flatnonzero(total[:many])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["k", "tokens"])
+
+        found = rest.select("ids").mapInArrow(run, "k long, tokens long").groupBy("k").agg(F.sum("tokens").alias("tokens")).toPandas()
+        out = np.zeros(many, np.int64)
+        out[found["k"].to_numpy()] = found["tokens"].to_numpy()
+        return out
+
+    dealing.first(summed(lambda deal, first, second: first, size))
+    many = int(dealing.parts.sum())
+    dealing.second(summed(lambda deal, first, second: deal.part(first, second), many) if many else np.zeros(0, np.int64))
+    dealt = spark.sparkContext.broadcast(dealing)
+
+    def deal_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second, _ = keyed(batch, dealt.value)
+            row = batch.column(batch.schema.get_field_index("row")).to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dealt.value.shard_of(first, second, row), pa.int64())], [*batch.schema.names, "shard"])
 
     def fill_shard(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("row")
-        remainders = [np.frombuffer(b, "<u2" if size <= 1 << 16 else "<u4").astype(np.int64) for b in table.column("ids").to_pylist()]
+        remainders = [np.frombuffer(b, kind_of).astype(np.int64) for b in table.column("ids").to_pylist()]
         first = table.column("start").to_numpy()
         which, start, length, check, sequence, offset = ([] for _ in range(6))
         for k, content in enumerate(fill(remainders, shared.value, mean, window)):
@@ -234,7 +319,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, window: int = WINDOW, id
         return pa.table({"id": took.column(0), "start": start, "length": length, "ids_crc32": check, "doc_tokens": took.column(1), "sequence_id": sequence, "offset": offset})
 
     packed = (
-        rest.select("id", "start", "doc_tokens", "ids", "row", F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"))
+        rest.select("id", "start", "doc_tokens", "ids", "row")
+        .mapInArrow(deal_out, f"id {kind}, start long, doc_tokens long, ids binary, row long, shard long")
         .groupBy("shard")
         .applyInArrow(fill_shard, PIECE.format(kind) + ", sequence_id long, offset long")
     )

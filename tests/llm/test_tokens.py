@@ -100,3 +100,43 @@ def test_huge_texts_are_encoded_in_parts(monkeypatch):
     enc = encoder("byte_bpe_50k.json", True)
     texts = [t or "" for _, t in corpus.texts(8)][:30]
     assert [x.tolist() for x in packing.encode(enc, texts)] == [[*e.ids, 0] for e in enc.library.encode_batch(texts, add_special_tokens=False)]
+
+
+def shared_windows(spark, families: int, each: int = 4) -> float:
+    """How many texts of small families share a sequence with another one of their family."""
+    rnd, rows = random.Random(families), []
+    common = [f"{w}{k}" for w in corpus.WORDS for k in range(40)]
+    for f in range(families):
+        own = ["".join(rnd.choice("bcdfgklmnprstv") + rnd.choice("aeiou") for _ in range(4)) for _ in range(25)]
+        rows += [(f * each + k, " ".join(rnd.choice(own if rnd.random() < 0.6 else common) for _ in range(60))) for k in range(each)]
+    rnd.shuffle(rows)
+    held = defaultdict(set)
+    for r in packing.pack(corpus.frame(spark, rows)).collect():
+        held[r["doc_id"]].add(r["sequence_id"])
+    family = lambda i: set().union(*(held[j] for j in range(i // each * each, i // each * each + each) if j != i))
+    return sum(bool(held[i] & family(i)) for i in held) / len(held)
+
+
+def test_related_texts_share_windows_at_every_size(spark, monkeypatch):
+    """A shard holds about 80 texts; with 1, 4 and 16 shards and more related texts meet as often."""
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 16_000)
+    found = [shared_windows(spark, n) for n in (20, 80, 320)]
+    print("related texts that share a window, by size:", [round(x, 2) for x in found])
+    assert min(found) > 0.5 and found[-1] > 0.6 * found[0]
+
+
+def test_large_keys_are_dealt_on():
+    """Copies and one common rare term fill no shard beyond its size, and every remainder has one shard."""
+    rnd = np.random.default_rng(3)
+    docs = [np.r_[5, rnd.integers(10, 200, 19)] for _ in range(400)] + [np.arange(20)] * 400
+    df = np.full(200, 500)
+    df[5] = 2  # by far the rarest
+    idf = np.log1p((801 - df) / (df + 0.5))
+    deal = packing.Dealing(packing.orders(df, idf), 1000)
+    ids, at = np.concatenate(docs), np.arange(0, 16_000, 20)
+    first, second = deal.keys(ids, at)
+    deal.first(np.bincount(first, weights=np.full(800, 20), minlength=200).astype(np.int64))
+    part = deal.part(first, second)
+    deal.second(np.bincount(part[part >= 0], minlength=int(deal.parts.sum())) * 20)
+    shard = deal.shard_of(first, second, np.arange(800))
+    assert (shard >= 0).all() and np.bincount(shard).max() * 20 <= 2000 and len(np.unique(shard)) >= 16
