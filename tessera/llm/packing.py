@@ -4,7 +4,8 @@ Each text becomes token ids and an end id. Its full windows stand alone; what re
 packed. Remainders are dealt by content into shards of about SHARD_TOKENS tokens, each with an inverted index of its
 own over token ids; document frequencies and the mean length come from all remainders of the corpus. In a shard the
 longest unused remainder seeds a window and the best-scoring unused neighbours are added whole while they fit; the best
-one left is cut to fill the window to the end, and what it has left seeds the next window. So only a shard's last window
+one left is cut to fill the window to the end, and what it has left seeds the next window. Only where no unused
+remainder of the shard shares a term with the seed the longest unused one takes its place. So only a shard's last window
 is padded.
 
 Dealing: a remainder's key is its term that comes first in one random order of all terms, rare ones sooner (weighted
@@ -27,16 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import STEP_BYTES, mix, ready, utf8
+from ._common import STEP_BYTES, mix, ragged, ready, utf8
 from ._tokens import Encoder, encoder
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
 WINDOW = 1024
-#: Terms a query takes from its seed, the rarest first; BM25's saturation and length weights.
-QUERY_TERMS, K1, B = 24, 1.2, 0.75
+#: BM25's saturation and length weights.
+K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 20
-#: A term comes first among others in proportion to its idf to this power.
-RARE = 3
+#: A term comes first among others in proportion to its idf to this power. Neighbours that a step of the walk down a ranking takes first.
+RARE, STEP = 3, 32
 PIECE = "id {}, start long, length long, ids_crc32 long, doc_tokens long"
 
 _PART = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -129,12 +130,23 @@ class Shard:
         self.idf, self.n = idf, len(docs)
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for the rarest terms of one."""
+        """BM25 of every document of the shard for the terms of one."""
         terms = self.terms[self.terms_at[doc] : self.terms_at[doc + 1]]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], QUERY_TERMS)[:QUERY_TERMS]]
-        spans = [slice(self.post_at[t], self.post_at[t + 1]) for t in terms]
-        return np.bincount(np.concatenate([self.owners[s] for s in spans]), weights=np.concatenate([self.weights[s] for s in spans]), minlength=self.n)
+        at = ragged(self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms])
+        return np.bincount(self.owners[at], weights=self.weights[at], minlength=self.n)
+
+
+def ranked(score: np.ndarray) -> Iterator[np.ndarray]:
+    """Documents with a positive score, the best first, in steps that double."""
+    left, step = np.flatnonzero(score > 0), STEP
+    while len(left):
+        if len(left) > step:
+            parted = np.argpartition(-score[left], step - 1)
+            now, left = left[parted[:step]], left[parted[step:]]
+        else:
+            now, left = left, left[:0]
+        yield now[np.lexsort((now, -score[now]))]
+        step *= 2
 
 
 def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -156,18 +168,19 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> I
         score = index.scores(seed)
         seed = -1
         score[used] = -1
-        near = np.argsort(-score, kind="stable")[: 32 + window // 16] if len(score) < 64 else np.argpartition(-score, min(31, len(score) - 1))[:32]
-        near = near[np.lexsort((near, -score[near]))]
-        near = near[score[near] >= 0]
-        for d in near:
-            if left[d] <= room:
-                now.append((int(d), 0, len(docs[d])))
-                used[d] = True
-                room -= left[d]
-            if not room:
+        rest = np.zeros(0, np.int64)
+        for near in ranked(score) if room else ():
+            for d in near:
+                if left[d] <= room:
+                    now.append((int(d), 0, len(docs[d])))
+                    used[d] = True
+                    room -= left[d]
+                if not room:
+                    break
+            rest = near[~used[near]]
+            if not room or len(rest):
                 break
         if room:
-            rest = near[~used[near]]
             while not len(rest) and at < len(order):  # no neighbour left: the longest unused one
                 if not used[order[at]]:
                     rest = order[at : at + 1]

@@ -140,3 +140,19 @@ def test_large_keys_are_dealt_on():
     deal.second(np.bincount(part[part >= 0], minlength=int(deal.parts.sum())) * 20)
     shard = deal.shard_of(first, second, np.arange(800))
     assert (shard >= 0).all() and np.bincount(shard).max() * 20 <= 2000 and len(np.unique(shard)) >= 16
+
+
+def test_all_terms_of_a_seed_count():
+    """A seed with many rare terms of its own finds the texts that share its other terms."""
+    rare = np.arange(1000, 1030)
+    docs = [np.r_[rare, np.arange(0, 20), np.full(60, 999)]] + [np.r_[np.arange(100 * (i % 5), 100 * (i % 5) + 20), np.full(80, 999)] for i in range(1, 100)]
+    idf = np.full(1100, 2.0)
+    idf[rare], idf[999] = 7.0, 0.01
+    assert {d % 5 for d, _, _ in next(packing.fill(docs, idf, 100.0, 500))} == {0}
+
+
+def test_short_texts_fill_windows_down_the_ranking():
+    """51 texts of 20 tokens fit a window: the ranking is walked on beyond its first step."""
+    docs = [np.arange(50 * (i % 3), 50 * (i % 3) + 20) for i in range(300)]
+    content = list(packing.fill(docs, np.full(200, 1.0), 20.0, 1024))
+    assert sum(len({d % 3 for d, _, _ in c}) == 1 for c in content) >= len(content) - 3
