@@ -1,7 +1,7 @@
 """Benchmark decontamination by q-gram lemma filtering with banded alignment.
 
-Items and texts are folded (lower case; every run of ASCII characters that are neither letters nor digits is one
-blank) and compared as UTF-8 bytes. An item of m bytes within e = floor(EDIT_SHARE * m) edits of a region of a text
+Items and texts are folded (lower case; every run of characters that are neither letters nor digits of any script is
+one blank) and compared as UTF-8 bytes. An item of m bytes within e = floor(EDIT_SHARE * m) edits of a region of a text
 shares at least m + 1 - q - q * e of its q-grams with it, all within a band of 2 * e + 1 diagonals. Hits are counted
 for each text and item in bands three strips of e + 1 diagonals wide, each overlapping the next by two strips, so one
 band holds every such region whole; bands that reach the bound are retained, and a banded alignment verifies them and
@@ -18,6 +18,7 @@ one for each pair of row ids; the best region (fewest edits, then first) is show
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +38,43 @@ FILTER_BITS = 22
 #: Folding of single bytes: ASCII letters to lower case, digits and bytes beyond ASCII as they are, all else a blank.
 FOLD = np.full(256, 32, np.uint8)
 FOLD[48:58], FOLD[97:123], FOLD[65:91], FOLD[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(97, 123), np.arange(128, 256)
+#: The characters of Latin-1 beyond ASCII that are neither letters nor digits.
+SIGN = np.array([c >= 128 and not chr(c).isalnum() for c in range(256)])
+#: The first byte of a character beyond Latin-1 is this or higher.
+BEYOND = 0xC4
+_BLANK = re.compile(r"[\W_]+")
+
+
+def unicode_fold(text: bytes) -> bytes:
+    return _BLANK.sub(" ", text.decode().lower()).encode()
 
 
 def fold(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Folded bytes of many texts, and where each begins."""
+    """Folded bytes of many texts, and where each begins: by bytes, texts with characters beyond Latin-1 as they are read."""
+    beyond = np.unique(np.searchsorted(offsets, np.flatnonzero(data >= BEYOND), "right") - 1)
+    if not len(beyond):
+        return latin_fold(data, offsets)
+    parts, lengths, at = [], [], 0
+    for r in [*beyond.tolist(), len(offsets) - 1]:
+        part, bounds = latin_fold(data[offsets[at] : offsets[r]], offsets[at : r + 1] - offsets[at])
+        parts.append(part)
+        lengths.append(np.diff(bounds))
+        if r < len(offsets) - 1:
+            parts.append(np.frombuffer(unicode_fold(data[offsets[r] : offsets[r + 1]].tobytes()), np.uint8))
+            lengths.append(np.array([len(parts[-1])]))
+        at = r + 1
+    return np.concatenate(parts), np.r_[0, np.cumsum(np.concatenate(lengths))]
+
+
+def latin_fold(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts without characters beyond Latin-1."""
     out = FOLD[data]
-    if len(data) > 1:  # the capitals of Latin-1 are two bytes
-        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-        out[1:][capital] += 0x20
+    lead = np.flatnonzero(data >= 0xC2)  # two bytes a character, the second with its low six bits
+    if len(lead):
+        char = (data[lead] & 3) << 6 | data[lead + 1] & 63
+        sign = SIGN[char]
+        out[lead[sign]] = out[lead[sign] + 1] = 32
+        out[lead[(char >= 0xC0) & (char <= 0xDE) & ~sign] + 1] += 0x20
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
     return out[keep], np.r_[0, np.cumsum(keep)][offsets]

@@ -55,6 +55,24 @@ def test_decontamination_of_a_table(spark):
     assert decontaminate.matches(corpus.frame(spark, rows), bench.limit(0)).collect() == []
 
 
+def test_folding_of_every_script(spark):
+    """Capitals and punctuation beyond ASCII fold as a text's do, whatever else the text holds."""
+    fold = lambda t: re.sub(r"[\W_]+", " ", t.lower()).strip().encode()
+    rnd = random.Random(6)
+    latin = ["".join(chr(rnd.choice([32, 95, rnd.randrange(33, 127), rnd.randrange(160, 256)])) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    wide = [t + rnd.choice(["“x”", "Ж", "— Ω", "日本、"]) if rnd.random() < 0.3 else t for t in latin]
+    for texts in (latin, wide):
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        folded, bounds = decontaminate.fold(data, np.r_[0, np.cumsum([len(t.encode()) for t in texts])])
+        assert [folded[a:b].tobytes().strip() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [fold(t) for t in texts]
+        assert [decontaminate.fold_text(t).tobytes() for t in texts] == [fold(t) for t in texts]
+    russian = "каждая тихая река дважды поворачивает перед старым каменным мостом и потом бежит к морю"
+    english = "she said wait here and the old man did not move until the lamp went out"
+    rows = [(1, f"x {russian.upper()} y"), (2, "“She said—‘wait here’”… and\u00a0the old man、did not move – until the «lamp» went out"), (3, "река")]
+    bench = spark.createDataFrame([(7, russian), (8, english)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.matches(corpus.frame(spark, rows), bench).collect()} == {(1, 7, 0), (2, 8, 0)}
+
+
 def labelled(n: int = 300):
     rnd = random.Random(3)
     rows = [(i, corpus.words(rnd, 40).capitalize() + ".") if i % 4 else (i, " ".join(f"{w}***" for w in corpus.words(rnd, 40).split())) for i in range(n)]
