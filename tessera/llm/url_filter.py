@@ -1,13 +1,15 @@
 """URL filter: host and path rules, then a character language-model ratio for what no rule decides.
 
-Two variable-order Markov models over characters, one of accepted and one of rejected URLs, are smoothed by
+Two variable-order Markov models over the characters of whole URLs (scheme, query string and fragment too), one of
+accepted and one of rejected URLs, are smoothed by
 Witten-Bell interpolation down to order 0. A URL's score is the log-likelihood difference divided by its length;
 the cut is calibrated on the URLs that rules decide. Training counts come from every such row of the table.
 
 Model size is fixed by its parameters, not by data: SYMBOLS ** (ORDER + 1) cells (11 MB as float32), which is what
 is sent to executors; counts reach the driver already summed, so at most that many per model.
 
-Edge cases: a null URL, or one without "://", has an empty host and path, meets no rule and gets score 0. With no
+Edge cases: a null URL, or one without "://", has an empty host and path and meets no rule; the first gets score 0, the
+second is scored like any other text. With no
 accepted or no rejected URL to learn from, everything undecided is allowed. Repeated rows are judged alike.
 """
 
@@ -119,9 +121,9 @@ def judge(pages: DataFrame, rules=RULES, id_column: str = "page_id", url_column:
     """Returns id, host, path, rule, verdict, score for every row; score is null where a rule decides."""
     spark = ready(pages.sparkSession)
     host, path = host_and_path(F.col(url_column))
-    parts = pages.select(F.col(id_column), host.alias("host"), path.alias("path"))
+    parts = pages.select(F.col(id_column), host.alias("host"), path.alias("path"), F.coalesce(F.col(url_column), F.lit("")).alias("address"))
     rule, verdict = by_rule(F.col("host"), F.col("path"), rules)
-    ruled = parts.withColumns({"rule": rule, "by_rule": verdict, "address": F.concat("host", "path")})
+    ruled = parts.withColumns({"rule": rule, "by_rule": verdict})
     labelled = ruled.where("by_rule is not null").select(F.col("by_rule").alias("verdict"), "address")
 
     counted = labelled.mapInArrow(count_grams, "verdict string, gram long, n long").groupBy("verdict", "gram").agg(F.sum("n").alias("n"))

@@ -132,6 +132,15 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.limit(0)).collect() == []
 
 
+def test_whole_urls_are_scored(spark):
+    """URLs that no rule decides differ by what follows their path; one without a scheme is read too."""
+    urls = [f"http://y.net/de/{k}?q=green-leaf" for k in range(20)] + [f"http://b.com/en/{k}?q=casino-bets" for k in range(20)]
+    asked = ["http://z.fr/a?q=green-leaf", "http://z.fr/a?q=casino-bets", "z.fr/a?q=casino-bets", None]
+    pages = spark.createDataFrame(list(enumerate(asked + urls)), "page_id long, url string")
+    score = {r["page_id"]: r["score"] for r in url_filter.judge(pages).where("page_id < 4").collect()}
+    assert score[0] > score[1] and score[2] < 0 == score[3]
+
+
 def test_language_models_sum_to_one_and_tell_classes_apart():
     import pyarrow as pa
 
