@@ -20,6 +20,8 @@ from ..streaming import receipts as streams
 
 NOW = datetime(2024, 1, 30, 12, 0)
 CHUNK = 4000
+#: Parts of a scope whose chunks are scored apart.
+SALTS = 16
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -355,7 +357,20 @@ x as (select unnest(docs) as d, run, status from r), f as (select d, max(run) as
 select status as run_status, case status when 'SUCCEEDED' then 'INDEXED' when 'FAILED' then 'FAILED' when 'STARTED' then 'INGESTING' else 'PENDING_INGESTION' end as document_status, count(*) as documents
 from orders left join (select f.d, x.status from f join x on f.d = x.d and f.run = x.run) on d = o_orderkey group by 1, 2""")
 def run_fanout(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_partkey % 4 = 0")
+    """Over a part of the rows; run_fanout_all has all."""
+    return run_outcomes(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_partkey % 4 = 0"))
+
+
+@query("""
+with x as (select distinct l_orderkey as d, l_partkey as run from lineitem), f as (select d, max(run) as run from x group by 1),
+s as (select d, case run % 3 when 0 then 'SUCCEEDED' when 1 then 'FAILED' else 'STARTED' end as status from f)
+select status as run_status, case status when 'SUCCEEDED' then 'INDEXED' when 'FAILED' then 'FAILED' when 'STARTED' then 'INGESTING' else 'PENDING_INGESTION' end as document_status, count(*) as documents
+from orders left join s on d = o_orderkey group by 1, 2""")
+def run_fanout_all(spark, sf_dir):
+    return run_outcomes(spark, sf_dir, read(spark, sf_dir, "lineitem"))
+
+
+def run_outcomes(spark, sf_dir, rows: DataFrame) -> DataFrame:
     last = rows.groupBy("l_orderkey").agg(F.max("l_partkey").alias("run"))  # a document is in one run at a time
     status = F.when(F.col("run") % 3 == 0, "SUCCEEDED").when(F.col("run") % 3 == 1, "FAILED").otherwise("STARTED")
     runs = last.groupBy("run").agg(F.collect_list("l_orderkey").alias("documentIds")).select(F.concat(F.lit("run-"), "run").alias("ingestionRunId"), status.alias("status"), "documentIds", F.lit(None).cast("string").alias("errorSummary"))
@@ -536,10 +551,21 @@ def prompt_context(spark, sf_dir):
 
 @query("select cast(r.vec_id as bigint) as query_id, e.vec_id, round(list_cosine_similarity(cast(e.embedding as double[]), cast(r.embedding as double[])), 6) as score from embeddings e, embeddings r where r.vec_id in (7, 11) and e.label = r.label and e.vec_id <> r.vec_id")
 def scored_pairs(spark, sf_dir):
-    """Chunks scored against two queries of their own scope."""
+    """Chunks scored against two queries of their own scope; scored_pairs_all has more of them."""
+    return pairs_of_scopes(spark, sf_dir, F.col("vec_id").isin(7, 11))
+
+
+@query("select cast(r.vec_id as bigint) as query_id, e.vec_id, round(list_cosine_similarity(cast(e.embedding as double[]), cast(r.embedding as double[])), 6) as score from embeddings e, embeddings r where r.vec_id % 100 = 0 and e.label = r.label and e.vec_id <> r.vec_id")
+def scored_pairs_all(spark, sf_dir):
+    """Chunks scored against every query of their own scope."""
+    return pairs_of_scopes(spark, sf_dir, F.col("vec_id") % 100 == 0)
+
+
+def pairs_of_scopes(spark, sf_dir, chosen: Column) -> DataFrame:
+    """A scope's chunks are dealt over SALTS tasks; each gets the scope's queries."""
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
-    asked = rows.where("vec_id in (7, 11)").select(F.col("vec_id").alias("query_id"), "label", F.col("embedding").alias("q"))
-    both = rows.join(F.broadcast(asked), "label").where("vec_id <> query_id")
+    asked = rows.where(chosen).select(F.col("vec_id").alias("query_id"), "label", F.col("embedding").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    both = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int")).join(asked, ["label", "salt"]).where("vec_id <> query_id")
     return both.select("query_id", "vec_id", F.round(retrieval.cosine(F.col("embedding"), F.col("q")), 6).alias("score"))
 
 

@@ -15,3 +15,12 @@ def test_flagship_has_stable_columns(spark, sf_dir):
     found = catalogue.flagship(spark, sf_dir)
     assert found.columns == ["documentId", "chunks", "chars"]
     assert found.count() > 0
+
+
+def test_runs_and_scopes_over_whole_tables(spark, sf_dir):
+    """Every document with a line is in a run; every vector divisible by 100 asks its whole scope."""
+    found = catalogue.queries()["run_fanout_all"](spark, sf_dir).where("run_status is not null").collect()
+    assert sum(r["documents"] for r in found) == catalogue.read(spark, sf_dir, "lineitem").select("l_orderkey").distinct().count()
+    rows = {r["vec_id"]: r["label"] for r in catalogue.read(spark, sf_dir, "embeddings").collect()}
+    asked = [(q, v) for q in rows for v in rows if q % 100 == 0 and q != v and rows[q] == rows[v]]
+    assert sorted((r["query_id"], r["vec_id"]) for r in catalogue.queries()["scored_pairs_all"](spark, sf_dir).collect()) == sorted(asked) != []
