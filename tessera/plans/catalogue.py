@@ -256,13 +256,29 @@ with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10))
 q as (select doc_id, {pack_sql("NN", "list_transform(ps, lambda l: {'done': cast([] as varchar[]), 'now': l})").replace("'NN'", "chr(10) || chr(10)")} as f from d where len(list_filter(ps, lambda l: length(l) > {CHUNK})) = 0 and len(ps) > 0)
 select doc_id, cast(len(f.done) + 1 as bigint) as chunks, sha256(array_to_string(list_append(f.done, f.now), '|')) as contents_sha256 from q""")
 def paragraph_chunks(spark, sf_dir):
-    """Texts whose lines are paragraphs, none too long: the packing path."""
+    """Texts whose lines are paragraphs, none too long: the packing path; paragraph_chunks_all has all texts."""
     docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
     short = docs.where(F.forall(F.split("t", "\n\n"), lambda p: F.length(text.stripped(p)) <= CHUNK) & (text.stripped(F.col("t")) != ""))
     found = short.select("doc_id", text.chunks(F.col("t"), CHUNK).alias("c"))
     return found.select("doc_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("contents_sha256"))
 
 
+@query(f"""
+with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from documents where text is not null),
+q as (select doc_id, list_reduce(list_transform(ps, lambda l: case when length(l) <= {CHUNK} then {{'done': cast([] as varchar[]), 'now': l}}
+  else {{'done': list_filter(list_transform(range(0, cast(length(l) as bigint), {CHUNK}), lambda i: trim(substr(l, i + 1, {CHUNK}))), lambda x: x <> ''), 'now': cast(null as varchar)}} end),
+  lambda s, x: case when x.now is null then {{'done': list_concat(case when s.now is null then s.done else list_append(s.done, s.now) end, x.done), 'now': cast(null as varchar)}}
+  when s.now is null then {{'done': s.done, 'now': x.now}} when length(s.now) + 2 + length(x.now) <= {CHUNK} then {{'done': s.done, 'now': s.now || chr(10) || chr(10) || x.now}}
+  else {{'done': list_append(s.done, s.now), 'now': x.now}} end, {{'done': cast([] as varchar[]), 'now': cast(null as varchar)}}) as f, ps from d),
+c as (select doc_id, case when len(ps) = 0 then [''] when f.now is null then f.done else list_append(f.done, f.now) end as found from q)
+select doc_id, cast(len(c.found) as bigint) as chunks, sha256(array_to_string(c.found, '|')) as contents_sha256 from c""")
+def paragraph_chunks_all(spark, sf_dir):
+    """Texts whose lines are paragraphs, whole: long ones among short ones close the run and are cut; blank texts too."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
+    found = docs.select("doc_id", text.chunks(F.col("t"), CHUNK).alias("c"))
+    return found.select("doc_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("contents_sha256"))
+
+
 @query(CHUNKS_SQL + """, e as (select 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md' as k from c), a as (select k from e where right(k, 7) <> '0002.md'), m as (select k from e except select k from a)
 select count(*) as missing, array_to_string(list_slice(list_sort(list(k)), 1, 10), ',') as first_missing from m""")
 def chunk_persistence_check(spark, sf_dir):

@@ -24,3 +24,10 @@ def test_runs_and_scopes_over_whole_tables(spark, sf_dir):
     rows = {r["vec_id"]: r["label"] for r in catalogue.read(spark, sf_dir, "embeddings").collect()}
     asked = [(q, v) for q in rows for v in rows if q % 100 == 0 and q != v and rows[q] == rows[v]]
     assert sorted((r["query_id"], r["vec_id"]) for r in catalogue.queries()["scored_pairs_all"](spark, sf_dir).collect()) == sorted(asked) != []
+
+
+def test_every_text_is_chunked(spark, sf_dir):
+    """Texts with long paragraphs and blank ones too."""
+    docs = catalogue.read(spark, sf_dir, "documents").where("text is not null")
+    assert catalogue.queries()["paragraph_chunks_all"](spark, sf_dir).select("doc_id").exceptAll(docs.select("doc_id")).count() == 0
+    assert catalogue.queries()["paragraph_chunks_all"](spark, sf_dir).count() == docs.count() > catalogue.queries()["paragraph_chunks"](spark, sf_dir).count()
