@@ -13,10 +13,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Multiplier of every polynomial hash here (odd, so it has an inverse modulo 2**64).
+#: Multiplier of the polynomial hash of grams (odd, so it has an inverse modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Text bytes that one vectorised step works on. Bounds a worker's memory, not the input.
@@ -26,6 +27,11 @@ STEP_BYTES = 1 << 21
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Spans longer than this are hashed and compared one by one.
+LONG = 512
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -106,12 +112,82 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end] for many spans at once, from one prefix sum."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of each `size` neighbouring values, from one prefix sum. Different grams may share it."""
+    n = len(values)
+    up, down = powers(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+    return mix((total[size:] - total[: n - size + 1]) * down[: n - size + 1])
+
+
+class Bytes:
+    """Bytes whose spans are hashed and compared eight at a time."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = np.zeros(len(data) + 8, np.uint8)
+        self.data[: len(data)] = data
+        self.words = np.ndarray(len(data) + 1, "<u8", self.data, 0, (1,))  # the eight bytes from each place on
+
+    def hashes(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each span; spans of one length up to eight have different ones."""
+        h = mix(lengths.astype(np.uint64) + np.uint64(1))
+        at = np.flatnonzero((lengths > 0) & (lengths <= LONG))
+        k = 0
+        while len(at):
+            left = lengths[at] - k
+            h[at] = mix(h[at] ^ (self.words[starts[at] + k] & HEAD[np.minimum(left, 8)]))
+            at, k = at[left > 8], k + 8
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.data[starts[i] : starts[i] + lengths[i]].tobytes(), 7)
+        return h
+
+    def match(self, starts: np.ndarray, other: Bytes, there: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """How many bytes from each place on are those of `other`, `room` at most."""
+        out = room.copy()
+        at, k = np.flatnonzero(room > 0), 0
+        while len(at):
+            apart = self.words[starts[at] + k] ^ other.words[there[at] + k]
+            hit = apart != 0
+            some = apart[hit]
+            out[at[hit]] = np.minimum(out[at[hit]], k + (np.bitwise_count((some & (~some + np.uint64(1))) - np.uint64(1)) >> 3))
+            k += 8
+            at = at[~hit]
+            at = at[room[at] > k]
+        return out
+
+    def same(self, starts: np.ndarray, other: Bytes, there: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Whether each span has the same bytes as one of the same length in `other`."""
+        out = np.ones(len(starts), bool)
+        at = np.flatnonzero((lengths > 0) & (lengths <= LONG))
+        k = 0
+        while len(at):
+            left = lengths[at] - k
+            hit = ((self.words[starts[at] + k] ^ other.words[there[at] + k]) & HEAD[np.minimum(left, 8)]) == 0
+            out[at[~hit]] = False
+            at, k = at[hit & (left > 8)], k + 8
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            out[i] = np.array_equal(self.data[starts[i] : starts[i] + lengths[i]], other.data[there[i] : there[i] + lengths[i]])
+        return out
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first span of each content, and which of them each span equals: hashes find equals, bytes decide."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held, lengths = Bytes(data), ends - starts
+    _, first, of = np.unique(held.hashes(starts, lengths), return_index=True, return_inverse=True)
+    model = first[of]
+    equal = (lengths == lengths[model]) & held.same(starts, held, starts[model], np.minimum(lengths, lengths[model]))
+    others: dict[bytes, int] = {}
+    more = []
+    for i in np.flatnonzero(~equal).tolist():  # another content with the same hash
+        content = data[starts[i] : ends[i]].tobytes()
+        if content not in others:
+            others[content] = len(first) + len(more)
+            more.append(i)
+        of[i] = others[content]
+    return np.r_[first, np.array(more, np.int64)], of
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +212,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP_BYTES, "right")))
         a = starts[i]
-        out[i:j] = span_hashes(data[a : ends[j - 1]], starts[i:j] - a, ends[i:j] - a)
+        out[i:j] = Bytes(data[a : ends[j - 1]]).hashes(starts[i:j] - a, ends[i:j] - starts[i:j])
         i = j
     return out
 

@@ -9,8 +9,8 @@ Texts are dealt into blocks of about BLOCK bytes by a hash of the whole row. A u
 2. A bucket tells each block which of its keys other blocks have too.
 3. A block sends, for each anchor whose key repeats, the stretch of text that the anchor's windows cover: equal
    stretches once. This is all the text that is shuffled beside the blocks themselves.
-4. A bucket sorts the stretches of its keys into indexes (the operator's own) of at most SLICE bytes, whole keys
-   together; a key with more is split by longer prefixes. It tells each block which windows are hit.
+4. A bucket merges equal stretches, byte by byte, and gives them to the operator's own index in slices of whole keys.
+   The index alone says which windows are hit; the bucket tells each block.
 5. A block marks the units of its hit windows.
 
 The blocks' exchange is one shuffle that all three passes over the text reuse. A key that every document holds is one
@@ -27,10 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import partitions, ragged, ready, span_hashes, text_bytes, utf8
+from ._common import distinct_spans, gram_hashes, partitions, ragged, ready, text_bytes, utf8
 
 BLOCK, KEY_BUCKET, STRETCH_BUCKET = 2 << 20, 16 << 20, 2 << 20
-#: Bytes of stretches that one index holds.
+#: Blocks that one task of the exchange has at most, on average.
+TASK_BLOCKS = 16
+#: Bytes of stretches that go to the index at once; a key with more goes alone.
 SLICE = 1 << 20
 
 
@@ -45,7 +47,7 @@ def least_of(a: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 class Units:
-    """The units of a block: a hash of each, its row, and its bounds in the bytes of `data`.
+    """The units of a block: a hash of each (for grams only), its row, and its bounds in the bytes of `data`.
 
     Equal stretches of units have equal bytes: `data` is the block's text for units of one byte, else words joined by
     one space.
@@ -67,7 +69,7 @@ class Anchors:
         self.key = self.low = self.high = np.zeros(0, np.int64)
         if n < size:
             return
-        g = span_hashes(units.hashes, np.arange(n - gram + 1), np.arange(gram, n + 1)) >> np.uint64(1)
+        g = gram_hashes(units.hashes, gram) >> np.uint64(1)
         g += np.uint64(1)
         whole = units.rows[: n - size + 1] == units.rows[size - 1 :]
         least = least_of(g, span, np.minimum)
@@ -90,21 +92,16 @@ class Anchors:
 
 
 class Entries:
-    """The different stretches of a block's repeated anchors, ordered by content."""
+    """The different stretches of a block's repeated anchors."""
 
-    def __init__(self, data: np.ndarray, units: Units, size: int, gram: int, repeated: np.ndarray, weights: np.ndarray, add: np.ufunc):
+    def __init__(self, units: Units, size: int, gram: int, repeated: np.ndarray, weights: np.ndarray, add: np.ufunc):
         anchors = Anchors(units, size, gram, ranges=True)
         kinds, place, count = np.unique(anchors.key, return_inverse=True, return_counts=True)
         take = ((count > 1) | np.isin(kinds, repeated))[place]
         self.low, high, key = anchors.low[take], anchors.high[take], anchors.key[take]
         self.length = high - self.low + 1
         a, b = units.bounds(self.low, high + size)
-        content = np.zeros(len(a), np.uint64)
-        if units.starts is None:
-            content = span_hashes(data, a, b) if len(a) else content
-        elif len(a):
-            content = span_hashes(units.hashes, self.low, high + size)
-        _, first, self.entry = np.unique(content, return_index=True, return_inverse=True)
+        first, self.entry = distinct_spans(units.data, a, b)
         self.key, self.windows, self.begin, self.end = key[first], self.length[first], a[first], b[first]
         own = weights[units.rows[self.low]] if len(self.low) else np.zeros(0, np.int64)
         self.own = own
@@ -127,104 +124,46 @@ class Found:
         sizes = [int(x.sum()) for x in lengths]
         self.text = np.concatenate([np.frombuffer(pa.decompress(b, n, "zstd", asbytes=True), np.uint8) for b, n in zip(table.column("text").to_pylist(), sizes, strict=True)])
         end = np.cumsum(length)
-        content = np.zeros(len(end), np.uint64)
-        i = 0
-        while i < len(end):
-            j = max(i + 1, int(np.searchsorted(end, end[i] - length[i] + SLICE, "right")))
-            base = end[i] - length[i]
-            content[i:j] = span_hashes(self.text[base : end[j - 1]], end[i:j] - length[i:j] - base, end[i:j] - base)
-            i = j
-        _, first, self.entry = np.unique(content, return_index=True, return_inverse=True)
+        first, self.entry = distinct_spans(self.text, end - length, end)
         order = np.argsort(self.entry, kind="stable")
         self.weight = add.reduceat(self.own[order], np.flatnonzero(np.r_[True, np.diff(self.entry[order]) != 0]))
         self.key, self.begin, self.end = np.concatenate(keys)[first], (end - length)[first], end[first]
         self.windows = np.concatenate(windows)[first].astype(np.int64)
 
-    def values(self, index: Callable, windows_of: Callable, add: np.ufunc) -> tuple[np.ndarray, np.ndarray]:
-        """For each window of each stretch the weights added over all its occurrences; and where each stretch's windows begin."""
+    def values(self, index: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """The index's value for each window of each stretch; and where each stretch's windows begin."""
         at = np.cumsum(self.windows) - self.windows
-        out = np.repeat(self.weight, self.windows)  # right as it is where a key has one stretch only
-        order = np.argsort(self.key, kind="stable")
-        kinds, first, count = np.unique(self.key[order], return_index=True, return_counts=True)
+        out = np.zeros(int(self.windows.sum()), np.int64)
         length = self.end - self.begin
-        group: list[np.ndarray] = []
-        held = 0
-        for a, n in [*zip(first[count > 1].tolist(), count[count > 1].tolist(), strict=True), (0, 0)]:
-            mine = order[a : a + n]
-            size = int(length[mine].sum())
-            if group and (not n or held + size > SLICE):
-                some = np.concatenate(group)
-                out[ragged(at[some], self.windows[some])] = index(self.text[ragged(self.begin[some], length[some])], length[some], self.weight[some])
-                group, held = [], 0
-            if size > SLICE:
-                out[ragged(at[mine], self.windows[mine])] = self.by_longer_prefixes(mine, index, windows_of, add)
-            elif n:
-                group.append(mine)
-                held += size
-        return out, at
-
-    def by_longer_prefixes(self, some: np.ndarray, index: Callable, windows_of: Callable, add: np.ufunc) -> np.ndarray:
-        """The same for the stretches of one key that are too many for one index.
-
-        Windows are split by a prefix twice as long as the key's. One that no other window has is a leaf; equal
-        windows behind the others become one, and groups of whole prefixes are indexed apart.
-        """
-        begin, end, prefix, content, own = ([] for _ in range(5))
-        length = self.end[some] - self.begin[some]
-        i = 0
-        reach = np.cumsum(length)
-        while i < len(some):  # hashes in steps of bounded size
-            j = max(i + 1, int(np.searchsorted(reach, reach[i] - length[i] + SLICE, "right")))
-            text = self.text[ragged(self.begin[some[i:j]], length[i:j])]
-            a, b, p, owner = windows_of(text, length[i:j])
-            shift = self.begin[some[i:j]] - (np.cumsum(length[i:j]) - length[i:j])
-            prefix.append(span_hashes(text, a, p))
-            content.append(span_hashes(text, a, b))
-            begin.append(a + shift[owner])
-            end.append(b + shift[owner])
-            own.append(self.weight[some[i:j]][owner])
-            i = j
-        begin, end, prefix, content, own = map(np.concatenate, (begin, end, prefix, content, own))
-        _, kind, count = np.unique(prefix, return_inverse=True, return_counts=True)
-        shared = np.flatnonzero(count[kind] > 1)
-        out = own.copy()
-        if not len(shared):
-            return out
-        _, first, same = np.unique(content[shared], return_index=True, return_inverse=True)
-        order = np.argsort(same, kind="stable")
-        weight = add.reduceat(own[shared][order], np.flatnonzero(np.r_[True, np.diff(same[order]) != 0]))
-        a, b, of = begin[shared][first], end[shared][first], prefix[shared][first]
-        order = np.argsort(of, kind="stable")
-        found = np.zeros(len(first), np.int64)
-        reach, parted = np.cumsum((b - a)[order]), np.r_[True, of[order][1:] != of[order][:-1], True]
-        i = 0
-        while i < len(order):
-            j = max(i + 1, int(np.searchsorted(reach, reach[i] - (b - a)[order[i]] + SLICE, "right")))
-            while not parted[j]:  # whole prefixes
-                j += 1
-            part = order[i:j]
-            found[part] = index(self.text[ragged(a[part], (b - a)[part])], (b - a)[part], weight[part])
+        order = np.argsort(self.key, kind="stable")
+        key = self.key[order]
+        last = np.flatnonzero(np.r_[key[1:] != key[:-1], True]) + 1 if len(key) else np.zeros(0, np.int64)
+        reach, i = np.cumsum(length[order])[last - 1], 0  # stretches and bytes up to each key's end
+        while i < len(last):  # whole keys together
+            j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + SLICE, "right")))
+            some = order[(last[i - 1] if i else 0) : last[j - 1]]
+            text = self.text[ragged(self.begin[some], length[some])]
+            out[ragged(at[some], self.windows[some])] = index(text, length[some], self.key[some], self.weight[some])
             i = j
-        out[shared] = found[same]
-        return out
+        return out, at
 
 
 def scan(
     docs: DataFrame, id_column: str, text_column: str, size: int, gram: int,
-    units_of: Callable, weights_of: Callable, add: np.ufunc, index: Callable, windows_of: Callable, hit: Callable, whole: Callable, finish: Callable, schema: str,
+    units_of: Callable, weights_of: Callable, add: np.ufunc, index: Callable, hit: Callable, whole: Callable, finish: Callable, schema: str,
 ) -> DataFrame:
     """Runs the plan.
 
     units_of(data, offsets) gives the units; weights_of(ids) a weight for each row, add joins the weights of equal
-    windows; index(text, lengths, weights) gives for each window of each stretch the joined weight, windows_of(text,
-    lengths) the windows' starts, ends, ends of their prefixes, and stretches; hit(joined, own)
-    says which windows of an entry are hit, whole(own, entry's) which occurrences are hit in their block already;
-    finish(ids, data, offsets, units, hit starts) gives the block's rows.
+    stretches; index(text, lengths, keys, weights) gives a value for each window of each of many different stretches;
+    hit(value, entry's weight over all blocks, own weight) says which windows of a block's entry are hit, whole(own,
+    entry's) which occurrences are hit in their block already; finish(ids, data, offsets, units, hit starts) gives the
+    block's rows.
     """
     spark = ready(docs.sparkSession)
     total = text_bytes(docs, text_column)
     blocks, key_buckets, stretch_buckets = (max(1, -(-total // x)) for x in (BLOCK, KEY_BUCKET, STRETCH_BUCKET))
-    n = partitions(spark)
+    n = max(partitions(spark), -(-blocks // TASK_BLOCKS))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks))).repartition(n, "block")
 
@@ -254,7 +193,7 @@ def scan(
         units = units_of(data, offsets)
         known = answers.filter(pc.less(answers.column("bucket"), 0)).column("answer").to_pylist()
         keys = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(b, np.uint32) for b in known)])
-        return data, offsets, units, Entries(data, units, size, gram, keys, weights_of(mine.column("id")), add)
+        return data, offsets, units, Entries(units, size, gram, keys, weights_of(mine.column("id")), add)
 
     def stretches(key: tuple, mine: pa.Table, answers: pa.Table) -> pa.Table:
         _, _, units, e = entries_of(mine, answers)
@@ -271,12 +210,13 @@ def scan(
 
     def resolve(key: tuple, table: pa.Table) -> pa.Table:
         found = Found(table, add)
-        values, at = found.values(index, windows_of, add)
+        values, at = found.values(index)
         answers, k = [], 0
         for n_entries in found.sizes.tolist():
             e = found.entry[k : k + n_entries]
             lengths = found.windows[e]
-            answers.append(np.packbits(hit(values[ragged(at[e], lengths)], np.repeat(found.own[k : k + n_entries], lengths))).tobytes())
+            told = hit(values[ragged(at[e], lengths)], np.repeat(found.weight[e], lengths), np.repeat(found.own[k : k + n_entries], lengths))
+            answers.append(np.packbits(told).tobytes())
             k += n_entries
         return pa.table({"block": pa.array(found.blocks, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(answers), pa.int64()), "answer": pa.array(answers, pa.binary())})
 

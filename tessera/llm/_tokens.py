@@ -1,8 +1,8 @@
 """Tokenisation with the tokenizers library at a price paid once a word instead of once an occurrence.
 
 Both vocabularies split a text into pieces by a fixed pattern and encode each piece alone. Pieces are found on whole
-arrays of characters, told apart by 64-bit hashes, and only pieces not met before go through the library. This holds
-for texts of plain Latin-1 characters; any other text, and any text that may hold a special token, goes through the
+arrays of characters, found in a store by 64-bit hashes and compared with what it holds byte for byte, and only pieces
+not met before go through the library. This holds for texts of plain Latin-1 characters; any other text, and any text that may hold a special token, goes through the
 library as it is.
 """
 
@@ -13,10 +13,10 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-from ._common import ragged, span_hashes
+from ._common import Bytes, ragged
 
-#: Pieces kept between batches; beyond it the store is emptied. Bounds a worker's memory.
-MOST_PIECES = 1 << 21
+#: Pieces, and bytes of them, kept between batches; beyond either the store is emptied. Bounds a worker's memory.
+MOST_PIECES, MOST_BYTES = 1 << 21, 1 << 26
 
 LETTER, NUMBER, SPACE, OTHER, UNSAFE = range(5)
 KIND = np.full(256, UNSAFE, np.uint8)
@@ -49,6 +49,8 @@ class Encoder:
         self.keys, self.slots = np.zeros(1 << 18, np.uint64), np.zeros(1 << 18, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.at, self.size, self.pieces = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.raw, self.raw_at, self.raw_used = Bytes(np.zeros(1 << 18, np.uint8)), np.zeros((2, 1 << 14), np.int64), 0
+        self.others: dict[bytes, int] = {}
 
     def look_up(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the store by open addressing, all hashes at once; -1 where unknown."""
@@ -77,45 +79,61 @@ class Encoder:
             left = left[self.keys[slot[left]] != hashes[left]]
             slot[left] = (slot[left] + np.uint64(1)) & mask
 
-    def store(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def store(self, words: list[bytes], hashes: np.ndarray | None) -> np.ndarray:
+        """Encodes pieces and keeps their ids and bytes; entered by hash where one is given."""
+        ids, sizes = self.learn(words)
+        lengths = np.array([len(w) for w in words], np.int64)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while self.pieces + len(sizes) > len(self.at):
             self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
+            self.raw_at = np.concatenate([self.raw_at, np.zeros_like(self.raw_at)], axis=1)
+        total = int(lengths.sum())
+        if self.raw_used + total > len(self.raw.data) - 8:
+            grown = Bytes(np.zeros(2 * (self.raw_used + total), np.uint8))
+            grown.data[: self.raw_used] = self.raw.data[: self.raw_used]
+            self.raw = grown
         place = np.arange(self.pieces, self.pieces + len(sizes))
         self.flat[self.used : self.used + len(ids)] = ids
         self.at[place], self.size[place] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.used += len(ids)
-        self.pieces += len(sizes)
+        self.raw.data[self.raw_used : self.raw_used + total] = np.frombuffer(b"".join(words), np.uint8)
+        self.raw_at[:, place] = self.raw_used + np.cumsum(lengths) - lengths, lengths
+        self.used, self.raw_used, self.pieces = self.used + len(ids), self.raw_used + total, self.pieces + len(sizes)
         if 2 * self.pieces > len(self.keys):
             known = self.keys != 0
             keys, slots = self.keys[known], self.slots[known]
             size = 4 * len(self.keys)
             self.keys, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int64)
             self.insert(keys, slots)
-        self.insert(hashes, place)
+        if hashes is not None:
+            self.insert(hashes, place)
         return place
 
-    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The library's ids of many pieces, one after another, and how many each has."""
         merge = self.library.model.tokenize
-        found = [[t.id for t in merge(w.encode().decode("latin-1").translate(BYTE_NAMES))] for w in words]
+        found = [[t.id for t in merge(w.decode("latin-1").encode().decode("latin-1").translate(BYTE_NAMES))] for w in words]
         sizes = np.array([len(x) for x in found], np.int64)
         return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), sizes
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where in the store each piece is; unknown pieces are encoded first."""
-        if self.pieces > MOST_PIECES:
+        if self.pieces > MOST_PIECES or self.raw_used > MOST_BYTES:
             self.reset()
-        hashes = span_hashes(data, starts, ends) | np.uint64(1)
+        texts, lengths = Bytes(data), ends - starts
+        hashes = texts.hashes(starts, lengths) | np.uint64(1)
         place = self.look_up(hashes)
         missing = np.flatnonzero(place < 0)
+        piece = lambda i: data[starts[i] : ends[i]].tobytes()
         if len(missing):
             new, first, inverse = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            raw = data.tobytes()
-            first = missing[first]
-            words = [raw[a:b].decode("latin-1") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            place[missing] = self.store(new, *self.learn(words))[inverse]
+            place[missing] = self.store([piece(i) for i in missing[first].tolist()], new)[inverse]
+        there, known = self.raw_at[:, place]
+        equal = (known == lengths) & texts.same(starts, self.raw, there, np.minimum(known, lengths))
+        for i in np.flatnonzero(~equal).tolist():  # a piece that shares its hash with another one
+            if (content := piece(i)) not in self.others:
+                self.others[content] = int(self.store([content], None)[0])
+            place[i] = self.others[content]
         return place
 
     def split(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,10 +1,12 @@
 """Byte-level dedup with a run-length index.
 
-The stretches that may repeat (see _repeats) are indexed by a run-compressed Burrows-Wheeler transform: runs of equal
-characters, with a sample at each run's ends: the text place and the match length there, found by direct comparison.
-Matching statistics are then streamed along the text: within a run a suffix's match is its predecessor's less one
-character, so lengths come from the last sample before. Neighbours in suffix order whose match is at least the window
-form one set of equal windows; a window is hit if the set has a smaller document id than its own.
+The stretches that may repeat (see _repeats) meet by anchor key. Those of smaller documents are indexed by a
+run-compressed Burrows-Wheeler transform: of each run of equal characters only its character, its place, the samples at
+its two ends and the thresholds between runs of one character are kept. Those of larger documents are streamed against
+it: read from their ends, each step either follows the run it is in or jumps to the nearer sampled run end, which gives
+for every place the indexed text of its longest match; a match of a window's length marks the window. To compare every
+pair of a key's stretches once, their ranks by document id are halved again and again: in round k those whose
+k-th bit is 0 are indexed and those that differ from them in that bit first are streamed.
 
 A byte goes if it is covered by a window that also starts in a document with a smaller id; strings are judged on the
 input. Edge cases: null and empty texts have no bytes. Rows with equal ids are one document's and don't remove each
@@ -20,15 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _repeats
-from ._common import ragged
+from ._common import Bytes, ragged
 from ._repeats import Units
 
 SIZE, GRAM = 50, 24
+#: Bytes that one run-length index is built over.
+INDEX_BYTES = 2 << 20
 LAST = np.iinfo(np.int64).max
 
 
-def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of all suffixes of many strings (each ends where it ends, ties by place), and the end of each place's string."""
+def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of all suffixes of many strings by group and content (each ends where it ends, ties by place), and the end of each place's string."""
     n = len(text)
     end = np.repeat(starts + lengths, lengths)
     place = np.arange(n)
@@ -38,8 +42,8 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> t
     padded = np.zeros(n + 64, np.uint64)
     padded[:n] = code
     room = end - place
-    have = 63 // bits
-    key = np.zeros(n, np.uint64)
+    have = (63 - int(groups.max(initial=0)).bit_length()) // bits
+    key = np.repeat(groups, lengths).astype(np.uint64)
     for i in range(have):
         key = (key << np.uint64(bits)) | np.where(room > i, padded[i : n + i], 0)
     rank = np.zeros(n + 1, np.uint64)
@@ -60,66 +64,146 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> t
 
 
 class RunLengthIndex:
-    """The transform's runs with samples at their ends."""
-
-    def __init__(self, text: np.ndarray, lengths: np.ndarray):
-        starts = np.cumsum(lengths) - lengths
-        self.order, self.end = suffix_order(text, starts, lengths)
-        before = np.full(len(text), -1, np.int64)
-        inner = np.ones(len(text), bool)
-        inner[starts] = False
-        before[inner] = text[np.flatnonzero(inner) - 1]
-        last = before[self.order]
-        self.head = np.ones(len(text), bool)  # a run begins; every string's own beginning is a run
-        self.head[1:] = (last[1:] != last[:-1]) | (last[1:] < 0)
-        ranks = np.flatnonzero(self.head)
-        self.sample_at = self.order[ranks]
-        self.sample_match = np.zeros(len(ranks), np.int64)
-        a, b = self.sample_at, np.where(ranks > 0, self.order[ranks - 1], -1)
-        live = np.flatnonzero(b >= 0)
-        room = np.minimum(self.end[a[live]] - a[live], self.end[b[live]] - b[live])
-        step = 0
-        while len(live):
-            on = (room > step)
-            live, room = live[on], room[on]
-            on = text[a[live] + step] == text[b[live] + step]
-            live, room = live[on], room[on]
-            self.sample_match[live] += 1
-            step += 1
-
-    def statistics(self) -> np.ndarray:
-        """For each place the length of its match with the suffix before it in order."""
-        n = len(self.order)
-        match = np.zeros(n, np.int64)
-        match[self.sample_at] = self.sample_match
-        since = np.zeros(n, np.int64)
-        since[self.sample_at] = self.sample_at
-        since = np.maximum.accumulate(since)
-        return match[since] - (np.arange(n) - since)
+    """The transform of many strings, each in a group of its own alphabet, in runs; samples and thresholds at runs' ends.
 
+    A character is its group and its byte, so only strings of the same group match.
+    """
 
-def index(size: int):
-    def least_of_equal(text: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """For each window of each string, in their order, the least weight of the strings that hold it."""
-        built = RunLengthIndex(text, lengths)
-        match = built.statistics()[built.order]
-        own = np.repeat(weights, lengths)[built.order]
-        first = np.flatnonzero(match < size)
-        least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.r_[first, len(own)]))
+    def __init__(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray):
+        starts = np.cumsum(lengths) - lengths
+        order, self.end = suffix_order(text, starts, lengths, groups)
+        self.text = Bytes(text)
+        n = len(text)
+        symbol = np.repeat(groups, lengths) * 256 + text
+        before = np.full(n, -1, np.int64)
+        before[1:] = symbol[:-1]
+        before[starts] = -1
+        last = before[order]
+        self.at = np.flatnonzero(np.r_[True, (last[1:] != last[:-1]) | (last[1:] < 0)])  # where runs begin
+        self.size = np.diff(np.r_[self.at, n])
+        self.head, self.tail = order[self.at], order[self.at + self.size - 1]  # the samples
+        leading = symbol[order]
+        first = np.flatnonzero(np.r_[True, leading[1:] != leading[:-1]])
+        self.symbols, self.starts_of, self.first_sample = leading[first], first, order[first]  # in order, as suffixes are
+        self.char = np.searchsorted(self.symbols, last[self.at])  # a string's beginning has -1
+        self.char[last[self.at] < 0] = -1
+        # runs of each character one after another: where their characters stand among the suffixes, and the thresholds
+        self.by_char = np.argsort(self.char, kind="stable")
+        self.by_char = self.by_char[np.searchsorted(self.char[self.by_char], 0) :]
+        chars = self.char[self.by_char]
+        self.spot = chars * (len(self.at) + 1) + self.by_char
+        sizes = self.size[self.by_char]
+        reach = np.cumsum(sizes) - sizes
+        fresh = np.flatnonzero(np.r_[True, chars[1:] != chars[:-1]]) if len(chars) else chars
+        base = np.repeat(reach[fresh], np.diff(np.r_[fresh, len(chars)]))
+        self.leads_to = np.full(len(self.at), -1, np.int64)
+        ending = np.bincount(np.searchsorted(self.symbols, symbol[starts + lengths - 1]), minlength=len(first))  # before an empty suffix
+        self.leads_to[self.by_char] = (first + ending)[chars] + reach - base
+        common = np.zeros(n + 1, np.int64)  # with the suffix before
+        if n > 1:
+            room = np.minimum(self.end[order[1:]] - order[1:], self.end[order[:-1]] - order[:-1])
+            room[leading[1:] != leading[:-1]] = 0
+            common[1:n] = self.text.match(order[1:], self.text, order[:-1], room)
+        self.threshold = np.zeros(len(chars), np.int64)  # before each run but a character's first
+        late = np.flatnonzero(np.r_[False, chars[1:] == chars[:-1]]) if len(chars) else chars
+        if len(late):
+            spans = np.empty(2 * len(late), np.int64)
+            spans[::2] = (self.at + self.size)[self.by_char[late - 1]]
+            spans[1::2] = self.at[self.by_char[late]] + 1
+            self.threshold[late] = np.minimum.reduceat(common * (n + 1) + np.arange(n + 1), spans)[::2] % (n + 1)
+
+    def statistics(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, most: int) -> np.ndarray:
+        """For each place of strings that are streamed the length of its longest match in the index, `most` at the most."""
+        starts = np.cumsum(lengths) - lengths
+        symbol = np.repeat(groups, lengths) * 256 + text
+        char = np.searchsorted(self.symbols, symbol)
+        char[self.symbols[np.minimum(char, len(self.symbols) - 1)] != symbol] = -1
+        pointer = np.full(len(text), -1, np.int64)
+        turn = np.argsort(-lengths, kind="stable")  # the longest first: those still to read are the first ones
+        place = (starts + lengths - 1)[turn]
+        left = lengths[turn]
+        # each begins in its group's first run: any place will do where nothing has matched yet
+        home = np.searchsorted(self.symbols, groups[turn] * 256)
+        run_of = np.searchsorted(self.at, self.first_of(home), "right") - 1
+        start, sample = self.at[run_of], self.head[run_of]
+        now, where = start.copy(), sample.copy()
+        many = len(turn)
+        while many:
+            c = char[place[:many]]
+            run = np.searchsorted(self.at, now[:many], "right") - 1
+            step = self.leads_to[run] + now[:many] - self.at[run]
+            to = where[:many] - 1
+            off = np.flatnonzero((self.char[run] != c) & (c >= 0))
+            step[off], to[off] = self.starts_of[c[off]], self.first_sample[c[off]]  # where no run has the character
+            if len(off) and len(self.spot):
+                want, q = c[off], now[off]
+                k = np.searchsorted(self.spot, want * (len(self.at) + 1) + run[off])
+                inner = np.minimum(k, len(self.spot) - 1)
+                above, below = self.by_char[k - 1], self.by_char[inner]
+                has_above = (k > 0) & (self.char[above] == want)
+                has_below = (k < len(self.spot)) & (self.char[below] == want)
+                up = has_above & (~has_below | (q < self.threshold[inner]))
+                down = has_below & ~up
+                step[off[up]], to[off[up]] = (self.leads_to + self.size)[above[up]] - 1, self.tail[above[up]] - 1
+                step[off[down]], to[off[down]] = self.leads_to[below[down]], self.head[below[down]] - 1
+            gone = c < 0
+            pointer[place[:many]] = np.where(gone, -1, to)
+            now[:many], where[:many] = np.where(gone, start[:many], step), np.where(gone, sample[:many], to)
+            place[:many] -= 1
+            left[:many] -= 1
+            many = int(np.searchsorted(-left, 0))
         out = np.zeros(len(text), np.int64)
-        out[built.order] = least
-        return out[np.arange(len(text)) + size <= built.end]
-
-    return least_of_equal
+        found = np.flatnonzero(pointer >= 0)
+        there = pointer[found]
+        room = np.minimum(np.repeat(starts + lengths, lengths)[found] - found, self.end[there] - there)
+        out[found] = Bytes(text).match(found, self.text, there, np.minimum(room, most))
+        return out
 
+    def first_of(self, symbols: np.ndarray) -> np.ndarray:
+        """Where the suffixes that begin with a symbol begin."""
+        return self.starts_of[np.minimum(symbols, len(self.symbols) - 1)]
 
-def windows(size: int, prefix: int):
-    def of(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        count = lengths - size + 1
-        start = ragged(np.cumsum(lengths) - lengths, count)
-        return start, start + size, start + prefix, np.repeat(np.arange(len(lengths)), count)
 
-    return of
+def index(size: int):
+    def in_smaller(text: np.ndarray, lengths: np.ndarray, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For each window of each string, in their order, whether a string of its key with a smaller weight holds it."""
+        at = np.cumsum(lengths) - lengths
+        order = np.lexsort((weights, keys))
+        key, weight = keys[order], weights[order]
+        fresh = np.r_[True, key[1:] != key[:-1]]
+        kind = np.empty(len(order), np.int64)  # the key's number
+        kind[order] = np.cumsum(fresh) - 1
+        step = np.cumsum(fresh | np.r_[True, weight[1:] != weight[:-1]])
+        rank = np.empty(len(order), np.int64)  # the weight's place among its key's
+        rank[order] = step - np.maximum.accumulate(np.where(fresh, step, 0))
+        hit = np.zeros(len(text), bool)
+        for bit in range(int(rank.max(initial=0)).bit_length()):
+            group = kind * ((int(rank.max()) >> bit + 1) + 1) + (rank >> bit + 1)
+            late = (rank >> bit & 1).astype(bool)
+            both = np.intersect1d(group[late], group[~late])
+            group = np.where(np.isin(group, both), np.searchsorted(both, group), -1)
+            early, late = (np.flatnonzero((group >= 0) & x) for x in (~late, late))
+            early, late = early[np.argsort(group[early], kind="stable")], late[np.argsort(group[late], kind="stable")]
+            reach, i = np.cumsum(lengths[early]), 0
+            while i < len(early):  # whole strings, as many as one index takes
+                j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + INDEX_BYTES, "right")))
+                some = early[i:j]
+                numbers, own = np.unique(group[some], return_inverse=True)
+                built = RunLengthIndex(text[ragged(at[some], lengths[some])], lengths[some], own)
+                mine = late[np.searchsorted(group[late], numbers[0]) : np.searchsorted(group[late], numbers[-1], "right")]
+                read = np.cumsum(lengths[mine])
+                a = 0
+                while a < len(mine):
+                    b = max(a + 1, int(np.searchsorted(read, (read[a - 1] if a else 0) + INDEX_BYTES, "right")))
+                    part = mine[a:b]
+                    where = ragged(at[part], lengths[part])
+                    hit[where] |= built.statistics(text[where], lengths[part], np.searchsorted(numbers, group[part]), size) >= size
+                    a = b
+                i = j
+        inner = np.arange(len(text)) + size <= np.repeat(at + lengths, lengths)
+        return hit[inner].astype(np.int64)
+
+    return in_smaller
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
@@ -145,7 +229,7 @@ def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str =
 
     kind = docs.schema[id_column].dataType.simpleString()
     return _repeats.scan(
-        docs, id_column, text_column, size, gram, units_of, weights_of, np.minimum, index(size), windows(size, min(2 * gram, size)),
-        hit=lambda least, own: least < own, whole=lambda own, least: own > least, finish=finish,
+        docs, id_column, text_column, size, gram, units_of, weights_of, np.minimum, index(size),
+        hit=lambda found, least, own: (found > 0) | (least < own), whole=lambda own, least: own > least, finish=finish,
         schema=f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )

@@ -1,90 +1,94 @@
 """Substring dedup over words with prefix-partitioned suffix trees.
 
-Suffixes are split by the prefix at their anchor (see _repeats): the groups of one bucket are taken together until
-SLICE bytes are full, and a group with more is split by prefixes twice as long, so a tree has a memory-sized group of
-whole prefixes of variable length. A tree is built as its sorted suffixes and the depths at
-which neighbours part; an internal node of depth at least the window's is a repeat, and the suffixes below the
-topmost such node are the occurrences of one window. Windows with two or more occurrences are hit.
+The suffixes of the stretches that may repeat (see _repeats) are split by variable-length prefixes: a prefix with more
+than GROUP suffixes is lengthened by a word, short ones are taken together, so each group fits in memory. A group's
+subtree is grown top-down: the suffixes of every node are parted by their next words, and nodes with a single leaf are
+done. Its internal nodes of the window's depth are the repeats; a window's occurrences are the weights of the leaves
+below its node.
 
 A word goes if it is covered by a window whose word sequence also starts anywhere else, same document included;
 windows are judged on the input. Edge cases: null, empty and blank texts have no words. Ids play no part, so null
-and equal ids are like any other; a repeated row is another occurrence.
+and equal ids are like any other; a repeated row is another occurrence. Words are compared byte by byte.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import _repeats
-from ._common import ragged, word_hashes, word_spans
+from ._common import distinct_spans, ragged, word_hashes, word_spans
 from ._repeats import Units
 
 SIZE, GRAM = 35, 8
-
-
-class SuffixTree:
-    """The suffixes of many word sequences in order, and the depth at which each parts from the one before."""
-
-    def __init__(self, words: np.ndarray, lengths: np.ndarray):
-        n = len(words)
-        end = np.repeat(np.cumsum(lengths), lengths)
-        place = np.arange(n)
-        rank = np.zeros(n + 1, np.int64)
-        rank[:n] = np.unique(words, return_inverse=True)[1] + 1
-        levels, have = [(1, rank.copy())], 1
-        order = np.argsort(rank[:n], kind="stable")
-        while have < int(lengths.max()):
-            second = np.where(place + have < end, rank[np.minimum(place + have, n)], 0)
-            key = rank[:n] * (n + 2) + second
-            order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            rank = np.zeros(n + 1, np.int64)
-            rank[order] = np.cumsum(np.r_[True, sorted_key[1:] != sorted_key[:-1]])
-            have *= 2
-            levels.append((have, rank))
-        self.order, self.end = order, end
-        self.depth = np.zeros(n, np.int64)
-        a, b = order[1:], order[:-1]
-        depth = np.zeros(max(n - 1, 0), np.int64)
-        for width, at in reversed(levels):
-            fits = (a + depth + width <= end[a]) & (b + depth + width <= end[b])
-            i, j = np.minimum(a + depth, n), np.minimum(b + depth, n)
-            depth += np.where(fits & (at[i] == at[j]), width, 0)
-        self.depth[1:] = depth
-
-    def deep_nodes(self, least: int) -> np.ndarray:
-        """Where, in the order of suffixes, the leaves below each topmost node of that depth begin (single leaves too)."""
-        return np.flatnonzero(self.depth < least)
+#: Suffixes that one subtree holds.
+GROUP = 1 << 16
+
+
+def prefix_groups(words: np.ndarray, suffixes: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The suffixes in groups of whole prefixes, and how many words all of a group's suffixes share."""
+    wait = [(suffixes, 0)]
+    while wait:
+        some, depth = wait.pop()
+        if len(some) <= GROUP or depth == size:
+            yield some, depth
+            continue
+        some = some[np.argsort(words[some + depth], kind="stable")]
+        word = words[some + depth]
+        last = np.flatnonzero(np.r_[word[1:] != word[:-1], True]) + 1
+        i = 0
+        while i < len(last):
+            begin = last[i - 1] if i else 0
+            j = max(i + 1, int(np.searchsorted(last, begin + GROUP, "right")))
+            wait.append((some[begin : last[j - 1]], depth + (j == i + 1)))
+            i = j
+
+
+def deep_nodes(words: np.ndarray, suffixes: np.ndarray, depth: int, size: int) -> np.ndarray:
+    """For each suffix of a group the internal node at depth `size` above it; -1 where it is the only leaf there."""
+    node, live = np.zeros(len(suffixes), np.uint64), np.arange(len(suffixes))
+    wide = max(1, int(words.max(initial=0)).bit_length())
+    while depth < size and len(live):
+        many = min(size - depth, (64 - len(live).bit_length()) // wide)  # words that part the nodes at once
+        key = node[live]
+        for i in range(many):
+            key = (key << np.uint64(wide)) | words[suffixes[live] + depth + i].astype(np.uint64)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        leaves = np.diff(np.r_[first, len(key)])
+        inner = leaves > 1
+        live = live[order[np.repeat(inner, leaves)]]
+        node[live] = np.repeat(np.arange(int(inner.sum()), dtype=np.uint64), leaves[inner])
+        depth += many
+    out = np.full(len(suffixes), -1)
+    out[live] = node[live]
+    return out
 
 
 def index(size: int):
-    def occurrences(text: np.ndarray, lengths: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def occurrences(text: np.ndarray, lengths: np.ndarray, keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """For each window of each stretch, in their order, the occurrences of its word sequence."""
         starts, ends, rows = word_spans(text, np.r_[0, np.cumsum(lengths)])
-        tree = SuffixTree(word_hashes(text, starts, ends), np.bincount(rows, minlength=len(lengths)))
-        own = weights[rows][tree.order]
-        first = tree.deep_nodes(size)
-        total = np.repeat(np.add.reduceat(own, first), np.diff(np.r_[first, len(own)]))
-        out = np.zeros(len(starts), np.int64)
-        out[tree.order] = total
-        return out[np.arange(len(starts)) + size <= tree.end]
+        words = distinct_spans(text, starts, ends)[1].astype(np.uint32)
+        last = np.cumsum(np.bincount(rows, minlength=len(lengths)))[rows]
+        suffixes = np.flatnonzero(np.arange(len(rows)) + size <= last)
+        out = weights[rows]
+        for some, depth in prefix_groups(words, suffixes, size):
+            node = deep_nodes(words, some, depth, size)
+            below, node = some[node >= 0], node[node >= 0]
+            total = np.zeros(int(node.max(initial=-1)) + 1, np.int64)
+            np.add.at(total, node, weights[rows[below]])
+            out[below] = total[node]
+        return out[suffixes]
 
     return occurrences
 
 
-def windows(size: int, prefix: int):
-    def of(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        starts, ends, rows = word_spans(text, np.r_[0, np.cumsum(lengths)])
-        at = np.flatnonzero(rows[: len(rows) - size + 1] == rows[size - 1 :]) if len(rows) >= size else np.zeros(0, np.int64)
-        return starts[at], ends[at + size - 1], ends[at + prefix - 1], rows[at]
-
-    return of
-
-
 def units_of(data: np.ndarray, offsets: np.ndarray) -> Units:
     """Words, joined by one space: windows are word sequences whatever white space the text has between the words."""
     starts, ends, rows = word_spans(data, offsets)
@@ -112,7 +116,7 @@ def remove(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_column: str =
 
     kind = docs.schema[id_column].dataType.simpleString()
     return _repeats.scan(
-        docs, id_column, text_column, size, gram, units_of, lambda ids: np.ones(len(ids), np.int64), np.add, index(size), windows(size, min(2 * gram, size)),
-        hit=lambda total, own: total > 1, whole=lambda own, total: total > 1, finish=finish,
+        docs, id_column, text_column, size, gram, units_of, lambda ids: np.ones(len(ids), np.int64), np.add, index(size),
+        hit=lambda total, weight, own: total > 1, whole=lambda own, weight: weight > 1, finish=finish,
         schema=f"`{id_column}` {kind}, n_words long, n_removed long, kept_sha256 string",
     )

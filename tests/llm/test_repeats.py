@@ -10,7 +10,7 @@ import corpus
 import numpy as np
 import pytest
 
-from tessera.llm import _repeats, bwt_dedup, substring_tree
+from tessera.llm import _common, _repeats, bwt_dedup, substring_tree
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -70,53 +70,110 @@ def test_empty_tables(spark, remove):
     assert [r["n_removed"] for r in remove(corpus.frame(spark, [(1, None), (1, "")])).collect()] == [0, 0]
 
 
-@pytest.mark.parametrize("add", [np.add, np.minimum])
-@pytest.mark.parametrize("module", [substring_tree, bwt_dedup])
-def test_groups_too_large_for_one_index(monkeypatch, module, add):
-    """Stretches of one key, resolved by longer prefixes in small slices, as by one index."""
+def found_of(texts: list[bytes], weights, units, size: int):
+    """A bucket with one block that holds the texts under one key."""
     import pyarrow as pa
 
-    rnd = np.random.default_rng(3)
-    words = [f"w{k} " for k in range(3)]
-    texts = ["".join(rnd.choice(words, 60)) if i % 2 else "".join(words * 20)[: 150 + i] for i in range(30)]
-    size = module.SIZE
-    units = [len(WORD.findall(t.encode())) if module is substring_tree else len(t) for t in texts]
-    texts, units = zip(*((t, u) for t, u in zip(texts, units, strict=True) if u >= size), strict=True)
     blob = lambda values, kind: [np.array(values, kind).tobytes()]
-    table = pa.table({"block": [1], "keys": blob([5] * len(texts), np.uint32), "lengths": blob([len(t) for t in texts], np.uint32), "windows": blob([u - size + 1 for u in units], np.uint32), "weights": blob(range(1, len(texts) + 1), np.int64), "text": [pa.compress("".join(texts).encode(), "zstd", asbytes=True)]})
-    index = module.index(size) if add is (np.add if module is substring_tree else np.minimum) else None
-    if index is None:
-        pytest.skip("not this operator's weight")
-    whole, _ = _repeats.Found(table, add).values(index, module.windows(size, 16), add)
-    monkeypatch.setattr(_repeats, "SLICE", 400)
-    parted, _ = _repeats.Found(table, add).values(index, module.windows(size, 16), add)
-    assert whole.tolist() == parted.tolist()
+    return pa.table({"block": [1], "keys": blob([5] * len(texts), np.uint32), "lengths": blob([len(t) for t in texts], np.uint32), "windows": blob([u - size + 1 for u in units], np.uint32), "weights": blob(weights, np.int64), "text": [pa.compress(b"".join(texts), "zstd", asbytes=True)]})
 
 
-def test_matching_statistics_are_longest_matches():
+def hot_key(of) -> tuple[list[bytes], list[int]]:
+    rnd = np.random.default_rng(3)
+    words = [f"w{k} " for k in range(3)]
+    texts = sorted({"".join(rnd.choice(words, 60)) if i % 2 else "".join(words * 20)[: 150 + i] for i in range(30)})
+    found = [(t.encode(), u) for t in texts for u in [of(t.encode())]]
+    return [t for t, u in found if u >= 50], [u for _, u in found if u >= 50]
+
+
+def test_the_tree_alone_counts_words(monkeypatch):
+    """Stretches of one key, in subtrees of a few suffixes as in one, against counting."""
+    texts, units = hot_key(lambda t: len(WORD.findall(t)))
+    weights, size = list(range(1, len(texts) + 1)), 35
+    seen: Counter = Counter()
+    lists = [WORD.findall(t) for t in texts]
+    for w, n in zip(lists, weights, strict=True):
+        for k in range(len(w) - size + 1):
+            seen[tuple(w[k : k + size])] += n
+    for group in (1 << 16, 4):
+        monkeypatch.setattr(substring_tree, "GROUP", group)
+        found = _repeats.Found(found_of(texts, weights, units, size), np.add)
+        values, at = found.values(substring_tree.index(size))
+        place = {bytes(found.text[a:b]): k for k, (a, b) in enumerate(zip(found.begin, found.end, strict=True))}
+        for t, w in zip(texts, lists, strict=True):
+            k = place[t]
+            assert values[at[k] : at[k] + found.windows[k]].tolist() == [seen[tuple(w[i : i + size])] for i in range(len(w) - size + 1)]
+
+
+def test_the_index_alone_finds_smaller_documents(monkeypatch):
+    texts, units = hot_key(len)
+    weights, size = [7, 3, 3, 9] * len(texts), 50
+    weights = weights[: len(texts)]
+    for most in (1 << 20, 300):
+        monkeypatch.setattr(bwt_dedup, "INDEX_BYTES", most)
+        found = _repeats.Found(found_of(texts, weights, units, size), np.minimum)
+        values, at = found.values(bwt_dedup.index(size))
+        place = {bytes(found.text[a:b]): k for k, (a, b) in enumerate(zip(found.begin, found.end, strict=True))}
+        for t, own in zip(texts, weights, strict=True):
+            k = place[t]
+            wanted = [int(any(t[i : i + size] in x and w < own for x, w in zip(texts, weights, strict=True))) for i in range(len(t) - size + 1)]
+            assert values[at[k] : at[k] + found.windows[k]].tolist() == wanted
+
+
+def test_streamed_statistics_are_longest_matches():
     rnd = np.random.default_rng(4)
-    for _ in range(20):
-        lengths = rnd.integers(1, 30, 12)
-        text = rnd.integers(97, 99, int(lengths.sum())).astype(np.uint8)
-        index = bwt_dedup.RunLengthIndex(text, lengths)
-        match, ends = index.statistics(), np.repeat(np.cumsum(lengths), lengths)
-        suffix = [text[a:e].tobytes() for a, e in enumerate(ends.tolist())]
-        assert [suffix[i] for i in index.order] == sorted(suffix)
-        for before, at in zip(index.order, index.order[1:], strict=False):
-            a, b = suffix[before], suffix[at]
-            assert match[at] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-
-
-def test_tree_depths():
-    lengths = np.array([5, 4, 3])
-    words = np.array([1, 2, 3, 1, 2, 1, 2, 3, 9, 2, 3, 1], np.uint64)
-    tree = substring_tree.SuffixTree(words, lengths)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    suffix = [words[a:e].tolist() for a, e in enumerate(ends.tolist())]
-    assert [suffix[i] for i in tree.order] == sorted(suffix)
-    for k in range(1, len(words)):
-        a, b = suffix[tree.order[k - 1]], suffix[tree.order[k]]
-        assert tree.depth[k] == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    for _ in range(40):
+        cut = lambda n: (rnd.integers(97, 97 + letters, int(n.sum())).astype(np.uint8), n)
+        letters = int(rnd.integers(1, 4))
+        text, lengths = cut(rnd.integers(1, 30, rnd.integers(1, 12)))
+        groups = np.unique(rnd.integers(0, 3, len(lengths)), return_inverse=True)[1]
+        other, sizes = cut(rnd.integers(1, 30, 8))
+        own = rnd.integers(0, groups.max() + 1, 8)
+        index = bwt_dedup.RunLengthIndex(text, lengths, groups)
+        assert len(index.at) == len(index.head) == len(index.leads_to) <= len(text)
+        held = [(g, text[e - n : e].tobytes()) for g, n, e in zip(groups, lengths, np.cumsum(lengths), strict=True)]
+        wanted = []
+        for g, n, e in zip(own, sizes, np.cumsum(sizes), strict=True):
+            s = other[e - n : e].tobytes()
+            wanted += [max((k for k in range(n - i + 1) if any(h == g and s[i : i + k] in t for h, t in held)), default=0) for i in range(n)]
+        assert index.statistics(other, sizes, own, 1000).tolist() == wanted
+
+
+def test_runs_shrink_repetitive_texts():
+    text = np.frombuffer((b"the same line again and again " * 4)[:100] * 50, np.uint8)
+    index = bwt_dedup.RunLengthIndex(text, np.full(50, 100), np.zeros(50, np.int64))
+    assert len(index.at) < len(text) / 10  # the strings' beginnings, and few others
+
+
+def thue_morse(n: int, pair: str) -> str:
+    return "".join(pair[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_words_built_to_share_a_hash(spark):
+    """Complementary Thue-Morse words have equal polynomial hashes modulo any power of two."""
+    for pair in ("ab", "xy"):
+        words, other = thue_morse(2048, pair), thue_morse(2048, pair[::-1])
+        head, tail = [f"a{k}" for k in range(20)], [f"b{k}" for k in range(20)]
+        rows = [(i, " ".join([*head, w, *tail])) for i, w in enumerate((words, other, words[:1024] + "z", other[:1024] + "z"))]
+        assert corpus.normal(substring_tree.remove(corpus.frame(spark, rows)).collect()) == words_expected(rows, 35)
+
+
+def test_spans_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(_common.Bytes, "hashes", lambda self, starts, lengths: (lengths % 2).astype(np.uint64))
+    data = np.frombuffer(b"one two six one two ten one", np.uint8)
+    starts, ends, _ = _common.word_spans(data, np.array([0, len(data)]))
+    first, of = _common.distinct_spans(data, starts, ends)
+    assert [data[starts[first[k]] : ends[first[k]]].tobytes() for k in of] == WORD.findall(data.tobytes()) and len(first) == 4
+
+
+def test_texts_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(_repeats, "BLOCK", 2000)
+    import random
+
+    long = corpus.words(random.Random(9), 3000)
+    rows = [(1, long), (2, long[500:9000]), (3, None), (4, "short")]
+    assert corpus.normal(substring_tree.remove(corpus.frame(spark, rows)).collect()) == words_expected(rows, 35)
+    assert corpus.normal(bwt_dedup.remove(corpus.frame(spark, rows)).collect()) == bytes_expected(rows, 50)
 
 
 def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
@@ -134,7 +191,7 @@ def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
         data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
         units = substring_tree.units_of(data, offsets)
         keys = _repeats.Anchors(units, 35, 8, ranges=False).key
-        e = _repeats.Entries(data, units, 35, 8, keys, np.ones(1, np.int64), np.add)
+        e = _repeats.Entries(units, 35, 8, keys, np.ones(1, np.int64), np.add)
         sent = getattr(units, "data", data)
         stretches = [sent[a:b].tobytes() for a, b in zip(e.begin, e.end, strict=True)]
         blob = lambda values, kind: np.array(values, kind).tobytes()
@@ -144,6 +201,6 @@ def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
     for size in (1 << 20, 1000):
         monkeypatch.setattr(_repeats, "SLICE", size)
         found = _repeats.Found(pa.Table.from_pylist(rows), np.add)
-        values, at = found.values(substring_tree.index(35), substring_tree.windows(35, 16), np.add)
+        values, at = found.values(substring_tree.index(35))
         hits = sum(int((values[at[k] : at[k] + found.windows[k]] > 1).sum()) * int(np.sum(found.entry == k)) for k in range(len(at)))
         assert hits == sum(seen[w] > 1 for w in windows) >= 60 * (62 - 35 + 1)

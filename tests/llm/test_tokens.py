@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tessera.llm import packing, token_counts
-from tessera.llm._tokens import encoder
+from tessera.llm._tokens import Encoder, encoder
 
 PARTS = ["'", "s", "S", " ", "\n", "t", "re", "'ll", "'s", "'S", " '", "''", "9", "12", ".", "!", "é", "É", "x", "  ", "\t", " \n", "'ve", "d", "'d", "\r\n", "ß", "×", "|", "+1"]
 
@@ -27,6 +27,33 @@ def test_pieces_encode_as_in_their_text(name, spaced):
     assert [g.tolist() for g in got] == [e.ids for e in library.encode_batch(found, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize(("name", "spaced"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_pieces_built_to_share_a_hash(name, spaced):
+    """Complementary Thue-Morse pieces have equal polynomial hashes modulo any power of two."""
+    enc, rnd = encoder(name, spaced), random.Random(3)
+    enc.reset()
+    turn = lambda n, pair: "".join(pair[bin(i).count("1") & 1] for i in range(n))
+    found = []
+    for n in (1024, 2048):
+        for _ in range(4):
+            pair = rnd.sample("abcdefghijklmnopqrstuvwxyz", 2)
+            found += [f"a {turn(n, pair)} b", f"a {turn(n, pair[::-1])} b"]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    wanted = [e.ids for e in library.encode_batch(found, add_special_tokens=False)]
+    assert [g.tolist() for g in enc.ids([enc.safe(t) for t in found])] == wanted
+    assert token_counts.count_tokens(encoder("word_bpe_49k.json", False), found) == [len(e.ids) for e in Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode_batch(found, add_special_tokens=False)]
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    from tessera.llm._common import Bytes
+
+    monkeypatch.setattr(Bytes, "hashes", lambda self, starts, lengths: (lengths % 3).astype(np.uint64))
+    enc = Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    found = [t for _, t in corpus.texts(8) if t and enc.safe(t)][:12]
+    for _ in range(2):  # unknown pieces, then known ones
+        assert [g.tolist() for g in enc.ids([enc.safe(t) for t in found])] == [e.ids for e in enc.library.encode_batch(found, add_special_tokens=False)]
+
+
 def test_unsafe_texts_are_told_apart():
     enc = encoder("word_bpe_49k.json", False)
     assert [enc.safe(t) is None for t in ("plain é", "<|endoftext|>", "“x”", "a\x00b", "nbsp\xa0", "²")] == [False, True, True, True, True, True]
