@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -18,7 +20,11 @@ def workers_find_library(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names; one of our own only where it names none (as in tests)."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tessera-checkpoints")
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    """The shared folder that the session names. Only a session in one process gets one of our own where it names none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or f"file://{tempfile.mkdtemp(prefix='tessera-')}")
+    return context.getCheckpointDir().rstrip("/")
