@@ -11,8 +11,8 @@ region.
 Items are sent to executors only in slices of at most SLICE_BYTES of text; a larger benchmark is taken in several
 slices, each against all texts. Texts are worked on whole, long ones in parts that overlap by two items' length.
 
-Edge cases: null and empty texts hold nothing; null, empty or folded-to-nothing items, and items shorter than
-LEAST_BYTES, match nothing (they would occur by chance). Items and texts that are repeated each give their own rows,
+Edge cases: null and empty texts hold nothing; null, empty or folded-to-nothing items match nothing. Items shorter than
+LEAST_BYTES would occur by chance: they match a text that is nothing else, without edits. Items and texts that are repeated each give their own rows,
 one for each pair of row ids; the best region (fewest edits, then first) is shown. Null ids are kept.
 """
 
@@ -77,6 +77,7 @@ def latin_fold(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         out[lead[(char >= 0xC0) & (char <= 0xDE) & ~sign] + 1] += 0x20
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
+    keep[offsets[:-1][np.diff(offsets) > 0]] = True  # a text begins anew, whatever stands before it
     return out[keep], np.r_[0, np.cumsum(keep)][offsets]
 
 
@@ -112,15 +113,20 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]]):
         self.items = []
+        self.short: dict[bytes, list[int]] = {}
         by_q: dict[int, list] = {}
         for key, text in items:
             chars = fold_text(text)
             if p := plan(len(chars)):
                 by_q.setdefault(p[0], []).append((grams(chars, p[0]), len(self.items)))
                 self.items.append((key, chars, *p))
+            elif len(chars):
+                self.short.setdefault(chars.tobytes(), []).append(len(self.items))
+                self.items.append((key, chars, 0, 0, 1))
         self.edits = np.array([x[3] for x in self.items], np.int64)
         self.least = np.array([x[4] for x in self.items], np.int64)
         self.reach = 2 * max((len(x[1]) for x in self.items), default=0)
+        self.longest_short = max(map(len, self.short), default=0)
         self.tables = {}
         for q, found in by_q.items():
             h = np.concatenate([g for g, _ in found])
@@ -230,29 +236,44 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[in
                 shift = begin - int(bounds[r])
                 found = found[0], found[1] + shift, found[2] + shift
                 best[r, i] = min(best.get((r, i), found), found)
+    if index.short:
+        length = np.diff(bounds)
+        for r in np.flatnonzero((length > 0) & (length <= index.longest_short + 2)).tolist():
+            chars = folded[bounds[r] : bounds[r + 1]].tobytes()
+            for i in index.short.get(chars.strip(b" "), ()):
+                best[r, i] = 0, (at := len(chars) - len(chars.lstrip(b" "))), at + len(index.items[i][1])
     return [(*k, *v) for k, v in best.items()]
 
 
+def slices_of(benchmark: DataFrame, item_column: str, item_text: str) -> Iterator:
+    """The items in broadcast lists of about SLICE_BYTES."""
+    spark = ready(benchmark.sparkSession)
+    sized = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("words")).where("words is not null and words <> ''")
+    slices = max(1, -(-int(sized.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // SLICE_BYTES))
+    for k in range(slices):
+        some = sized.where(F.pmod(F.xxhash64("words"), F.lit(slices)) == k).orderBy("item", "words").collect()
+        yield spark.sparkContext.broadcast([(r["item"], r["words"]) for r in some])
+
+
+def found_in(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
+    """search() over a column of texts."""
+    data, offsets = utf8(texts)
+    return [(r + i, *x) for i, j in steps(offsets, PART) for r, *x in search(index, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])] if index.items else []
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item, edits, start, end): each text that holds an item, with the best region (places in the folded text)."""
-    spark = ready(docs.sparkSession)
     kind, item_kind = docs.schema[id_column].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, `{item_column}` {item_kind}, edits int, start long, end long"
-    sized = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("words")).where("words is not null and words <> ''")
-    slices = max(1, -(-int(sized.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // SLICE_BYTES))
     source = docs.select(F.col(id_column), F.col(text_column).alias("__text"))
     items_type = to_arrow_type(benchmark.schema[item_column].dataType)
     out = None
-    for k in range(slices):
-        some = sized.where(F.pmod(F.xxhash64("words"), F.lit(slices)) == k).orderBy("item", "words").collect()
-        shared = spark.sparkContext.broadcast([(r["item"], r["words"]) for r in some])
+    for shared in slices_of(benchmark, item_column, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value)
             for batch in batches:
-                data, offsets = utf8(batch.column(1))
-                rows = [(r + i, *x) for i, j in steps(offsets, PART) for r, *x in search(index, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])] if index.items else []
-                which, item, *rest = list(zip(*rows, strict=True)) or [()] * 5
+                which, item, *rest = list(zip(*found_in(index, batch.column(1)), strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(which, pa.int64())), pa.array([index.items[i][0] for i in item], items_type), *(pa.array(c, t) for c, t in zip(rest, (pa.int32(), pa.int64(), pa.int64()), strict=True))],
                     [id_column, item_column, "edits", "start", "end"],
@@ -261,3 +282,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
         found = source.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def without(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of docs whose text holds no item, in the same columns: one pass, judged row by row, whatever their ids."""
+    at = docs.columns.index(text_column)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    for shared in slices_of(benchmark, item_column, item_text):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(shared.value)
+            for batch in batches:
+                clean = np.ones(len(batch), bool)
+                clean[[r for r, *_ in found_in(index, batch.column(at))]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
