@@ -1,12 +1,15 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds spans.
 
-The field labels whole segments (up to MOST_TOKENS tokens) of the stretches around digits and at-signs; the text
-between them can't hold an entity and is left out. Features look at the whole candidate: its shape, how many digits
-it has, its checksum or number ranges and the characters beside it. Forward-backward sums over all segmentations
-train it, and the same bounded dynamic program finds the best boundaries and types jointly. It learns from the base
-spans of at most TRAIN_ISLANDS different stretches (the only limit: decoding covers every text in full). A segment it
-finds is added if it passes its kind's exact test and touches no base span; so it recovers what the greedy patterns
-swallow, such as two card numbers side by side.
+The field labels whole segments; the text between them scores nothing. Features look at the whole candidate: its shape,
+how many digits it has, its checksum or number ranges and the characters beside it. Forward-backward sums over all
+segmentations train it, and the same bounded dynamic program finds the best boundaries and types jointly. A segment has
+at most MOST_TOKENS tokens and MOST_CHARS characters (19 digits with a sign between each two have 37 tokens). In
+training any candidate of up to TRAIN_TOKENS tokens competes; decoding is constrained to candidates that pass their
+kind's exact test and touch no base span, so it holds a few numbers for each such candidate and nothing for the rest
+of a text, however long. The spans it adds are what the greedy patterns swallow, such as two card numbers side by side.
+
+It learns from the base spans of at most TRAIN_ISLANDS different stretches around digits and at-signs, of each the first
+ISLAND_CHARS characters; these bound the fitting sample only, decoding covers every text in full.
 
 Edge cases: null and empty texts have no spans (the hash is that of an empty string). Repeated rows and equal ids
 give one result each; a null id is kept. With no stretch to learn from, only the base spans are returned.
@@ -17,6 +20,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +30,7 @@ from pyspark.sql import DataFrame
 from ._common import ready
 
 KINDS = ("email", "ip", "card", "phone")
-MOST_TOKENS, MOST_CHARS = 16, 80
+MOST_TOKENS, MOST_CHARS, TRAIN_TOKENS = 40, 320, 16
 TRAIN_ISLANDS, EPOCHS, RATE, DECAY = 400, 6, 0.4, 1e-3
 ISLAND_CHARS, MARGIN = 240, 16
 
@@ -36,6 +41,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+RUN = re.compile(r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)*+")
+QUAD = re.compile(r"(?<![0-9])(?=([0-9]++\.[0-9]++\.[0-9]++\.[0-9]++))")
+DIALLED = re.compile(r"\+[0-9][\x20().0-9-]*")
+NUMBER = re.compile(r"[0-9]+")
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\x00-\x7f]+|[\x00-\x7f]", re.S)
 
 
@@ -124,25 +133,68 @@ def side(text: str, at: int) -> str:
     return "edge" if not c else "digit" if c in DIGITS else "word" if c.isalnum() else "space" if c.isspace() else c
 
 
+def features_of(text: str, a: int, b: int) -> list[str]:
+    span = text[a:b]
+    d = digits_of(span)
+    return [f"shape {shape(span)[:24]}", f"digits {min(len(d), 20)}", f"left {side(text, a - 1)}", f"right {side(text, b)}", f"at {span.count('@')}", f"plus {span[0] == '+'}", f"octets {octets(span)}", f"luhn {12 <= len(d) <= 19 and luhn(d)}", f"letters {any(c.isalpha() for c in span)}"]
+
+
+def sound(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start, kind, end) of all segments that pass their kind's exact test, whole tokens each, by kind and start."""
+    at = text.find("@")
+    while at >= 0:
+        begin = at
+        while begin > max(0, at - MOST_CHARS) and text[begin - 1] in LOCAL:
+            begin -= 1
+        domain = DOMAIN.match(text, at + 1, min(len(text), at + MOST_CHARS)) if begin < at else None
+        if domain:
+            starts = [begin + m.start() for m in TOKEN.finditer(text[begin:at]) if m[0][0].isalnum() or m[0] == "+"]
+            ends = [at + 1 + m.end() for m in TOKEN.finditer(text[at + 1 : domain.end()]) if m[0][0].isalnum()]
+            for a in starts[-MOST_TOKENS:]:
+                yield from ((a, 0, b) for b in ends[:MOST_TOKENS] if b - a <= MOST_CHARS and "." in text[at:b] and valid(0, text[a:b]))
+        at = text.find("@", at + 1)
+    yield from ((m.start(), 1, m.end(1)) for m in QUAD.finditer(text) if octets(m[1]))
+    for run in RUN.finditer(text):
+        if run.end() - run.start() < 12:
+            continue
+        wait: list[tuple[int, int, int]] = []  # the last tokens: start, end, digits before
+        before = 0
+        for m in NUMBER.finditer(text, run.start(), run.end()):
+            wait.append((m.start(), m.end(), before))
+            before += m.end() - m.start()
+            while before - wait[0][2] > 19 and len(wait) > 1:
+                wait.pop(0)
+            for a, _, had in wait:
+                if 12 <= before - had <= 19 and card_like(text[a : m.end()]):
+                    yield a, 2, m.end()
+    for run in DIALLED.finditer(text):
+        digits = 0
+        for m in NUMBER.finditer(text, run.start(), run.end()):
+            digits += m.end() - m.start()
+            if digits > 15 or m.end() - run.start() > MOST_CHARS:
+                break
+            if digits >= 9 and valid(3, text[run.start() : m.end()]):
+                yield run.start(), 3, m.end()
+
+
 def candidates(text: str) -> tuple[list[int], dict[int, list[tuple[int, list[str]]]]]:
-    """Token bounds, and for each end the (start, features) of the segments that may be an entity."""
+    """Token bounds, and for each end the (start, features) of the segments that may be an entity: what training compares."""
     bounds = [0, *(m.end() for m in TOKEN.finditer(text))]
-    n = len(bounds) - 1
+    n, place = len(bounds) - 1, {x: k for k, x in enumerate(bounds)}
     opens = [text[bounds[i]] in DIGITS or text[bounds[i]] == "+" or (text[bounds[i]].isascii() and text[bounds[i]].isalpha()) for i in range(n)]
-    by_end: dict[int, list] = {}
+    spans = {(place[a], place[b]) for a, _, b in sound(text)}
     for i in range(n):
         if not opens[i]:
             continue
-        for j in range(i + 1, min(n, i + MOST_TOKENS) + 1):
+        for j in range(i + 1, min(n, i + TRAIN_TOKENS) + 1):
             a, b = bounds[i], bounds[j]
             if b - a > MOST_CHARS or "\n" in text[bounds[j - 1] : b]:
                 break
-            span = text[a:b]
-            if not (span[-1].isascii() and span[-1].isalnum()) or not TRIGGER.search(span):
-                continue
-            d = digits_of(span)
-            features = [f"shape {shape(span)[:24]}", f"digits {min(len(d), 20)}", f"left {side(text, a - 1)}", f"right {side(text, b)}", f"at {span.count('@')}", f"plus {span[0] == '+'}", f"octets {octets(span)}", f"luhn {12 <= len(d) <= 19 and luhn(d)}", f"letters {any(c.isalpha() for c in span)}"]
-            by_end.setdefault(j, []).append((i, features))
+            if text[b - 1].isascii() and text[b - 1].isalnum() and TRIGGER.search(text, a, b):
+                spans.add((i, j))
+    by_end: dict[int, list] = {}
+    for i, j in sorted(spans):
+        by_end.setdefault(j, []).append((i, features_of(text, bounds[i], bounds[j])))
     return bounds, by_end
 
 
@@ -194,24 +246,39 @@ def train(examples: list[tuple[str, list[tuple[int, int, int]]]]) -> dict[tuple[
     return weights
 
 
-def decode(text: str, weights: dict[tuple[int, str], float]) -> list[tuple[int, int, int]]:
-    """The best segmentation's entities: (start, kind, end)."""
-    bounds, by_end = candidates(text)
-    segments = scored(by_end, weights)
-    best, step = [0.0] * len(bounds), [None] * len(bounds)
-    for j in range(1, len(bounds)):
-        best[j] = best[j - 1]
-        for i, k, s, _ in segments.get(j, ()):
-            if best[i] + s > best[j]:
-                best[j], step[j] = best[i] + s, (i, k)
-    out, j = [], len(bounds) - 1
-    while j > 0:
-        if step[j]:
-            i, k = step[j]
-            out.append((bounds[i], k, bounds[j]))
-            j = i
-        else:
-            j -= 1
+def decode(text: str, weights: dict[tuple[int, str], float], base: list[tuple[int, int, int]] = ()) -> list[tuple[int, int, int]]:
+    """The best segmentation's entities beside the base spans: (start, kind, end)."""
+    fixed = sorted((a, b) for a, _, b in base)
+    firsts, reach = [a for a, _ in fixed], []
+    for _, b in fixed:
+        reach.append(max(b, reach[-1] if reach else 0))
+    get = weights.get
+    found = array("q"), array("q"), array("q"), array("d")  # start, kind, end, score
+    for a, k, b in sound(text):
+        i = bisect_right(firsts, b - 1)  # base spans that begin before the candidate ends
+        if i and reach[i - 1] > a:
+            continue
+        score = get((k, "bias"), 0.0) + sum(get((k, f), 0.0) for f in features_of(text, a, b))
+        if score > 0:
+            for column, x in zip(found, (a, k, b, score), strict=True):
+                column.append(x)
+    starts, kinds, ends, scores = found
+    # states: the ends after which the best score is higher than before; each with its segment and the state before it
+    at, best, segment, came = array("q", [0]), array("d", [0.0]), array("q", [-1]), array("q", [-1])
+    for c in sorted(range(len(starts)), key=lambda c: (ends[c], starts[c], kinds[c])):
+        before = bisect_right(at, starts[c]) - 1
+        total = best[before] + scores[c]
+        if total > best[-1]:
+            if at[-1] == ends[c]:
+                best[-1], segment[-1], came[-1] = total, c, before
+            else:
+                for column, x in zip((at, best, segment, came), (ends[c], total, c, before), strict=True):
+                    column.append(x)
+    out, state = [], len(at) - 1
+    while state > 0:
+        c = segment[state]
+        out.append((starts[c], kinds[c], ends[c]))
+        state = came[state]
     return out[::-1]
 
 
@@ -247,14 +314,7 @@ def find(text: str, weights: dict[tuple[int, str], float]) -> tuple[list[tuple[i
     if not text or not TRIGGER.search(text):
         return [], []
     base = base_spans(text)
-    extra = []
-    if weights:
-        for a, b in islands(text):
-            for start, kind, end in decode(text[a:b], weights):
-                start, end = start + a, end + a
-                if valid(kind, text[start:end]) and not any(x < end and start < y for x, _, y in base):
-                    extra.append((start, kind, end))
-    return base, sorted(set(base) | set(extra))
+    return base, sorted({*base, *decode(text, weights, base)}) if weights else base
 
 
 def shown(spans: list[tuple[int, int, int]]) -> str:
