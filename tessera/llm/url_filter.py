@@ -2,8 +2,9 @@
 
 Two variable-order Markov models over the characters of whole URLs (scheme, query string and fragment too), one of
 accepted and one of rejected URLs, are smoothed by
-Witten-Bell interpolation down to order 0. A URL's score is the log-likelihood difference divided by its length;
-the cut is calibrated on the URLs that rules decide. Training counts come from every such row of the table.
+Witten-Bell interpolation down to order 0. A URL's score is the log-likelihood difference divided by its length.
+The URLs that rules decide train and calibrate: those of HELD_OUT's fold by hash give the cut, all others the counts
+(equal URLs are in one fold). Where the fold lacks a class, the others give the cut too.
 
 Model size is fixed by its parameters, not by data: SYMBOLS ** (ORDER + 1) cells (11 MB as float32), which is what
 is sent to executors; counts reach the driver already summed, so at most that many per model.
@@ -39,6 +40,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-"
 SYMBOLS = len(ALPHABET) + 2
 ORDER = 3
 BINS, WIDEST = 2000, 10.0
+#: Folds of the URLs that rules decide; the first calibrates.
+HELD_OUT = 5
 
 CODE = np.full(256, SYMBOLS - 1, np.int64)
 for _i, _c in enumerate(ALPHABET, 1):
@@ -125,8 +128,9 @@ def judge(pages: DataFrame, rules=RULES, id_column: str = "page_id", url_column:
     rule, verdict = by_rule(F.col("host"), F.col("path"), rules)
     ruled = parts.withColumns({"rule": rule, "by_rule": verdict})
     labelled = ruled.where("by_rule is not null").select(F.col("by_rule").alias("verdict"), "address")
+    held_out = F.pmod(F.xxhash64("address"), F.lit(HELD_OUT)) == 0
 
-    counted = labelled.mapInArrow(count_grams, "verdict string, gram long, n long").groupBy("verdict", "gram").agg(F.sum("n").alias("n"))
+    counted = labelled.where(~held_out).mapInArrow(count_grams, "verdict string, gram long, n long").groupBy("verdict", "gram").agg(F.sum("n").alias("n"))
     counts = {k: np.zeros(SYMBOLS ** (ORDER + 1), np.int64) for k in ("allow", "block")}
     for k, part in counted.toPandas().groupby("verdict"):
         counts[k][part["gram"].to_numpy()] = part["n"].to_numpy()
@@ -138,7 +142,9 @@ def judge(pages: DataFrame, rules=RULES, id_column: str = "page_id", url_column:
     def score(address: pd.Series) -> pd.Series:
         return pd.Series(score_with(ratio.value, pa.array(address, pa.string())))
 
-    binned = labelled.select("verdict", F.least(F.greatest(F.floor((score("address") + WIDEST) / (2 * WIDEST) * BINS), F.lit(0)), F.lit(BINS - 1)).cast("int").alias("bin"))
-    cut = calibrated({(r["verdict"], r["bin"]): r["n"] for r in binned.groupBy("verdict", "bin").agg(F.count("*").alias("n")).collect()})
+    binned = labelled.select("verdict", held_out.alias("held_out"), F.least(F.greatest(F.floor((score("address") + WIDEST) / (2 * WIDEST) * BINS), F.lit(0)), F.lit(BINS - 1)).cast("int").alias("bin"))
+    seen = binned.groupBy("held_out", "verdict", "bin").agg(F.count("*").alias("n")).collect()
+    apart = len({r["verdict"] for r in seen if r["held_out"]}) == 2
+    cut = calibrated({(r["verdict"], r["bin"]): r["n"] for r in seen if r["held_out"] == apart})
     scored = ruled.withColumn("score", F.when(F.col("by_rule").isNull(), score("address")))
     return scored.select(id_column, "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("score") >= cut, F.lit("allow")).otherwise(F.lit("block"))).alias("verdict"), "score")
