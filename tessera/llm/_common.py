@@ -6,9 +6,8 @@ array of row offsets, so the per-row cost in Python is paid once a batch.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_folder, workers_find_library
+
 #: Multiplier of the polynomial hash of grams (odd, so it has an inverse modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -36,15 +37,8 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers that start beside the driver import this package. On a cluster ship it with --py-files."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    path = env.get("PYTHONPATH", "")
-    if root not in path.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, path) if x)
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or "/tmp/tessera-checkpoints")
+    """Python workers find this package, and the shared checkpoint folder is set."""
+    checkpoint_folder(workers_find_library(spark))
     return spark
 
 
@@ -54,6 +48,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return frame.select(*columns) if columns else frame
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """A frame as a table in the shared folder: lineage ends there, and a reader takes only the columns it needs."""
+    spark = ready(frame.sparkSession)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    frame.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

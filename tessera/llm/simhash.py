@@ -3,19 +3,23 @@
 1. Each text becomes one fingerprint of 64 bits or a multiple (Python workers, whole Arrow buffers).
 2. Distinct fingerprints are dealt into tiles by population count, hashed evenly within a count that fills several.
    Two fingerprints at most `radius` bits apart have population counts at most `radius` apart, so only such pairs of
-   tiles meet.
-3. A pair of tiles is compared with exclusive-or and bit counts. It returns a spanning forest of the links it
+   tiles meet. A tile is as large as keeps all cores busy, up to TILE, so a fingerprint is sent about
+   sqrt(8 * cores) times and not once for every 4096 others.
+3. Two tiles are compared block by block, ordered by population count, with exclusive-or and bit counts; blocks
+   whose counts differ beyond the radius are skipped. A pair of tiles returns a spanning forest of the links it
    finds, at most one row a fingerprint: a group of n near copies never gives n * n rows.
 4. Large-star and small-star rounds turn the forests into stars; each round is checkpointed to the shared folder.
+   Nodes with more than a fair share of all edges are at most as many as there are partitions; they alone are
+   broadcast, so no star's centre lands in one task.
 
-With `similar` the links of steps 2 to 4 are candidates only. Texts are then told apart by their sets of shingles, each
-group of candidates is dealt to tasks of bounded size (a large one as pairs of its parts), every candidate link whose
-ends aren't joined yet is verified there by the exact Jaccard similarity of the sets, and step 4 is repeated over
-verified links alone.
+With `similar` the links of steps 2 to 4 are candidates only (and their sets' sizes must allow the similarity). Texts are
+then told apart by their sets of shingles, each group of candidates is dealt to tasks of bounded size (a large one
+as pairs of its parts, by size), every candidate link whose ends aren't joined yet is verified there by the exact
+Jaccard similarity of the sets, and step 4 is repeated over verified links alone.
 
 Copies share a fingerprint, so a hot group is one row from step 2 on. The driver sees a histogram of population
-counts and two numbers a round. Comparisons grow with the square of the distinct fingerprints (that is the method);
-tiles of fixed size bound memory.
+counts and a few numbers a round. Comparisons grow with the square of the distinct fingerprints (that is the method);
+tiles of bounded size bound memory.
 
 Edge cases: null, empty and blank texts have fingerprint 0 and are linked like any other. Rows with equal ids are
 kept, one result each. A null id takes part and gets its group's id, which is null only if the group has no id.
@@ -23,22 +27,27 @@ kept, one result each. A null id takes part and gets its group's id, which is nu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import mix, ragged, ready, steps, utf8, word_spans
+from ._common import mix, partitions, ragged, ready, steps, utf8, word_spans, written
 
 SEED = 42
-TILE = 4096
-#: Pairs of fingerprints that one vectorised step compares.
-STEP_PAIRS = 1 << 17
-#: Text bytes that one part of a group of candidates holds.
-PART_BYTES = 8 << 20
+#: Most fingerprints of a tile; fewer than LEAST_TILE are not worth a tile of their own.
+TILE, LEAST_TILE = 1 << 19, 1 << 12
+#: Fingerprints of either side that one vectorised step compares.
+LEFT, RIGHT = 256, 512
+#: Texts, and bytes of them, that one part of a group of candidates holds.
+PART_ROWS, PART_BYTES = 1 << 14, 12 << 20
+#: Rows that a key may have at least before it counts as hot.
+FAIR = 1000
 #: Settings for near copies by distinct five-word shingles of Jaccard similarity 4 / 5 or more. By calculation such a
 #: pair differs in 38.8 of 256 bits on average (standard deviation 5.7), one of four against five shingles in 48 (6.2):
 #: 72 bits leave out some pairs of the shortest texts, 1 in 10,000. Unrelated texts are 128 bits apart (8). Links within the
@@ -113,14 +122,14 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: in
     return majority(*shingle_hashes(data, offsets, words), len(offsets) - 1, parts)
 
 
-def sets_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """One fingerprint a row over its different shingles, and a 64-bit hash of their set."""
+def sets_of(data: np.ndarray, offsets: np.ndarray, words: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One fingerprint a row over its different shingles, a 64-bit hash of their set, and its size."""
     hashes, rows = distinct_shingles(data, offsets, words)
     content = np.zeros(len(offsets) - 1, np.uint64)
     at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else rows
     if len(at):
         content[rows[at]] = np.add.reduceat(mix(hashes ^ np.uint64(0xA0761D6478BD642F)), at)
-    return majority(hashes, rows, len(offsets) - 1, parts), content
+    return majority(hashes, rows, len(offsets) - 1, parts), content, np.bincount(rows, minlength=len(content)).astype(np.int32)
 
 
 def print_lists(prints: np.ndarray) -> pa.ListArray:
@@ -142,19 +151,21 @@ def fingerprints(docs: DataFrame, words: int = 4, parts: int = 1, id_column: str
     return docs.select(id_column, text_column).mapInArrow(run, f"id {kind}, print array<long>")
 
 
-def shingle_sets(docs: DataFrame, words: int, parts: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, text, print, content): the fingerprint over different shingles, and a hash of their set."""
+def shingle_sets(docs: DataFrame, words: int, parts: int, text_column: str) -> DataFrame:
+    """The rows with their fingerprint over different shingles, a hash of their set and its size, in the columns print, content, size."""
     ready(docs.sparkSession)
+    names = docs.columns
+    at = names.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            found = [(np.zeros((0, parts), np.uint64), np.zeros(0, np.uint64)), *(sets_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words, parts) for i, j in steps(offsets))]
-            prints, content = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), print_lists(prints), pa.array(content.view(np.int64))], ["id", "text", "print", "content"])
+            data, offsets = utf8(batch.column(at))
+            found = [(np.zeros((0, parts), np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)), *(sets_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words, parts) for i, j in steps(offsets))]
+            prints, content, size = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([*batch.columns, print_lists(prints), pa.array(content.view(np.int64)), pa.array(size)], [*names, "print", "content", "size"])
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(run, f"id {kind}, text string, print array<long>, content long")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, print array<long>, content long, size int")
 
 
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,25 +192,42 @@ def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, n
     return u, v
 
 
-def linked(a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between two tiles: (node, smallest of its group here). left, right: the rows' nodes."""
-    nodes, place = np.unique(np.concatenate([left, right]), return_inverse=True)
-    left, right = place[: len(a)], place[len(a) :]
+class Tile:
+    """Fingerprints ordered by population count, with their nodes and the sizes of their sets (0 where they don't matter)."""
+
+    def __init__(self, nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray):
+        pops = np.bitwise_count(prints).sum(1, dtype=np.int64)
+        order = np.argsort(pops, kind="stable")
+        self.nodes, self.prints, self.sizes, self.pops = nodes[order], prints[order], sizes[order], pops[order]
+
+
+def linked(a: Tile, b: Tile, radius: int, similar: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between two tiles (or in one, given twice): (node, smallest of its group here)."""
+    nodes, place = np.unique(np.concatenate([a.nodes, b.nodes]), return_inverse=True)
+    left, right = place[: len(a.nodes)], place[len(a.nodes) :]
     label = np.arange(len(nodes))
-    us, vs = [], []
-    step = max(1, STEP_PAIRS // max(1, len(b)))
-    for i in range(0, len(a), step):
-        u, v = near_pairs(a[i : i + step], b, radius)
-        u, v = left[u + i], right[v]
-        u, v = u[u != v], v[u != v]
-        if len(u):
-            us.append(u)
-            vs.append(v)
-            if sum(map(len, us)) > 1 << 21:  # fold links into labels: memory stays bounded in a dense tile
-                settle(label, np.concatenate(us), np.concatenate(vs))
-                low = np.flatnonzero(label != np.arange(len(nodes)))
-                us, vs = [low], [label[low]]
-    if us:
+    us, vs, held = [], [], 0
+    for i in range(0, len(left), LEFT):
+        block = a.prints[i : i + LEFT]
+        low = np.searchsorted(b.pops, a.pops[i] - radius)
+        high = np.searchsorted(b.pops, a.pops[min(i + LEFT, len(left)) - 1] + radius, "right")
+        for j in range(max(low, i) if a is b else low, high, RIGHT):
+            u, v = near_pairs(block, b.prints[j : min(j + RIGHT, high)], radius)
+            u, v = u + i, v + j
+            if similar and len(u):
+                small, large = np.minimum(a.sizes[u], b.sizes[v]), np.maximum(a.sizes[u], b.sizes[v])
+                hope = (small > 0) & (similar[1] * small >= similar[0] * large)
+                u, v = u[hope], v[hope]
+            u, v = left[u], right[v]
+            apart = label[u] != label[v]
+            if apart.any():
+                us.append(u[apart])
+                vs.append(v[apart])
+                held += len(us[-1])
+                if held > 1 << 18:  # fold links into labels: memory stays bounded in a dense tile
+                    settle(label, np.concatenate(us), np.concatenate(vs))
+                    us, vs, held = [], [], 0
+    if held:
         settle(label, np.concatenate(us), np.concatenate(vs))
     moved = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[moved], nodes[label[moved]]
@@ -249,31 +277,61 @@ def tiling(sizes: dict[int, int], most: int, radius: int, tile: int) -> tuple[li
     return first, many, low, high
 
 
-def links(prints: DataFrame, radius: int, tile: int = 0) -> DataFrame:
-    """(u, v) with v < u: forests of the nodes at most `radius` bits apart. prints: distinct (node, print)."""
-    tile = tile or TILE
+def links(prints: DataFrame, radius: int, similar: tuple[int, int] | None = None) -> DataFrame:
+    """(u, v) with v < u: forests of the nodes at most `radius` bits apart. prints: distinct (node, print, size), written."""
+    spark = prints.sparkSession
     pops = F.aggregate("print", F.lit(0), lambda n, x: n + F.bit_count(x))
     counted = prints.withColumn("pop", pops)
-    sizes = {r["pop"]: r["n"] for r in counted.groupBy("pop").agg(F.count("*").alias("n")).collect()}
-    parts = (counted.select(F.max(F.size("print"))).first()[0]) or 1
-    first, many, low, high = (F.array(*map(F.lit, x))[F.col("pop")] for x in tiling(sizes, 64 * parts, radius, tile))
-    tiles = (
-        counted.select("node", "print", (first + F.pmod(F.xxhash64("print"), many).cast("int")).alias("tile"), low.alias("low"), high.alias("high"))
-        .groupBy("tile")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list(F.struct("node", "print")).alias("rows"))
-    )
-    packed = tiles.select("tile", "low", "high", F.col("rows.node").alias("nodes"), F.flatten("rows.print").alias("prints"))
-    mine = packed.select(F.col("tile").alias("a"), F.explode(F.sequence("tile", F.greatest("high", "tile"))).alias("b"), F.col("nodes").alias("left"), F.col("prints").alias("left_prints"))
-    theirs = packed.select(F.explode(F.sequence(F.least("low", "tile"), "tile")).alias("a"), F.col("tile").alias("b"), F.col("nodes").alias("right"), F.col("prints").alias("right_prints"))
+    seen = counted.groupBy("pop").agg(F.count("*").alias("n"), F.max(F.size("print")).alias("parts")).collect()
+    sizes, parts = {r["pop"]: r["n"] for r in seen}, max((r["parts"] for r in seen), default=1)
+    total = sum(sizes.values())
+    tile = min(TILE, max(LEAST_TILE, -(-total // math.ceil(math.sqrt(8 * spark.sparkContext.defaultParallelism)))))
+    tiles_of = tiling(sizes, 64 * parts, radius, tile)
+    many_tiles = tiles_of[0][-1] + tiles_of[1][-1]
+    n = max(1, min(partitions(spark), many_tiles * (many_tiles + 1) // 2))
+    first, many, low, high = (F.array(*map(F.lit, x))[F.col("pop")] for x in tiles_of)
+    dealt = counted.select("node", "print", "size", (first + F.pmod(F.xxhash64("print"), many).cast("int")).alias("tile"), low.alias("low"), high.alias("high"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        blob = lambda values: pa.array([values.tobytes()], pa.binary())
+        prints = table.column("print").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        bounds = [pa.array([f(table.column(c)).as_py()], pa.int32()) for c, f in (("tile", pc.min), ("low", pc.min), ("high", pc.max))]
+        return pa.table([*bounds, blob(table.column("node").to_numpy()), blob(prints), blob(table.column("size").to_numpy())], ["tile", "low", "high", "nodes", "prints", "sizes"])
+
+    tiles = dealt.groupBy("tile").applyInArrow(pack, "tile int, low int, high int, nodes binary, prints binary, sizes binary")
+    meet = F.sequence("low", F.greatest("high", "tile"))
+    pairs = tiles.withColumn("other", F.explode(meet)).select(F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "nodes", "prints", "sizes")
+
+    def tile_of(nodes: bytes, words: bytes, counts: bytes) -> Tile:
+        return Tile(np.frombuffer(nodes, np.int64), np.frombuffer(words, np.uint64).reshape(-1, parts), np.frombuffer(counts, np.int32))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, None
         for batch in batches:
             for i in range(len(batch)):
-                left, a, right, b = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(4))
-                u, v = linked(a.view(np.uint64).reshape(-1, parts), b.view(np.uint64).reshape(-1, parts), left, right, radius)
+                pair = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                mine = tile_of(*(batch.column(k)[i].as_py() for k in (3, 4, 5)))
+                if pair[0] != pair[1] and now != pair:
+                    now, held = pair, mine  # the other one follows
+                    continue
+                u, v = linked(mine if pair[0] == pair[1] else held, mine, radius, similar)
+                now, held = None, None
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    return mine.join(theirs, ["a", "b"]).select("left", "left_prints", "right", "right_prints").mapInArrow(compare, "u long, v long").where("u <> v")
+    return pairs.repartition(n, "a", "b").sortWithinPartitions("a", "b", "tile").mapInArrow(compare, "u long, v long").where("u <> v")
+
+
+def spread_join(rows: DataFrame, by_key: DataFrame, key: list[str], total: int, largest: int) -> DataFrame:
+    """rows joined to by_key (one row a key, n: how many of rows have it; both written) without a task for a hot key.
+
+    Keys with more than a fair share of all `total` rows are at most as many as partitions, so those may be broadcast.
+    """
+    fair = max(FAIR, total // partitions(rows.sparkSession))
+    if largest <= fair:
+        return rows.join(by_key.drop("n"), key)
+    hot = F.broadcast(by_key.where(F.col("n") > fair).drop("n"))
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(by_key.where(F.col("n") <= fair).drop("n"), key)
+    return rows.join(hot, key).unionByName(rest)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -281,15 +339,15 @@ def components(edges: DataFrame) -> DataFrame:
     turned = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     state = None
     while True:
-        now = tuple(turned.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state:
-            return turned.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
         both = turned.unionByName(turned.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"), F.sum(F.xxhash64(F.least("u", "v"), F.greatest("u", "v")).cast("decimal(38,0)")).alias("h"))
+        total, largest, check = low.agg(F.sum("n"), F.max("n"), F.sum("h")).first()
+        if (total, check) == state:
+            return turned.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        state, (total, largest) = (total, check), (total or 0, largest or 0)
+        large = spread_join(both, low.drop("h"), ["u"], total, largest).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = spread_join(large, low, ["u"], total, largest).select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v")
         turned = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().checkpoint()
 
 
@@ -318,7 +376,7 @@ def verified(prints: np.ndarray, ids: np.ndarray, at: np.ndarray, left: np.ndarr
     """
     label, size = np.arange(len(prints)), np.diff(at)
     mark = np.zeros(int(ids.max(initial=0)) + 1, bool)
-    step = max(1, STEP_PAIRS // max(1, len(right)))
+    step = max(1, LEFT * RIGHT // max(1, len(right)))
     for i in range(0, len(left), step):
         u, v = near_pairs(prints[left[i : i + step]], prints[right], radius)
         u, v = left[u + i], right[v]
@@ -337,20 +395,37 @@ def verified(prints: np.ndarray, ids: np.ndarray, at: np.ndarray, left: np.ndarr
 
 
 def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius: int, similar: tuple[int, int]) -> DataFrame:
-    """(u, v): forests of the candidate links that hold. candidates: (node, print, size, root); texts: (node, text)."""
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-    sizes = sizes.withColumn("k", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("bytes") / PART_BYTES), F.lit(1)).cast("int")).checkpoint()
-    n, size = sizes.where("k = 1").agg(F.sum("n"), F.sum("bytes")).first()
-    buckets = max(1, -(-(n or 0) // TILE), -(-(size or 0) // PART_BYTES))
-    large = sizes.where("k > 1").select("root", "k")  # at least a tile or PART_BYTES each
+    """(u, v): forests of the candidate links that hold. candidates: (node, print, size, bytes, root); texts: (node, text).
+
+    A large group is parted by the sizes of its sets, in steps of the least ratio that similar sets can have, and each
+    step evenly; parts of one step and of the next one meet.
+    """
+    ratio = math.log(similar[1] / similar[0])
+    stepped = candidates.withColumn("step", F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(ratio) + F.lit(1e-9)).cast("int"))
+    per_step = stepped.groupBy("root", "step").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / PART_ROWS), F.ceil(F.col("bytes") / PART_BYTES), F.lit(1)).cast("int")
+    groups = per_step.groupBy("root").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("step", parts.alias("k"))))).alias("k"))
+    is_large = (F.col("n") > PART_ROWS) | (F.col("bytes") > PART_BYTES)
+    groups = groups.select("root", "n", "bytes", F.when(is_large, F.col("k")).alias("k")).checkpoint()
+    total, largest, n, size = (x or 0 for x in groups.agg(F.sum("n"), F.max("n"), F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.sum(F.when(F.col("k").isNull(), F.col("bytes")))).first())
+    buckets = max(1, -(-n // PART_ROWS), -(-size // PART_BYTES))
+    own = F.pmod(F.xxhash64("node"), F.col("k")[F.col("step")]).cast("int")
+    pair = lambda step, i, j: F.struct(step.alias("step"), i.alias("i"), j.alias("j"))
+    within = F.transform(F.sequence(F.lit(0), F.col("k")[F.col("step")] - 1), lambda o: pair(F.col("step"), F.least("part", o), F.greatest("part", o)))
+    none = F.array().cast("array<struct<step:int,i:int,j:int>>")
+    beside = lambda step, make: F.when(F.col("k")[step].isNull(), none).otherwise(F.transform(F.sequence(F.lit(0), F.coalesce(F.col("k")[step], F.lit(1)) - 1), make))
+    after = beside(F.col("step") + 1, lambda o: pair(F.col("step"), F.col("part"), -1 - o))
+    before = beside(F.col("step") - 1, lambda o: pair(F.col("step") - 1, o, -1 - F.col("part")))
     dealt = (
-        candidates.join(F.broadcast(large), "root", "left")
+        spread_join(stepped.drop("bytes"), groups.drop("bytes"), ["root"], total, largest)
+        .withColumn("part", F.when(F.col("k").isNull(), F.lit(0)).otherwise(own))
         .withColumn("key", F.when(F.col("k").isNull(), -1 - F.pmod(F.xxhash64("root"), F.lit(buckets))).otherwise(F.col("root")))
-        .withColumn("k", F.coalesce("k", F.lit(1)))
-        .select("node", "print", "key", "k", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("part"))
+        .withColumn("meets", F.when(F.col("k").isNull(), F.array(pair(F.lit(0), F.lit(0), F.lit(0)))).otherwise(F.concat(within, after, before)))
+        .withColumn("here", F.when(F.col("k").isNull(), F.lit(0)).otherwise(F.col("step")))
+        .select("key", "node", "print", "part", "here", "meets")
         .join(texts, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "print", "text")
+        .withColumn("meet", F.explode("meets"))
+        .select("key", "meet.step", "meet.i", "meet.j", "part", "here", "node", "print", "text")
     )
 
     def verify(key: tuple, table: pa.Table) -> pa.Table:
@@ -360,13 +435,45 @@ def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius:
         rows = np.concatenate([r + i for (_, r), (i, _) in zip(found, steps(offsets), strict=True)])
         ids = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)[1]
         prints = np.array(table.column("print").to_pylist(), np.int64).view(np.uint64).reshape(len(offsets) - 1, -1)
-        part = table.column("part").to_numpy()
-        left, right = (np.flatnonzero(part == k.as_py()) for k in key[1:])
+        _, step, i, j = (k.as_py() for k in key)
+        part, here = table.column("part").to_numpy(), table.column("here").to_numpy()
+        left = np.flatnonzero((here == step) & (part == i))
+        right = np.flatnonzero((here == step) & (part == j)) if j >= 0 else np.flatnonzero((here == step + 1) & (part == -1 - j))
         label = verified(prints, ids, np.searchsorted(rows, np.arange(len(offsets))), left, right, radius, similar)
         node, moved = table.column("node").to_numpy(), np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"u": pa.array(node[moved], pa.int64()), "v": pa.array(node[label[moved]], pa.int64())})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(verify, "u long, v long")
+    return dealt.groupBy("key", "step", "i", "j").applyInArrow(verify, "u long, v long")
+
+
+def roots_of(distinct: DataFrame, edges: DataFrame, same: list[str]) -> DataFrame:
+    """(*same, n, keeper): for each distinct row the smallest keeper of its group. distinct: (*same, node, n, keeper), written."""
+    roots = components(edges).withColumnRenamed("node", "of")
+    placed = distinct.join(roots, F.col("node") == F.col("of"), "left").select(*same, F.col("n").alias("copies"), "keeper", F.coalesce("root", "node").alias("root")).checkpoint()
+    named = placed.groupBy("root").agg(F.min("keeper").alias("least"), F.count("*").alias("n")).checkpoint()
+    total, largest = (x or 0 for x in named.agg(F.sum("n"), F.max("n")).first())
+    return spread_join(placed.drop("keeper"), named, ["root"], total, largest).select(*same, F.col("copies").alias("n"), F.col("least").alias("keeper")).checkpoint()
+
+
+def distinct_of(rows: DataFrame, same: list[str], node, *more) -> DataFrame:
+    """One row for each fingerprint (and set): its node, how many rows have it, and the first of them: the one with the smallest id."""
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("row")))
+    return rows.groupBy(*same).agg(F.count("*").alias("n"), first.alias("keeper"), *more).withColumn("node", node).checkpoint()
+
+
+def verified_groups(rows: DataFrame, words: int, radius: int, similar: tuple[int, int], text_column: str) -> tuple[list[str], DataFrame]:
+    """Groups of near copies. rows: (row, id, text, print, content, size), written."""
+    same = ["print", "content"]
+    distinct = distinct_of(rows, same, F.col("keeper.row"), F.max("size").alias("size"), F.max(F.coalesce(F.octet_length(text_column), F.lit(0))).alias("bytes"))
+    loose = components(links(distinct, radius, similar))
+    members = loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct())
+    candidates = distinct.select("node", "print", "size", "bytes").join(members, "node").checkpoint()
+    texts = rows.select(F.col("row").alias("node"), F.col(text_column).alias("text"))
+    return same, roots_of(distinct, verified_links(candidates, texts, words, radius, similar), same)
+
+
+def sum_and_max(of: DataFrame) -> tuple[int, int]:
+    return tuple(x or 0 for x in of.agg(F.sum("n"), F.max("n")).first())
 
 
 def near_duplicates(
@@ -378,25 +485,26 @@ def near_duplicates(
     similar: links hold only between sets of different shingles of that Jaccard similarity (a fraction) or more.
     """
     if similar:
-        prints = shingle_sets(docs, words, parts, id_column, text_column).withColumn("row", F.monotonically_increasing_id()).checkpoint()
-        same = ["print", "content"]
-        distinct = prints.groupBy(*same).agg(F.min("id").alias("least"), F.min("row").alias("node"), F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size")).checkpoint()
-        loose = components(links(distinct.select("node", "print"), radius))
-        members = loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct())
-        edges = verified_links(distinct.select("node", "print", "size").join(members, "node"), prints.select(F.col("row").alias("node"), "text"), words, radius, similar)
+        rows = written(shingle_sets(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), words, parts, "text").withColumn("row", F.monotonically_increasing_id()))
+        same, of = verified_groups(rows, words, radius, similar, "text")
     else:
-        prints = fingerprints(docs, words, parts, id_column, text_column).checkpoint()
-        same = ["print"]
-        distinct = prints.groupBy("print").agg(F.min("id").alias("least"))
-        if parts == 1:
-            distinct = distinct.withColumn("node", F.col("print")[0])
-        else:  # checkpointed, so that a node's number is the same whenever it is read
-            distinct = distinct.withColumn("node", F.monotonically_increasing_id()).checkpoint()
-        edges = links(distinct.select("node", "print"), radius)
-    roots = components(edges).withColumnRenamed("node", "of")
-    placed = distinct.join(roots, F.col("node") == F.col("of"), "left").select(*same, "least", F.coalesce("root", "node").alias("root"))
-    # apart from the join, so that a large group's rows there are a plain shuffle that Spark can split
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
-    of = placed.join(named, "root").select(*same, "component_id")
+        rows, same = fingerprints(docs, words, parts, id_column, text_column).withColumn("row", F.monotonically_increasing_id()).checkpoint(), ["print"]
+        distinct = distinct_of(rows, same, F.col("print")[0] if parts == 1 else F.col("keeper.row")).withColumn("size", F.lit(0))
+        of = roots_of(distinct, links(distinct, radius), same)
     shown = F.array_join(F.transform("print", lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
-    return prints.select("id", *same).join(of, same).select(F.col("id").alias(id_column), shown.alias("fingerprint"), "component_id")
+    found = spread_join(rows.select("id", *same), of, same, *sum_and_max(of))
+    return found.select(F.col("id").alias(id_column), shown.alias("fingerprint"), F.col("keeper.id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, words: int, radius: int, parts: int, similar: tuple[int, int], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of docs without all but one of each group: the one with the smallest id (then the first row) stays.
+
+    Rows are told apart as rows, so equal and null ids take nothing with them; a row without an id stays only if its
+    group has none with one.
+    """
+    names = [F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    text, key = (f"c{docs.columns.index(c)}" for c in (text_column, id_column))
+    rows = written(shingle_sets(docs.select(*names), words, parts, text).withColumns({"row": F.monotonically_increasing_id(), "id": F.col(key)}))
+    same, of = verified_groups(rows, words, radius, similar, text)
+    keepers = of.select(F.col("keeper.row").alias("row")).distinct()
+    return rows.join(keepers, "row", "left_semi").select(*(F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)))

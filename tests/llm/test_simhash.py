@@ -56,8 +56,42 @@ def test_tiles_return_a_forest():
     base = rnd.integers(0, 1 << 63, 1, dtype=np.uint64)
     near = np.unique(base ^ (np.uint64(1) << rnd.integers(0, 64, 300, dtype=np.uint64)))
     nodes = np.arange(len(near))
-    u, v = simhash.linked(near[:, None], near[:, None], nodes, nodes, 4)
+    tile = simhash.Tile(nodes, near[:, None], np.zeros(len(near), np.int32))
+    u, v = simhash.linked(tile, tile, 4)
     assert len(u) == len(near) - 1 and len(set(v.tolist())) == 1
+    halves = [simhash.Tile(nodes[k::2], near[k::2, None], np.zeros(len(near[k::2]), np.int32)) for k in (0, 1)]
+    u, v = simhash.linked(*halves, 4)
+    assert len(u) == len(near) - 1 and len(set(v.tolist())) == 1
+
+
+def test_no_pair_of_tiles_loses_a_link():
+    """Random fingerprints of all population counts, in one tile and in two, against all pairs."""
+    rnd = np.random.default_rng(6)
+    prints = np.unique(np.concatenate([rnd.integers(0, 1 << 20, 300), rnd.integers(0, 1 << 63, 100)]).astype(np.uint64))
+    size = rnd.integers(1, 30, len(prints)).astype(np.int32)
+    apart = np.bitwise_count(prints[:, None] ^ prints[None, :])
+    for similar in (None, (4, 5)):
+        link = apart <= 4
+        if similar:
+            link &= 5 * np.minimum(size[:, None], size[None, :]) >= 4 * np.maximum(size[:, None], size[None, :])
+        label = np.arange(len(prints))
+        simhash.settle(label, *np.nonzero(link))
+        tile = simhash.Tile(np.arange(len(prints)), prints[:, None], size)
+        u, v = simhash.linked(tile, tile, 4, similar)
+        found = np.arange(len(prints))
+        simhash.settle(found, u, v)
+        assert found.tolist() == label.tolist()
+
+
+def test_a_hot_star_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FAIR", 10)
+    edges = spark.createDataFrame([(i, 0) for i in range(1, 300)] + [(i + 1000, i) for i in range(50)] + [(5001, 5000)], "u long, v long")
+    found = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    assert found == {i: 0 for i in [*range(1, 300), *range(1000, 1050)]} | {5001: 5000}
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 1, k) for k in range(300)], "k int, x int")
+    by_key = rows.groupBy("k").count().withColumnRenamed("count", "n").withColumn("y", rows["k"] * 2)
+    got = simhash.spread_join(rows, by_key, ["k"], 300, 150)
+    assert sorted((r["x"], r["y"]) for r in got.collect()) == sorted((r["x"], 2 * r["k"]) for r in rows.collect())
 
 
 def test_near_pairs_of_long_fingerprints():
@@ -148,6 +182,25 @@ def test_groups_below_the_similarity_stay_apart(spark, monkeypatch):
     rows = templates([0.5, 0.6, 0.7, 0.76, 0.79, 0.85], 40)
     want = plain_groups(rows)
     assert len(set(want.values())) > 150 and len({want[i] for i in range(200, 240)}) < 5
-    for tile in (4096, 16):  # whole groups in one task, and pairs of parts
-        monkeypatch.setattr(simhash, "TILE", tile)
+    for part in (4096, 16):  # whole groups in one task, and pairs of parts
+        monkeypatch.setattr(simhash, "TILE", part)
+        monkeypatch.setattr(simhash, "PART_ROWS", part)
         assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(corpus.frame(spark, rows), **simhash.NEAR).collect()} == want
+
+
+def test_parts_of_a_group_meet_by_size(spark, monkeypatch):
+    """A chain of texts that grow by a word each is one group; its parts hold neighbouring sizes only."""
+    monkeypatch.setattr(simhash, "PART_ROWS", 8)
+    base = [f"word{k}" for k in range(120)]
+    rows = [(n, " ".join(base[:n])) for n in range(8, 120)]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(corpus.frame(spark, rows), **simhash.NEAR).collect()}
+    assert found == plain_groups(rows)
+
+
+def test_one_row_of_each_group_stays(spark):
+    base = " ".join(f"word{k}" for k in range(60))
+    rows = [(5, base), (5, "a text of its own under the same id " * 3), (7, base), (None, base + " more"), (None, "no id and no copy of anything at all here"), (None, None), (9, "")]
+    kept = simhash.first_of_each(corpus.frame(spark, rows), **simhash.NEAR)
+    assert kept.columns == corpus.frame(spark, rows).columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert corpus.normal(found) == corpus.normal([r for k, r in enumerate(rows) if k not in (2, 3, 5)])
