@@ -13,7 +13,7 @@ MASK = "<{}>"
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go. A null or empty text is judged by the model's bias; ids don't matter."""
     others = tuple(c for c in COLUMNS if c != "doc_id")
     scored = quality.classify(docs.select(*COLUMNS), table(spark, sf_dir, "labels", "doc_id", "quality"), passed=others)
     return scored.where("predicted = 1").select(*COLUMNS)
@@ -23,27 +23,24 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """One document of each group of near copies stays: the one with the smallest id. A group is what links reach, each
     verified as an exact Jaccard similarity of distinct five-word shingles of 0.8 or more.
 
-    Rows with that id stay together; a row with a null id can't be told apart from others and stays.
+    Null, empty and blank texts are copies of each other. Rows are told apart as rows: one that shares its id with a
+    removed row, or has none, goes only if it is a copy itself. An empty table stays empty.
     """
     ready(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"), **simhash.NEAR)
-    gone = groups.where("component_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    return kept.select(*COLUMNS)
+    return simhash.first_of_each(docs.select(*COLUMNS), **simhash.NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontaminate.matches(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return docs.select(*COLUMNS).join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold a benchmark item go, row by row, whatever their ids; null and empty texts stay."""
+    return decontaminate.without(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span of personal data is replaced by its kind; n_chars follows."""
+    """Every span of personal data is replaced by its kind; n_chars follows. Null and empty texts stay as they are."""
     masked = pii.scan(docs.select(*COLUMNS), passed=("lang", "source"), mask=MASK)
     return masked.select("doc_id", F.col("masked").alias("text"), "lang", "source", F.length("masked").cast("long").alias("n_chars"))
 
 
 def lexical_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences: one row a piece."""
+    """What is left, packed into sequences: one row a piece. A null or empty text is its end id alone; no text, no piece."""
     return packing.pack(docs.select("doc_id", "text"))
