@@ -5,9 +5,11 @@ Each block of vectors is centred, rotated by a fixed random orthogonal matrix an
 residual with its code. For a query these give an unbiased estimate of the inner product and a bound on its error;
 vectors whose upper bound reaches the running k-th best lower bound are reranked exactly, in double precision.
 
-All queries meet all vectors, block by block: a task owns a block of queries and one of LANES shares of the vector
-blocks, which stream past it in order, so it holds one block of each. It returns one row a query; LANES is fixed,
-so what meets in the last step is LANES * k entries a query whatever the size of the table.
+Codes are built once, where a block of vectors is put together, and travel with it; vectors travel in the type they
+have in the table. All queries meet all vectors, block by block: a task owns a block of queries and one share ("lane")
+of the vector blocks, which stream past it in order, so it holds one block of each. Vectors are sent once for each
+QUERY_BLOCK queries. A task returns one row a query; there are as many lanes as keep the cores busy, so what meets in
+the last step is lanes * k entries a query whatever the size of the table.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, as query or candidate;
 neither do rows with a null id or, beside the commonest, vectors of another length. A query without other vectors
@@ -24,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ready
+from ._common import partitions, ready
 
-QUERY_BLOCK, VECTOR_BLOCK, LANES = 512, 4096, 8
+QUERY_BLOCK, VECTOR_BLOCK = 4096, 4096
+#: Tasks for each core, at the least, where there are vectors enough.
+TASKS = 4
 #: Standard errors that the bound spans; a miss needs an estimate further off than this.
 SIGMAS = 4.0
 
@@ -39,15 +43,24 @@ def rotation(dims: int) -> np.ndarray:
 class Codes:
     """The one-bit index of one block of vectors."""
 
-    def __init__(self, vectors: np.ndarray, turn: np.ndarray):
-        self.center = vectors.mean(0)
-        residual = vectors - self.center
-        self.radius = np.linalg.norm(residual, axis=1)
-        unit = np.divide(residual, self.radius[:, None], out=np.zeros_like(residual), where=self.radius[:, None] > 0) @ turn.T
-        self.bits = np.packbits(unit > 0, axis=1)
-        dims = vectors.shape[1]
-        self.fit = np.abs(unit).sum(1) / np.sqrt(dims)  # <code, unit residual>
-        self.dims = dims
+    def __init__(self, center: np.ndarray, radius: np.ndarray, fit: np.ndarray, bits: np.ndarray):
+        self.center, self.radius, self.fit, self.bits, self.dims = center, radius, fit, bits, len(center)
+
+    @classmethod
+    def of(cls, vectors: np.ndarray, turn: np.ndarray) -> Codes:
+        center = vectors.mean(0)
+        residual = vectors - center
+        radius = np.linalg.norm(residual, axis=1)
+        unit = np.divide(residual, radius[:, None], out=np.zeros_like(residual), where=radius[:, None] > 0) @ turn.T
+        return cls(center, radius, np.abs(unit).sum(1) / np.sqrt(vectors.shape[1]), np.packbits(unit > 0, axis=1))  # fit: <code, unit residual>
+
+    def tobytes(self) -> bytes:
+        return b"".join(x.tobytes() for x in (self.center, self.radius, self.fit, self.bits))
+
+    @classmethod
+    def frombytes(cls, blob: bytes, dims: int, n: int) -> Codes:
+        numbers = np.frombuffer(blob, np.float64, dims + 2 * n)
+        return cls(numbers[:dims], numbers[dims : dims + n], numbers[dims + n :], np.frombuffer(blob, np.uint8, offset=8 * len(numbers)).reshape(n, -1))
 
     def bounds(self, query: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds of the inner products of each query with each vector."""
@@ -77,8 +90,7 @@ class Best:
         self.found = [(np.zeros(0), np.zeros(0, np.int64)) for _ in ids]
         self.least = np.full(len(ids), -np.inf)
 
-    def meet(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray) -> None:
-        codes = Codes(vectors, turn)
+    def meet(self, ids: np.ndarray, vectors: np.ndarray, codes: Codes, turn: np.ndarray) -> None:
         for i in range(0, len(self.ids), 128):
             low, high = codes.bounds(self.vectors[i : i + 128], turn)
             low[self.ids[i : i + 128, None] == ids[None, :]] = -np.inf
@@ -105,24 +117,24 @@ class Best:
         )
 
 
-def matrix(blob: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(blob, np.float64).reshape(-1, dims)
+def matrix(blob: bytes, dims: int, kind: str) -> np.ndarray:
+    return np.frombuffer(blob, kind).reshape(-1, dims).astype(np.float64)
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in the order of (share, block) to one row a block: ids and vectors as bytes."""
-    held: list = []
-    now = None
+def packed(batches: Iterator[pa.RecordBatch], dims: int, kind_of: str) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of (kind, block) to one row a block: ids, vectors and, of vectors, their codes as bytes."""
+    turn, held, now = rotation(dims), [], None
 
     def out():
-        ids = np.concatenate([h[0] for h in held])
-        return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int64()), pa.array([now[1]], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([b"".join(h[1] for h in held)], pa.binary())], ["kind", "block", "ids", "vectors"])
+        ids, blob = np.concatenate([h[0] for h in held]), b"".join(h[1] for h in held)
+        codes = Codes.of(matrix(blob, dims, kind_of), turn).tobytes() if now[0] else None
+        return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int64()), pa.array([now[1]], pa.int64()), *(pa.array([x], pa.binary()) for x in (ids.tobytes(), blob, codes))], ["kind", "block", "ids", "vectors", "codes"])
 
     for batch in batches:
         if not len(batch):
             continue
         kind, block, ids = (batch.column(k).to_numpy() for k in (0, 1, 2))
-        values = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), -1)
+        values = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(kind_of).reshape(len(batch), -1)
         cuts = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | (block[1:] != block[:-1])])
         for a, b in zip(cuts, np.r_[cuts[1:], len(ids)], strict=True):
             if now != (kind[a], block[a]):
@@ -137,7 +149,8 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def nearest(table: DataFrame, is_query, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors of the largest inner product with each row where is_query holds."""
     spark = ready(table.sparkSession)
-    vector = F.col(vector_column).cast("array<double>")
+    narrow = table.schema[vector_column].dataType.simpleString() == "array<float>"
+    kind_of, vector = ("<f4", F.col(vector_column)) if narrow else ("<f8", F.col(vector_column).cast("array<double>"))
     sound = F.col(id_column).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
     rows = table.where(sound).select(F.col(id_column).cast("long").alias("id"), vector.alias("v"), is_query.alias("q"))
     shapes = rows.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("n"), F.count_if("q").alias("queries")).orderBy(F.desc("n"), "dims").limit(1).collect()
@@ -146,32 +159,32 @@ def nearest(table: DataFrame, is_query, k: int = 20, id_column: str = "vec_id",
     dims, n, queries = shapes[0]["dims"], shapes[0]["n"], shapes[0]["queries"]
     rows = rows.where(F.size("v") == dims)
     vector_blocks, query_blocks = -(-n // VECTOR_BLOCK), max(1, -(-queries // QUERY_BLOCK))
+    lanes = max(1, min(vector_blocks, -(-TASKS * spark.sparkContext.defaultParallelism // query_blocks)))
     spread = F.xxhash64("id")
     dealt = rows.select(F.lit(1).cast("long").alias("kind"), F.pmod(spread, F.lit(vector_blocks)).alias("block"), "id", "v").unionByName(
         rows.where("q").select(F.lit(0).cast("long").alias("kind"), F.pmod(spread, F.lit(query_blocks)).alias("block"), "id", "v")
     )
-    blocks = dealt.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(pack, "kind long, block long, ids binary, vectors binary")
-    lanes = F.array(*(F.lit(i) for i in range(LANES)))
+    blocks = dealt.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(lambda batches: packed(batches, dims, kind_of), "kind long, block long, ids binary, vectors binary, codes binary")
     every = F.sequence(F.lit(0), F.lit(query_blocks - 1))
     met = (
-        blocks.withColumn("lane", F.explode(F.when(F.col("kind") == 0, lanes).otherwise(F.array(F.pmod("block", F.lit(LANES)).cast("int")))))
+        blocks.withColumn("lane", F.explode(F.when(F.col("kind") == 0, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.pmod("block", F.lit(lanes)).cast("int")))))
         .withColumn("own", F.explode(F.when(F.col("kind") == 0, F.array(F.col("block").cast("int"))).otherwise(every)))
-        .repartition("own", "lane")
+        .repartition(max(1, min(partitions(spark), 4 * query_blocks * lanes)), "own", "lane")
         .sortWithinPartitions("own", "lane", "kind", "block")
-        .select("own", "lane", "kind", "ids", "vectors")
+        .select("own", "lane", "kind", "ids", "vectors", "codes")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn, best, now = rotation(dims), None, None
         for batch in batches:
-            for own, lane, kind, ids, vectors in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids, vectors = np.frombuffer(ids, np.int64), matrix(vectors, dims)
+            for own, lane, kind, ids, vectors, codes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, vectors = np.frombuffer(ids, np.int64), matrix(vectors, dims, kind_of)
                 if kind == 0:
                     if best:
                         yield best.rows()
                     best, now = Best(ids, vectors, k), (own, lane)
                 elif best and now == (own, lane):
-                    best.meet(ids, vectors, turn)
+                    best.meet(ids, vectors, Codes.frombytes(codes, dims, len(ids)), turn)
         if best:
             yield best.rows()
 

@@ -35,6 +35,13 @@ def test_neighbours_and_ties(spark, monkeypatch, block):
     assert hits / len(want) > 0.99 and np.allclose([g[3] for g in got], [w[3] for w in want], atol=1e-6)
 
 
+def test_vectors_of_doubles(spark):
+    rnd = np.random.default_rng(9)
+    rows = [(i, (rnd.normal(size=7) / 3).tolist()) for i in range(90)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert [tuple(r)[:3] for r in sorted(got)] == [w[:3] for w in expected(rows, 20)]
+
+
 def test_few_and_no_vectors(spark):
     frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert ann.nearest(frame([]), F.col("vec_id") % 20 == 0).collect() == []
@@ -47,7 +54,8 @@ def test_bounds_hold():
     rnd = np.random.default_rng(3)
     vectors, queries = rnd.normal(size=(500, 64)), rnd.normal(size=(40, 64))
     turn = ann.rotation(64)
-    low, high = ann.Codes(vectors, turn).bounds(queries, turn)
+    codes = ann.Codes.of(vectors, turn)
+    low, high = ann.Codes.frombytes(codes.tobytes(), 64, 500).bounds(queries, turn)
     exact = queries @ vectors.T
     assert np.mean((low <= exact) & (exact <= high)) > 0.999
     assert np.mean(high - low) < 0.9 * (exact.max() - exact.min()) * 2
