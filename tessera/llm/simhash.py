@@ -9,8 +9,8 @@
    whose counts differ beyond the radius are skipped. A pair of tiles returns a spanning forest of the links it
    finds, at most one row a fingerprint: a group of n near copies never gives n * n rows.
 4. Large-star and small-star rounds turn the forests into stars; each round is checkpointed to the shared folder.
-   Nodes with more than a fair share of all edges are at most as many as there are partitions; they alone are
-   broadcast, so no star's centre lands in one task.
+   Nodes with more than a fair share of all edges are at most as many as there are partitions; the rows of these
+   alone are spread by a salt, so no star's centre lands in one task.
 
 With `similar` the links of steps 2 to 4 are candidates only (and their sets' sizes must allow the similarity). Texts are
 then told apart by their sets of shingles, each group of candidates is dealt to tasks of bounded size (a large one
@@ -47,7 +47,7 @@ LEFT, RIGHT = 256, 512
 #: Texts, and bytes of them, that one part of a group of candidates holds.
 PART_ROWS, PART_BYTES = 1 << 14, 12 << 20
 #: Rows that a key may have at least before it counts as hot.
-FAIR = 1000
+FAIR = 256
 #: Settings for near copies by distinct five-word shingles of Jaccard similarity 4 / 5 or more. By calculation such a
 #: pair differs in 38.8 of 256 bits on average (standard deviation 5.7), one of four against five shingles in 48 (6.2):
 #: 72 bits leave out some pairs of the shortest texts, 1 in 10,000. Unrelated texts are 128 bits apart (8). Links within the
@@ -322,16 +322,20 @@ def links(prints: DataFrame, radius: int, similar: tuple[int, int] | None = None
 
 
 def spread_join(rows: DataFrame, by_key: DataFrame, key: list[str], total: int, largest: int) -> DataFrame:
-    """rows joined to by_key (one row a key, n: how many of rows have it; both written) without a task for a hot key.
+    """rows joined to by_key (one row a key, n: how many of rows have it) without a task for a hot key.
 
-    Keys with more than a fair share of all `total` rows are at most as many as partitions, so those may be broadcast.
+    Keys with more than a fair share of all `total` rows are at most as many as partitions; the driver learns their
+    hashes, their rows are spread by a salt, and their row in by_key is repeated once for each salt.
     """
     fair = max(FAIR, total // partitions(rows.sparkSession))
     if largest <= fair:
         return rows.join(by_key.drop("n"), key)
-    hot = F.broadcast(by_key.where(F.col("n") > fair).drop("n"))
-    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(by_key.where(F.col("n") <= fair).drop("n"), key)
-    return rows.join(hot, key).unionByName(rest)
+    hash_of = F.xxhash64(*key)
+    hot = hash_of.isin([r[0] for r in by_key.where(F.col("n") > fair).select(hash_of).collect()])
+    salts = -(-largest // fair)
+    salt = F.when(hot, F.pmod(F.xxhash64(*(c for c in rows.columns if c not in key)), F.lit(salts))).otherwise(0).cast("int")
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("__salt", salt).join(by_key.drop("n").withColumn("__salt", F.explode(every)), [*key, "__salt"]).drop("__salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -492,7 +496,7 @@ def near_duplicates(
         distinct = distinct_of(rows, same, F.col("print")[0] if parts == 1 else F.col("keeper.row")).withColumn("size", F.lit(0))
         of = roots_of(distinct, links(distinct, radius), same)
     shown = F.array_join(F.transform("print", lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
-    found = spread_join(rows.select("id", *same), of, same, *sum_and_max(of))
+    found = spread_join(rows.select("id", "row", *same), of, same, *sum_and_max(of))
     return found.select(F.col("id").alias(id_column), shown.alias("fingerprint"), F.col("keeper.id").alias("component_id"))
 
 
