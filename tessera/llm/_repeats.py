@@ -79,16 +79,16 @@ class Anchors:
         at = np.flatnonzero(flags)
         self.key = (g[at] >> np.uint64(16)).astype(np.uint32)
         if ranges:
-            start = np.flatnonzero(whole)
-            mine, wanted = (np.cumsum(flags, dtype=np.int32) - flags)[start], least[start]
-            left = np.flatnonzero(g[at[mine]] != wanted)
+            start = np.flatnonzero(whole).astype(np.int32)
+            mine, wanted, hashes = np.cumsum(flags, dtype=np.int32)[start] - flags[start], least[start], g[at]
+            left = np.flatnonzero(hashes[mine] != wanted)
             while len(left):  # an anchor of a higher hash stands before the window's own
                 mine[left] += 1
-                left = left[g[at[mine[left]]] != wanted[left]]
+                left = left[hashes[mine[left]] != wanted[left]]
             first = np.flatnonzero(np.r_[True, (mine[1:] != mine[:-1]) | (start[1:] != start[:-1] + 1)]) if len(mine) else np.zeros(0, np.int64)
             self.key = self.key[mine[first]]
-            self.low = start[first]
-            self.high = start[np.r_[first[1:], len(start)] - 1] if len(first) else first
+            self.low = start[first].astype(np.int64)
+            self.high = start[np.r_[first[1:], len(start)] - 1].astype(np.int64) if len(first) else first
 
 
 class Entries:
@@ -97,7 +97,7 @@ class Entries:
     def __init__(self, units: Units, size: int, gram: int, repeated: np.ndarray, weights: np.ndarray, add: np.ufunc):
         anchors = Anchors(units, size, gram, ranges=True)
         kinds, place, count = np.unique(anchors.key, return_inverse=True, return_counts=True)
-        take = ((count > 1) | np.isin(kinds, repeated))[place]
+        take = ((count > 1) | np.isin(kinds, repeated, assume_unique=True))[place]
         self.low, high, key = anchors.low[take], anchors.high[take], anchors.key[take]
         self.length = high - self.low + 1
         a, b = units.bounds(self.low, high + size)

@@ -112,8 +112,11 @@ class RunLengthIndex:
             spans[1::2] = self.at[self.by_char[late]] + 1
             self.threshold[late] = np.minimum.reduceat(common * (n + 1) + np.arange(n + 1), spans)[::2] % (n + 1)
 
-    def statistics(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, most: int) -> np.ndarray:
-        """For each place of strings that are streamed the length of its longest match in the index, `most` at the most."""
+    def statistics(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, most: int, least: int = 1) -> np.ndarray:
+        """For each place of strings that are streamed the length of its longest match in the index, `most` at the most.
+
+        Where no match of `least` is possible the length may be 0.
+        """
         starts = np.cumsum(lengths) - lengths
         symbol = np.repeat(groups, lengths) * 256 + text
         char = np.searchsorted(self.symbols, symbol)
@@ -152,11 +155,14 @@ class RunLengthIndex:
             place[:many] -= 1
             left[:many] -= 1
             many = int(np.searchsorted(-left, 0))
+        # lengths, where a match of `least` is possible at all
         out = np.zeros(len(text), np.int64)
-        found = np.flatnonzero(pointer >= 0)
+        own = np.repeat(starts + lengths, lengths) - np.arange(len(text))
+        found = np.flatnonzero((pointer >= 0) & (own >= least))
         there = pointer[found]
-        room = np.minimum(np.repeat(starts + lengths, lengths)[found] - found, self.end[there] - there)
-        out[found] = Bytes(text).match(found, self.text, there, np.minimum(room, most))
+        long = self.end[there] - there >= least
+        found, there = found[long], there[long]
+        out[found] = Bytes(text).match(found, self.text, there, np.minimum(np.minimum(own[found], self.end[there] - there), most))
         return out
 
     def first_of(self, symbols: np.ndarray) -> np.ndarray:
@@ -176,30 +182,39 @@ def index(size: int):
         step = np.cumsum(fresh | np.r_[True, weight[1:] != weight[:-1]])
         rank = np.empty(len(order), np.int64)  # the weight's place among its key's
         rank[order] = step - np.maximum.accumulate(np.where(fresh, step, 0))
-        hit = np.zeros(len(text), bool)
+        # all rounds at once: a string is indexed or streamed once for each bit of the ranks, in groups of the round
+        rounds: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        groups = 0
         for bit in range(int(rank.max(initial=0)).bit_length()):
             group = kind * ((int(rank.max()) >> bit + 1) + 1) + (rank >> bit + 1)
-            late = (rank >> bit & 1).astype(bool)
-            both = np.intersect1d(group[late], group[~late])
-            group = np.where(np.isin(group, both), np.searchsorted(both, group), -1)
-            early, late = (np.flatnonzero((group >= 0) & x) for x in (~late, late))
-            early, late = early[np.argsort(group[early], kind="stable")], late[np.argsort(group[late], kind="stable")]
-            reach, i = np.cumsum(lengths[early]), 0
-            while i < len(early):  # whole strings, as many as one index takes
-                j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + INDEX_BYTES, "right")))
-                some = early[i:j]
-                numbers, own = np.unique(group[some], return_inverse=True)
-                built = RunLengthIndex(text[ragged(at[some], lengths[some])], lengths[some], own)
-                mine = late[np.searchsorted(group[late], numbers[0]) : np.searchsorted(group[late], numbers[-1], "right")]
-                read = np.cumsum(lengths[mine])
-                a = 0
-                while a < len(mine):
-                    b = max(a + 1, int(np.searchsorted(read, (read[a - 1] if a else 0) + INDEX_BYTES, "right")))
-                    part = mine[a:b]
-                    where = ragged(at[part], lengths[part])
-                    hit[where] |= built.statistics(text[where], lengths[part], np.searchsorted(numbers, group[part]), size) >= size
-                    a = b
-                i = j
+            odd = (rank >> bit & 1).astype(bool)
+            both = np.intersect1d(group[odd], group[~odd])
+            at_home = np.minimum(np.searchsorted(both, group), len(both) - 1)
+            taken = both[at_home] == group
+            early, late = np.flatnonzero(taken & ~odd), np.flatnonzero(taken & odd)
+            rounds.append((early, at_home[early] + groups, late, at_home[late] + groups))
+            groups += len(both)
+        if not rounds:
+            return np.zeros(int((lengths - size + 1).sum()), np.int64)
+        early, early_group, late, late_group = (np.concatenate(x) for x in zip(*rounds, strict=True))
+        turn, other = np.argsort(early_group, kind="stable"), np.argsort(late_group, kind="stable")
+        early, early_group, late, late_group = early[turn], early_group[turn], late[other], late_group[other]
+        hit = np.zeros(len(text), bool)
+        reach, i = np.cumsum(lengths[early]), 0
+        while i < len(early):  # whole strings, as many as one index takes
+            j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + INDEX_BYTES, "right")))
+            some, first, last = early[i:j], early_group[i], early_group[j - 1]
+            built = RunLengthIndex(text[ragged(at[some], lengths[some])], lengths[some], early_group[i:j] - first)
+            a, b = np.searchsorted(late_group, first), np.searchsorted(late_group, last, "right")
+            read = np.r_[0, np.cumsum(lengths[late[a:b]])]
+            while a < b:
+                k = max(1, int(np.searchsorted(read, read[0] + INDEX_BYTES, "right")) - 1)
+                part = late[a : a + k]
+                where = ragged(at[part], lengths[part])
+                found = built.statistics(text[where], lengths[part], late_group[a : a + k] - first, size, size) >= size
+                hit[where[found]] = True
+                a, read = a + k, read[k:]
+            i = j
         inner = np.arange(len(text)) + size <= np.repeat(at + lengths, lengths)
         return hit[inner].astype(np.int64)
 

@@ -137,6 +137,7 @@ def test_streamed_statistics_are_longest_matches():
             s = other[e - n : e].tobytes()
             wanted += [max((k for k in range(n - i + 1) if any(h == g and s[i : i + k] in t for h, t in held)), default=0) for i in range(n)]
         assert index.statistics(other, sizes, own, 1000).tolist() == wanted
+        assert ((index.statistics(other, sizes, own, 4, 4) >= 4) == (np.array(wanted) >= 4)).all()
 
 
 def test_runs_shrink_repetitive_texts():
