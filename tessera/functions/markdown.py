@@ -19,16 +19,10 @@ STRATEGY = "json_to_markdown_lines_v2"
 PRUNED = "segment_id"
 RENDERED = struct(
     markdown=S, canonicalHash=S, businessDocumentKey=S, sourceVersion=S, sourceUpdatedAt=S, topLevelType=S, topLevelEntries=L,
-    segmentIds=L, sizeBytes=L, chars=L, lines=L, error=S,
+    sanitizedEntries=L, segmentIds=L, sizeBytes=L, chars=L, lines=L, error=S,
 )
 
 
-def pruned(value):
-    if isinstance(value, dict):
-        return {k: pruned(v) for k, v in value.items() if k != PRUNED}
-    return [pruned(v) for v in value] if isinstance(value, list) else value
-
-
 def count_pruned(value) -> int:
     """Objects that have the key, those inside its own subtrees included."""
     if isinstance(value, dict):
@@ -72,19 +66,15 @@ def lines_of(value, indent: int = 0, key: str | None = None, item: bool = False)
         yield f"{head}:"
     listed = isinstance(value, list)
     inner = indent + 2 if item or (listed and key is not None) else indent
-    for i, child in enumerate(value if listed else value.items()):
+    children = value if listed else [child for child in value.items() if child[0] != PRUNED]
+    for i, child in enumerate(children):
         if i:
             yield ""
         yield from lines_of(child, inner, item=True) if listed else lines_of(child[1], inner, key=str(child[0]))
 
 
 def render(value) -> str:
-    lines = list(lines_of(pruned(value)))
-    while lines and lines[0] == "":
-        lines.pop(0)
-    while lines and lines[-1] == "":
-        lines.pop()
-    return "\n".join(line.rstrip() for line in lines).strip()
+    return "\n".join(line.rstrip() for line in lines_of(value)).strip()
 
 
 def canonical_hash(markdown: str) -> str:
@@ -103,18 +93,18 @@ def normalize(content: bytes) -> tuple:
         value = json.loads(content.decode("utf-8"))
         markdown = render(value)
         known = value if isinstance(value, dict) else {}
-        kind = {dict: "object", list: "array"}.get(type(value), "scalar")
+        entries = len(value) if isinstance(value, dict | list) else 1
         return (
             markdown, canonical_hash(markdown), optional(known.get("report_id")), optional(known.get("source_version")),
-            optional(known.get("report_date") or known.get("source_updated_at")), kind, len(value) if kind != "scalar" else 1,
-            count_pruned(value), len(content), len(markdown), len(markdown.splitlines()) if markdown else 0, None,
+            optional(known.get("report_date") or known.get("source_updated_at")), type(value).__name__, entries, entries - (PRUNED in known),
+            count_pruned(value), len(content), len(markdown), markdown.count("\n") + 1 if markdown else 0, None,
         )
     except (ValueError, RecursionError) as e:
-        return (*[None] * 11, f"{type(e).__name__}: {e}"[:2048])
+        return (*[None] * 12, f"{type(e).__name__}: {e}"[:2048])
 
 
 @F.pandas_udf(RENDERED)
 def normalize_document(content: pd.Series) -> pd.DataFrame:
-    empty = (*[None] * 11, "ValueError: no content")
+    empty = (*[None] * 12, "ValueError: no content")
     frame = pd.DataFrame([empty if c is None else normalize(bytes(c)) for c in content], columns=RENDERED.names)
-    return frame.astype({n: "Int64" for n in ("topLevelEntries", "segmentIds", "sizeBytes", "chars", "lines")})
+    return frame.astype({n: "Int64" for n in ("topLevelEntries", "sanitizedEntries", "segmentIds", "sizeBytes", "chars", "lines")})

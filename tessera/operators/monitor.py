@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import minutes_since
 from ..schemas import OPEN_SUBMISSION
+from . import ordered
 
 STALE_MINUTES, METRIC_BATCH, PERIOD = 15, 20, "5 minutes"
 
@@ -52,12 +53,17 @@ def status_metrics(counts: DataFrame, name: str, environment: str, ts: Column) -
     return counts.select(F.lit(name).alias("name"), dims.alias("dimensions"), ts.alias("ts"), F.col("n").cast("double").alias("value"))
 
 
-def metric_batches(metrics: DataFrame, order: tuple[str, ...], size: int = METRIC_BATCH, group: str | None = None) -> DataFrame:
-    """Adds batch: consecutive rows of a group by `size`. Metrics of one pass are few; larger inputs need a group."""
-    place = F.row_number().over((W.partitionBy(group) if group else W.partitionBy(F.lit(0))).orderBy(*order))
+def metric_batches(metrics: DataFrame, order: tuple[str, ...], size: int = METRIC_BATCH) -> DataFrame:
+    """Adds batch: consecutive rows by `size`. The metrics of one pass are few, a row a status; see grouped_batches."""
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order))
     return metrics.withColumn("batch", F.floor((place - 1) / size))
 
 
+def grouped_batches(metrics: DataFrame, group: str, sequence: str, size: int = METRIC_BATCH) -> DataFrame:
+    """The same within each group, in the order of a number, for any number of rows."""
+    return ordered.numbered(metrics, group, sequence, "__at").withColumn("batch", F.floor(F.col("__at") / size)).drop("__at")
+
+
 def bucket(ts: Column, period: str = PERIOD) -> Column:
     return F.window(ts, period).start
 

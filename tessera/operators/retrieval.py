@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import Formatter
 
 import numpy as np
 import pandas as pd
@@ -54,33 +55,66 @@ def document_ids(found: DataFrame) -> Column:
     return F.array_sort(F.filter(F.collect_set("documentId"), lambda x: x != ""))
 
 
-def placeholder(n: int | None) -> str:
+#: The texts around answers.
+NO_DOCUMENTS = "Summary placeholder: no documents are linked to this submission."
+NO_MATCHES = "Summary placeholder: no scoped matches were found for submission {submission} for query '{query}'."
+MATCHES = "Summary placeholder: retrieved {n} scoped chunks for submission {submission} for query '{query}'."
+RESULT = "Result {n}\ndocumentId: {documentId}\ns3Uri: {s3Uri}\nscore: {score}\n{text}"
+PROMPT = """You are answering with only the provided scoped retrieval results.
+
+Submission ID: {submission}
+
+User query: {query}
+
+Provide a short answer grounded only in these snippets. If the answer is not present, say so plainly.
+
+
+
+{results}"""
+
+
+def filled(template: str, **values: Column) -> Column:
+    """A template with columns in its places."""
+    parts = [(F.lit(text), values[name].cast("string") if name else F.lit("")) for text, name, _, _ in Formatter().parse(template)]
+    return F.concat(*(x for pair in parts for x in pair))
+
+
+def placeholder(n: int | None, submission: str = "", query: str = "") -> str:
     """What stands for a summary while no model is called; None: the submission has no documents."""
-    if n is None:
-        return "The submission has no attached documents."
-    return "No matching content was retrieved for this submission." if n == 0 else f"Retrieved {n} matching chunk(s) within the submission's scope."
+    return NO_DOCUMENTS if n is None else (MATCHES if n else NO_MATCHES).format(n=n, submission=submission, query=query)
+
+
+def placeholder_text(n: Column, submission: Column, query: Column) -> Column:
+    said = {"n": n, "submission": submission, "query": query}
+    return F.when(n.isNull(), NO_DOCUMENTS).when(n == 0, filled(NO_MATCHES, **said)).otherwise(filled(MATCHES, **said))
+
+
+def prompt(submission: str, query: str, results: list[dict]) -> str:
+    """Over the first results: each with its number, document, place and score before its text."""
+    listed = "\n\n".join(RESULT.format(n=i, **{k: r.get(k) for k in ("documentId", "s3Uri", "score", "text")}) for i, r in enumerate(results[:CONTEXT_SNIPPETS], 1))
+    return PROMPT.format(submission=submission, query=query, results=listed)
 
 
-def prompt(query: str, snippets: list[str]) -> str:
-    listed = "\n\n".join(f"[{i}] {s}" for i, s in enumerate(snippets[:CONTEXT_SNIPPETS], 1))
-    return f"Question: {query}\n\nContext:\n{listed}"
+def prompt_text(submission: Column, query: Column, results: Column) -> Column:
+    """The same for an array of results (documentId, s3Uri, score, text)."""
+    one = lambda r, i: filled(RESULT, n=i + 1, documentId=r["documentId"], s3Uri=r["s3Uri"], score=r["score"], text=r["text"])
+    return filled(PROMPT, submission=submission, query=query, results=F.array_join(F.transform(F.slice(results, 1, CONTEXT_SNIPPETS), one), "\n\n"))
 
 
 def answer_text(blocks: list[dict]) -> str:
     """The text blocks of a model's response, one a line."""
-    return "\n".join(b["text"] for b in blocks if b.get("text")).strip()
+    return "\n".join(b["text"] for b in blocks if b.get("type", "text") == "text" and b.get("text")).strip()
 
 
-def summarized(query: str, snippets: list[str], model: Callable[[str], str | list[dict]] | None) -> dict:
+def summarized(submission: str, query: str, results: list[dict], model: Callable[[str], str | list[dict]] | None) -> dict:
     """The model's answer, or the placeholder with the error if it fails or is absent."""
-    out = {"summary": placeholder(len(snippets)), "modelInvoked": False, "modelError": None}
-    if model and snippets:
+    out = {"summary": placeholder(len(results), submission, query), "modelInvoked": False, "modelError": None}
+    if model and results:
         try:
-            said = model(prompt(query, snippets))
-            if answer := (answer_text(said) if isinstance(said, list) else said.strip()):
-                out |= {"summary": answer, "modelInvoked": True}
+            said = model(prompt(submission, query, results))
+            out |= {"summary": answer_text(said) if isinstance(said, list) else said.strip(), "modelInvoked": True}
         except Exception as e:  # the contract: any failure of the model becomes a field
-            out["modelError"] = f"{type(e).__name__}: {e}"[:2048]
+            out["modelError"] = f"{type(e).__name__}: {e}"
     return out
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, markdown, text, times
-from ..operators import attach, chunking, dedupe, indexing, monitor, readiness as ready_ops, receipts, retrieval, validate, versions
+from ..operators import attach, chunking, dedupe, indexing, monitor, ordered, readiness as ready_ops, receipts, retrieval, validate, versions
+from ..schemas import UPLOAD_EVENT
 from ..sources import objects, registry
 from ..session import checkpoint_folder, workers_find_library
 from ..streaming import receipts as streams
@@ -196,7 +197,7 @@ def identity_compare(spark, sf_dir):
 
 @query("""
 select event_id, 'K: ' || json_extract_string(props, '$.k') as markdown,
- 'sha256:' || sha256('{"markdownText":"K: ' || json_extract_string(props, '$.k') || '","normalizationStrategy":"json_to_markdown_lines_v2"}') as canonical_hash, 'object' as top_level_type, cast(strlen(props) as bigint) as size_bytes from events""")
+ 'sha256:' || sha256('{"markdownText":"K: ' || json_extract_string(props, '$.k') || '","normalizationStrategy":"json_to_markdown_lines_v2"}') as canonical_hash, 'dict' as top_level_type, cast(strlen(props) as bigint) as size_bytes from events""")
 def render_documents(spark, sf_dir):
     # equal contents are rendered once: their hash is the key that the result is joined back by
     rows = read(spark, sf_dir, "events").select("event_id", keys.content_hash(F.col("props")).alias("h"), "props")
@@ -211,6 +212,65 @@ def extracted_metadata(spark, sf_dir):
     return docs.select("doc_id", F.octet_length("text").cast("long").alias("size_bytes"), F.length("text").cast("long").alias("chars"), text.line_count(F.col("text")).alias("lines"))
 
 
+REGISTRY_SQL = """with h as (select doc_id, source, 'sha256:' || sha256(text) as raw from documents where text is not null),
+k as (select raw, min(doc_id) % 4 as kind from h group by raw having min(doc_id) % 4 <> 3),
+c as (select doc_id, raw, kind, row_number() over (partition by raw order by doc_id) as turn from h left join k using (raw))
+"""
+
+
+@query(REGISTRY_SQL + """select doc_id, raw as raw_file_hash, case kind when 0 then 'RESOLVED' when 1 then 'FAILED' when 2 then 'PROCESSING' end as status, kind is null and turn = 1 as ownership_claimed,
+  case when kind is null and turn = 1 then 'raw_file_claimed' when kind is null or kind = 0 then 'raw_file_reused' else 'raw_file_in_progress' end as action, case when kind = 0 then 'doc-' || substr(raw, 8, 16) end as document_id from c""")
+def claims_on_registry(spark, sf_dir):
+    """Claims where the registry holds most contents already: resolved, failed, and in progress."""
+    rows = hashed_documents(spark, sf_dir)
+    kind = F.col("least") % 4
+    known = rows.groupBy("rawFileHash").agg(F.min("doc_id").alias("least")).where(kind != 3)
+    status = F.when(kind == 0, "RESOLVED").when(kind == 1, "FAILED").otherwise("PROCESSING")
+    held = known.select("rawFileHash", status.alias("status"), F.when(kind == 0, keys.document_id(F.col("rawFileHash"))).otherwise("").alias("documentId"), F.lit("").alias("canonicalHash"))
+    found = dedupe.claims(rows, held, ("doc_id",))
+    return found.select("doc_id", F.col("rawFileHash").alias("raw_file_hash"), F.col("rawFileStatus").alias("status"), F.col("ownershipClaimed").alias("ownership_claimed"), "action", F.col("documentId").alias("document_id"))
+
+
+@query(VARIANTS + """, k as (select canonical, min(doc_id) as least from h group by canonical having min(doc_id) % 2 = 0)
+select doc_id, variant, canonical as canonical_hash, coalesce('known-' || least, 'doc-' || substr(canonical, 8, 16)) as document_id, least is null and row_number() over (partition by canonical order by doc_id, variant) = 1 as created
+from h left join k using (canonical)""")
+def documents_on_registry(spark, sf_dir):
+    """Canonical documents where the registry holds half of them under other ids: those are reused as they are."""
+    rows = variants(spark, sf_dir)
+    known = rows.groupBy("canonicalHash").agg(F.min("doc_id").alias("least")).where("least % 2 = 0").select("canonicalHash", F.concat(F.lit("known-"), "least").alias("documentId"))
+    found = dedupe.resolved(rows, known, ("doc_id", "variant"))
+    return found.select("doc_id", "variant", F.col("canonicalHash").alias("canonical_hash"), F.col("documentId").alias("document_id"), "created")
+
+
+#: An order with its lines as a nested document, as it is rendered.
+NESTED_SQL = """with l as (select l_orderkey, list(l_linenumber order by l_linenumber, l_partkey) as numbers, list(l_partkey order by l_linenumber, l_partkey) as parts from lineitem group by 1),
+o as (select o_orderkey, o_orderstatus, o_orderpriority, coalesce(numbers, []) as numbers, coalesce(parts, []) as parts from orders left join l on l_orderkey = o_orderkey),
+m as (select o_orderkey, len(numbers) as n, concat('Report Id: order-', o_orderkey, chr(10), chr(10), 'Order Status: ', o_orderstatus, chr(10), chr(10), 'Is Open: ', case when o_orderstatus = 'O' then 'true' else 'false' end, chr(10), chr(10), 'Missing: null', chr(10), chr(10),
+  'Note: |', chr(10), '  first', chr(10), '    ', o_orderpriority, chr(10), chr(10), 'Lines:', case when len(numbers) > 0 then chr(10) else '' end,
+  array_to_string(list_transform(range(1, len(numbers) + 1), lambda i: concat('  -:', chr(10), '    Line Number: ', numbers[i], chr(10), chr(10), '    Part Keys:', chr(10), '      - ', parts[i], chr(10), chr(10), '      - p-', parts[i])), chr(10) || chr(10)),
+  chr(10), chr(10), 'Meta Data:', chr(10), 'X Y: z') as markdown from o)
+"""
+
+
+@query(NESTED_SQL + """select o_orderkey as order_key, sha256(markdown) as markdown_sha256, 'sha256:' || sha256('{"markdownText":"' || replace(markdown, chr(10), chr(92) || 'n') || '","normalizationStrategy":"json_to_markdown_lines_v2"}') as canonical_hash,
+  cast(1 + n as bigint) as segment_ids, cast(8 as bigint) as entries, cast(7 as bigint) as sanitized_entries, cast(length(markdown) - length(replace(markdown, chr(10), '')) + 1 as bigint) as lines, 'order-' || o_orderkey as business_key from m""")
+def render_nested(spark, sf_dir):
+    """Objects in lists in objects, texts of many lines, booleans, nulls and pruned keys at two depths."""
+    line = F.struct(F.col("l_linenumber").alias("line_number"), F.array(F.col("l_partkey").cast("string"), F.concat(F.lit("p-"), "l_partkey")).alias("part_keys"), F.lit("s").alias("segment_id"))
+    held = F.struct("l_linenumber", "l_partkey", line.alias("line"))
+    lines = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.transform(F.array_sort(F.collect_list(held)), lambda x: x["line"]).alias("lines"))
+    orders = read(spark, sf_dir, "orders").join(lines, "o_orderkey", "left")
+    body = F.struct(
+        F.concat(F.lit("order-"), "o_orderkey").alias("report_id"), F.col("o_orderstatus").alias("order_status"), (F.col("o_orderstatus") == "O").alias("is_open"), F.lit(None).cast("string").alias("missing"),
+        F.concat(F.lit("  first \r\n  "), "o_orderpriority", F.lit("\t\n")).alias("note"), F.lit(1).alias("segment_id"), F.coalesce("lines", F.array()).alias("lines"), F.struct(F.lit("z").alias("x_y")).alias("meta_data"),
+    )
+    made = orders.select("o_orderkey", markdown.normalize_document(F.to_json(body, {"ignoreNullFields": "false"}).cast("binary")).alias("r"))
+    return made.select(
+        F.col("o_orderkey").alias("order_key"), F.sha2("r.markdown", 256).alias("markdown_sha256"), F.col("r.canonicalHash").alias("canonical_hash"), F.col("r.segmentIds").alias("segment_ids"), F.col("r.topLevelEntries").alias("entries"),
+        F.col("r.sanitizedEntries").alias("sanitized_entries"), F.col("r.lines").alias("lines"), F.col("r.businessDocumentKey").alias("business_key"),
+    )
+
+
 # chunks
 
 
@@ -220,16 +280,31 @@ def pack_sql(joiner: str, items: str, most: int = CHUNK) -> str:
   then {{'done': s.done, 'now': s.now || '{joiner}' || x.now}} else {{'done': list_append(s.done, s.now), 'now': x.now}} end, {{'done': cast([] as varchar[]), 'now': cast(null as varchar)}})"""
 
 
-LINES = "list_transform(string_split(t, chr(10)), lambda l: {'done': cast([] as varchar[]), 'now': rtrim(l)})"
-CHUNKS_SQL = f"""with d as (select doc_id, trim(text, chr(10) || ' ' || chr(9)) as t from documents where text is not null),
-p as (select doc_id, t, case when length(t) > {CHUNK} and contains(t, chr(10)) then {pack_sql("NL", LINES).replace("'NL'", "chr(10)").replace("+ 2 +", "+ 1 +")} end as f from d),
-c as (select doc_id, unnest(case when length(t) <= {CHUNK} then [t] when f is not null then list_filter(list_append(f.done, f.now), lambda x: x <> '')
-  else list_filter(list_transform(range(0, cast(length(t) as bigint), {CHUNK}), lambda i: trim(substr(t, i + 1, {CHUNK}))), lambda x: x <> '') end) as content,
-  generate_subscripts(case when length(t) <= {CHUNK} then [t] when f is not null then list_filter(list_append(f.done, f.now), lambda x: x <> '')
-  else list_filter(list_transform(range(0, cast(length(t) as bigint), {CHUNK}), lambda i: trim(substr(t, i + 1, {CHUNK}))), lambda x: x <> '') end, 1) as chunk_index from p)
+#: White space of any script, and the ends of lines beside the newline, as DuckDB's patterns have them.
+SPACE_SQL = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
+LINE_END_SQL = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^{SPACE_SQL}', ''), '{SPACE_SQL}$', '')"
+
+
+def chunks_sql(texts: str) -> str:
+    """(doc_id, content, chunk_index) of texts without blank lines: a text that is too long is one paragraph, its lines
+    are packed and each packed chunk is stripped; a single line is cut."""
+    lines = f"list_transform(regexp_split_to_array(t, '{LINE_END_SQL}'), lambda l: {{'done': cast([] as varchar[]), 'now': regexp_replace(l, '{SPACE_SQL}$', '')}})"
+    fold = pack_sql("NL", lines).replace("'NL'", "chr(10)").replace("+ 2 +", "+ 1 +")
+    cut = f"list_transform(range(0, cast(length(t) as bigint), {CHUNK}), lambda i: substr(t, i + 1, {CHUNK}))"
+    return f"""with d as (select doc_id, {strip_sql("text")} as t from ({texts})),
+p as (select doc_id, t, case when length(t) > {CHUNK} and regexp_matches(t, '{LINE_END_SQL}') then {fold} end as f from d),
+l as (select doc_id, case when length(t) <= {CHUNK} then [t] else list_filter(list_transform(case when f is not null then list_append(f.done, f.now) else {cut} end, lambda x: {strip_sql("x")}), lambda x: x <> '') end as found from p),
+c as (select doc_id, unnest(found) as content, generate_subscripts(found, 1) as chunk_index from l)
 """
 
 
+CHUNKS_SQL = chunks_sql("select doc_id, text from documents where text is not null")
+
+
 def document_chunks(spark, sf_dir) -> DataFrame:
     return chunking.chunk_records(read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"), CHUNK, "doc_id", "text")
 
@@ -240,6 +315,29 @@ def chunks(spark, sf_dir):
     return found.select("doc_id", F.col("chunkIndex").cast("long").alias("chunk_index"), F.length("content").cast("long").alias("chars"), F.sha2("content", 256).alias("content_sha256"))
 
 
+#: Every comma ends a line with white space of three kinds behind it, and the next line is indented.
+RAGGED = "\u00a0\x0b \n   \t"
+
+
+@query(chunks_sql("select doc_id, replace(text, ', ', chr(160) || chr(11) || ' ' || chr(10) || '   ' || chr(9)) || chr(10) || chr(160) as text from documents where text is not null") + "select doc_id, cast(chunk_index as bigint) as chunk_index, cast(length(content) as bigint) as chars, sha256(content) as content_sha256 from c")
+def ragged_chunks(spark, sf_dir):
+    """Indented lines with white space of every kind at their ends, as rendered documents have them."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit(RAGGED)), F.lit("\n\u00a0")).alias("text"))
+    found = chunking.chunk_records(docs, CHUNK, "doc_id", "text")
+    return found.select("doc_id", F.col("chunkIndex").cast("long").alias("chunk_index"), F.length("content").cast("long").alias("chars"), F.sha2("content", 256).alias("content_sha256"))
+
+
+@query(f"""
+with d as (select doc_id, replace(text, ', ', chr(160) || chr(9) || chr(13) || chr(10) || '  ') || ' ' || chr(13) as text from documents where text is not null),
+n as (select doc_id, {strip_sql("array_to_string(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda l: regexp_replace(l, '" + SPACE_SQL + "$', '')), chr(10))")} as t from d)
+select doc_id, sha256(t) as canonical_sha256, cast(case when t = '' then 0 else length(t) - length(replace(t, chr(10), '')) + 1 end as bigint) as lines from n""")
+def normalized_texts(spark, sf_dir):
+    """Newlines of three kinds and white space at line ends: the canonical text's hash and lines."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit("\u00a0\t\r\n  ")), F.lit(" \r")).alias("text"))
+    made = docs.select("doc_id", text.normalized(F.col("text")).alias("t"))
+    return made.select("doc_id", F.sha2("t", 256).alias("canonical_sha256"), text.line_count(F.col("t")).alias("lines"))
+
+
 @query(CHUNKS_SQL + "select doc_id, count(*) as chunks, cast(sum(length(content)) as bigint) as chars, cast(max(length(content)) as bigint) as longest from c group by 1")
 def chunk_counts(spark, sf_dir):
     n = F.length("content").cast("long")
@@ -251,18 +349,6 @@ def chunk_keys(spark, sf_dir):
     return document_chunks(spark, sf_dir).select("doc_id", F.col("contentKey").alias("content_key"), F.col("metadataKey").alias("metadata_key"), "metadata")
 
 
-@query(f"""
-with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from documents where text is not null),
-q as (select doc_id, {pack_sql("NN", "list_transform(ps, lambda l: {'done': cast([] as varchar[]), 'now': l})").replace("'NN'", "chr(10) || chr(10)")} as f from d where len(list_filter(ps, lambda l: length(l) > {CHUNK})) = 0 and len(ps) > 0)
-select doc_id, cast(len(f.done) + 1 as bigint) as chunks, sha256(array_to_string(list_append(f.done, f.now), '|')) as contents_sha256 from q""")
-def paragraph_chunks(spark, sf_dir):
-    """Texts whose lines are paragraphs, none too long: the packing path; paragraph_chunks_all has all texts."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
-    short = docs.where(F.forall(F.split("t", "\n\n"), lambda p: F.length(text.stripped(p)) <= CHUNK) & (text.stripped(F.col("t")) != ""))
-    found = short.select("doc_id", text.chunks(F.col("t"), CHUNK).alias("c"))
-    return found.select("doc_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("contents_sha256"))
-
-
 @query(f"""
 with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from documents where text is not null),
 q as (select doc_id, list_reduce(list_transform(ps, lambda l: case when length(l) <= {CHUNK} then {{'done': cast([] as varchar[]), 'now': l}}
@@ -284,7 +370,8 @@ select count(*) as missing, array_to_string(list_slice(list_sort(list(k)), 1, 10
 def chunk_persistence_check(spark, sf_dir):
     expected = document_chunks(spark, sf_dir).select(F.col("contentKey").alias("k"))
     gone = objects.missing_keys(expected, expected.where(~F.col("k").endswith("0002.md")), "k")
-    return gone.agg(F.count("*").alias("missing"), csv(F.slice(F.array_sort(F.collect_list("k")), 1, 10)).alias("first_missing"))
+    first = gone.orderBy("k").limit(10).agg(csv(F.array_sort(F.collect_list("k"))).alias("first_missing"))
+    return gone.agg(F.count("*").alias("missing")).join(first)
 
 
 # versions
@@ -314,10 +401,28 @@ def active_version_fold(spark, sf_dir):
 select doc_id, source as business_key, max('v' || (doc_id % 13)) over (partition by source order by doc_id rows unbounded preceding) as active_version,
   ('v' || (doc_id % 13)) = max('v' || (doc_id % 13)) over (partition by source order by doc_id rows unbounded preceding) as took_over from documents""")
 def activation_history(spark, sf_dir):
-    from pyspark.sql import Window as W
+    found = ordered.running_max(candidates(spark, sf_dir), "businessDocumentKey", "seq", F.col("sourceVersion"), "active_version")
+    return found.select(F.col("seq").alias("doc_id"), F.col("businessDocumentKey").alias("business_key"), "active_version", (F.col("sourceVersion") == F.col("active_version")).alias("took_over"))
 
-    best = F.max("sourceVersion").over(W.partitionBy("businessDocumentKey").orderBy("seq").rowsBetween(W.unboundedPreceding, 0))
-    return candidates(spark, sf_dir).select(F.col("seq").alias("doc_id"), F.col("businessDocumentKey").alias("business_key"), best.alias("active_version"), (F.col("sourceVersion") == best).alias("took_over"))
+
+#: Keys whose candidates have a version, a date or neither.
+NULL_ORDERS = """with c as (select doc_id, source || '-' || (doc_id // 997 % 5) as k, 'd' || (doc_id % 17) as d,
+  case when doc_id % 3 <> 1 then 'v' || (doc_id * 7 % 13) end as v, case when doc_id % 6 = 1 then '2026-' || (doc_id % 9) end as u from documents where source is not null),
+t as (select k, list({'d': d, 'o': case when v is not null then 'version ' || v when u is not null then 'updated_at ' || u end} order by doc_id) as turns from c group by k),
+f as (select k, len(turns) as n, list_reduce(turns, lambda s, x: case when s.d = x.d or s.o is null or x.o is null or x.o >= s.o then x else s end) as won from t)
+"""
+
+
+@query(NULL_ORDERS + "select k as business_key, won.d as active_document, cast(n as bigint) as candidates from f")
+def election_without_orders(spark, sf_dir):
+    """Elections in which some candidates have a date only, and some no order at all: every turn against the one before."""
+    i = F.col("doc_id")
+    rows = read(spark, sf_dir, "documents").where("source is not null").select(
+        F.concat("source", F.lit("-"), F.floor(i / 997) % 5).alias("businessDocumentKey"), F.concat(F.lit("d"), i % 17).alias("documentId"),
+        F.when(i % 3 != 1, F.concat(F.lit("v"), i * 7 % 13)).alias("sourceVersion"), F.when(i % 6 == 1, F.concat(F.lit("2026-"), i % 9)).alias("sourceUpdatedAt"), i.alias("seq"),
+    )
+    found = versions.elected(rows, "seq")
+    return found.select(F.col("businessDocumentKey").alias("business_key"), F.col("activeDocumentId").alias("active_document"), "candidates")
 
 
 @query("with a as (select arg_max(doc_id, ('v' || (doc_id % 13), doc_id)) as w from documents where source = 'src3') select cast(doc_id as varchar) as document_id, 'v' || (doc_id % 13) as version, doc_id = w as is_active from documents, a where source = 'src3'")
@@ -367,16 +472,6 @@ def job_status_map(spark, sf_dir):
     return runs.groupBy("run_status", indexing.document_status(F.col("run_status")).alias("document_status"), "error_summary").agg(F.count("*").alias("n"))
 
 
-@query("""
-with r as (select l_partkey as run, any_value(case l_partkey % 3 when 0 then 'SUCCEEDED' when 1 then 'FAILED' else 'STARTED' end) as status, list(distinct l_orderkey) as docs from lineitem where l_linenumber = 1 and l_partkey % 4 = 0 group by 1),
-x as (select unnest(docs) as d, run, status from r), f as (select d, max(run) as run from x group by 1)
-select status as run_status, case status when 'SUCCEEDED' then 'INDEXED' when 'FAILED' then 'FAILED' when 'STARTED' then 'INGESTING' else 'PENDING_INGESTION' end as document_status, count(*) as documents
-from orders left join (select f.d, x.status from f join x on f.d = x.d and f.run = x.run) on d = o_orderkey group by 1, 2""")
-def run_fanout(spark, sf_dir):
-    """Over a part of the rows; run_fanout_all has all."""
-    return run_outcomes(spark, sf_dir, read(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_partkey % 4 = 0"))
-
-
 @query("""
 with x as (select distinct l_orderkey as d, l_partkey as run from lineitem), f as (select d, max(run) as run from x group by 1),
 s as (select d, case run % 3 when 0 then 'SUCCEEDED' when 1 then 'FAILED' else 'STARTED' end as status from f)
@@ -455,22 +550,22 @@ def callback_failures(spark, sf_dir):
 
 
 @query(f"""
-select 'STALE_SUBMISSION' as alert_type, event_id, {EVENT_STATUS_SQL} as status, cast(null as bigint) as user_id from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15
-union all select 'STUCK_DOCUMENT', event_id, null, user_id from events where event_type = 'click' and coalesce({AGE_SQL}, 0) >= 15
-union all select 'CALLBACK_FAILURE', event_id, {EVENT_STATUS_SQL}, user_id from events where event_type = 'error'""")
+select 'submission_stuck_non_terminal' as alert_type, event_id, {EVENT_STATUS_SQL} as status, cast(null as bigint) as user_id from events where {EVENT_STATUS_SQL} in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce({AGE_SQL}, 0) >= 15
+union all select 'document_stuck_ingesting', event_id, null, user_id from events where event_type = 'click' and coalesce({AGE_SQL}, 0) >= 15
+union all select 'callback_failed', event_id, {EVENT_STATUS_SQL}, user_id from events where event_type = 'error'""")
 def manual_review_union(spark, sf_dir):
     rows = updates(spark, sf_dir)
     found = monitor.alerts(
-        STALE_SUBMISSION=monitor.stale_submissions(rows, now()).select("event_id", "status"),
-        STUCK_DOCUMENT=monitor.stuck_documents(rows, now()).select("event_id", "user_id"),
-        CALLBACK_FAILURE=monitor.callback_failures(rows).select("event_id", "status", "user_id"),
+        submission_stuck_non_terminal=monitor.stale_submissions(rows, now()).select("event_id", "status"),
+        document_stuck_ingesting=monitor.stuck_documents(rows, now()).select("event_id", "user_id"),
+        callback_failed=monitor.callback_failures(rows).select("event_id", "status", "user_id"),
     )
     return found.select(F.col("alertType").alias("alert_type"), "event_id", "status", "user_id")
 
 
 @query("select event_type, event_id, cast((row_number() over (partition by event_type order by event_id) - 1) // 20 as bigint) as batch from events")
 def metric_batches(spark, sf_dir):
-    return monitor.metric_batches(read(spark, sf_dir, "events"), ("event_id",), group="event_type").select("event_type", "event_id", "batch")
+    return monitor.grouped_batches(read(spark, sf_dir, "events"), "event_type", "event_id").select("event_type", "event_id", "batch")
 
 
 @query("select event_type as name, epoch(time_bucket(interval '5 minutes', ts)) as bucket, count(*) as occurrences, count(*) >= 2 as in_alarm from events group by 1, 2")
@@ -494,9 +589,9 @@ def lifecycle_expiry(spark, sf_dir):
     return objects.live(rows, "key", "ts", now()).select("event_id")
 
 
-@query("select user_id, arg_max(event_type, event_id) as status, max(event_id) as seq, arg_max(value, event_id) as value from events where value is not null and event_type is not null group by 1")
+@query("select user_id, event_type as status, event_id as seq, value from (select *, row_number() over (partition by user_id order by event_id desc) as k from events) where k = 1")
 def latest_state(spark, sf_dir):
-    log = read(spark, sf_dir, "events").where("value is not null and event_type is not null").select("user_id", F.col("event_type").alias("status"), F.col("event_id").alias("seq"), "value")
+    log = read(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("status"), F.col("event_id").alias("seq"), "value")
     return registry.latest_state(log, "user_id", "seq").select("user_id", "status", "seq", "value")
 
 
@@ -542,10 +637,11 @@ def scope_leak_check(spark, sf_dir):
     return retrieval.leaks(found, own).agg(F.count("*").alias("leaked")).crossJoin(found.join(other, "documentId", "left_semi").agg(F.count("*").alias("foreign_hits")))
 
 
-@query(f"select case when count(*) = 0 then 'No matching content was retrieved for this submission.' else 'Retrieved ' || count(*) || ' matching chunk(s) within the submission''s scope.' end as summary from (select e.vec_id {TOPK_SQL})")
+@query(f"""select case when count(*) = 0 then 'Summary placeholder: no scoped matches were found for submission s1 for query ''near 0''.'
+  else 'Summary placeholder: retrieved ' || count(*) || ' scoped chunks for submission s1 for query ''near 0''.' end as summary from (select e.vec_id {TOPK_SQL})""")
 def placeholder_summary(spark, sf_dir):
     n = top_chunks(spark, sf_dir).agg(F.count("*").alias("n"))
-    return n.select(F.when(F.col("n") == 0, retrieval.placeholder(0)).otherwise(F.format_string(retrieval.placeholder(987654321).replace("987654321", "%d"), "n")).alias("summary"))
+    return n.select(retrieval.placeholder_text(F.col("n"), F.lit("s1"), F.lit("near 0")).alias("summary"))
 
 
 @query("select doc_id, left(text, 1200) as text, 'TEXT' as content_type from documents")
@@ -555,20 +651,19 @@ def snippets(spark, sf_dir):
 
 
 @query("""
-with n as (select source, doc_id, left(text, 1200) as t, row_number() over (partition by source order by doc_id) as k from documents)
-select source, string_agg('[' || k || '] ' || t, chr(10) || chr(10) order by k) as context from n where k <= 4 group by 1""")
+with n as (select source, doc_id, coalesce(left(text, 1200), '') as t, row_number() over (partition by source order by doc_id) as k from documents),
+r as (select source, string_agg('Result ' || k || chr(10) || 'documentId: ' || doc_id || chr(10) || 's3Uri: canonical/' || doc_id || '/chunk-0001.md' || chr(10) || 'score: 0.5' || chr(10) || t, chr(10) || chr(10) order by k) as results from n where k <= 4 group by 1)
+select source, 'You are answering with only the provided scoped retrieval results.' || chr(10) || chr(10) || 'Submission ID: ' || source || chr(10) || chr(10) || 'User query: what is in it' || chr(10) || chr(10)
+  || 'Provide a short answer grounded only in these snippets. If the answer is not present, say so plainly.' || chr(10) || chr(10) || '' || chr(10) || chr(10) || results as prompt from r where source is not null""")
 def prompt_context(spark, sf_dir):
+    """The prompt over each source's first documents; each task keeps only those of its own rows."""
     from pyspark.sql import Window as W
 
-    rows = read(spark, sf_dir, "documents").select("source", F.left("text", F.lit(retrieval.SNIPPET_CHARS)).alias("t"), F.row_number().over(W.partitionBy("source").orderBy("doc_id")).alias("k"))
-    first = rows.where(F.col("k") <= retrieval.CONTEXT_SNIPPETS).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("all"))
-    return first.select("source", F.array_join(F.transform("all", lambda x: F.concat(F.lit("["), x["k"], F.lit("] "), x["t"])), "\n\n").alias("context"))
-
-
-@query("select cast(r.vec_id as bigint) as query_id, e.vec_id, round(list_cosine_similarity(cast(e.embedding as double[]), cast(r.embedding as double[])), 6) as score from embeddings e, embeddings r where r.vec_id in (7, 11) and e.label = r.label and e.vec_id <> r.vec_id")
-def scored_pairs(spark, sf_dir):
-    """Chunks scored against two queries of their own scope; scored_pairs_all has more of them."""
-    return pairs_of_scopes(spark, sf_dir, F.col("vec_id").isin(7, 11))
+    place = F.row_number().over(W.partitionBy("source").orderBy("doc_id"))
+    rows = read(spark, sf_dir, "documents").where("source is not null").select("source", "doc_id", F.coalesce(F.left("text", F.lit(retrieval.SNIPPET_CHARS)), F.lit("")).alias("text"), place.alias("k"))
+    kept = rows.where(F.col("k") <= retrieval.CONTEXT_SNIPPETS).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("k", "doc_id", "text"))).alias("all"))
+    results = F.transform("all", lambda x: F.struct(x["doc_id"].cast("string").alias("documentId"), keys.chunk_key(x["doc_id"].cast("string"), F.lit(1)).alias("s3Uri"), F.lit("0.5").alias("score"), x["text"].alias("text")))
+    return kept.select("source", retrieval.prompt_text(F.col("source"), F.lit("what is in it"), results).alias("prompt"))
 
 
 @query("select cast(r.vec_id as bigint) as query_id, e.vec_id, round(list_cosine_similarity(cast(e.embedding as double[]), cast(r.embedding as double[])), 6) as score from embeddings e, embeddings r where r.vec_id % 100 = 0 and e.label = r.label and e.vec_id <> r.vec_id")
@@ -604,3 +699,52 @@ def stream_receipts(spark, sf_dir):
     log = spark.read.parquet(f"{folder}/log")
     return log.groupBy(F.col("submissionId").alias("submission_id"), F.col("fileId").alias("file_id")).agg(F.min("arrived.event_id").alias("first_event"), F.sum("deliveries").alias("deliveries"))
 
+
+# the workflow
+
+
+@query("""
+with f as (select r_name as s, n_name as id from nation join region on n_regionkey = r_regionkey union all select r_name, 'world' from region)
+select s as submission_id, 'READY' as status, 'DELIVERED' as callback_status, count(*) as files, count(*) as documents, least(count(*), 5) as retrieved, cast(0 as bigint) as foreign_documents,
+  'Summary placeholder: retrieved ' || least(count(*), 5) || ' scoped chunks for submission ' || s || ' for query ' || chr(39) || 'about ' || s || chr(39) || '.' as summary, 'World' as shared_title,
+  (select count(*) from nation) + 1 as all_documents, cast(1 as bigint) as shared_raw_files from f group by s""")
+def workflow(spark, sf_dir):
+    """Every region as a submission of its nations' files and one file that all share, from upload events to answers.
+
+    Equal bytes are processed once; every document is indexed, every submission becomes READY and is called back, and
+    retrieval stays in its scope.
+    """
+    import json
+    import uuid
+
+    from .engine import Engine
+
+    regions = {r["r_regionkey"]: r["r_name"] for r in read(spark, sf_dir, "region").collect()}
+    files = {name: {"world.json": {"report_id": "world", "title": "World", "source_version": "v1"}} for name in regions.values()}
+    for r in read(spark, sf_dir, "nation").where("n_regionkey is not null").collect():
+        if r["n_regionkey"] in regions:
+            title = f"about {regions[r['n_regionkey']]}"
+            files[regions[r["n_regionkey"]]][f"{r['n_name']}.json"] = {"report_id": r["n_name"], "title": title, "segments": [{"segment_id": 1, "name": r["n_name"]}]}
+    root = f"{checkpoint_folder(spark)}/workflow-{uuid.uuid4().hex}"
+    engine = Engine(spark, root)
+    uploads = [f"ingestion/{s}/{name}" for s, held in files.items() for name in held]
+    for s, held in files.items():
+        for name, body in held.items():
+            objects.put(spark, f"{root}/ingestion/{s}/{name}", json.dumps(body).encode())
+    record = lambda key, i: {"eventName": "ObjectCreated:Put", "s3": {"bucket": {"name": "b"}, "object": {"key": key, "sequencer": f"{i:08d}"}}}
+    engine.receive(spark.createDataFrame([([record(k, i) for i, k in enumerate([*uploads, uploads[0], "other/key"])],)], UPLOAD_EVENT))
+    for s, held in files.items():
+        engine.complete(s, sorted(held))
+    while engine.coordinate(batch=1000) == "SUCCEEDED":
+        pass
+    engine.refresh()
+    documents, states = engine.state("documents"), {r["submissionId"]: r for r in engine.state("submissions").collect()}
+    world = documents.where("businessDocumentKey = 'world'").select("documentId")
+    counts = documents.count(), engine.state("raw_files").where("status = 'RESOLVED'").join(world, "documentId").count()
+    rows = []
+    for s in files:
+        said, state = engine.query(s, f" about {s} "), states[s]
+        foreign = len(set(said["retrievedDocumentIds"]) - set(state["documentIds"]))
+        title = next((r["text"].split("Title: ")[1].split("\n")[0] for r in engine.query(s, "World")["retrievalResults"]), None)
+        rows.append((s, state["status"], state["callbackStatus"], state["receivedFileCount"], len(state["documentIds"]), len(said["retrievalResults"]), foreign, said["summary"], title, *counts))
+    return spark.createDataFrame(rows, "submission_id string, status string, callback_status string, files long, documents long, retrieved long, foreign_documents long, summary string, shared_title string, all_documents long, shared_raw_files long")

@@ -7,6 +7,7 @@ hashes and keys do, and only claimed files are read into the renderer.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -21,6 +22,7 @@ from ..functions.text import CHUNK_CHARS
 from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, validate, versions
 from ..session import checkpoint_folder, workers_find_library
 from ..sources import objects, registry
+from ..streaming import receipts as streams
 
 CHUNK = schemas.struct(documentId=schemas.S, chunkIndex=schemas.T.IntegerType(), contentKey=schemas.S, metadataKey=schemas.S, content=schemas.S, metadata=schemas.S)
 VECTOR = StructType([*CHUNK.fields, StructField("embedding", schemas.T.ArrayType(schemas.T.FloatType()))])
@@ -34,25 +36,54 @@ LOGS = {
 }
 
 
+#: Snapshots of logs: which states were written where, and up to which sequence number.
+SNAPSHOTS = "snapshots"
+SNAPSHOT = schemas.struct(name=schemas.S, path=schemas.S, seq=schemas.L)
+#: Sequence numbers that one step may use.
+STEP_ROWS = 1 << 20
+#: A raw file that another submission processes is waited for so often and so many seconds each time.
+RAW_WAITS, RAW_WAIT_SECONDS = 3, 2.0
+#: Submissions that are called back before their outcomes are written.
+CALLBACK_BATCH = 1000
+
+
 class Engine:
-    def __init__(self, spark: SparkSession, root: str, chunk_chars: int = CHUNK_CHARS, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
+    def __init__(
+        self, spark: SparkSession, root: str, chunk_chars: int = CHUNK_CHARS, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc), wait: Callable[[float], None] = time.sleep
+    ):
         checkpoint_folder(workers_find_library(spark))
-        self.spark, self.root, self.chunk_chars, self.clock = spark, root.rstrip("/"), chunk_chars, clock
+        self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
+        self.last_seq = 0
 
     # logs
 
     def path(self, name: str) -> str:
         return f"{self.root}/registry/{name}"
 
-    def log(self, name: str) -> DataFrame:
-        schema = StructType([*LOGS[name][0].fields, StructField("seq", LongType())])
+    def read(self, path: str, schema: StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
+            return self.spark.read.schema(schema).parquet(path)
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def log(self, name: str) -> DataFrame:
+        """A log's rows: its last snapshot and what was appended since, as Parquet's statistics leave older files unread."""
+        schema = StructType([*LOGS[name][0].fields, StructField("seq", LongType())])
+        rows = self.read(self.path(name), schema)
+        if LOGS[name][1] is None:
+            return rows
+        last = self.read(f"{self.root}/registry/{SNAPSHOTS}", SNAPSHOT).where(F.col("name") == name).orderBy(F.desc("seq")).first()
+        return self.spark.read.schema(schema).parquet(last["path"]).unionByName(rows.where(F.col("seq") > last["seq"])) if last else rows
+
+    def compact(self, name: str) -> None:
+        """Writes the latest states as a snapshot, and then a row that makes readers use it."""
+        seq = self.next_seq()
+        path = f"{self.root}/registry/{SNAPSHOTS}-{name}-{seq}"
+        registry.latest_state(self.log(name), LOGS[name][1], "seq").write.parquet(path)
+        registry.append(self.spark.createDataFrame([(name, path, seq)], SNAPSHOT), f"{self.root}/registry/{SNAPSHOTS}")
+
     def state(self, name: str) -> DataFrame:
         key = LOGS[name][1]
         return registry.latest_state(self.log(name), key, "seq").drop("seq") if key else self.log(name).drop("seq")
@@ -64,8 +95,9 @@ class Engine:
         registry.append(shaped, self.path(name))
 
     def next_seq(self) -> int:
-        """Later than all that this writer has appended; micros leave room for the rows of one step."""
-        return int(self.clock().timestamp() * 1e6)
+        """Later than all that this writer has appended, also within one tick of the clock, with room for the rows of one step."""
+        self.last_seq = max(int(self.clock().timestamp() * 1e6), self.last_seq + STEP_ROWS)
+        return self.last_seq
 
     def now(self):
         return F.lit(self.clock()).cast("timestamp")
@@ -113,8 +145,16 @@ class Engine:
         if not verdict["isValid"]:
             return verdict
         seq, place = self.next_seq(), F.array_position(F.array(*map(F.lit, expected)), F.col("fileId"))
-        files = objects.raw_files(self.spark, self.root).where((F.col("submissionId") == submission) & F.col("fileId").isin(expected)).withColumn("place", place)
-        claims = dedupe.claims(dedupe.hashed(files, "content").select("fileId", "key", "place", "rawFileHash"), self.state("raw_files"), ("place",)).checkpoint()
+        files = objects.raw_files(self.spark, self.root, submission).where((F.col("submissionId") == submission) & F.col("fileId").isin(expected)).withColumn("place", place)
+        hashed = dedupe.hashed(files, "content").select("fileId", "key", "place", "rawFileHash").checkpoint()
+        for turn in range(RAW_WAITS + 1):
+            claims = dedupe.claims(hashed, self.state("raw_files"), ("place",)).checkpoint()
+            if turn == RAW_WAITS or claims.where((F.col("action") == dedupe.IN_PROGRESS) & (F.col("rawFileStatus") == "PROCESSING")).isEmpty():
+                break
+            self.wait(RAW_WAIT_SECONDS)
+        owner = F.col("ownershipClaimed")
+        self.append("raw_files", claims.where(owner).select("rawFileHash", F.lit("PROCESSING").alias("status"), *(self.now().alias(c) for c in ("firstSeenAt", "lastSeenAt", "updatedAt"))), seq)
+        seq = self.next_seq()
         self.audit(claims, F.col("action"), "fileId", "rawFileHash", "documentId")
         owned = files.select("key", "content").join(claims.where("ownershipClaimed"), "key")
         rendered = owned.select("fileId", "place", "rawFileHash", markdown.normalize_document("content").alias("r")).select("fileId", "place", "rawFileHash", "r.*")
@@ -129,6 +169,7 @@ class Engine:
         documents = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
         records = chunking.chunk_records(documents, self.chunk_chars).checkpoint()
         self.append("chunks", records, seq)
+        self.persist(records)
         sizes = records.groupBy("documentId").agg(F.count("*").alias("canonicalChunkCount"))
         self.append("candidates", made.where("businessDocumentKey is not null"), F.lit(seq) + F.col("place"))
         fresh = documents.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), self.now().alias("createdAt"), self.now().alias("updatedAt"))
@@ -146,7 +187,7 @@ class Engine:
         outcome = done.unionByName(failed, allowMissingColumns=True).join(first, "rawFileHash", "left")
         self.append("raw_files", outcome.withColumns({"firstSeenAt": F.coalesce("since", self.now()), "lastSeenAt": self.now(), "updatedAt": self.now()}), seq)
         if not bad.isEmpty():
-            self.append("manual_review", bad.select(F.lit("PREPROCESSING_FAILED").alias("alertType"), F.lit(submission).alias("submissionId"), "rawFileHash", "error", self.now().alias("raisedAt")), seq)
+            self.append("manual_review", bad.select(F.lit("preprocessing_failed").alias("alertType"), F.lit(submission).alias("submissionId"), "rawFileHash", "error", self.now().alias("raisedAt")), seq)
         own = claims.select("rawFileHash", F.col("documentId").alias("resolvedDocumentId")).join(made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left")
         attached = attach.document_of(own).withColumn("submissionId", F.lit(submission)).checkpoint()
         open_files = attached.where("documentId is null").count()
@@ -157,6 +198,15 @@ class Engine:
         self.note("submission_documents_attached", submissionId=submission, files=len(expected))
         return verdict
 
+    def persist(self, records: DataFrame) -> None:
+        """Writes chunks and their sidecars below canonical/, and checks by a listing that all are there; repairs once."""
+        folder = f"{self.root}/canonical"
+        objects.write_chunks(records, folder)
+        of = records.select("documentId").distinct()
+        listed = lambda: self.read(folder, CHUNK).join(of, "documentId", "left_semi").select("contentKey")
+        objects.verified(records, listed, lambda missing: objects.write_chunks(missing, folder), "contentKey")
+        self.note("canonical_chunk_persistence_verified", objects=2 * records.count())
+
     def coordinate(self, job: Callable[[list[str]], dict] | None = None, poll: Callable[[str], dict] | None = None, batch: int = indexing.BATCH) -> str:
         """One action: poll the active run if there is one, or else start a run over pending documents."""
         seq, run = self.next_seq(), indexing.active_run(self.state("runs")).first()
@@ -195,32 +245,66 @@ class Engine:
         self.note("kb_coordinator_ingestion_completed" if outcome != "STARTED" else "kb_coordinator_ingestion_started", ingestionRunId=run_id, status=outcome, documents=len(documents))
         return outcome
 
-    def refresh(self, callback: Callable[[dict], None] | None = None) -> DataFrame:
-        """Readiness of all complete submissions; those that turn READY are called back."""
+    def refresh(self, callback: Callable[[dict], None] | None = None, fail: bool = False) -> DataFrame:
+        """Readiness of all complete submissions; those that turn READY are called back (fail: as if every call failed).
+
+        Outcomes are written batch by batch, so the plan does not grow and a stopped pass repeats one batch at most.
+        """
         seq = self.next_seq()
         waiting = self.state("submissions").where("status in ('COMPLETE', 'WAITING_FOR_INDEX')")
         said = readiness.readiness(readiness.states(waiting, self.state("documents"))).checkpoint()
-        changed = waiting.drop("status").join(said.select("submissionId", "status"), "submissionId").withColumns({"readyAt": F.when(F.col("status") == "READY", self.now()), "updatedAt": self.now()})
+        changed = waiting.drop("status").join(said.select("submissionId", "status"), "submissionId").withColumns({"readyAt": F.when(F.col("status") == "READY", self.now()), "updatedAt": self.now()}).checkpoint()
+        outcome = F.col("status")
+        self.append("submissions", changed.where(outcome != "READY"), seq)
+        self.audit(changed, F.when(outcome == "READY", "submission_ready").when(outcome == "FAILED", "submission_readiness_failed").otherwise("submission_waiting_for_index"), "submissionId")
+        batch: list[tuple] = []
+
+        def write() -> None:
+            told = self.spark.createDataFrame(batch, "submissionId string, callbackStatus string, callbackFailureReason string")
+            called = changed.drop("callbackStatus", "callbackFailureReason").join(F.broadcast(told), "submissionId")
+            good = F.col("callbackStatus") == "DELIVERED"
+            called = called.withColumns({"callbackDeliveredAt": F.when(good, self.now()), "callbackFailedAt": F.when(~good, self.now())}).checkpoint()
+            self.append("submissions", called, seq)
+            self.append("manual_review", called.where(~good).select(F.lit("callback_failed").alias("alertType"), "submissionId", F.col("callbackFailureReason").alias("error"), self.now().alias("raisedAt")), seq)
+            self.audit(called, F.concat(F.lit("ready_callback_"), F.lower("callbackStatus")), "submissionId")
+            batch.clear()
+
         for row in said.where("status = 'READY'").select("submissionId", "documents").toLocalIterator():
-            sid, fields = row["submissionId"], {"callbackStatus": F.lit("DELIVERED"), "callbackDeliveredAt": self.now()}
             try:
+                if fail:
+                    raise RuntimeError("forced failure")
                 if callback:
                     callback(row.asDict())
+                batch.append((row["submissionId"], "DELIVERED", None))
             except Exception as e:
-                fields = {"callbackStatus": F.lit("FAILED"), "callbackFailedAt": self.now(), "callbackFailureReason": F.lit(str(e)[:2048])}
-                self.append("manual_review", self.spark.createDataFrame([("CALLBACK_FAILED", sid, str(e)[:2048])], "alertType string, submissionId string, error string").withColumn("raisedAt", self.now()), seq)
-            changed = changed.withColumns({k: F.when(F.col("submissionId") == sid, v).otherwise(F.col(k)) for k, v in fields.items()})
-        changed = changed.checkpoint()
-        self.append("submissions", changed, seq)
-        outcome = F.col("status")
-        self.audit(changed, F.when(outcome == "READY", "submission_ready").when(outcome == "FAILED", "submission_readiness_failed").otherwise("submission_waiting_for_index"), "submissionId")
-        self.audit(changed.where("callbackStatus is not null"), F.concat(F.lit("ready_callback_"), F.lower("callbackStatus")), "submissionId")
+                batch.append((row["submissionId"], "FAILED", str(e)[:2048]))
+            if len(batch) == CALLBACK_BATCH:
+                write()
+        if batch:
+            write()
         return said
 
+    def await_files(self, submission: str, expected: list[str], seconds: float, pause: float = 2.0, replay: Callable[[list[str]], DataFrame] | None = None) -> bool:
+        """Waits until all expected files are recorded; shortly before the time is up the missing ones' events are replayed once."""
+        until, replayed = time.monotonic() + seconds, False
+        while True:
+            row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
+            missing = sorted(set(expected) - set(row["fileIds"] or [] if row else []))
+            if not missing or time.monotonic() >= until:
+                return not missing
+            if replay and not replayed and time.monotonic() + pause >= until:
+                self.receive(replay([f"ingestion/{submission}/{f}" for f in missing]))
+                replayed, until = True, until + pause
+                continue
+            self.wait(pause)
+
+    def scheduled(self, step: Callable[[], object], checkpoint: str, every: str = "5 minutes"):
+        """A streaming query that runs a step (coordinate, refresh, monitor) by the clock."""
+        ticks = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        return streams.scheduled(ticks, lambda _, __: step(), checkpoint, every)
+
     def drive(self, submission: str, seconds: float, pause: float = 10.0, **callbacks) -> str:
         """Coordinates and refreshes until the submission is READY or FAILED, or the time is up; returns its last status."""
-        import time
-
         until = time.monotonic() + seconds
         while True:
             self.coordinate(**{k: v for k, v in callbacks.items() if k in ("job", "poll")})
@@ -229,7 +313,7 @@ class Engine:
             status = row["status"] if row else "UNKNOWN"
             if status in ("READY", "FAILED", "UNKNOWN") or time.monotonic() + pause > until:
                 return status
-            time.sleep(pause)
+            self.wait(pause)
 
     def query(self, submission: str, text: str, results: int | None = None, model: Callable[[str], str] | None = None, embedder: Callable[[str], list[float]] = retrieval.embed) -> dict:
         """Retrieval strictly within one submission's documents; its status is echoed, READY is not required."""
@@ -238,20 +322,20 @@ class Engine:
             raise ValueError(f"unknown submission {submission}")
         out = {"submissionId": submission, "submissionStatus": row["status"], "query": text.strip(), "documentIds": list(row["documentIds"] or []), "retrievalResults": [], "retrievedDocumentIds": []}
         if not out["documentIds"]:
-            return out | {"summary": retrieval.placeholder(None), "modelInvoked": False, "modelError": None}
+            return out | {"summary": retrieval.NO_DOCUMENTS, "modelInvoked": False, "modelError": None}
         scope = self.spark.createDataFrame([(d,) for d in out["documentIds"]], "documentId string")
         found = retrieval.nearest(retrieval.scoped(self.state("vectors"), scope, len(out["documentIds"])), embedder(text.strip()), results)
         rows = [r.asDict() for r in retrieval.projected(found).collect()]
         out |= {"retrievalResults": rows, "retrievedDocumentIds": sorted({r["documentId"] for r in rows if r["documentId"]})}
-        return out | retrieval.summarized(text.strip(), [r["text"] for r in rows], model)
+        return out | retrieval.summarized(submission, text.strip(), rows, model)
 
     def monitor(self, environment: str = "dev") -> tuple[DataFrame, DataFrame]:
         """(metrics in batches, alerts) of one pass; alerts go to manual review too."""
         submissions, documents, now = self.state("submissions"), self.state("documents"), self.now()
         found = monitor.alerts(
-            STALE_SUBMISSION=monitor.stale_submissions(submissions, now).select("submissionId", "status"),
-            STUCK_DOCUMENT=monitor.stuck_documents(documents, now).select("documentId", F.col("kbIngestionStatus").alias("status")),
-            CALLBACK_FAILURE=monitor.callback_failures(submissions).select("submissionId", "status", F.col("callbackFailureReason").alias("error")),
+            submission_stuck_non_terminal=monitor.stale_submissions(submissions, now).select("submissionId", "status"),
+            document_stuck_ingesting=monitor.stuck_documents(documents, now).select("documentId", F.col("kbIngestionStatus").alias("status")),
+            callback_failed=monitor.callback_failures(submissions).select("submissionId", "status", F.col("callbackFailureReason").alias("error")),
         ).checkpoint()
         metrics = monitor.status_metrics(monitor.count_by_status(submissions, "status"), "SubmissionsByStatus", environment, now).unionByName(
             monitor.status_metrics(monitor.count_by_status(documents, "kbIngestionStatus"), "DocumentsByStatus", environment, now)

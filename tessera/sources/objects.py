@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +19,16 @@ def key_below(root: str) -> Column:
     return F.substring_index(F.col("path"), f"/{tail}/", -1)
 
 
-def raw_files(spark: SparkSession, root: str) -> DataFrame:
-    """(key, submissionId, fileId, content, modificationTime) of all files below root/ingestion."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/ingestion")
+def raw_files(spark: SparkSession, root: str, submission: str | None = None) -> DataFrame:
+    """(key, submissionId, fileId, content, modificationTime) of all files below root/ingestion, or of one submission's.
+
+    Only a submission's own folder is listed, unless its name would be read as a pattern.
+    """
+    plain = submission and re.fullmatch(r"[\w.@=+ -]+", submission)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/ingestion" + (f"/{submission}" if plain else ""))
     placed = files.withColumn("key", key_below(root))
-    return placed.select("key", keys.submission_of(F.col("key")).alias("submissionId"), keys.file_of(F.col("key")).alias("fileId"), "content", "modificationTime")
+    named = placed.select("key", keys.submission_of(F.col("key")).alias("submissionId"), keys.file_of(F.col("key")).alias("fileId"), "content", "modificationTime")
+    return named.where(F.col("submissionId") == submission) if submission else named
 
 
 def listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
@@ -30,6 +37,16 @@ def listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     return files.select(key_below(root).alias("key")).distinct()
 
 
+def put(spark: SparkSession, path: str, content: bytes) -> None:
+    """Writes one object, as fixtures and uploads do, to any file system that Spark knows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def text_of(content: Column) -> Column:
     """Strict UTF-8."""
     return F.decode(content, "UTF-8")

@@ -34,7 +34,10 @@ def test_hash_is_of_the_ascii_envelope():
 
 def test_metadata_and_errors():
     row = markdown.normalize(json.dumps({"report_id": " r ", "report_date": "", "source_updated_at": "t", "a": [{"segment_id": 1}, {"segment_id": {"segment_id": 2}}]}).encode())
-    assert row[2:8] == ("r", None, "t", "object", 4, 3)
+    assert row[2:9] == ("r", None, "t", "dict", 4, 4, 3)
+    assert markdown.normalize(b'{"segment_id": 1, "a": 2}')[5:9] == ("dict", 2, 1, 1)
+    assert [markdown.normalize(v)[5:8] for v in (b"[1, {}]", b"3", b"2.5", b'"x"', b"null", b"true")] == [("list", 2, 2)] + [(k, 1, 1) for k in ("int", "float", "str", "NoneType", "bool")]
+    assert markdown.normalize('"a\u2028b\\u000bc"'.encode())[11] == 1  # only newlines part lines
     assert markdown.normalize(b'{"report_date": "  ", "source_updated_at": "t"}')[4] is None
     for bad in (b"", b"{", b"\xff", b"\xef\xbb\xbf{}"):
         assert markdown.normalize(bad)[-1]
@@ -74,6 +77,7 @@ def reference_chunks(t: str, most: int) -> list[str]:
                     else:
                         out, cur = out + [cur], line
                 out.append(cur or "")
+                out = [x.strip() for x in out]
             else:
                 out += [p[i : i + most].strip() for i in range(0, len(p), most)]
         elif now and len(now) + 2 + len(p) <= most:
@@ -88,12 +92,21 @@ def test_chunks_agree_with_plain_steps(spark):
 
     rnd = random.Random(5)
     texts = ["", "   ", "a", "x" * 25, "ab cd\n" * 9, "a\n\nb", "long line " * 6 + "\nshort\n\ntail"]
+    texts += ["first line\n  indented two\n  indented three", "aaaaaaaaaa\n \n   b ccccccc", "one\x0b  two two two two\xa0\n three\u2028  four\x85five \x1c", "\xa0 x" * 30, "aaa\n" * 30 + "\n\n  tail\n"]
+    texts += ["".join(rnd.choice(["aa", "  b", "\xa0", "\x0b", "\n", "\n  ", "\n\n", "cccccc", "\u2028", "\t"]) for _ in range(rnd.randint(1, 40))) for _ in range(60)]
     texts += ["".join(rnd.choice(["aa", "b ", "\n", "\n\n", "cccccc", "d"]) for _ in range(rnd.randint(1, 40))) for _ in range(60)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.chunks(F.col("t"), 12).alias("c")).collect()
     for r in rows:
         assert r["c"] == reference_chunks(texts[r["i"]], 12), texts[r["i"]]
 
 
+def test_normalized_text_agrees_with_the_renderer(spark):
+    """Line ends of every kind: the expression and the function that renders give the same text."""
+    texts = ["a \x0b\nb\xa0\r\n c\t", "\u2003x\u2003\ny\x85\n", "a\u2028 b \x1c\n", " " * 50 + "a" + " " * 50 + "b", "", " \n "]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.normalized(F.col("t")).alias("n")).collect()
+    assert [r["n"] for r in sorted(rows)] == [markdown.block(t) for t in texts]
+
+
 @pytest.mark.parametrize(
     ("turns", "winner"),
     [

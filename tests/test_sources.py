@@ -76,3 +76,15 @@ def test_dashboards_fill_gaps(spark):
     assert sorted(tuple(r)[1:] for r in monitor.dashboard(rows, ["A", "B"]).collect()) == [(0.0, 3.0), (2.0, 0.0)]
     alarm = monitor.alarms(rows.withColumn("name", F.lit("n")), 3, "max").where("inAlarm").collect()
     assert [r["value"] for r in alarm] == [3.0]
+
+
+def test_transforms_of_fixtures():
+    source = b'{"b": 1, "a": "\xc3\xa9"}'
+    assert manifests.file_bytes(source, {"type": "update_top_level_fields"}) == '{\n  "b": 1,\n  "a": "é"\n}\n'.encode()
+    assert manifests.file_bytes(source, {"type": "update_top_level_fields", "fields": {"c": 2, "b": 3}}) == '{\n  "b": 3,\n  "a": "é",\n  "c": 2\n}\n'.encode()
+    assert manifests.file_bytes(source, {"type": "compact_json"}) == '{"b":1,"a":"é"}'.encode() and manifests.file_bytes(source, {}) == manifests.file_bytes(source, None) == source
+    for bad in ({"type": "update_top_level_fields", "fields": {"a": 1}}, {"type": "update_top_level_fields"}):
+        with pytest.raises(ValueError, match="object"):
+            manifests.file_bytes(b"[1]", bad)
+    with pytest.raises(ValueError, match="unknown"):
+        manifests.file_bytes(source, {"type": "odd"})
