@@ -204,3 +204,13 @@ def test_one_row_of_each_group_stays(spark):
     assert kept.columns == corpus.frame(spark, rows).columns
     found = [(r["doc_id"], r["text"]) for r in kept.collect()]
     assert corpus.normal(found) == corpus.normal([r for k, r in enumerate(rows) if k not in (2, 3, 5)])
+
+
+def test_a_text_of_many_shingles_is_summed_in_parts(spark):
+    """Over 2**18 shingles in one text: the split path gives the same fingerprint as plain code."""
+    import random
+
+    rnd = random.Random(2)
+    rows = [(1, " ".join(rnd.choice(corpus.WORDS) for _ in range((1 << 18) + 5000))), (2, "a short one beside it")]
+    found = {r["doc_id"]: r["fingerprint"] for r in simhash.near_duplicates(corpus.frame(spark, rows)).collect()}
+    assert found == {i: f"{fingerprint(t):016x}" for i, t in rows}

@@ -122,6 +122,55 @@ def test_neighbours_share_words():
     assert np.mean(mixed) < 2.2
 
 
+def plain_fill(docs: list[list[int]], idf, mean: float, window: int) -> list[list[tuple[int, int, int]]]:
+    """Windows by plain BM25 over few documents: the longest seeds, the best neighbours that fit, the best that doesn't is cut."""
+
+    def score(q: int, d: int) -> float:
+        tf = {t: docs[d].count(t) for t in set(docs[d])}
+        norm = packing.K1 * (1 - packing.B + packing.B * len(docs[d]) / mean)
+        return sum(idf[t] * tf[t] * (packing.K1 + 1) / (tf[t] + norm) for t in set(docs[q]) if t in tf)
+
+    unused, out, seed, begin = set(range(len(docs))), [], None, 0
+    longest = lambda: min(unused, key=lambda d: (-len(docs[d]), d))
+    while unused or seed is not None:
+        if seed is None:
+            seed, begin = longest(), 0
+            unused.discard(seed)
+        now, room, of = [(seed, begin, len(docs[seed]))], window - (len(docs[seed]) - begin), seed
+        seed = None
+        near = sorted((d for d in unused if score(of, d) > 0), key=lambda d: (-score(of, d), d)) if room else []
+        for d in near:
+            if len(docs[d]) <= room:
+                now.append((d, 0, len(docs[d])))
+                room -= len(docs[d])
+                unused.discard(d)
+        left = [d for d in near if d in unused]
+        while room and unused:
+            d = left[0] if left else longest()
+            unused.discard(d)
+            now.append((d, 0, min(room, len(docs[d]))))
+            if len(docs[d]) > room:
+                seed, begin = d, room
+            room -= now[-1][2]
+        out.append(now)
+    return out
+
+
+def test_windows_against_plain_retrieval():
+    rnd = np.random.default_rng(7)
+    for trial in range(40):
+        topics = [rnd.choice(60, 12, replace=False) for _ in range(4)]
+        docs = [rnd.choice(topics[rnd.integers(0, 4)], rnd.integers(1, 60)) for _ in range(rnd.integers(1, 30))]
+        idf, mean = rnd.random(60) + 0.1, float(np.mean([len(d) for d in docs]))
+        assert list(packing.fill(docs, idf, mean, 64)) == plain_fill([d.tolist() for d in docs], idf, mean, 64), trial
+
+
+def test_rankings_are_walked_in_order():
+    score = np.random.default_rng(3).integers(0, 40, 500) / 7
+    found = np.concatenate(list(packing.ranked(score)))
+    assert (np.diff(score[found]) <= 0).all() and sorted(found.tolist()) == np.flatnonzero(score > 0).tolist()
+
+
 def test_huge_texts_are_encoded_in_parts(monkeypatch):
     monkeypatch.setattr(packing, "STEP_BYTES", 400)
     enc = encoder("byte_bpe_50k.json", True)
