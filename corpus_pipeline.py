@@ -2,7 +2,7 @@
 
 Quality filter, near-duplicate removal, benchmark decontamination, masking of personal data, packing. run() keeps
 the stages' results as Parquet in the folder that spark.checkpoint.dir names, so a lost executor costs no finished
-stage.
+stage; a result goes when the next one is written.
 """
 
 from __future__ import annotations
@@ -33,4 +33,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+            done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
     return docs

@@ -61,6 +61,11 @@ def run_id() -> Column:
     return F.concat(F.lit("run-"), F.uuid())
 
 
+def client_token(run: str, most: int = 256) -> str:
+    """What makes a repeated start of one run the same start."""
+    return run[:most]
+
+
 def optional(text: Column) -> Column:
     """Stripped of white space at both ends; null if nothing is left."""
     space = r"[\s\p{Z}\x1c-\x1f\x85]+"

@@ -18,3 +18,16 @@ def attached(submissions: DataFrame, resolved: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     ids = F.array_sort(F.array_union(F.coalesce("documentIds", none), F.coalesce("new", none)))
     return submissions.join(new, "submissionId", "left").withColumns({"documentIds": ids, "status": F.when(F.col("new").isNotNull(), F.lit("COMPLETE")).otherwise(F.col("status"))}).drop("new")
+
+
+def with_hash(attached: DataFrame, documents: DataFrame) -> DataFrame:
+    """(submissionId, documentId, canonicalHash): attached has a row a submission and document."""
+    return attached.select("submissionId", "documentId").join(documents.select("documentId", "canonicalHash"), "documentId")
+
+
+def document_of_hash(attached: DataFrame, documents: DataFrame, submission: str, canonical_hash: str) -> str:
+    """The document that a submission has for a canonical hash; raises if it has none."""
+    found = with_hash(attached.where(F.col("submissionId") == submission), documents).where(F.col("canonicalHash") == canonical_hash).first()
+    if found is None:
+        raise ValueError(f"submission {submission} has no document with the hash {canonical_hash}")
+    return found["documentId"]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, markdown, text, times
-from ..operators import attach, chunking, dedupe, indexing, monitor, ordered, readiness as ready_ops, receipts, retrieval, validate, versions
+from ..operators import attach, chunking, dedupe, indexing, monitor, ordered, readiness as ready_ops, receipts, retrieval, review, validate, versions
 from ..schemas import UPLOAD_EVENT
 from ..sources import objects, registry
 from ..session import checkpoint_folder, workers_find_library
@@ -370,8 +370,18 @@ select count(*) as missing, array_to_string(list_slice(list_sort(list(k)), 1, 10
 def chunk_persistence_check(spark, sf_dir):
     expected = document_chunks(spark, sf_dir).select(F.col("contentKey").alias("k"))
     gone = objects.missing_keys(expected, expected.where(~F.col("k").endswith("0002.md")), "k")
-    first = gone.orderBy("k").limit(10).agg(csv(F.array_sort(F.collect_list("k"))).alias("first_missing"))
-    return gone.agg(F.count("*").alias("missing")).join(first)
+    first = gone.orderBy("k").limit(10).select("k", F.lit(True).alias("shown"))
+    return gone.join(first, "k", "left").agg(F.count("*").alias("missing"), csv(F.array_sort(F.collect_list(F.when(F.col("shown"), F.col("k"))))).alias("first_missing"))
+
+
+@query(VARIANTS + """, d as (select distinct 'doc-' || substr(canonical, 8, 16) as document, canonical from h), s as (select distinct source, 'doc-' || substr(canonical, 8, 16) as document from h where source is not null)
+select source as submission_id, canonical as canonical_hash, document as document_id from s join d using (document)""")
+def documents_by_hash(spark, sf_dir):
+    """Which document a submission has for a canonical hash: sources as submissions of their documents."""
+    made = dedupe.resolved(variants(spark, sf_dir), empty_documents(spark), ("doc_id", "variant"))
+    of = made.where("source is not null").select(F.col("source").alias("submissionId"), "documentId").distinct()
+    found = attach.with_hash(of, made.select("documentId", "canonicalHash").distinct())
+    return found.select(F.col("submissionId").alias("submission_id"), F.col("canonicalHash").alias("canonical_hash"), F.col("documentId").alias("document_id"))
 
 
 # versions
@@ -563,6 +573,39 @@ def manual_review_union(spark, sf_dir):
     return found.select(F.col("alertType").alias("alert_type"), "event_id", "status", "user_id")
 
 
+REVIEW_SQL = f"""with m as (select event_id as id, event_type as kind, ts from events where event_type is not null),
+r as (select id, count(*) as n, max(ts + to_minutes(cast(k * (id % 4) as integer))) as last, bool_or(k = 3 and id % 7 = 0) as deleted from m, (select unnest(range(1, 7)) as k) where k <= id % 7 group by id),
+q as (select m.*, coalesce(n, 0) as n, case when deleted then 'DELETED' when ts + interval 14 days <= {NOW_SQL} then 'EXPIRED' when last + interval 60 seconds > {NOW_SQL} then 'IN_FLIGHT' when coalesce(n, 0) >= 5 then 'DEAD' else 'WAITING' end as state from m left join r using (id))
+"""
+
+
+def review_queue(spark, sf_dir) -> DataFrame:
+    """events as review messages that were received up to six times each."""
+    rows = read(spark, sf_dir, "events").where("event_type is not null").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"))
+    turns = rows.select("messageId", "sentAt", F.explode(F.sequence(F.lit(0), (F.col("messageId") % 7).cast("int"))).alias("k")).where("k > 0")
+    received = turns.select("messageId", (F.col("sentAt") + F.make_dt_interval(mins=(F.col("k") * (F.col("messageId") % 4)).cast("int"))).alias("receivedAt"), ((F.col("k") == 3) & (F.col("messageId") % 7 == 0)).alias("deleted"))
+    return review.with_receives(rows, received, now())
+
+
+@query(REVIEW_SQL + "select kind as alert_type, state, count(*) as messages, cast(sum(n) as bigint) as receives from q group by 1, 2")
+def review_states(spark, sf_dir):
+    found = review_queue(spark, sf_dir).groupBy(F.col("alertType").alias("alert_type"), "state")
+    return found.agg(F.count("*").alias("messages"), F.sum("receiveCount").alias("receives"))
+
+
+@query(REVIEW_SQL + ", h as (select kind, arg_min(id, (ts, id)) as id, arg_min(state, (ts, id)) as state, arg_min(n, (ts, id)) as n from q where state in ('WAITING', 'IN_FLIGHT') group by 1) select kind as alert_type, id as message_id, cast(n as bigint) as receives from h where state = 'WAITING'")
+def review_next(spark, sf_dir):
+    found = review.receivable(review_queue(spark, sf_dir))
+    return found.select(F.col("alertType").alias("alert_type"), F.col("messageId").alias("message_id"), F.col("receiveCount").alias("receives"))
+
+
+@query("select event_type as alert_type, arg_min(event_id, (ts, event_id)) as message_id from events where event_type is not null group by event_type, user_id, time_bucket(interval '5 minutes', ts)")
+def review_accepted(spark, sf_dir):
+    """Equal contents of a group within five minutes are one message."""
+    rows = read(spark, sf_dir, "events").where("event_type is not null").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"), "user_id")
+    return review.accepted(rows, F.coalesce(F.col("user_id").cast("string"), F.lit(""))).select(F.col("alertType").alias("alert_type"), F.col("messageId").alias("message_id"))
+
+
 @query("select event_type, event_id, cast((row_number() over (partition by event_type order by event_id) - 1) // 20 as bigint) as batch from events")
 def metric_batches(spark, sf_dir):
     return monitor.grouped_batches(read(spark, sf_dir, "events"), "event_type", "event_id").select("event_type", "event_id", "batch")
@@ -634,7 +677,8 @@ def retrieved_ids(spark, sf_dir):
 def scope_leak_check(spark, sf_dir):
     found = top_chunks(spark, sf_dir).select("documentId")
     own, other = (spark.createDataFrame([(i,) for i in ids], "documentId int") for ids in ((1, 3, 5), (2, 4)))
-    return retrieval.leaks(found, own).agg(F.count("*").alias("leaked")).crossJoin(found.join(other, "documentId", "left_semi").agg(F.count("*").alias("foreign_hits")))
+    kinds = retrieval.leaks(found, own).select(F.lit("leaked").alias("kind")).unionByName(found.join(other, "documentId", "left_semi").select(F.lit("foreign").alias("kind")))
+    return kinds.agg(F.count_if(F.col("kind") == "leaked").alias("leaked"), F.count_if(F.col("kind") == "foreign").alias("foreign_hits"))
 
 
 @query(f"""select case when count(*) = 0 then 'Summary placeholder: no scoped matches were found for submission s1 for query ''near 0''.'

@@ -218,6 +218,7 @@ class Engine:
             return "no_pending_documents"
         run_id = f"run-{uuid.uuid4()}"
         started = self.clock()
+        self.note("kb_coordinator_ingestion_requested", ingestionRunId=run_id, clientToken=keys.client_token(run_id))
         self.append("runs", self.spark.createDataFrame([(run_id, "STARTED", documents)], "ingestionRunId string, status string, documentIds array<string>").withColumn("startedAt", F.lit(started)), seq)
         try:
             answer = (job or self.index)(documents)

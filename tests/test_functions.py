@@ -138,3 +138,31 @@ def test_keys_and_clamps(spark):
     ).first()
     assert tuple(row) == ("canonical/d/chunk-12345.md", "doc-0123456789abcdef", "x", None)
     assert [retrieval.clamped(n) for n in (None, -1, 0, 1, 5, 99)] == [5, 1, 1, 1, 5, 10]
+
+
+def test_documents_by_hash(spark):
+    from tessera.operators import attach
+
+    attached = spark.createDataFrame([("s", "d1"), ("s", "d2"), ("t", "d3")], "submissionId string, documentId string")
+    documents = spark.createDataFrame([("d1", "h1"), ("d2", "h2"), ("d3", "h1")], "documentId string, canonicalHash string")
+    assert [attach.document_of_hash(attached, documents, *x) for x in (("s", "h2"), ("t", "h1"))] == ["d2", "d3"]
+    with pytest.raises(ValueError, match="no document"):
+        attach.document_of_hash(attached, documents, "t", "h2")
+    assert len(keys.client_token("run-" + "x" * 300)) == 256
+
+
+def test_review_queue_in_order(spark):
+    """A message in flight blocks its group; one received five times, deleted or old makes way."""
+    from datetime import datetime, timedelta
+
+    from tessera.operators import review
+
+    now = datetime(2026, 5, 20)
+    sent = [(1, "a", 300), (2, "a", 200), (3, "b", 100), (4, "b", 90), (5, "c", 80), (6, "c", 70), (7, "d", 60 * 24 * 14), (8, "d", 50), (9, "e", 10)]
+    messages = spark.createDataFrame([(i, g, now - timedelta(minutes=m)) for i, g, m in sent], "messageId long, alertType string, sentAt timestamp_ntz")
+    receives = [(1, 3600, True), (3, 30, False)] + [(5, 600 + k, False) for k in range(5)] + [(9, 61, False)]
+    received = spark.createDataFrame([(i, now - timedelta(seconds=s), d) for i, s, d in receives], "messageId long, receivedAt timestamp_ntz, deleted boolean")
+    queue = review.with_receives(messages, received, F.lit(now).cast("timestamp_ntz"))
+    assert {r["messageId"]: r["state"] for r in queue.collect()} == {1: "DELETED", 2: "WAITING", 3: "IN_FLIGHT", 4: "WAITING", 5: "DEAD", 6: "WAITING", 7: "EXPIRED", 8: "WAITING", 9: "WAITING"}
+    assert {r["alertType"]: (r["messageId"], r["receiveCount"]) for r in review.receivable(queue).collect()} == {"a": (2, 0), "c": (6, 0), "d": (8, 0), "e": (9, 1)}
+    assert [r["messageId"] for r in review.dead_letters(queue).collect()] == [5]
