@@ -45,7 +45,7 @@ TILE, LEAST_TILE = 1 << 19, 1 << 12
 #: Fingerprints of either side that one vectorised step compares.
 LEFT, RIGHT = 256, 512
 #: Texts, and bytes of them, that one part of a group of candidates holds.
-PART_ROWS, PART_BYTES = 1 << 14, 12 << 20
+PART_ROWS, PART_BYTES = 1 << 13, 6 << 20
 #: Rows that a key may have at least before it counts as hot.
 FAIR = 256
 #: Settings for near copies by distinct five-word shingles of Jaccard similarity 4 / 5 or more. By calculation such a
@@ -435,15 +435,19 @@ def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius:
     def verify(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         data, offsets = utf8(table.column("text"))
-        found = [distinct_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words) for i, j in steps(offsets)]
-        rows = np.concatenate([r + i for (_, r), (i, _) in zip(found, steps(offsets), strict=True)])
-        ids = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)[1]
-        prints = np.array(table.column("print").to_pylist(), np.int64).view(np.uint64).reshape(len(offsets) - 1, -1)
+        hashes, at = [], [np.zeros(1, np.int64)]
+        for i, j in steps(offsets):
+            h, rows = distinct_shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+            hashes.append(h)
+            at.append(np.bincount(rows, minlength=j - i))
+        ids = np.unique(np.concatenate(hashes), return_inverse=True)[1].astype(np.int32)
+        at, prints = np.cumsum(np.concatenate(at)), table.column("print").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(offsets) - 1, -1)
+        del hashes, data
         _, step, i, j = (k.as_py() for k in key)
         part, here = table.column("part").to_numpy(), table.column("here").to_numpy()
         left = np.flatnonzero((here == step) & (part == i))
         right = np.flatnonzero((here == step) & (part == j)) if j >= 0 else np.flatnonzero((here == step + 1) & (part == -1 - j))
-        label = verified(prints, ids, np.searchsorted(rows, np.arange(len(offsets))), left, right, radius, similar)
+        label = verified(prints, ids, at, left, right, radius, similar)
         node, moved = table.column("node").to_numpy(), np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"u": pa.array(node[moved], pa.int64()), "v": pa.array(node[label[moved]], pa.int64())})
 
