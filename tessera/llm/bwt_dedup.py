@@ -1,12 +1,11 @@
 """Byte-level dedup with a run-length index.
 
-The stretches that may repeat (see _repeats) meet by anchor key. Those of smaller documents are indexed by a
-run-compressed Burrows-Wheeler transform: of each run of equal characters only its character, its place, the samples at
-its two ends and the thresholds between runs of one character are kept. Those of larger documents are streamed against
-it: read from their ends, each step either follows the run it is in or jumps to the nearer sampled run end, which gives
-for every place the indexed text of its longest match; a match of a window's length marks the window. To compare every
-pair of a key's stretches once, their ranks by document id are halved again and again: in round k those whose
-k-th bit is 0 are indexed and those that differ from them in that bit first are streamed.
+The stretches that may repeat (see _repeats) meet by anchor key and are indexed by a run-compressed Burrows-Wheeler
+transform: of each run of equal characters only its character, its place, the samples at its two ends and the thresholds
+between runs of one character are kept; and of each set of suffixes that share a window, where it is and the
+smallest document in it. Stretches of larger documents are streamed against it: read from their ends, each step either
+follows the run it is in or jumps to the nearer sampled run end, which gives for every place a suffix with its longest
+match. A match of a window's length marks the window if the set it falls into has a smaller document than its own.
 
 A byte goes if it is covered by a window that also starts in a document with a smaller id; strings are judged on the
 input. Edge cases: null and empty texts have no bytes. Rows with equal ids are one document's and don't remove each
@@ -66,10 +65,11 @@ def suffix_order(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray, grou
 class RunLengthIndex:
     """The transform of many strings, each in a group of its own alphabet, in runs; samples and thresholds at runs' ends.
 
-    A character is its group and its byte, so only strings of the same group match.
+    A character is its group and its byte, so only strings of the same group match. Suffixes that share their first
+    `size` characters are a set; of each the place and the least weight are kept.
     """
 
-    def __init__(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray):
+    def __init__(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, weights: np.ndarray, size: int):
         starts = np.cumsum(lengths) - lengths
         order, self.end = suffix_order(text, starts, lengths, groups)
         self.text = Bytes(text)
@@ -104,6 +104,11 @@ class RunLengthIndex:
             room = np.minimum(self.end[order[1:]] - order[1:], self.end[order[:-1]] - order[:-1])
             room[leading[1:] != leading[:-1]] = 0
             common[1:n] = self.text.match(order[1:], self.text, order[:-1], room)
+        first_of_set = np.flatnonzero(common[:n] < size)
+        many = np.diff(np.r_[first_of_set, n])
+        least = np.minimum.reduceat(np.repeat(weights, lengths)[order], first_of_set)
+        whole = (self.end[order] - order)[first_of_set] >= size
+        self.set_at, self.set_size, self.set_least = (x[whole] for x in (first_of_set, many, least))
         self.threshold = np.zeros(len(chars), np.int64)  # before each run but a character's first
         late = np.flatnonzero(np.r_[False, chars[1:] == chars[:-1]]) if len(chars) else chars
         if len(late):
@@ -112,16 +117,13 @@ class RunLengthIndex:
             spans[1::2] = self.at[self.by_char[late]] + 1
             self.threshold[late] = np.minimum.reduceat(common * (n + 1) + np.arange(n + 1), spans)[::2] % (n + 1)
 
-    def statistics(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, most: int, least: int = 1) -> np.ndarray:
-        """For each place of strings that are streamed the length of its longest match in the index, `most` at the most.
-
-        Where no match of `least` is possible the length may be 0.
-        """
+    def stream(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each place of strings that are streamed a suffix with its longest match: its place in order and in text (-1: none)."""
         starts = np.cumsum(lengths) - lengths
         symbol = np.repeat(groups, lengths) * 256 + text
         char = np.searchsorted(self.symbols, symbol)
         char[self.symbols[np.minimum(char, len(self.symbols) - 1)] != symbol] = -1
-        pointer = np.full(len(text), -1, np.int64)
+        pointer, spot = np.full(len(text), -1, np.int64), np.full(len(text), -1, np.int64)
         turn = np.argsort(-lengths, kind="stable")  # the longest first: those still to read are the first ones
         place = (starts + lengths - 1)[turn]
         left = lengths[turn]
@@ -151,20 +153,30 @@ class RunLengthIndex:
                 step[off[down]], to[off[down]] = self.leads_to[below[down]], self.head[below[down]] - 1
             gone = c < 0
             pointer[place[:many]] = np.where(gone, -1, to)
+            spot[place[:many]] = np.where(gone, -1, step)
             now[:many], where[:many] = np.where(gone, start[:many], step), np.where(gone, sample[:many], to)
             place[:many] -= 1
             left[:many] -= 1
             many = int(np.searchsorted(-left, 0))
-        # lengths, where a match of `least` is possible at all
-        out = np.zeros(len(text), np.int64)
-        own = np.repeat(starts + lengths, lengths) - np.arange(len(text))
-        found = np.flatnonzero((pointer >= 0) & (own >= least))
-        there = pointer[found]
-        long = self.end[there] - there >= least
-        found, there = found[long], there[long]
-        out[found] = Bytes(text).match(found, self.text, there, np.minimum(np.minimum(own[found], self.end[there] - there), most))
+        return spot, pointer
+
+    def statistics(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """For each place of strings that are streamed the length of its longest match in the index."""
+        pointer = self.stream(text, lengths, groups)[1]
+        out, found = np.zeros(len(text), np.int64), np.flatnonzero(pointer >= 0)
+        own = np.repeat(np.cumsum(lengths), lengths)[found] - found
+        out[found] = Bytes(text).match(found, self.text, pointer[found], np.minimum(own, self.end[pointer[found]] - pointer[found]))
         return out
 
+    def in_smaller(self, text: np.ndarray, lengths: np.ndarray, groups: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+        """Places of streamed strings whose next `size` characters an indexed string with a smaller weight holds."""
+        spot, pointer = self.stream(text, lengths, groups)
+        at = np.flatnonzero((spot >= 0) & (np.repeat(np.cumsum(lengths), lengths) - np.arange(len(text)) >= size))
+        of = np.searchsorted(self.set_at, spot[at], "right") - 1
+        near = (of >= 0) & (spot[at] < (self.set_at + self.set_size)[of]) & (self.set_least[of] < np.repeat(weights, lengths)[at]) if len(self.set_at) else np.zeros(len(at), bool)
+        at = at[near]
+        return at[Bytes(text).match(at, self.text, pointer[at], np.full(len(at), size)) >= size]
+
     def first_of(self, symbols: np.ndarray) -> np.ndarray:
         """Where the suffixes that begin with a symbol begin."""
         return self.starts_of[np.minimum(symbols, len(self.symbols) - 1)]
@@ -182,37 +194,21 @@ def index(size: int):
         step = np.cumsum(fresh | np.r_[True, weight[1:] != weight[:-1]])
         rank = np.empty(len(order), np.int64)  # the weight's place among its key's
         rank[order] = step - np.maximum.accumulate(np.where(fresh, step, 0))
-        # all rounds at once: a string is indexed or streamed once for each bit of the ranks, in groups of the round
-        rounds: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        groups = 0
-        for bit in range(int(rank.max(initial=0)).bit_length()):
-            group = kind * ((int(rank.max()) >> bit + 1) + 1) + (rank >> bit + 1)
-            odd = (rank >> bit & 1).astype(bool)
-            both = np.intersect1d(group[odd], group[~odd])
-            at_home = np.minimum(np.searchsorted(both, group), len(both) - 1)
-            taken = both[at_home] == group
-            early, late = np.flatnonzero(taken & ~odd), np.flatnonzero(taken & odd)
-            rounds.append((early, at_home[early] + groups, late, at_home[late] + groups))
-            groups += len(both)
-        if not rounds:
-            return np.zeros(int((lengths - size + 1).sum()), np.int64)
-        early, early_group, late, late_group = (np.concatenate(x) for x in zip(*rounds, strict=True))
-        turn, other = np.argsort(early_group, kind="stable"), np.argsort(late_group, kind="stable")
-        early, early_group, late, late_group = early[turn], early_group[turn], late[other], late_group[other]
+        several = (np.bincount(kind, weights=rank > 0)[kind] > 0)[order]
+        some, later = order[several], order[several & (rank[order] > 0)]
         hit = np.zeros(len(text), bool)
-        reach, i = np.cumsum(lengths[early]), 0
-        while i < len(early):  # whole strings, as many as one index takes
+        reach, i = np.cumsum(lengths[some]), 0
+        while i < len(some):  # whole strings, as many as one index takes; larger documents of their keys are streamed
             j = max(i + 1, int(np.searchsorted(reach, (reach[i - 1] if i else 0) + INDEX_BYTES, "right")))
-            some, first, last = early[i:j], early_group[i], early_group[j - 1]
-            built = RunLengthIndex(text[ragged(at[some], lengths[some])], lengths[some], early_group[i:j] - first)
-            a, b = np.searchsorted(late_group, first), np.searchsorted(late_group, last, "right")
-            read = np.r_[0, np.cumsum(lengths[late[a:b]])]
+            kinds, own = np.unique(kind[some[i:j]], return_inverse=True)
+            built = RunLengthIndex(text[ragged(at[some[i:j]], lengths[some[i:j]])], lengths[some[i:j]], own, weights[some[i:j]], size)
+            a, b = np.searchsorted(kind[later], kinds[0]), np.searchsorted(kind[later], kinds[-1], "right")
+            read = np.r_[0, np.cumsum(lengths[later[a:b]])]
             while a < b:
                 k = max(1, int(np.searchsorted(read, read[0] + INDEX_BYTES, "right")) - 1)
-                part = late[a : a + k]
+                part = later[a : a + k]
                 where = ragged(at[part], lengths[part])
-                found = built.statistics(text[where], lengths[part], late_group[a : a + k] - first, size, size) >= size
-                hit[where[found]] = True
+                hit[where[built.in_smaller(text[where], lengths[part], np.searchsorted(kinds, kind[part]), weights[part], size)]] = True
                 a, read = a + k, read[k:]
             i = j
         inner = np.arange(len(text)) + size <= np.repeat(at + lengths, lengths)

@@ -129,20 +129,21 @@ def test_streamed_statistics_are_longest_matches():
         groups = np.unique(rnd.integers(0, 3, len(lengths)), return_inverse=True)[1]
         other, sizes = cut(rnd.integers(1, 30, 8))
         own = rnd.integers(0, groups.max() + 1, 8)
-        index = bwt_dedup.RunLengthIndex(text, lengths, groups)
+        index = bwt_dedup.RunLengthIndex(text, lengths, groups, lengths, 4)
         assert len(index.at) == len(index.head) == len(index.leads_to) <= len(text)
         held = [(g, text[e - n : e].tobytes()) for g, n, e in zip(groups, lengths, np.cumsum(lengths), strict=True)]
         wanted = []
         for g, n, e in zip(own, sizes, np.cumsum(sizes), strict=True):
             s = other[e - n : e].tobytes()
             wanted += [max((k for k in range(n - i + 1) if any(h == g and s[i : i + k] in t for h, t in held)), default=0) for i in range(n)]
-        assert index.statistics(other, sizes, own, 1000).tolist() == wanted
-        assert ((index.statistics(other, sizes, own, 4, 4) >= 4) == (np.array(wanted) >= 4)).all()
+        assert index.statistics(other, sizes, own).tolist() == wanted
+        found = index.in_smaller(other, sizes, own, np.full(8, 20), 4).tolist()
+        assert found == [e - n + i for g, n, e in zip(own, sizes, np.cumsum(sizes), strict=True) for s in [other[e - n : e].tobytes()] for i in range(n - 3) if any(h == g and len(t) < 20 and s[i : i + 4] in t for h, t in held)]
 
 
 def test_runs_shrink_repetitive_texts():
     text = np.frombuffer((b"the same line again and again " * 4)[:100] * 50, np.uint8)
-    index = bwt_dedup.RunLengthIndex(text, np.full(50, 100), np.zeros(50, np.int64))
+    index = bwt_dedup.RunLengthIndex(text, np.full(50, 100), np.zeros(50, np.int64), np.arange(50), 50)
     assert len(index.at) < len(text) / 10  # the strings' beginnings, and few others
 
 
