@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from ._common import partitions, ready
 
 QUERY_BLOCK, VECTOR_BLOCK = 4096, 4096
+#: Queries that one vectorised step takes.
+STEP = 32
 #: Tasks for each core, at the least, where there are vectors enough.
 TASKS = 4
 #: Standard errors that the bound spans; a miss needs an estimate further off than this.
@@ -70,10 +72,10 @@ class Codes:
         padded = np.zeros((len(query), self.bits.shape[1] * 8))
         padded[:, : self.dims] = turned
         patterns = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
-        sums = np.zeros((len(query), len(self.bits)))
+        sums = np.zeros((len(self.bits), len(query)))
         for k in range(self.bits.shape[1]):
-            sums += (padded[:, 8 * k : 8 * k + 8] @ patterns.T)[:, self.bits[:, k]]
-        signed = (2 * sums - turned.sum(1, keepdims=True)) / np.sqrt(self.dims)
+            sums += (patterns @ padded[:, 8 * k : 8 * k + 8].T)[self.bits[:, k]]
+        signed = (2 * sums.T - turned.sum(1, keepdims=True)) / np.sqrt(self.dims)
         fit = np.maximum(self.fit, 1e-9)
         off = np.sqrt(np.maximum(0, 1 - fit * fit)) / fit * SIGMAS / np.sqrt(max(1, self.dims - 1))
         at_center = (query @ self.center)[:, None]
@@ -82,6 +84,12 @@ class Codes:
         return estimate - slack, estimate + slack
 
 
+def kth_best(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row; minus infinity where there are fewer."""
+    n = scores.shape[1]
+    return np.partition(scores, n - k, axis=1)[:, n - k] if n >= k else np.full(len(scores), -np.inf)
+
+
 class Best:
     """The k best of each query so far."""
 
@@ -91,18 +99,19 @@ class Best:
         self.least = np.full(len(ids), -np.inf)
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray, codes: Codes, turn: np.ndarray) -> None:
-        for i in range(0, len(self.ids), 128):
-            low, high = codes.bounds(self.vectors[i : i + 128], turn)
-            low[self.ids[i : i + 128, None] == ids[None, :]] = -np.inf
-            k = min(self.k, low.shape[1])
-            kth = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k] if low.shape[1] >= self.k else np.full(len(low), -np.inf)
-            keep = high >= np.maximum(kth, self.least[i : i + 128])[:, None]
-            for r in range(len(low)):
-                q = i + r
-                at = np.flatnonzero(keep[r])
-                at = at[ids[at] != self.ids[q]]
-                if not len(at):
-                    continue
+        """Reranks the vectors that the codes' bounds leave: first by products as the machine sums them, then exactly what may be among the k best."""
+        reach = np.linalg.norm(vectors, axis=1).max(initial=0.0) * 1e-12  # more than any two orders of summing differ
+        for i in range(0, len(self.ids), STEP):
+            queries, least = self.vectors[i : i + STEP], self.least[i : i + STEP]
+            low, high = codes.bounds(queries, turn)
+            own = self.ids[i : i + STEP, None] == ids[None, :]
+            low[own] = -np.inf
+            keep = (high >= np.maximum(kth_best(low, self.k), least)[:, None]) & ~own
+            rough = np.where(keep, queries @ vectors.T, -np.inf)
+            off = reach * np.linalg.norm(queries, axis=1)
+            keep &= rough >= (np.maximum(kth_best(rough, self.k), least) - off)[:, None]
+            for r in np.flatnonzero(keep.any(1)).tolist():
+                q, at = i + r, np.flatnonzero(keep[r])
                 exact = np.cumsum(vectors[at] * self.vectors[q], axis=1)[:, -1]  # summed in the components' order
                 score, vec = np.concatenate([self.found[q][0], exact]), np.concatenate([self.found[q][1], ids[at]])
                 order = np.lexsort((vec, -score))[: self.k]
