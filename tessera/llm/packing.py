@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import STEP_BYTES, mix, ragged, ready, utf8
+from ._common import STEP_BYTES, mix, ready, utf8
 from ._tokens import Encoder, encoder
 
 VOCABULARY, END = "byte_bpe_50k.json", 0
@@ -38,6 +38,8 @@ K1, B = 1.2, 0.75
 SHARD_TOKENS = 1 << 20
 #: A term comes first among others in proportion to its idf to this power. Neighbours that a step of the walk down a ranking takes first.
 RARE, STEP = 3, 32
+#: Windows after which used documents leave the index.
+DROP = 64
 PIECE = "id {}, start long, length long, ids_crc32 long, doc_tokens long"
 
 _PART = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -125,15 +127,23 @@ class Shard:
         self.terms_at = np.searchsorted(owner, np.arange(len(docs) + 1))
         self.terms = term
         by_term = np.argsort(term, kind="stable")
-        self.owners, self.weights = owner[by_term].astype(np.int32), weight[by_term].astype(np.float32)
+        self.owners, self.weights = owner[by_term], weight[by_term]
         self.post_at = np.searchsorted(term[by_term], np.arange(len(idf) + 1))
         self.idf, self.n = idf, len(docs)
 
+    def drop(self, used: np.ndarray) -> None:
+        """Leaves used documents out of the postings."""
+        keep = ~used[self.owners]
+        self.post_at = np.r_[0, np.cumsum(keep)][self.post_at]
+        self.owners, self.weights = self.owners[keep], self.weights[keep]
+
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for the terms of one."""
+        """BM25 of every document of the shard that is still in the postings for the terms of one."""
         terms = self.terms[self.terms_at[doc] : self.terms_at[doc + 1]]
-        at = ragged(self.post_at[terms], self.post_at[terms + 1] - self.post_at[terms])
-        return np.bincount(self.owners[at], weights=self.weights[at], minlength=self.n)
+        lists = [slice(a, b) for a, b in zip(self.post_at[terms].tolist(), self.post_at[terms + 1].tolist(), strict=True) if a < b]
+        if not lists:
+            return np.zeros(self.n)
+        return np.bincount(np.concatenate([self.owners[x] for x in lists]), weights=np.concatenate([self.weights[x] for x in lists]), minlength=self.n)
 
 
 def ranked(score: np.ndarray) -> Iterator[np.ndarray]:
@@ -153,7 +163,7 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> I
     """Windows of (document, from, to): every token of every document once, all windows full but the last."""
     index = Shard(docs, idf, mean)
     used = np.zeros(len(docs), bool)
-    left = np.array([len(d) for d in docs])
+    left, turns = np.array([len(d) for d in docs]), 0
     order = np.argsort(-left, kind="stable")
     at, seed, begin = 0, -1, 0
     while True:
@@ -165,6 +175,9 @@ def fill(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> I
             seed, begin = int(order[at]), 0
             used[seed] = True
         now, room = [(seed, begin, len(docs[seed]))], window - (len(docs[seed]) - begin)
+        turns += 1
+        if turns % DROP == 0:
+            index.drop(used)
         score = index.scores(seed)
         seed = -1
         score[used] = -1
