@@ -11,6 +11,7 @@ import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ CANDIDATE = schemas.struct(businessDocumentKey=schemas.S, documentId=schemas.S,
 RECEIPT = schemas.struct(submissionId=schemas.S, fileId=schemas.S, key=schemas.S, receivedAt=schemas.TS)
 LOGS = {
     "receipts": (RECEIPT, None), "submissions": (schemas.SUBMISSION, "submissionId"), "raw_files": (schemas.RAW_FILE, "rawFileHash"),
-    "documents": (schemas.DOCUMENT, "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId"), "chunks": (CHUNK, None),
+    "documents": (schemas.DOCUMENT, "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId"), "chunks": (CHUNK, None),  # below canonical/
     "candidates": (CANDIDATE, None), "vectors": (VECTOR, None), "manual_review": (schemas.MANUAL_REVIEW, None),
     "audit_log": (schemas.AUDIT, None),
 }
@@ -47,18 +48,31 @@ RAW_WAITS, RAW_WAIT_SECONDS = 3, 2.0
 CALLBACK_BATCH = 1000
 
 
+def logged(step: Callable) -> Callable:
+    """A step whose log lines are written at its end, also where it fails."""
+
+    @wraps(step)
+    def run(self, *args, **named):
+        try:
+            return step(self, *args, **named)
+        finally:
+            self.write_log()
+
+    return run
+
+
 class Engine:
     def __init__(
         self, spark: SparkSession, root: str, chunk_chars: int = CHUNK_CHARS, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc), wait: Callable[[float], None] = time.sleep
     ):
         checkpoint_folder(workers_find_library(spark))
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
-        self.last_seq = 0
+        self.last_seq, self.said, self.noted = 0, [], []
 
     # logs
 
     def path(self, name: str) -> str:
-        return f"{self.root}/registry/{name}"
+        return self.root + ("/canonical" if name == "chunks" else f"/registry/{name}")
 
     def read(self, path: str, schema: StructType) -> DataFrame:
         try:
@@ -103,16 +117,22 @@ class Engine:
         return F.lit(self.clock()).cast("timestamp")
 
     def audit(self, rows: DataFrame, action, *fields: str) -> None:
-        """One log line a row: its action and the named columns as text."""
+        """One log line a row: its action and the named columns as text. Written with the others of the step."""
         said = F.create_map(*(x for f in sorted(fields) for x in (F.lit(f), F.col(f).cast("string"))))
-        self.append("audit_log", rows.select((F.lit(action) if isinstance(action, str) else action).alias("action"), said.alias("fields"), self.now().alias("at")), self.next_seq())
+        self.said.append(rows.select((F.lit(action) if isinstance(action, str) else action).alias("action"), said.alias("fields"), self.now().alias("at")))
 
     def note(self, action: str, **fields) -> None:
-        names = sorted(fields)
-        self.audit(self.spark.createDataFrame([tuple(None if fields[n] is None else str(fields[n]) for n in names)], ", ".join(f"{n} string" for n in names)), action, *names)
+        self.noted.append((action, {n: None if fields[n] is None else str(fields[n]) for n in sorted(fields)}, self.clock()))
+
+    def write_log(self) -> None:
+        lines = [*self.said, *([self.spark.createDataFrame(self.noted, schemas.AUDIT)] if self.noted else [])]
+        self.said, self.noted = [], []
+        if lines:
+            self.append("audit_log", reduce(DataFrame.unionByName, lines), self.next_seq())
 
     # steps
 
+    @logged
     def receive(self, events: DataFrame) -> DataFrame:
         """Records receipts of new files; returns how many records had which action."""
         rows = receipts.classified(receipts.unnested(events)).checkpoint()
@@ -137,6 +157,7 @@ class Engine:
         self.audit(rows.join(known, "key", "left"), said, "key", "submissionId", "fileId", "sequencer")
         return rows.groupBy("action").agg(F.count("*").alias("n"))
 
+    @logged
     def complete(self, submission: str, expected: list[str], fail: bool = False) -> dict:
         """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents."""
         request = self.spark.createDataFrame([(submission, expected)], "submissionId string, expectedFileIds array<string>")
@@ -168,7 +189,6 @@ class Engine:
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
         documents = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
         records = chunking.chunk_records(documents, self.chunk_chars).checkpoint()
-        self.append("chunks", records, seq)
         self.persist(records)
         sizes = records.groupBy("documentId").agg(F.count("*").alias("canonicalChunkCount"))
         self.append("candidates", made.where("businessDocumentKey is not null"), F.lit(seq) + F.col("place"))
@@ -207,6 +227,7 @@ class Engine:
         objects.verified(records, listed, lambda missing: objects.write_chunks(missing, folder), "contentKey")
         self.note("canonical_chunk_persistence_verified", objects=2 * records.count())
 
+    @logged
     def coordinate(self, job: Callable[[list[str]], dict] | None = None, poll: Callable[[str], dict] | None = None, batch: int = indexing.BATCH) -> str:
         """One action: poll the active run if there is one, or else start a run over pending documents."""
         seq, run = self.next_seq(), indexing.active_run(self.state("runs")).first()
@@ -246,6 +267,7 @@ class Engine:
         self.note("kb_coordinator_ingestion_completed" if outcome != "STARTED" else "kb_coordinator_ingestion_started", ingestionRunId=run_id, status=outcome, documents=len(documents))
         return outcome
 
+    @logged
     def refresh(self, callback: Callable[[dict], None] | None = None, fail: bool = False) -> DataFrame:
         """Readiness of all complete submissions; those that turn READY are called back (fail: as if every call failed).
 
@@ -330,6 +352,7 @@ class Engine:
         out |= {"retrievalResults": rows, "retrievedDocumentIds": sorted({r["documentId"] for r in rows if r["documentId"]})}
         return out | retrieval.summarized(submission, text.strip(), rows, model)
 
+    @logged
     def monitor(self, environment: str = "dev") -> tuple[DataFrame, DataFrame]:
         """(metrics in batches, alerts) of one pass; alerts go to manual review too."""
         submissions, documents, now = self.state("submissions"), self.state("documents"), self.now()
