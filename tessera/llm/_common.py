@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ LONG = 512
 HEAD = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 _powers: dict[str, np.ndarray] = {}
+_tables: list[str] = []
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -49,13 +51,32 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """A frame as a table in the shared folder: lineage ends there, and a reader takes only the columns it needs."""
+    """A frame as a table in the shared folder: lineage ends there, and a reader takes only the columns it needs.
+
+    The folder stays, unless the caller writes what it makes of the table within tables_removed.
+    """
     spark = ready(frame.sparkSession)
     folder = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    _tables.append(folder)
     frame.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def tables_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the tables written within it; what was made of them must be written by then."""
+    before = len(_tables)
+    yield
+    for path in _tables[before:]:
+        remove(spark, path)
+    del _tables[before:]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -84,6 +84,9 @@ def test_tables_with_nothing_in_them(spark, tmp_path, rows):
 def test_finished_stages_are_removed(spark, folder):
     import glob
 
+    tables = lambda: set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/table-*"))
+    before = tables()
     corpus_pipeline.run(spark, folder)
     root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert tables() == before
     assert [p[-1] for p in glob.glob(f"{root}/pipeline-*/*")] and all(p.endswith("/4") for p in glob.glob(f"{root}/pipeline-*/*"))
