@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import stages
-from tessera.llm._common import ready
+from tessera.llm._common import ready, remove, tables_removed
 
 STAGES = [
     ("quality classifier", stages.quality_classifier),
@@ -31,9 +31,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with tables_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
         if k:
-            done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
-            done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+            remove(spark, f"{folder}/{k - 1}")
     return docs
