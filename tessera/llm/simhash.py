@@ -44,6 +44,8 @@ SEED = 42
 TILE, LEAST_TILE = 1 << 19, 1 << 12
 #: Fingerprints of either side that one vectorised step compares.
 LEFT, RIGHT = 256, 512
+#: Hashes whose bits are summed up at once: each takes 64 bytes, and 512 while they are added.
+SUMMED = 1 << 14
 #: Texts, and bytes of them, that one part of a group of candidates holds.
 PART_ROWS, PART_BYTES = 1 << 13, 6 << 20
 #: Rows that a key may have at least before it counts as hot.
@@ -105,8 +107,8 @@ def majority(hashes: np.ndarray, rows: np.ndarray, n: int, parts: int) -> np.nda
     The first 64 bits are of the hashes, each further 64 of a mix of them.
     """
     total, count = np.zeros((n, 64 * parts), np.int64), np.zeros(n, np.int64)
-    for i in range(0, len(hashes), 1 << 18):  # a huge text is summed up in parts
-        j = min(len(hashes), i + (1 << 18))
+    for i in range(0, len(hashes), SUMMED):  # a huge text is summed up in parts
+        j = min(len(hashes), i + SUMMED)
         at = np.flatnonzero(np.r_[True, rows[i + 1 : j] != rows[i : j - 1]])
         mine = rows[i:j][at]
         for k in range(parts):
