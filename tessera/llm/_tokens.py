@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from ._common import Bytes, ragged
 
 #: Pieces, and bytes of them, kept between batches; beyond either the store is emptied. Bounds a worker's memory.
-MOST_PIECES, MOST_BYTES = 1 << 21, 1 << 26
+MOST_PIECES, MOST_BYTES = 1 << 19, 1 << 24
 
 LETTER, NUMBER, SPACE, OTHER, UNSAFE = range(5)
 KIND = np.full(256, UNSAFE, np.uint8)
@@ -102,7 +102,7 @@ class Encoder:
         if 2 * self.pieces > len(self.keys):
             known = self.keys != 0
             keys, slots = self.keys[known], self.slots[known]
-            size = 4 * len(self.keys)
+            size = 1 << (2 * self.pieces).bit_length()
             self.keys, self.slots = np.zeros(size, np.uint64), np.zeros(size, np.int64)
             self.insert(keys, slots)
         if hashes is not None:
