@@ -29,6 +29,8 @@ STEP_BYTES = 1 << 21
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Values that one step of a pass over a whole block takes, so that what it makes stays in the processor's cache.
+CACHED = 1 << 15
 #: Spans longer than this are hashed and compared one by one.
 LONG = 512
 #: Masks of the first 0 to 8 bytes of a little-endian number.
@@ -136,12 +138,18 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of each `size` neighbouring values, from one prefix sum. Different grams may share it."""
-    n = len(values)
-    up, down = powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-    return mix((total[size:] - total[: n - size + 1]) * down[: n - size + 1])
+    """A 64-bit hash of each `size` neighbouring values, from prefix sums. Different grams may share it."""
+    out = np.empty(len(values) - size + 1, np.uint64)
+    up, down = powers(CACHED + size + 1)
+    total = np.zeros(CACHED + size, np.uint64)
+    for i in range(0, len(out), CACHED):
+        some = values[i : i + CACHED + size - 1].astype(np.uint64)
+        n = len(some)
+        some += np.uint64(1)
+        some *= up[:n]
+        np.cumsum(some, out=total[1 : n + 1])
+        out[i : i + CACHED] = mix((total[size : n + 1] - total[: n - size + 1]) * down[: n - size + 1])
+    return out
 
 
 class Bytes:

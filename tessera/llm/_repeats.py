@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import distinct_spans, gram_hashes, partitions, ragged, ready, text_bytes, utf8
+from ._common import CACHED, distinct_spans, gram_hashes, partitions, ragged, ready, text_bytes, utf8
 
 BLOCK, KEY_BUCKET, STRETCH_BUCKET = 2 << 20, 16 << 20, 2 << 20
 #: Blocks that one task of the exchange has at most, on average.
@@ -38,12 +38,15 @@ SLICE = 1 << 20
 
 def least_of(a: np.ndarray, width: int, pick) -> np.ndarray:
     """pick (minimum or maximum) over every `width` neighbours."""
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        a = pick(a[:-step], a[step:])
-        have += step
-    return a
+    out = np.empty(len(a) - width + 1, a.dtype)
+    for i in range(0, len(out), CACHED):
+        part, have = a[i : i + CACHED + width - 1], 1
+        while have < width:
+            step = min(have, width - have)
+            part = pick(part[:-step], part[step:])
+            have += step
+        out[i : i + CACHED] = part
+    return out
 
 
 class Units:
@@ -62,43 +65,56 @@ class Units:
 
 
 class Anchors:
-    """Anchors of a block, and the windows of each as a range of starts."""
+    """Anchors of a block: their places and keys."""
 
-    def __init__(self, units: Units, size: int, gram: int, ranges: bool):
-        n, span = len(units.hashes), size - gram + 1
-        self.key = self.low = self.high = np.zeros(0, np.int64)
+    def __init__(self, units: Units, size: int, gram: int):
+        n, self.span = len(units.hashes), size - gram + 1
+        self.at, self.key = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.least = self.hash = np.zeros(0, np.uint64)
         if n < size:
             return
         g = gram_hashes(units.hashes, gram) >> np.uint64(1)
         g += np.uint64(1)
         whole = units.rows[: n - size + 1] == units.rows[size - 1 :]
-        least = least_of(g, span, np.minimum)
-        held = np.zeros(len(g) + span - 1, np.uint64)
-        held[span - 1 : span - 1 + len(least)] = np.where(whole, least, 0)
-        flags = least_of(held, span, np.maximum) == g
-        at = np.flatnonzero(flags)
-        self.key = (g[at] >> np.uint64(16)).astype(np.uint32)
-        if ranges:
-            start = np.flatnonzero(whole).astype(np.int32)
-            mine, wanted, hashes = np.cumsum(flags, dtype=np.int32)[start] - flags[start], least[start], g[at]
-            left = np.flatnonzero(hashes[mine] != wanted)
-            while len(left):  # an anchor of a higher hash stands before the window's own
-                mine[left] += 1
-                left = left[hashes[mine[left]] != wanted[left]]
-            first = np.flatnonzero(np.r_[True, (mine[1:] != mine[:-1]) | (start[1:] != start[:-1] + 1)]) if len(mine) else np.zeros(0, np.int64)
-            self.key = self.key[mine[first]]
-            self.low = start[first].astype(np.int64)
-            self.high = start[np.r_[first[1:], len(start)] - 1].astype(np.int64) if len(first) else first
+        self.least = np.where(whole, least_of(g, self.span, np.minimum), 0)  # of each window that is in one row
+        held = np.zeros(len(g) + self.span - 1, np.uint64)
+        held[self.span - 1 : self.span - 1 + len(self.least)] = self.least
+        self.at = np.flatnonzero(least_of(held, self.span, np.maximum) == g)
+        self.hash = g[self.at]
+        self.key = (self.hash >> np.uint64(16)).astype(np.uint32)
+
+    def ranges(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of those anchors that are some window's own: which they are, and the first and last start of their windows.
+
+        A window's own anchor is the first place of its least hash. some: whole keys, in order of place.
+        """
+        at, mine = self.at[some], self.hash[some]
+        order = np.lexsort((at, mine))
+        before = np.full(len(some), -1)  # the place before with the same hash
+        before[order[1:]] = np.where(mine[order[1:]] == mine[order[:-1]], at[order[:-1]], -1)
+        low, high = np.full(len(some), -1), np.full(len(some), -2)
+        back = np.arange(self.span) - self.span + 1
+        for i in range(0, len(some), 4096):
+            start = at[i : i + 4096, None] + back
+            own = self.least[np.minimum(np.maximum(start, 0), len(self.least) - 1)] == mine[i : i + 4096, None]
+            own &= (start > before[i : i + 4096, None]) & (start >= 0) & (start < len(self.least))
+            first, last = own.argmax(1), self.span - 1 - own[:, ::-1].argmax(1)
+            some_own = own[np.arange(len(own)), first]
+            low[i : i + 4096] = np.where(some_own, start[:, 0] + first, -1)
+            high[i : i + 4096] = np.where(some_own, start[:, 0] + last, -2)
+        found = np.flatnonzero(low >= 0)
+        return some[found], low[found], high[found]
 
 
 class Entries:
     """The different stretches of a block's repeated anchors."""
 
     def __init__(self, units: Units, size: int, gram: int, repeated: np.ndarray, weights: np.ndarray, add: np.ufunc):
-        anchors = Anchors(units, size, gram, ranges=True)
+        anchors = Anchors(units, size, gram)
         kinds, place, count = np.unique(anchors.key, return_inverse=True, return_counts=True)
         take = ((count > 1) | np.isin(kinds, repeated, assume_unique=True))[place]
-        self.low, high, key = anchors.low[take], anchors.high[take], anchors.key[take]
+        which, self.low, high = anchors.ranges(np.flatnonzero(take))
+        key = anchors.key[which]
         self.length = high - self.low + 1
         a, b = units.bounds(self.low, high + size)
         first, self.entry = distinct_spans(units.data, a, b)
@@ -177,7 +193,7 @@ def scan(
 
     def keys_of(key: tuple, table: pa.Table) -> pa.Table:
         data, offsets = utf8(table.column("text"))
-        keys = np.unique(Anchors(units_of(data, offsets), size, gram, ranges=False).key)
+        keys = np.unique(Anchors(units_of(data, offsets), size, gram).key)
         out = sent(keys % key_buckets)
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()), "keys": pa.array([keys[at].tobytes() for _, at in out], pa.binary())})
 

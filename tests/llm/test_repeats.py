@@ -192,7 +192,7 @@ def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
     for block, text in enumerate(texts):  # each text is a block, as in scan
         data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
         units = substring_tree.units_of(data, offsets)
-        keys = _repeats.Anchors(units, 35, 8, ranges=False).key
+        keys = _repeats.Anchors(units, 35, 8).key
         e = _repeats.Entries(units, 35, 8, keys, np.ones(1, np.int64), np.add)
         sent = getattr(units, "data", data)
         stretches = [sent[a:b].tobytes() for a, b in zip(e.begin, e.end, strict=True)]
@@ -206,3 +206,31 @@ def test_rewrapped_copies_of_a_hot_passage(monkeypatch):
         values, at = found.values(substring_tree.index(35))
         hits = sum(int((values[at[k] : at[k] + found.windows[k]] > 1).sum()) * int(np.sum(found.entry == k)) for k in range(len(at)))
         assert hits == sum(seen[w] > 1 for w in windows) >= 60 * (62 - 35 + 1)
+
+
+def test_every_window_has_one_anchor():
+    """The ranges of all anchors hold each window within a row once; its anchor is the first place of its least hash."""
+    rnd = np.random.default_rng(12)
+    for trial in range(30):
+        lengths = rnd.integers(0, 60, 8)
+        data = rnd.integers(97, 97 + rnd.integers(1, 4), int(lengths.sum())).astype(np.uint8)
+        units = bwt_dedup.units_of(data, np.r_[0, np.cumsum(lengths)])
+        size, gram = 12, 5
+        anchors = _repeats.Anchors(units, size, gram)
+        which, low, high = anchors.ranges(np.arange(len(anchors.at)))
+        found = {int(s): int(anchors.at[w]) for w, a, b in zip(which, low, high, strict=True) for s in range(a, b + 1)}
+        assert sum(high - low + 1) == len(found)
+        hashes = _common.gram_hashes(data, gram) >> np.uint64(1) if len(data) >= gram else []
+        ends = np.repeat(np.cumsum(lengths), lengths)
+        wanted = {s: s + int(np.argmin(hashes[s : s + size - gram + 1])) for s in range(len(data)) if s + size <= ends[s]}
+        assert found == wanted
+
+
+def test_passes_in_steps(monkeypatch):
+    rnd = np.random.default_rng(1)
+    values = rnd.integers(0, 1 << 60, 1000).astype(np.uint64)
+    whole = _common.gram_hashes(values, 8), _repeats.least_of(values, 27, np.minimum)
+    for module in (_common, _repeats):
+        monkeypatch.setattr(module, "CACHED", 64)
+    assert (_common.gram_hashes(values, 8) == whole[0]).all() and (_repeats.least_of(values, 27, np.minimum) == whole[1]).all()
+    assert whole[1].tolist() == [values[i : i + 27].min() for i in range(974)]
