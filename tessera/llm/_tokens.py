@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from ._common import Bytes, ragged
 
 #: Pieces, and bytes of them, kept between batches; beyond either the store is emptied. Bounds a worker's memory.
-MOST_PIECES, MOST_BYTES = 1 << 19, 1 << 24
+MOST_PIECES, MOST_BYTES = 1 << 20, 1 << 25
 
 LETTER, NUMBER, SPACE, OTHER, UNSAFE = range(5)
 KIND = np.full(256, UNSAFE, np.uint8)
