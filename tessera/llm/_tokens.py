@@ -112,7 +112,9 @@ class Encoder:
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The library's ids of many pieces, one after another, and how many each has."""
         merge = self.library.model.tokenize
-        found = [[t.id for t in merge(w.decode("latin-1").encode().decode("latin-1").translate(BYTE_NAMES))] for w in words]
+        # all at once, parted by byte 0, which no safe text holds
+        names = b"\0".join(words).decode("latin-1").encode().decode("latin-1").translate(BYTE_NAMES).split(chr(BYTE_NAMES[0])) if words else []
+        found = [[t.id for t in merge(w)] for w in names]
         sizes = np.array([len(x) for x in found], np.int64)
         return np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum())), sizes
 
@@ -124,14 +126,14 @@ class Encoder:
         hashes = texts.hashes(starts, lengths) | np.uint64(1)
         place = self.look_up(hashes)
         missing = np.flatnonzero(place < 0)
-        piece = lambda i: data[starts[i] : ends[i]].tobytes()
         if len(missing):
             new, first, inverse = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            place[missing] = self.store([piece(i) for i in missing[first].tolist()], new)[inverse]
+            raw, first = data.tobytes(), missing[first]
+            place[missing] = self.store([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], new)[inverse]
         there, known = self.raw_at[:, place]
         equal = (known == lengths) & texts.same(starts, self.raw, there, np.minimum(known, lengths))
         for i in np.flatnonzero(~equal).tolist():  # a piece that shares its hash with another one
-            if (content := piece(i)) not in self.others:
+            if (content := data[starts[i] : ends[i]].tobytes()) not in self.others:
                 self.others[content] = int(self.store([content], None)[0])
             place[i] = self.others[content]
         return place
