@@ -62,11 +62,12 @@ def encode(enc: Encoder, texts: list[str]) -> list[np.ndarray]:
     pieces, owner = [], []
     out: list[list[np.ndarray]] = [[] for _ in texts]
     for i, text in enumerate(texts):
-        if "<|" in text or enc.safe(text) is None:
+        raw = enc.safe(text)
+        if raw is None:
             out[i].append(enc.slow_ids(text))
         else:
-            for p in parts(text):
-                pieces.append(enc.safe(p))
+            for p in parts(text) if len(text) > STEP_BYTES // 2 else (text,):
+                pieces.append(raw if p is text else enc.safe(p))
                 owner.append(i)
     at = 0
     while at < len(pieces):
