@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce, wraps
@@ -69,6 +70,13 @@ class Engine:
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
         self.last_seq, self.said, self.noted = 0, [], []
 
+    def together(self, *steps: Callable[[], object]) -> None:
+        """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            done = [pool.submit(step) for step in steps]
+        for step in done:
+            step.result()
+
     # logs
 
     def path(self, name: str) -> str:
@@ -183,15 +191,17 @@ class Engine:
             rendered = rendered.withColumn("error", F.lit("forced failure"))
         rendered = rendered.checkpoint()
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
-        objects.write_processed(good.select(F.lit(submission).alias("submissionId"), "fileId", "markdown"), f"{self.root}/processed")
         made = dedupe.resolved(good, self.state("documents"), ("place",)).checkpoint()
         self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
         documents = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
         records = chunking.chunk_records(documents, self.chunk_chars).checkpoint()
-        self.persist(records)
         sizes = records.groupBy("documentId").agg(F.count("*").alias("canonicalChunkCount"))
-        self.append("candidates", made.where("businessDocumentKey is not null"), F.lit(seq) + F.col("place"))
+        self.together(
+            lambda: objects.write_processed(good.select(F.lit(submission).alias("submissionId"), "fileId", "markdown"), f"{self.root}/processed"),
+            lambda: self.persist(records),
+            lambda: self.append("candidates", made.where("businessDocumentKey is not null"), F.lit(seq) + F.col("place")),
+        )
         fresh = documents.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), self.now().alias("createdAt"), self.now().alias("updatedAt"))
         old = self.state("documents").alias("d").join(made.where("not created").select("documentId", *(F.col(c).alias(f"new_{c}") for c in CANDIDATE.names if c != "documentId")), "documentId")
         same = versions.compatible(F.col("businessDocumentKey"), F.col("new_businessDocumentKey"))
@@ -200,14 +210,16 @@ class Engine:
         touched = made.select("businessDocumentKey").where("businessDocumentKey is not null").distinct()
         active = versions.elected(self.log("candidates").join(touched, "businessDocumentKey", "left_semi"), "seq")
         changed = versions.flagged(current.join(touched, "businessDocumentKey", "left_semi"), active).unionByName(fresh.where("businessDocumentKey is null").withColumn("isActive", F.lit(False)), allowMissingColumns=True)
-        self.append("documents", changed.checkpoint(), seq)
+        self.append("documents", changed, seq)
         done = made.select("rawFileHash", "documentId", "canonicalHash", F.lit("RESOLVED").alias("status"), keys.processed_key(F.lit(submission), F.col("fileId")).alias("processedS3Key"))
         failed = bad.select("rawFileHash", F.lit("FAILED").alias("status"), F.col("error").alias("lastError"))
         first = self.state("raw_files").select("rawFileHash", F.col("firstSeenAt").alias("since"))
         outcome = done.unionByName(failed, allowMissingColumns=True).join(first, "rawFileHash", "left")
-        self.append("raw_files", outcome.withColumns({"firstSeenAt": F.coalesce("since", self.now()), "lastSeenAt": self.now(), "updatedAt": self.now()}), seq)
-        if not bad.isEmpty():
-            self.append("manual_review", bad.select(F.lit("preprocessing_failed").alias("alertType"), F.lit(submission).alias("submissionId"), "rawFileHash", "error", self.now().alias("raisedAt")), seq)
+        review = bad.select(F.lit("preprocessing_failed").alias("alertType"), F.lit(submission).alias("submissionId"), "rawFileHash", "error", self.now().alias("raisedAt"))
+        self.together(
+            lambda: self.append("raw_files", outcome.withColumns({"firstSeenAt": F.coalesce("since", self.now()), "lastSeenAt": self.now(), "updatedAt": self.now()}), seq),
+            lambda: bad.isEmpty() or self.append("manual_review", review, seq),
+        )
         own = claims.select("rawFileHash", F.col("documentId").alias("resolvedDocumentId")).join(made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left")
         attached = attach.document_of(own).withColumn("submissionId", F.lit(submission)).checkpoint()
         open_files = attached.where("documentId is null").count()
@@ -260,9 +272,12 @@ class Engine:
         said = indexing.run_status(F.coalesce("job", F.lit("")), indexing.has_failures(F.col("failed"), F.col("reasons")))
         run = self.spark.createDataFrame(row, schema).select("*", said.alias("status"), indexing.error_summary(F.col("reasons")).alias("errorSummary"))
         ended = F.when(F.col("status") != "STARTED", self.now())
-        self.append("runs", run.withColumns({"startedAt": F.lit(started), "completedAt": ended}), seq)
         hit = self.state("documents").where(F.col("documentId").isin(documents))
-        self.append("documents", indexing.fanned_out(hit, run.select("ingestionRunId", "status", "documentIds", "errorSummary")).withColumn("updatedAt", self.now()).checkpoint(), seq)
+        ended_documents = indexing.fanned_out(hit, run.select("ingestionRunId", "status", "documentIds", "errorSummary")).withColumn("updatedAt", self.now())
+        self.together(
+            lambda: self.append("documents", ended_documents, seq),
+            lambda: self.append("runs", run.withColumns({"startedAt": F.lit(started), "completedAt": ended}), seq),
+        )
         outcome = run.first()["status"]
         self.note("kb_coordinator_ingestion_completed" if outcome != "STARTED" else "kb_coordinator_ingestion_started", ingestionRunId=run_id, status=outcome, documents=len(documents))
         return outcome
