@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bwt_dedup, decontaminate, packing, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
+from . import ann, bwt_dedup, decontaminate, packing, periodic_runs, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
 from ._common import table
 
 
@@ -52,6 +52,14 @@ def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents", "doc_id", "text"))).withColumn("best", periodic_runs.longest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

@@ -40,4 +40,30 @@ s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as sco
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20"""
 
-ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS}
+#: CRC-32 of a short ASCII text: each character's bits are shifted through the polynomial.
+CRC32 = """xor(4294967295, list_reduce(flatten(list_prepend([4294967295], list_transform(range(1, length({x}) + 1), lambda i: [ord(substr({x}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end))"""
+
+#: Equal words of one text at each distance up to a fourth of it, in islands of neighbours.
+PERIODIC_RUNS = (
+    r"""
+with b as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws, """
+    + CRC32.format(x="cast(doc_id as varchar)")
+    + r""" as h from documents),
+c as (select *, len(ws) as n, h // 10 as g, case when len(ws) > 0 then (h // 10) % len(ws) end as a from b),
+e as (select *, 1 + (n - a) // (3 + g % 8) as p from c),
+d as (select r, doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(0, n), lambda i: ws[cast(case when i < a then i else a + (i - a) % p end as bigint) + 1]) else ws end as ws from e),
+w as (select r, n, unnest(range(0, n)) as i, unnest(ws) as w from d),
+m as (select x.r, x.i, y.i - x.i as q from w x join w y on x.r = y.r and x.w = y.w and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+s as (select r, q, i, i - row_number() over (partition by r, q order by i) as island from m),
+t as (select r, q, min(i) as start, count(*) + q as length from s group by r, q, island having count(*) + q >= greatest(6, 4 * q)),
+u as (select r, start, length, min(q) as period from t group by r, start, length),
+k as (select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as said, arg_max({'start': start, 'length': length, 'period': period}, (length, -start, -period)) as best from u group by r),
+gone as (select distinct r, unnest(range(start + period, start + length)) as i from u),
+kept as (select w.r, string_agg(w.w, ' ' order by w.i) as kept from w anti join gone on w.r = gone.r and w.i = gone.i group by w.r)
+select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(best.start as bigint) as start, cast(best.length as bigint) as length, cast(best.period as bigint) as period,
+  cast(1000 * best.length // best.period as bigint) as exponent_milli, sha256(coalesce(said, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from d left join k using (r) left join kept using (r)"""
+)
+
+ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS, "op12_periodic_runs": PERIODIC_RUNS}
