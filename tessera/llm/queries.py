@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bwt_dedup, decontaminate, packing, periodic_runs, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
+from . import ann, bwt_dedup, decontaminate, merkle, packing, periodic_runs, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
 from ._common import table
 
 
@@ -52,6 +52,15 @@ def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, columns = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"), ("doc_id", "source", "lang", "n_chars")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    tampered = F.when(changed, merkle.leaf_of(*map(F.col, columns), merkle.ascii_lower(F.col("text"))))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_of(*map(F.col, columns), F.col("text")).alias("leaf"), tampered.alias("tampered"))
+    found = merkle.manifest(leaves).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("siblings"), F.col("places")))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents", "doc_id", "text"))).withColumn("best", periodic_runs.longest(F.col("runs")))
     return found.select(

@@ -66,4 +66,33 @@ select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(best.start as
 from d left join k using (r) left join kept using (r)"""
 )
 
-ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS, "op12_periodic_runs": PERIODIC_RUNS}
+#: One column in a leaf.
+FIELD = "case when {c} is null then '-' else strlen(cast({c} as varchar)) || ':' || {c} end"
+#: Levels as lists of digests, up to one; siblings gathered, and leaves folded, level by level.
+MERKLE_MANIFEST = (
+    "with recursive b as (select doc_id, lang, sha256("
+    + " || ".join(FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    + ") as leaf, sha256("
+    + " || ".join(FIELD.format(c=c) for c in ("doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))
+    + ") as lower_leaf, "
+    + CRC32.format(x="cast(doc_id as varchar)")
+    + """ as crc from documents),
+d as (select *, coalesce('=' || lang, '-') as t, case when crc % 3 = 0 then lower_leaf else leaf end as shown, row_number() over (order by lang nulls first, doc_id nulls first, leaf) as r,
+  row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i from b),
+lower_levels as (select t, 0 as k, list(leaf order by i) as hs from d group by t
+  union all select t, k + 1, list_transform(range(0, len(hs), 8), lambda j: sha256(array_to_string(hs[j + 1:j + 8], ''))) from lower_levels where len(hs) > 1),
+subroots as (select t, hs[1] as subroot, k as deep, row_number() over (order by t) - 1 as place from lower_levels where len(hs) = 1),
+upper_levels as (select 0 as k, list(subroot order by t) as hs from subroots
+  union all select k + 1, list_transform(range(0, len(hs), 8), lambda j: sha256(array_to_string(hs[j + 1:j + 8], ''))) from upper_levels where len(hs) > 1),
+levels as (select t, k, hs from lower_levels where len(hs) > 1 union all select s.t, s.deep + u.k, u.hs from upper_levels u, subroots s where len(u.hs) > 1),
+spots as (select d.r, l.k, l.hs, case when l.k < s.deep then d.i // cast(pow(8, l.k) as bigint) else s.place // cast(pow(8, l.k - s.deep) as bigint) end as i from d join subroots s on s.t = d.t join levels l on l.t = d.t),
+steps as (select r, k, array_to_string(hs[i // 8 * 8 + 1:i], '') as before, array_to_string(hs[i + 2:i // 8 * 8 + 8], '') as after from spots),
+folding as (select r, 0 as k, shown as h from d union all select f.r, f.k + 1, sha256(s.before || f.h || s.after) from folding f join steps s on s.r = f.r and s.k = f.k),
+folded as (select r, arg_max(h, k) as h from folding group by r),
+proofs as (select r, string_agg(before || after, '' order by k) as said from steps group by r),
+top as (select hs[1] as root from upper_levels where len(hs) = 1)
+select doc_id, leaf, subroot, root, sha256(coalesce(said, '')) as proof_sha256, folded.h as folded_root, folded.h = root as verified
+from d join subroots s on s.t = d.t join folded on folded.r = d.r left join proofs on proofs.r = d.r, top"""
+)
+
+ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS, "op11_merkle_manifest": MERKLE_MANIFEST, "op12_periodic_runs": PERIODIC_RUNS}

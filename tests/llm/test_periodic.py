@@ -14,16 +14,13 @@ from tessera.llm import periodic_runs
 
 
 def plain_runs(words: list, least: int = 6, times: int = 4) -> list[tuple[int, int, int]]:
-    found = {}
+    """Every period's stretches of equal words that far apart; a stretch stays under its smallest period."""
+    found, ids = {}, np.unique(np.array(words, object).astype(str), return_inverse=True)[1] if words else np.zeros(0, int)
     for q in range(1, len(words) // times + 1):
-        i = 0
-        while i + q < len(words):
-            j = i
-            while j + q < len(words) and words[j] == words[j + q]:
-                j += 1
+        edges = np.diff(np.r_[0, (ids[:-q] == ids[q:]).astype(int), 0])
+        for i, j in zip(np.flatnonzero(edges > 0).tolist(), np.flatnonzero(edges < 0).tolist(), strict=True):
             if j - i + q >= max(least, times * q):
                 found.setdefault((i, j - i + q), q)
-            i = max(j, i + 1)
     return sorted((a, n, q) for (a, n), q in found.items())
 
 
