@@ -236,18 +236,16 @@ def linked(a: Tile, b: Tile, radius: int, similar: tuple[int, int] | None = None
 
 
 def settle(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
-    """Lowers labels until both ends of every link agree."""
+    """Lowers labels until both ends of every link agree. Only roots move, so what labels have joined before stays joined."""
     while True:
-        low = np.minimum(label[u], label[v])
-        before = label.copy()
-        np.minimum.at(label, label[u], low)
-        np.minimum.at(label, label[v], low)
-        np.minimum.at(label, u, low)
-        np.minimum.at(label, v, low)
+        of_u, of_v = label[u], label[v]
+        if np.array_equal(of_u, of_v):
+            return
+        low = np.minimum(of_u, of_v)
+        np.minimum.at(label, of_u, low)
+        np.minimum.at(label, of_v, low)
         while not np.array_equal(label, label[label]):
             label[:] = label[label]
-        if np.array_equal(before, label):
-            return
 
 
 def tiling(sizes: dict[int, int], most: int, radius: int, tile: int) -> tuple[list[int], list[int], list[int], list[int]]:

@@ -214,3 +214,20 @@ def test_a_text_of_many_shingles_is_summed_in_parts(spark):
     rows = [(1, " ".join(rnd.choice(corpus.WORDS) for _ in range((1 << 18) + 5000))), (2, "a short one beside it")]
     found = {r["doc_id"]: r["fingerprint"] for r in simhash.near_duplicates(corpus.frame(spark, rows)).collect()}
     assert found == {i: f"{fingerprint(t):016x}" for i, t in rows}
+
+
+def test_labels_of_earlier_links_stay_joined():
+    """Links settled in several calls give what one call gives."""
+    rnd = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(rnd.integers(2, 40))
+        u, v = rnd.integers(0, n, (2, int(rnd.integers(1, 40))))
+        label, once = np.arange(n), np.arange(n)
+        simhash.settle(once, u, v)
+        for i in range(len(u)):
+            simhash.settle(label, u[i : i + 1], v[i : i + 1])
+        assert label.tolist() == once.tolist()
+    label = np.arange(6)
+    for a, b in (([5], [4]), ([5, 4], [2, 0])):
+        simhash.settle(label, np.array(a), np.array(b))
+    assert label.tolist() == [0, 1, 0, 3, 0, 0]
