@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bwt_dedup, decontaminate, merkle, packing, periodic_runs, pii, quality, simhash, sql, substring_tree, token_counts, url_filter
+from . import ann, bwt_dedup, decontaminate, merkle, packing, periodic_runs, pii, quality, signature_tree, simhash, sql, substring_tree, token_counts, url_filter
 from ._common import table
 
 
@@ -69,6 +69,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.near_sets(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 

@@ -28,7 +28,7 @@ kept, one result each. A null id takes part and gets its group's id, which is nu
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -398,9 +398,11 @@ def verified(prints: np.ndarray, ids: np.ndarray, at: np.ndarray, left: np.ndarr
     return label
 
 
-def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius: int, similar: tuple[int, int]) -> DataFrame:
+def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius: int, similar: tuple[int, int], join: Callable = verified) -> DataFrame:
     """(u, v): forests of the candidate links that hold. candidates: (node, print, size, bytes, root); texts: (node, text).
 
+    join: what finds them between two parts of a group, as `verified` does.
+
     A large group is parted by the sizes of its sets, in steps of the least ratio that similar sets can have, and each
     step evenly; parts of one step and of the next one meet.
     """
@@ -447,7 +449,7 @@ def verified_links(candidates: DataFrame, texts: DataFrame, words: int, radius:
         part, here = table.column("part").to_numpy(), table.column("here").to_numpy()
         left = np.flatnonzero((here == step) & (part == i))
         right = np.flatnonzero((here == step) & (part == j)) if j >= 0 else np.flatnonzero((here == step + 1) & (part == -1 - j))
-        label = verified(prints, ids, at, left, right, radius, similar)
+        label = join(prints, ids, at, left, right, radius, similar)
         node, moved = table.column("node").to_numpy(), np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"u": pa.array(node[moved], pa.int64()), "v": pa.array(node[label[moved]], pa.int64())})
 

@@ -95,4 +95,18 @@ select doc_id, leaf, subroot, root, sha256(coalesce(said, '')) as proof_sha256,
 from d join subroots s on s.t = d.t join folded on folded.r = d.r left join proofs on proofs.r = d.r, top"""
 )
 
-ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS, "op11_merkle_manifest": MERKLE_MANIFEST, "op12_periodic_runs": PERIODIC_RUNS}
+#: Sets that share a shingle, their overlaps, and all that links reach.
+JACCARD_JOIN = r"""
+with recursive w as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select r, doc_id, case when len(ws) = 0 then cast([] as varchar[]) when len(ws) < 4 then [array_to_string(ws, ' ')] else list_sort(list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))) end as g from w),
+u as (select g, min(r) as node, len(g) as n from s where len(g) > 0 group by g),
+t as (select node, n, unnest(g) as h from u),
+l as (select a.node as a, b.node as b from t a join t b on a.h = b.h and a.node < b.node and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n group by a.node, b.node, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e as (select a, b from l union all select b, a from l),
+x as (select node as a, node as b from u union select x.a, e.b from x join e on x.b = e.a),
+d as (select u.node, min(s.doc_id) as least from u join s on s.g = u.g group by u.node),
+c as (select x.a as node, min(d.least) as least from x join d on d.node = x.b group by x.a)
+select doc_id, cast(len(s.g) as bigint) as n_shingles, case when len(s.g) = 0 then doc_id else c.least end as component_id
+from s left join u on u.g = s.g left join c on c.node = u.node"""
+
+ORACLES = {"op2_substring_trees": SUBSTRING_TREES, "op5_run_length_index": RUN_LENGTH_INDEX, "op10_one_bit_neighbours": NEIGHBOURS, "op11_merkle_manifest": MERKLE_MANIFEST, "op12_periodic_runs": PERIODIC_RUNS, "op13_jaccard_join": JACCARD_JOIN}
