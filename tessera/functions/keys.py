@@ -72,5 +72,11 @@ def optional(text: Column) -> Column:
     return F.nullif(F.regexp_replace(text, f"^{space}|{space}$", ""), F.lit(""))
 
 
+def quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    whole = F.to_json(F.struct(text.alias("x")))
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)  # without the object around it
+
+
 def shortened(text: Column, most: int = 2048) -> Column:
     return F.left(text, F.lit(most))

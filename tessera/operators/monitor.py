@@ -42,9 +42,16 @@ def alerts(**kinds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
-def once(alerts: DataFrame) -> DataFrame:
-    """Each alert's content once, as a queue with content-based deduplication has it."""
-    return alerts.withColumn("__hash", F.sha2(F.to_json(F.struct(*sorted(alerts.columns))), 256)).dropDuplicates(["__hash"]).drop("__hash")
+def submission_alerts(submissions: DataFrame, documents: DataFrame, now: Column, environment: str) -> DataFrame:
+    """What one pass sends to manual review, with the fields of each kind."""
+    stuck = stuck_documents(documents, now).select("documentId", "kbIngestionStatus", "pendingIngestionRunId", "updatedAt", "canonicalHash")
+    linked = F.coalesce("documentIds", F.array().cast("array<string>")).alias("documentIds")
+    found = alerts(
+        submission_stuck_non_terminal=stale_submissions(submissions, now).select("submissionId", "status", "updatedAt", linked),
+        document_stuck_ingesting=stuck,
+        callback_failed=callback_failures(submissions).select("submissionId", "callbackStatus", "callbackFailureReason", "updatedAt", linked),
+    )
+    return found.withColumn("environment", F.lit(environment))
 
 
 def status_metrics(counts: DataFrame, name: str, environment: str, ts: Column) -> DataFrame:
@@ -53,6 +60,27 @@ def status_metrics(counts: DataFrame, name: str, environment: str, ts: Column) -
     return counts.select(F.lit(name).alias("name"), dims.alias("dimensions"), ts.alias("ts"), F.col("n").cast("double").alias("value"))
 
 
+#: The counters of a pass and the kind of alert each counts (None: all that were queued).
+COUNTERS = {
+    "DocumentsStuckInIngesting": "document_stuck_ingesting", "SubmissionsStuckNonTerminal": "submission_stuck_non_terminal",
+    "CallbackFailureCount": "callback_failed", "ManualReviewItemsQueued": None,
+}
+
+
+def counters(alerts: DataFrame, environment: str, ts: Column, queued: bool = True) -> DataFrame:
+    """(name, dimensions, ts, value): one row a counter, 0 where nothing is found. queued: whether alerts go to a queue at all."""
+    kind = F.col("alertType")
+    values = alerts.agg(*(F.count_if(kind == k if k else F.lit(queued)).cast("double").alias(name) for name, k in COUNTERS.items()))
+    rows = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.col(name).alias("value")) for name in COUNTERS))).alias("m")
+    return values.select(rows).select("m.name", F.create_map(F.lit("Environment"), F.lit(environment)).alias("dimensions"), ts.alias("ts"), "m.value")
+
+
+def metrics(submissions: DataFrame, runs: DataFrame, alerts: DataFrame, environment: str, ts: Column) -> DataFrame:
+    """All metrics of one pass: submissions and index runs by status, and the counters."""
+    by_status = [status_metrics(count_by_status(rows, "status"), name, environment, ts) for name, rows in (("SubmissionCount", submissions), ("IngestionRunCount", runs))]
+    return by_status[0].unionByName(by_status[1]).unionByName(counters(alerts, environment, ts))
+
+
 def metric_batches(metrics: DataFrame, order: tuple[str, ...], size: int = METRIC_BATCH) -> DataFrame:
     """Adds batch: consecutive rows by `size`. The metrics of one pass are few, a row a status; see grouped_batches."""
     place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order))

@@ -39,6 +39,24 @@ def elected_by_order(candidates: DataFrame, sequence: str) -> DataFrame:
     )
 
 
+def renewed(documents: DataFrame, updates: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """documents with the metadata of the files that turned out to be them, in their order, as far as the business key fits.
+
+    A document has the first business key that it gets. A file fits if it has that key or none; what a fitting file has
+    replaces what there was. All aggregates: a document that a third of all files are is no task of its own.
+    """
+    turn = F.struct(*order)
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), turn)).alias(f"__{c}")
+    first = updates.where("businessDocumentKey is not null").groupBy("documentId").agg(F.min_by("businessDocumentKey", turn).alias("__first"))
+    owners = documents.select("documentId", "businessDocumentKey").join(first, "documentId").select("documentId", F.coalesce("businessDocumentKey", "__first").alias("__owner"))
+    rows = updates.select("documentId", "businessDocumentKey", "sourceVersion", "sourceUpdatedAt", *order).join(owners, "documentId", "left")
+    fitting = rows.where(compatible(F.col("businessDocumentKey"), F.col("__owner"))).groupBy("documentId").agg(F.max("__owner").alias("__businessDocumentKey"), last("sourceVersion"), last("sourceUpdatedAt"))
+    names = ("businessDocumentKey", "sourceVersion", "sourceUpdatedAt")
+    both = documents.join(fitting, "documentId", "left")
+    kept = F.coalesce("businessDocumentKey", "__businessDocumentKey")
+    return both.withColumns({"businessDocumentKey": kept} | {c: F.coalesce(f"__{c}", c) for c in names[1:]}).drop(*(f"__{c}" for c in names))
+
+
 def flagged(documents: DataFrame, active: DataFrame) -> DataFrame:
     """documents with isActive: the winner's predecessors lose it; rows without a business key have false."""
     winners = active.select("businessDocumentKey", "activeDocumentId")

@@ -344,7 +344,7 @@ def chunk_counts(spark, sf_dir):
     return document_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(n).alias("chars"), F.max(n).alias("longest"))
 
 
-@query(CHUNKS_SQL + "select doc_id, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md' as content_key, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md.metadata.json' as metadata_key, '{\"metadataAttributes\":{\"documentId\":\"' || doc_id || '\"}}' as metadata from c")
+@query(CHUNKS_SQL + "select doc_id, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md' as content_key, 'canonical/' || doc_id || '/chunk-' || format('{:04d}', chunk_index) || '.md.metadata.json' as metadata_key, '{\"metadataAttributes\": {\"documentId\": \"' || doc_id || '\"}}' as metadata from c")
 def chunk_keys(spark, sf_dir):
     return document_chunks(spark, sf_dir).select("doc_id", F.col("contentKey").alias("content_key"), F.col("metadataKey").alias("metadata_key"), "metadata")
 
@@ -599,13 +599,44 @@ def review_next(spark, sf_dir):
     return found.select(F.col("alertType").alias("alert_type"), F.col("messageId").alias("message_id"), F.col("receiveCount").alias("receives"))
 
 
-@query("select event_type as alert_type, arg_min(event_id, (ts, event_id)) as message_id from events where event_type is not null group by event_type, user_id, time_bucket(interval '5 minutes', ts)")
+@query("""with recursive m as (select event_type, coalesce(cast(user_id as varchar), '') as content, ts, min(event_id) as id from events where ts is not null group by 1, 2, 3),
+kept as (select event_type, content, min(ts) as ts from m group by 1, 2
+  union all select k.event_type, k.content, min(m.ts) from kept k join m on m.event_type is not distinct from k.event_type and m.content = k.content and m.ts >= k.ts + interval 5 minutes group by 1, 2)
+select m.event_type as alert_type, m.id as message_id from m join kept k on m.event_type is not distinct from k.event_type and m.content = k.content and m.ts = k.ts""")
 def review_accepted(spark, sf_dir):
-    """Equal contents of a group within five minutes are one message."""
-    rows = read(spark, sf_dir, "events").where("event_type is not null").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"), "user_id")
+    """An accepted message silences equal contents of its group for five minutes from itself."""
+    rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"), "user_id")
     return review.accepted(rows, F.coalesce(F.col("user_id").cast("string"), F.lit(""))).select(F.col("alertType").alias("alert_type"), F.col("messageId").alias("message_id"))
 
 
+@query("""with recursive m as (select event_type, ts, min(event_id) as id from events where ts is not null group by 1, 2),
+kept as (select event_type, min(ts) as ts from m group by 1
+  union all select k.event_type, min(m.ts) from kept k join m on m.event_type is not distinct from k.event_type and m.ts >= k.ts + interval 5 minutes group by 1)
+select m.event_type as alert_type, m.id as message_id from m join kept k on m.event_type is not distinct from k.event_type and m.ts = k.ts""")
+def review_accepted_hot(spark, sf_dir):
+    """The same where each group has one content alone: hot contents are cut into stretches of time."""
+    rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"))
+    return review.accepted(rows, F.lit(""), stretch=512).select(F.col("alertType").alias("alert_type"), F.col("messageId").alias("message_id"))
+
+
+METRICS_SQL = f"""with e as (select *, {EVENT_STATUS_SQL} as status, {AGE_SQL} as age from events),
+a as (select count(*) filter (where status in ('RECEIVING', 'COMPLETE', 'WAITING_FOR_INDEX') and coalesce(age, 0) >= 15) as stale, count(*) filter (where event_type = 'click' and coalesce(age, 0) >= 15) as stuck, count(*) filter (where event_type = 'error') as failed from e)
+select 'SubmissionCount' as name, status, cast(count(*) as double) as value from e group by 2 union all select 'IngestionRunCount', coalesce(o_orderstatus, 'UNKNOWN'), cast(count(*) as double) from orders group by 2
+union all select 'DocumentsStuckInIngesting', null, cast(stuck as double) from a union all select 'SubmissionsStuckNonTerminal', null, cast(stale as double) from a
+union all select 'CallbackFailureCount', null, cast(failed as double) from a union all select 'ManualReviewItemsQueued', null, cast(stale + stuck + failed as double) from a"""
+
+
+@query(METRICS_SQL)
+def monitor_metrics(spark, sf_dir):
+    """One pass of the monitor: events as submissions and documents, orders as index runs."""
+    rows = updates(spark, sf_dir).withColumns({"submissionId": F.col("event_id").cast("string"), "documentId": F.col("event_id").cast("string"), "documentIds": F.array().cast("array<string>")})
+    none = {c: F.lit(None).cast("string") for c in ("pendingIngestionRunId", "canonicalHash", "callbackFailureReason")}
+    rows = rows.withColumns(none)
+    found = monitor.submission_alerts(rows, rows, now(), "dev")
+    runs = read(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"))
+    return monitor.metrics(rows, runs, found, "dev", now()).select("name", F.col("dimensions")["Status"].alias("status"), "value")
+
+
 @query("select event_type, event_id, cast((row_number() over (partition by event_type order by event_id) - 1) // 20 as bigint) as batch from events")
 def metric_batches(spark, sf_dir):
     return monitor.grouped_batches(read(spark, sf_dir, "events"), "event_type", "event_id").select("event_type", "event_id", "batch")
@@ -777,8 +808,7 @@ def workflow(spark, sf_dir):
             objects.put(spark, f"{root}/ingestion/{s}/{name}", json.dumps(body).encode())
     record = lambda key, i: {"eventName": "ObjectCreated:Put", "s3": {"bucket": {"name": "b"}, "object": {"key": key, "sequencer": f"{i:08d}"}}}
     engine.receive(spark.createDataFrame([([record(k, i) for i, k in enumerate([*uploads, uploads[0], "other/key"])],)], UPLOAD_EVENT))
-    for s, held in files.items():
-        engine.complete(s, sorted(held))
+    engine.complete_many(spark.createDataFrame([(s, sorted(held)) for s, held in files.items()], "submissionId string, expectedFileIds array<string>"))
     while engine.coordinate(batch=1000) == "SUCCEEDED":
         pass
     engine.refresh()
@@ -792,3 +822,62 @@ def workflow(spark, sf_dir):
         title = next((r["text"].split("Title: ")[1].split("\n")[0] for r in engine.query(s, "World")["retrievalResults"]), None)
         rows.append((s, state["status"], state["callbackStatus"], state["receivedFileCount"], len(state["documentIds"]), len(said["retrievalResults"]), foreign, said["summary"], title, *counts))
     return spark.createDataFrame(rows, "submission_id string, status string, callback_status string, files long, documents long, retrieved long, foreign_documents long, summary string, shared_title string, all_documents long, shared_raw_files long")
+
+
+# submissions by the thousand
+
+#: Orders as submissions of their lines' files. Every part and line number modulo three has a text, in two spellings; one part's is broken.
+BATCH_SQL = """with f as (select l_orderkey as o, l_linenumber as n, min(l_partkey) % 97 as c from lineitem group by 1, 2),
+r as (select o, bool_or(c = 5) as broken, count(distinct case when c <> 5 then c * 3 + n % 3 end) as documents from f group by o),
+v as (select o_orderkey as o, case when r.o is null then 'SUBMISSION_NOT_FOUND' when o_orderkey % 5 = 0 then 'MISSING_FILES' when broken then 'FILES_UNRESOLVED' else 'OK' end as reason, r.documents from orders left join r on r.o = o_orderkey),
+g as (select f.*, c * 3 + n % 3 as doc, c = 5 as broken, 'part-' || c as business_key, 'v' || (n % 3) as version from f join v using (o) where v.reason in ('OK', 'FILES_UNRESOLVED'))
+"""
+BATCH_HASH_SQL = """sha256('{"markdownText":"Report Id: ' || business_key || '\\n\\nSource Version: ' || version || '","normalizationStrategy":"json_to_markdown_lines_v2"}')"""
+
+
+def batch_engine(spark, sf_dir):
+    """(engine, verdicts) after one completion of all orders at once."""
+    import uuid
+
+    from .engine import Engine
+
+    lines = read(spark, sf_dir, "lineitem").where("l_orderkey is not null and l_linenumber is not null")
+    first = lines.groupBy("l_orderkey", "l_linenumber").agg((F.min("l_partkey") % 97).alias("c"))
+    version, blank = F.col("l_linenumber") % 3, F.when(F.col("l_orderkey") % 2 == 0, " ").otherwise("")
+    pruned = F.when(version == 1, F.lit(', "segment_id": 1')).otherwise("")
+    body = F.concat(F.lit('{"report_id": "part-'), "c", F.lit('", "source_version":'), blank, F.lit('"v'), version, F.lit('"'), pruned, F.lit("}"))
+    submission, file = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    content = F.when(F.col("c") == 5, F.lit("{broken")).otherwise(body).cast("binary")
+    raw = first.select(submission.alias("submissionId"), file.alias("fileId"), keys.raw_key(submission, file).alias("key"), content.alias("content"))
+    event = F.struct(F.lit("ObjectCreated:Put").alias("eventName"), F.struct(F.struct(F.lit("b").alias("name")).alias("bucket"), F.struct(keys.raw_key(submission, file).alias("key"), F.lit("0").alias("sequencer")).alias("object")).alias("s3"))
+    engine = Engine(spark, f"{checkpoint_folder(spark)}/batch-{uuid.uuid4().hex}")
+    engine.receive(lines.select(F.array(event).alias("Records")))
+    own = first.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(file)).alias("files"))
+    late = F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit("late"))).otherwise(F.array().cast("array<string>"))
+    expected = F.concat(F.coalesce("files", F.array(F.lit("1"))), late)
+    requests = read(spark, sf_dir, "orders").join(own, "o_orderkey", "left").select(F.col("o_orderkey").cast("string").alias("submissionId"), expected.alias("expectedFileIds"), F.col("o_orderkey").alias("turn"))
+    return engine, engine.complete_many(requests, raw=raw)
+
+
+@query(BATCH_SQL + """select o as submission_id, reason, reason = 'OK' as is_valid, case reason when 'OK' then 'COMPLETE' when 'SUBMISSION_NOT_FOUND' then null else 'RECEIVING' end as status,
+  cast(case when reason = 'OK' then documents when reason = 'SUBMISSION_NOT_FOUND' then null else 0 end as bigint) as documents from v""")
+def submissions_batch(spark, sf_dir):
+    """All orders as submissions, completed at once: shared contents are rendered once, one broken file fails its submission alone."""
+    engine, verdicts = batch_engine(spark, sf_dir)
+    states = engine.state("submissions").select("submissionId", "status", F.size(F.coalesce("documentIds", F.array().cast("array<string>"))).cast("long").alias("documents"))
+    return verdicts.join(states, "submissionId", "left").select(F.col("submissionId").cast("long").alias("submission_id"), "reason", F.col("isValid").alias("is_valid"), "status", "documents")
+
+
+@query(BATCH_SQL + f"""select 'doc-' || substr({BATCH_HASH_SQL}, 1, 16) as document_id, business_key, version as source_version, version = max(version) over (partition by business_key) as is_active, cast(1 as integer) as chunks, 'PENDING_INGESTION' as status
+from (select distinct business_key, version from g where not broken)""")
+def batch_documents(spark, sf_dir):
+    """The canonical documents of all orders' files, each business key with its newest version active."""
+    engine, _ = batch_engine(spark, sf_dir)
+    return engine.state("documents").select(F.col("documentId").alias("document_id"), F.col("businessDocumentKey").alias("business_key"), F.col("sourceVersion").alias("source_version"), F.col("isActive").alias("is_active"), F.col("canonicalChunkCount").alias("chunks"), F.col("kbIngestionStatus").alias("status"))
+
+
+@query(BATCH_SQL + f"""select case when broken then 'FAILED' else 'RESOLVED' end as status, case when not broken then 'doc-' || substr({BATCH_HASH_SQL}, 1, 16) end as document_id, count(distinct case when broken then 0 else o % 2 end) as raw_files from g group by 1, 2""")
+def batch_raw_files(spark, sf_dir):
+    """The raw contents of all orders' files and what became of them."""
+    engine, _ = batch_engine(spark, sf_dir)
+    return engine.state("raw_files").groupBy("status", F.nullif("documentId", F.lit("")).alias("document_id")).agg(F.count("*").alias("raw_files"))

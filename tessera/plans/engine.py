@@ -21,19 +21,24 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .. import schemas
 from ..functions import keys, markdown
 from ..functions.text import CHUNK_CHARS
-from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, validate, versions
+from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, review, validate, versions
 from ..session import checkpoint_folder, workers_find_library
 from ..sources import objects, registry
 from ..streaming import receipts as streams
 
 CHUNK = schemas.struct(documentId=schemas.S, chunkIndex=schemas.T.IntegerType(), contentKey=schemas.S, metadataKey=schemas.S, content=schemas.S, metadata=schemas.S)
 VECTOR = StructType([*CHUNK.fields, StructField("embedding", schemas.T.ArrayType(schemas.T.FloatType()))])
-CANDIDATE = schemas.struct(businessDocumentKey=schemas.S, documentId=schemas.S, sourceVersion=schemas.S, sourceUpdatedAt=schemas.S)
+CANDIDATE = schemas.struct(
+    businessDocumentKey=schemas.S, documentId=schemas.S, sourceVersion=schemas.S, sourceUpdatedAt=schemas.S, turn=schemas.L, submissionId=schemas.S, place=schemas.T.IntegerType()
+)
+#: The order in which candidates stand: by step, and within a step by submission and file.
+CANDIDATE_ORDER = ("seq", "turn", "submissionId", "place")
+ORDER = CANDIDATE_ORDER[1:]
 RECEIPT = schemas.struct(submissionId=schemas.S, fileId=schemas.S, key=schemas.S, receivedAt=schemas.TS)
 LOGS = {
     "receipts": (RECEIPT, None), "submissions": (schemas.SUBMISSION, "submissionId"), "raw_files": (schemas.RAW_FILE, "rawFileHash"),
     "documents": (schemas.DOCUMENT, "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId"), "chunks": (CHUNK, None),  # below canonical/
-    "candidates": (CANDIDATE, None), "vectors": (VECTOR, None), "manual_review": (schemas.MANUAL_REVIEW, None),
+    "candidates": (CANDIDATE, None), "vectors": (VECTOR, None), "manual_review": (schemas.MANUAL_REVIEW, None), "review_receives": (schemas.REVIEW_RECEIVE, None), "metrics": (schemas.METRIC, None),
     "audit_log": (schemas.AUDIT, None),
 }
 
@@ -47,6 +52,15 @@ STEP_ROWS = 1 << 20
 RAW_WAITS, RAW_WAIT_SECONDS = 3, 2.0
 #: Submissions that are called back before their outcomes are written.
 CALLBACK_BATCH = 1000
+#: Submissions whose own folders are listed; for more of them the whole prefix is.
+LISTED = 1000
+#: Keys of claimed files (about 10 MB) that are sent to every executor, so that contents stay where they are read.
+BROADCAST_KEYS = 100_000
+IN_PROGRESS, UNRESOLVED = "FILES_IN_PROGRESS", "FILES_UNRESOLVED"
+VERDICT = schemas.struct(
+    submissionId=schemas.S, expectedFileIds=schemas.T.ArrayType(schemas.S), actualFileIds=schemas.T.ArrayType(schemas.S),
+    missingFileIds=schemas.T.ArrayType(schemas.S), reason=schemas.S, isValid=schemas.B,
+)
 
 
 def logged(step: Callable) -> Callable:
@@ -55,9 +69,15 @@ def logged(step: Callable) -> Callable:
     @wraps(step)
     def run(self, *args, **named):
         try:
-            return step(self, *args, **named)
-        finally:
-            self.write_log()
+            out = step(self, *args, **named)
+        except Exception as error:
+            try:  # lines of frames that failed can't be written; the first error is what is raised
+                self.write_log()
+            except Exception as second:
+                error.add_note(f"its log lines are lost: {second}"[:500])
+            raise
+        self.write_log()
+        return out
 
     return run
 
@@ -165,70 +185,158 @@ class Engine:
         self.audit(rows.join(known, "key", "left"), said, "key", "submissionId", "fileId", "sequencer")
         return rows.groupBy("action").agg(F.count("*").alias("n"))
 
-    @logged
     def complete(self, submission: str, expected: list[str], fail: bool = False) -> dict:
-        """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents."""
+        """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents.
+
+        A file that another submission still processes is waited for.
+        """
         request = self.spark.createDataFrame([(submission, expected)], "submissionId string, expectedFileIds array<string>")
-        verdict = validate.validated(request, self.state("submissions")).first().asDict()
-        self.note("submission_validation_completed", submissionId=submission, reason=verdict["reason"], missingFileIds=",".join(verdict["missingFileIds"]))
-        if not verdict["isValid"]:
-            return verdict
-        seq, place = self.next_seq(), F.array_position(F.array(*map(F.lit, expected)), F.col("fileId"))
-        files = objects.raw_files(self.spark, self.root, submission).where((F.col("submissionId") == submission) & F.col("fileId").isin(expected)).withColumn("place", place)
-        hashed = dedupe.hashed(files, "content").select("fileId", "key", "place", "rawFileHash").checkpoint()
         for turn in range(RAW_WAITS + 1):
-            claims = dedupe.claims(hashed, self.state("raw_files"), ("place",)).checkpoint()
-            if turn == RAW_WAITS or claims.where((F.col("action") == dedupe.IN_PROGRESS) & (F.col("rawFileStatus") == "PROCESSING")).isEmpty():
-                break
-            self.wait(RAW_WAIT_SECONDS)
-        owner = F.col("ownershipClaimed")
-        self.append("raw_files", claims.where(owner).select("rawFileHash", F.lit("PROCESSING").alias("status"), *(self.now().alias(c) for c in ("firstSeenAt", "lastSeenAt", "updatedAt"))), seq)
-        seq = self.next_seq()
-        self.audit(claims, F.col("action"), "fileId", "rawFileHash", "documentId")
-        owned = files.select("key", "content").join(claims.where("ownershipClaimed"), "key")
-        rendered = owned.select("fileId", "place", "rawFileHash", markdown.normalize_document("content").alias("r")).select("fileId", "place", "rawFileHash", "r.*")
+            verdict = self.complete_many(request, fail).first().asDict()
+            if verdict["reason"] != IN_PROGRESS:
+                return verdict
+            if turn < RAW_WAITS:
+                self.wait(RAW_WAIT_SECONDS)
+        return verdict | {"reason": UNRESOLVED}
+
+    @logged
+    def complete_many(self, requests: DataFrame, fail: bool = False, raw: DataFrame | None = None) -> DataFrame:
+        """Runs all submissions of a frame (submissionId, expectedFileIds and, if there is one, turn) as one plan.
+
+        The number of Spark jobs does not depend on how many there are: all files' hashes are claimed at once, in the order
+        of turn, submission and place, each claimed content is rendered once, and documents, versions and attachments are
+        aggregates. raw: (submissionId, fileId, key, content), if contents don't lie below ingestion/.
+
+        Returns each submission's validation. Beside the reasons of a validation there are FILES_IN_PROGRESS, if another
+        step still has one of the contents (ask again with the next batch), and FILES_UNRESOLVED, if one has failed.
+        Submissions whose files all have documents are COMPLETE; one failed file leaves the others' documents as they are.
+        """
+        turn = F.col("turn") if "turn" in requests.columns else F.lit(0)
+        asked = requests.select("submissionId", "expectedFileIds", turn.cast("long").alias("turn"))
+        subs = self.state("submissions")
+        verdict = validate.validated(asked, subs).checkpoint()
+        self.audit(verdict.withColumn("missingFileIds", F.array_join("missingFileIds", ",")), "submission_validation_completed", "submissionId", "reason", "missingFileIds")
+        wanted = verdict.where("isValid").select("submissionId", "turn", F.posexplode(F.array_distinct("expectedFileIds")).alias("place", "fileId"))
+        if raw is None:
+            ids = [r["submissionId"] for r in verdict.where("isValid").select("submissionId").limit(LISTED + 1).collect()]
+            if not ids:
+                return verdict.select(*VERDICT.names)
+            raw = objects.raw_files(self.spark, self.root, *(ids if len(ids) <= LISTED else ()))
+        claim_seq, seq = self.next_seq(), self.next_seq()
+        known = self.state("raw_files")
+        hashed = dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"])
+        claims = dedupe.claims(hashed, known, ORDER).checkpoint()
+        owner, now = F.col("ownershipClaimed"), self.now()
+        owned = claims.where(owner).select("key", "submissionId", "fileId", "turn", "place", "rawFileHash")
+        n = claims.agg(F.count_if(owner).alias("owned"), F.count_if(~owner).alias("others")).first()
+        self.audit(claims, F.col("action"), "submissionId", "fileId", "rawFileHash", "documentId")
+        contents = raw.select("key", "content").join(F.broadcast(owned) if n["owned"] <= BROADCAST_KEYS else owned, "key")
+        rendered = contents.select(*(c for c in owned.columns if c != "key"), "key", markdown.normalize_document("content").alias("r")).select(*owned.columns, "r.*")
         if fail:
-            rendered = rendered.withColumn("error", F.lit("forced failure"))
-        rendered = rendered.checkpoint()
+            rendered = rendered.withColumn("error", F.lit("RuntimeError: forced failure"))
+
+        def claimed() -> None:
+            first = owned.select("rawFileHash", F.lit("PROCESSING").alias("status"), *(now.alias(c) for c in ("firstSeenAt", "lastSeenAt", "updatedAt")))
+            if n["others"]:  # contents that were known before are seen again
+                again = claims.where(~owner).select("rawFileHash").distinct()
+                first = first.unionByName(known.join(again, "rawFileHash").withColumns({"lastSeenAt": now, "updatedAt": now}), allowMissingColumns=True)
+            self.append("raw_files", first, claim_seq)
+
+        if not n["owned"]:
+            claimed()
+            return self.attach(verdict, claims, self.spark.createDataFrame([], "rawFileHash string, documentId string"), subs, seq)
+        held: dict[str, DataFrame] = {}
+        self.together(claimed, lambda: held.update(rendered=rendered.checkpoint()))
+        rendered = held["rendered"]
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
-        made = dedupe.resolved(good, self.state("documents"), ("place",)).checkpoint()
-        self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
+        old_documents = self.state("documents")
+        made = dedupe.resolved(good, old_documents, ORDER).checkpoint()
+        self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "submissionId", "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
-        documents = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
-        records = chunking.chunk_records(documents, self.chunk_chars).checkpoint()
+        created = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
+        records = chunking.chunk_records(created, self.chunk_chars).checkpoint()
         sizes = records.groupBy("documentId").agg(F.count("*").alias("canonicalChunkCount"))
-        self.together(
-            lambda: objects.write_processed(good.select(F.lit(submission).alias("submissionId"), "fileId", "markdown"), f"{self.root}/processed"),
-            lambda: self.persist(records),
-            lambda: self.append("candidates", made.where("businessDocumentKey is not null"), F.lit(seq) + F.col("place")),
+        fresh = created.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), now.alias("createdAt"), now.alias("updatedAt"))
+        mine = made.where("businessDocumentKey is not null").withColumn("seq", F.lit(seq))
+        touched = made.select("documentId").distinct()
+        candidates = self.log("candidates").join(mine.select("businessDocumentKey").distinct(), "businessDocumentKey", "left_semi").unionByName(mine.select(*self.log("candidates").columns))
+        base = old_documents.join(touched, "documentId", "left_semi").unionByName(fresh.select(*(c for c in fresh.columns if c in old_documents.columns)), allowMissingColumns=True)
+        renewed = versions.renewed(base, made.where("not created"), ORDER).withColumn("updatedAt", now)
+        rivals = old_documents.join(mine.select("businessDocumentKey").distinct(), "businessDocumentKey", "left_semi").join(touched, "documentId", "left_anti")
+        active = versions.elected(candidates.withColumn("order", F.struct(*CANDIDATE_ORDER)), "order")
+        documents = versions.flagged(renewed.unionByName(rivals, allowMissingColumns=True), active)
+        failure = F.split("error", ": ", 2)
+        review = bad.select(
+            F.lit("preprocessing_failed").alias("alertType"), "submissionId", "fileId", "rawFileHash", F.col("key").alias("rawS3Key"), keys.processed_key(F.col("submissionId"), F.col("fileId")).alias("processedS3Key"),
+            F.get(failure, F.lit(0)).alias("errorType"), F.coalesce(F.get(failure, F.lit(1)), F.lit("")).alias("errorMessage"),
         )
-        fresh = documents.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), self.now().alias("createdAt"), self.now().alias("updatedAt"))
-        old = self.state("documents").alias("d").join(made.where("not created").select("documentId", *(F.col(c).alias(f"new_{c}") for c in CANDIDATE.names if c != "documentId")), "documentId")
-        same = versions.compatible(F.col("businessDocumentKey"), F.col("new_businessDocumentKey"))
-        renewed = old.where(same).withColumns({c: F.coalesce(f"new_{c}", c) for c in CANDIDATE.names if c != "documentId"})
-        current = self.state("documents").join(renewed.select("documentId"), "documentId", "left_anti").unionByName(fresh, allowMissingColumns=True).unionByName(renewed, allowMissingColumns=True)
-        touched = made.select("businessDocumentKey").where("businessDocumentKey is not null").distinct()
-        active = versions.elected(self.log("candidates").join(touched, "businessDocumentKey", "left_semi"), "seq")
-        changed = versions.flagged(current.join(touched, "businessDocumentKey", "left_semi"), active).unionByName(fresh.where("businessDocumentKey is null").withColumn("isActive", F.lit(False)), allowMissingColumns=True)
-        self.append("documents", changed, seq)
-        done = made.select("rawFileHash", "documentId", "canonicalHash", F.lit("RESOLVED").alias("status"), keys.processed_key(F.lit(submission), F.col("fileId")).alias("processedS3Key"))
+        done = made.select("rawFileHash", "documentId", "canonicalHash", F.lit("RESOLVED").alias("status"), keys.processed_key(F.col("submissionId"), F.col("fileId")).alias("processedS3Key"))
         failed = bad.select("rawFileHash", F.lit("FAILED").alias("status"), F.col("error").alias("lastError"))
-        first = self.state("raw_files").select("rawFileHash", F.col("firstSeenAt").alias("since"))
-        outcome = done.unionByName(failed, allowMissingColumns=True).join(first, "rawFileHash", "left")
-        review = bad.select(F.lit("preprocessing_failed").alias("alertType"), F.lit(submission).alias("submissionId"), "rawFileHash", "error", self.now().alias("raisedAt"))
+        since = known.select("rawFileHash", F.col("firstSeenAt").alias("since"))
+        outcome = done.unionByName(failed, allowMissingColumns=True).join(since, "rawFileHash", "left").withColumns({"firstSeenAt": F.coalesce("since", now), "lastSeenAt": now, "updatedAt": now})
         self.together(
-            lambda: self.append("raw_files", outcome.withColumns({"firstSeenAt": F.coalesce("since", self.now()), "lastSeenAt": self.now(), "updatedAt": self.now()}), seq),
-            lambda: bad.isEmpty() or self.append("manual_review", review, seq),
+            lambda: objects.write_processed(good.select("submissionId", "fileId", "markdown"), f"{self.root}/processed"),
+            lambda: self.persist(records),
+            lambda: self.append("candidates", mine, seq),
+            lambda: self.append("documents", documents, seq),
         )
-        own = claims.select("rawFileHash", F.col("documentId").alias("resolvedDocumentId")).join(made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left")
-        attached = attach.document_of(own).withColumn("submissionId", F.lit(submission)).checkpoint()
-        open_files = attached.where("documentId is null").count()
-        if open_files:
-            return verdict | {"isValid": False, "reason": "FILES_UNRESOLVED"}
-        mine = self.state("submissions").where(F.col("submissionId") == submission)
-        self.append("submissions", attach.attached(mine, attached).withColumn("updatedAt", self.now()), seq + 1)
-        self.note("submission_documents_attached", submissionId=submission, files=len(expected))
-        return verdict
+        # only now, when its chunks are there, does a raw file name its document
+        self.together(
+            lambda: self.append("raw_files", outcome, seq),
+            lambda: bad.isEmpty() or self.enqueue(review),
+            lambda: held.update(verdict=self.attach(verdict, claims, made.select("rawFileHash", "documentId"), subs, seq)),
+        )
+        return held["verdict"]
+
+    def attach(self, verdict: DataFrame, claims: DataFrame, made: DataFrame, subs: DataFrame, seq: int) -> DataFrame:
+        """Submissions with all their documents become COMPLETE; the others' reasons are told."""
+        own = claims.select("submissionId", "rawFileHash", "rawFileStatus", "action", F.col("documentId").alias("resolvedDocumentId")).join(
+            made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left"
+        )
+        files = attach.document_of(own).checkpoint()
+        open_file = F.col("documentId").isNull()
+        waits = open_file & (F.col("action") == dedupe.IN_PROGRESS) & (F.col("rawFileStatus") == "PROCESSING")
+        per = files.groupBy("submissionId").agg(F.bool_or(open_file).alias("open"), F.bool_or(open_file & ~waits).alias("lost"))
+        said = F.when(F.col("lost"), UNRESOLVED).when(F.col("open"), IN_PROGRESS).otherwise(F.col("reason"))
+        out = verdict.join(per, "submissionId", "left").withColumn("reason", said).withColumn("isValid", F.col("isValid") & ~F.coalesce("open", F.lit(False))).checkpoint()
+        good = out.where("isValid").select("submissionId")
+        mine = subs.join(good, "submissionId", "left_semi")
+        complete = attach.attached(mine, files).withColumns({"status": F.lit("COMPLETE"), "updatedAt": self.now()})
+        self.append("submissions", complete, seq)
+        self.audit(good, "submission_documents_attached", "submissionId")
+        return out.select(*VERDICT.names)
+
+    def complete_all(self, requests: DataFrame, fail: bool = False, raw: DataFrame | None = None) -> DataFrame:
+        """complete_many, and again for those with files in progress, as often as a file is waited for."""
+        found = self.complete_many(requests, fail, raw).checkpoint()
+        for _ in range(RAW_WAITS):
+            if found.where(F.col("reason") == IN_PROGRESS).isEmpty():
+                break
+            self.wait(RAW_WAIT_SECONDS)
+            rest = found.where(F.col("reason") == IN_PROGRESS)
+            again = self.complete_many(requests.join(rest, "submissionId", "left_semi"), fail, raw)
+            found = found.where(F.col("reason") != IN_PROGRESS).unionByName(again).checkpoint()
+        return found.withColumn("reason", F.when(F.col("reason") == IN_PROGRESS, UNRESOLVED).otherwise(F.col("reason")))
+
+    # manual review
+
+    def enqueue(self, alerts: DataFrame) -> None:
+        self.append("manual_review", review.as_messages(alerts, self.now()), self.next_seq())
+
+    def review_queue(self) -> DataFrame:
+        """The queue's messages, equal contents of five minutes once, with their receives and states."""
+        messages = self.log("manual_review").drop("seq")
+        return review.with_receives(review.accepted(messages, F.col("body")), self.log("review_receives"), self.now())
+
+    def receive_reviews(self) -> DataFrame:
+        """The first message of each group that may be received; each counts as one receive."""
+        queue = self.review_queue()
+        got = queue.join(review.receivable(queue).select("messageId"), "messageId", "left_semi").checkpoint()
+        self.append("review_receives", got.select("messageId", self.now().alias("receivedAt"), F.lit(False).alias("deleted")), self.next_seq())
+        return got
+
+    def delete_reviews(self, messages: DataFrame) -> None:
+        self.append("review_receives", messages.select("messageId", self.now().alias("receivedAt"), F.lit(True).alias("deleted")), self.next_seq())
 
     def persist(self, records: DataFrame) -> None:
         """Writes chunks and their sidecars below canonical/, and checks by a listing that all are there; repairs once."""
@@ -237,26 +345,41 @@ class Engine:
         of = records.select("documentId").distinct()
         listed = lambda: self.read(folder, CHUNK).join(of, "documentId", "left_semi").select("contentKey")
         objects.verified(records, listed, lambda missing: objects.write_chunks(missing, folder), "contentKey")
-        self.note("canonical_chunk_persistence_verified", objects=2 * records.count())
+        self.audit(records.agg((2 * F.count("*")).alias("objects")), "canonical_chunk_persistence_verified", "objects")
 
     @logged
-    def coordinate(self, job: Callable[[list[str]], dict] | None = None, poll: Callable[[str], dict] | None = None, batch: int = indexing.BATCH) -> str:
-        """One action: poll the active run if there is one, or else start a run over pending documents."""
+    def coordinate(self, job: Callable[[list[str]], dict] | None = None, poll: Callable[[str], dict] | None = None, batch: int = indexing.BATCH, configured: bool = True) -> str:
+        """One action: poll the active run if there is one, or else start a run over pending documents.
+
+        configured: whether there is an index to write to; without one neither a run nor a document changes.
+        """
         seq, run = self.next_seq(), indexing.active_run(self.state("runs")).first()
+        if run and not configured:
+            self.note("kb_coordinator_active_run_missing_configuration", ingestionRunId=run["ingestionRunId"])
+            return "active_run_missing_configuration"
         if run:
             answer = poll(run["kbOperationId"]) if run["kbOperationId"] and poll else {} if run["kbOperationId"] else {"status": "FAILED", "failureReasons": [indexing.NO_OPERATION]}
             return self.settle(run["ingestionRunId"], run["documentIds"], run["kbOperationId"], run["startedAt"], answer, seq) if answer else "missing_configuration"
         documents = [r["documentId"] for r in indexing.pending(self.state("documents"), batch).collect()]
         if not documents:
+            self.note("kb_coordinator_no_pending_documents", documents=0)
             return "no_pending_documents"
+        if not configured:
+            self.note("kb_coordinator_missing_configuration", documents=len(documents))
+            return "missing_configuration"
         run_id = f"run-{uuid.uuid4()}"
         started = self.clock()
+        self.note("kb_coordinator_documents_selected", ingestionRunId=run_id, documents=len(documents))
+        run_row = self.spark.createDataFrame([(run_id, "STARTED", documents)], "ingestionRunId string, status string, documentIds array<string>").withColumn("startedAt", F.lit(started))
+        chosen = self.state("documents").where(F.col("documentId").isin(documents))
+        begun = indexing.fanned_out(chosen, run_row.withColumn("errorSummary", F.lit(None).cast("string"))).withColumn("updatedAt", self.now())
+        self.together(lambda: self.append("runs", run_row, seq), lambda: self.append("documents", begun, seq))  # INGESTING before the job starts
         self.note("kb_coordinator_ingestion_requested", ingestionRunId=run_id, clientToken=keys.client_token(run_id))
-        self.append("runs", self.spark.createDataFrame([(run_id, "STARTED", documents)], "ingestionRunId string, status string, documentIds array<string>").withColumn("startedAt", F.lit(started)), seq)
         try:
             answer = (job or self.index)(documents)
         except Exception as e:
             self.settle(run_id, documents, None, started, {"status": "FAILED", "failureReasons": [str(e)]}, seq + 1)
+            self.note("kb_coordinator_ingestion_submit_failed", ingestionRunId=run_id, errorType=type(e).__name__, errorMessage=str(e))
             raise
         return self.settle(run_id, documents, answer.get("ingestionJobId"), started, answer, seq + 1)
 
@@ -303,7 +426,6 @@ class Engine:
             good = F.col("callbackStatus") == "DELIVERED"
             called = called.withColumns({"callbackDeliveredAt": F.when(good, self.now()), "callbackFailedAt": F.when(~good, self.now())}).checkpoint()
             self.append("submissions", called, seq)
-            self.append("manual_review", called.where(~good).select(F.lit("callback_failed").alias("alertType"), "submissionId", F.col("callbackFailureReason").alias("error"), self.now().alias("raisedAt")), seq)
             self.audit(called, F.concat(F.lit("ready_callback_"), F.lower("callbackStatus")), "submissionId")
             batch.clear()
 
@@ -369,16 +491,11 @@ class Engine:
 
     @logged
     def monitor(self, environment: str = "dev") -> tuple[DataFrame, DataFrame]:
-        """(metrics in batches, alerts) of one pass; alerts go to manual review too."""
-        submissions, documents, now = self.state("submissions"), self.state("documents"), self.now()
-        found = monitor.alerts(
-            submission_stuck_non_terminal=monitor.stale_submissions(submissions, now).select("submissionId", "status"),
-            document_stuck_ingesting=monitor.stuck_documents(documents, now).select("documentId", F.col("kbIngestionStatus").alias("status")),
-            callback_failed=monitor.callback_failures(submissions).select("submissionId", "status", F.col("callbackFailureReason").alias("error")),
-        ).checkpoint()
-        metrics = monitor.status_metrics(monitor.count_by_status(submissions, "status"), "SubmissionsByStatus", environment, now).unionByName(
-            monitor.status_metrics(monitor.count_by_status(documents, "kbIngestionStatus"), "DocumentsByStatus", environment, now)
-        )
-        self.append("manual_review", monitor.once(found).withColumn("raisedAt", now), self.next_seq())
-        self.note("ops_monitor_completed", alerts=found.count())
-        return monitor.metric_batches(metrics, ("name", F.col("dimensions")["Status"])), found
+        """(metrics in batches, alerts) of one pass; alerts go to the review queue, metrics to their log."""
+        submissions, documents, runs, now = self.state("submissions"), self.state("documents"), self.state("runs"), self.now()
+        found = monitor.submission_alerts(submissions, documents, now, environment).checkpoint()
+        metrics = monitor.metrics(submissions, runs, found, environment, now).checkpoint()
+        self.together(lambda: self.enqueue(found), lambda: self.append("metrics", metrics, self.next_seq()))
+        self.audit(found, "ops_monitor_manual_review_enqueued", "alertType", "submissionId", "documentId")
+        self.audit(metrics.where("dimensions['Status'] is null").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("m")).select(*(F.col("m")[c].alias(c) for c in monitor.COUNTERS)), "ops_monitor_completed", *monitor.COUNTERS)
+        return monitor.metric_batches(metrics, ("name", F.coalesce(F.col("dimensions")["Status"], F.lit("")))), found

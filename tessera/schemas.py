@@ -30,7 +30,14 @@ MANIFEST = struct(
     label=S, submissionId=S, submissionIdTemplate=S,
     files=T.ArrayType(struct(fileId=S, logicalName=S, source=S, transform=struct(type=S, fields=T.MapType(S, S)))),
 )
-MANUAL_REVIEW = struct(alertType=S, submissionId=S, documentId=S, rawFileHash=S, status=S, error=S, ageMinutes=T.DoubleType(), raisedAt=TS)
+#: What a review message may carry, by kind of alert; absent fields are null and not in its body.
+REVIEW_FIELDS = dict(
+    alertType=S, environment=S, submissionId=S, status=S, updatedAt=TS, documentIds=T.ArrayType(S), documentId=S, kbIngestionStatus=S,
+    pendingIngestionRunId=S, canonicalHash=S, callbackStatus=S, callbackFailureReason=S, fileId=S, rawFileHash=S, rawS3Key=S, processedS3Key=S,
+    errorType=S, errorMessage=S,
+)
+MANUAL_REVIEW = struct(messageId=S, sentAt=TS, body=S, **REVIEW_FIELDS)
+REVIEW_RECEIVE = struct(messageId=S, receivedAt=TS, deleted=B)
 AUDIT = struct(action=S, fields=T.MapType(S, S), at=TS)
 METRIC = struct(name=S, dimensions=T.MapType(S, S), ts=TS, value=T.DoubleType())
 

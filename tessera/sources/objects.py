@@ -19,16 +19,23 @@ def key_below(root: str) -> Column:
     return F.substring_index(F.col("path"), f"/{tail}/", -1)
 
 
-def raw_files(spark: SparkSession, root: str, submission: str | None = None) -> DataFrame:
-    """(key, submissionId, fileId, content, modificationTime) of all files below root/ingestion, or of one submission's.
+def raw_files(spark: SparkSession, root: str, *submissions: str) -> DataFrame:
+    """(key, submissionId, fileId, content, modificationTime) of all files below root/ingestion, or of some submissions'.
 
-    Only a submission's own folder is listed, unless its name would be read as a pattern.
+    Only the submissions' own folders are listed, unless a name would be read as a pattern or a folder isn't there.
     """
-    plain = submission and re.fullmatch(r"[\w.@=+ -]+", submission)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/ingestion" + (f"/{submission}" if plain else ""))
+    plain = bool(submissions) and all(re.fullmatch(r"[\w.@=+ -]+", s) for s in submissions)
+    folders = [f"{root}/ingestion/{s}" for s in submissions]
+    plain = plain and (len(folders) == 1 or all(exists(spark, f) for f in folders))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders if plain else f"{root}/ingestion")
     placed = files.withColumn("key", key_below(root))
     named = placed.select("key", keys.submission_of(F.col("key")).alias("submissionId"), keys.file_of(F.col("key")).alias("fileId"), "content", "modificationTime")
-    return named.where(F.col("submissionId") == submission) if submission else named
+    return named.where(F.col("submissionId").isin(*submissions)) if submissions else named
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:

@@ -146,7 +146,11 @@ def test_broken_files_fail_and_stay_failed(spark, tmp_path):
     upload(spark, engine, tmp_path, "X", [("bad.json", b"{nope"), ("ok.json", report(9, "soap"))])
     assert engine.complete("X", ["bad.json", "ok.json"])["reason"] == "FILES_UNRESOLVED"
     assert {r["status"] for r in engine.state("raw_files").collect()} == {"FAILED", "RESOLVED"}
-    assert engine.state("manual_review").first()["alertType"] == "preprocessing_failed"
+    alert = json.loads(engine.state("manual_review").first()["body"])
+    assert alert.pop("errorMessage").startswith("Expecting property name")
+    assert {k: alert[k] for k in ("alertType", "submissionId", "fileId", "rawS3Key", "processedS3Key", "errorType")} == {
+        "alertType": "preprocessing_failed", "submissionId": "X", "fileId": "bad.json", "rawS3Key": "ingestion/X/bad.json", "processedS3Key": "processed/X/bad.json.md", "errorType": "JSONDecodeError",
+    }
     upload(spark, engine, tmp_path, "Y", [("again.json", b"{nope")])
     assert engine.complete("Y", ["again.json"])["reason"] == "FILES_UNRESOLVED"
 
@@ -162,7 +166,11 @@ def test_a_failing_job_fails_run_and_documents(spark, tmp_path):
     assert engine.coordinate() == "no_pending_documents"
     assert engine.refresh().first()["status"] == "FAILED"
     metrics, alerts = engine.monitor()
-    assert {r["value"] for r in metrics.collect()} == {1.0} and alerts.count() == 0
+    assert sorted((r["name"], r["dimensions"].get("Status"), r["value"]) for r in metrics.collect()) == [
+        ("CallbackFailureCount", None, 0.0), ("DocumentsStuckInIngesting", None, 0.0), ("IngestionRunCount", "FAILED", 1.0), ("ManualReviewItemsQueued", None, 0.0),
+        ("SubmissionCount", "FAILED", 1.0), ("SubmissionsStuckNonTerminal", None, 0.0),
+    ]
+    assert alerts.count() == 0
 
 
 def test_driving_to_the_end(spark, tmp_path):
@@ -267,7 +275,10 @@ def test_forced_callback_failures(spark, tmp_path):
     engine.refresh(fail=True)
     row = engine.state("submissions").first()
     assert (row["status"], row["callbackStatus"], row["callbackFailureReason"]) == ("READY", "FAILED", "forced failure")
-    assert [r["alertType"] for r in engine.state("manual_review").collect()] == ["callback_failed"]
+    assert engine.state("manual_review").count() == 0  # the monitor tells
+    engine.monitor()
+    alert = json.loads(engine.state("manual_review").first()["body"])
+    assert (alert["alertType"], alert["callbackStatus"], alert["callbackFailureReason"], alert["environment"], len(alert["documentIds"])) == ("callback_failed", "FAILED", "forced failure", "dev", 1)
 
 
 def test_listing_and_repair(spark, tmp_path):
@@ -290,3 +301,134 @@ def test_generated_reports_are_deterministic(spark):
 def test_classified_keys(spark):
     rows = receipts.classified(spark.createDataFrame([("ingestion/s/a/b.json",), ("ingestion//x",), ("other/s/x",), ("ingestion/s/",)], "key string"))
     assert [tuple(r) for r in rows.select("action", "submissionId", "fileId").collect()] == [("recorded", "s", "a/b.json"), ("malformed", None, None), ("ignored", None, None), ("malformed", None, None)]
+
+
+def requests(spark, *rows):
+    return spark.createDataFrame(list(rows), "submissionId string, expectedFileIds array<string>, turn long")
+
+
+def jobs(spark) -> int:
+    return spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+
+
+def test_many_submissions_at_once(spark, tmp_path):
+    """Shared, equal and broken contents in one batch: what one after the other would give."""
+    soap, tea = report(1, "soap"), report(2, "tea")
+    newer = soap.replace(b'"v1"', b'"v2"')
+    held = {
+        "A": [("x", soap), ("y", tea)], "B": [("x", soap), ("z", b"{nope")], "C": [("x", json.dumps(json.loads(soap)).encode())], "D": [("x", newer)], "E": [("x", tea)], "F": [],
+        "G": [("x", b"{nope"), ("w", report(3, "ink"))],
+    }
+    engine = Engine(spark, str(tmp_path), clock=Clock())
+    for sid, files in held.items():
+        upload(spark, engine, tmp_path, sid, files) if files else None
+    asked = requests(spark, *((sid, [n for n, _ in files] + ["missing"] * (sid == "E") or ["x"], turn) for turn, (sid, files) in enumerate(held.items())))
+    said = {r["submissionId"]: r["reason"] for r in engine.complete_many(asked).collect()}
+    assert said == {"A": "OK", "B": "FILES_UNRESOLVED", "C": "OK", "D": "OK", "E": "MISSING_FILES", "F": "SUBMISSION_NOT_FOUND", "G": "FILES_UNRESOLVED"}
+    states = {r["submissionId"]: (r["status"], len(r["documentIds"] or [])) for r in engine.state("submissions").collect()}
+    assert states == {"A": ("COMPLETE", 2), "B": ("RECEIVING", 0), "C": ("COMPLETE", 1), "D": ("COMPLETE", 1), "E": ("RECEIVING", 0), "G": ("RECEIVING", 0)}
+    documents = engine.state("documents").collect()
+    assert sorted((r["businessDocumentKey"], r["sourceVersion"], r["isActive"]) for r in documents) == [("sample-001", "v1", False), ("sample-001", "v2", True), ("sample-002", "v1", True), ("sample-003", "v1", True)]
+    ids = documents_of(engine)
+    assert ids["C"][0] in ids["A"] and ids["D"][0] not in ids["A"]
+    assert sorted(r["status"] for r in engine.state("raw_files").collect()) == ["FAILED"] + ["RESOLVED"] * 5
+    assert engine.state("manual_review").count() == 1
+
+
+def test_jobs_do_not_grow_with_the_batch(spark, tmp_path):
+    took = []
+    for n in (2, 12):
+        engine = Engine(spark, str(tmp_path / str(n)), clock=Clock())
+        held = {f"S{i}": [("x", report(i % 5, "soap")), ("y", report(100 + i, "tea"))] for i in range(n)}
+        for sid, files in held.items():
+            for name, content in files:
+                objects.put(spark, f"{tmp_path}/{n}/ingestion/{sid}/{name}", content)
+        engine.receive(events(spark, *(f"ingestion/{sid}/{name}" for sid, files in held.items() for name, _ in files)))
+        before = jobs(spark)
+        verdicts = engine.complete_many(requests(spark, *((sid, ["x", "y"], 0) for sid in held)))
+        took.append(jobs(spark) - before)
+        assert {r["reason"] for r in verdicts.collect()} == {"OK"}
+    assert took[1] <= took[0] + 4  # broadcasts and re-plans differ, not the steps
+
+
+def test_seen_again_and_waiting_submissions(spark, tmp_path):
+    """A content that comes again is seen later; one in progress leaves its submission to the next batch."""
+    waits = []
+    engine = Engine(spark, str(tmp_path), clock=Clock(), wait=waits.append)
+    upload(spark, engine, tmp_path, "X", [("a", report(1, "soap"))])
+    engine.complete("X", ["a"])
+    first = engine.state("raw_files").first()
+    upload(spark, engine, tmp_path, "Y", [("b", report(1, "soap"))])
+    upload(spark, engine, tmp_path, "Z", [("c", report(2, "tea"))])
+    digest = __import__("hashlib").sha256(report(2, "tea")).hexdigest()
+    engine.append("raw_files", spark.createDataFrame([(f"sha256:{digest}", "PROCESSING")], "rawFileHash string, status string"), engine.next_seq())
+    asked = requests(spark, ("Y", ["b"], 0), ("Z", ["c"], 1))
+    assert {r["submissionId"]: r["reason"] for r in engine.complete_many(asked).collect()} == {"Y": "OK", "Z": "FILES_IN_PROGRESS"} and not waits
+    again = engine.state("raw_files").where(F.col("rawFileHash") == first["rawFileHash"]).first()
+    assert (again["status"], again["documentId"], again["firstSeenAt"]) == (first["status"], first["documentId"], first["firstSeenAt"]) and again["lastSeenAt"] > first["lastSeenAt"]
+    assert {r["submissionId"]: r["reason"] for r in engine.complete_all(asked).collect()} == {"Y": "OK", "Z": "FILES_UNRESOLVED"} and waits == [2.0] * 3
+
+
+def test_documents_are_ingesting_before_the_job_starts(spark, tmp_path):
+    engine = Engine(spark, str(tmp_path), clock=Clock())
+    upload(spark, engine, tmp_path, "X", [("ok.json", report(9, "soap"))])
+    engine.complete("X", ["ok.json"])
+    assert engine.coordinate(configured=False) == "missing_configuration"
+    assert engine.state("runs").count() == 0 and engine.state("documents").first()["kbIngestionStatus"] == "PENDING_INGESTION"
+    seen = []
+
+    def job(documents):
+        seen.append(engine.state("documents").first().asDict())
+        raise RuntimeError("no such index")
+
+    with pytest.raises(RuntimeError, match="no such index"):
+        engine.coordinate(job=job)
+    run = engine.state("runs").first()
+    assert (seen[0]["kbIngestionStatus"], seen[0]["pendingIngestionRunId"]) == ("INGESTING", run["ingestionRunId"])
+    row = engine.state("documents").first()
+    assert (run["status"], row["kbIngestionStatus"], row["lastIngestionError"], row["pendingIngestionRunId"]) == ("FAILED", "FAILED", "no such index", None)
+    assert {"kb_coordinator_missing_configuration", "kb_coordinator_documents_selected", "kb_coordinator_ingestion_submit_failed"} <= {r["action"] for r in engine.state("audit_log").collect()}
+
+
+def test_review_queue_of_the_engine(spark, tmp_path):
+    """Alerts repeat with each pass; equal ones of five minutes are one message, and five receives make it a dead letter."""
+    engine = Engine(spark, str(tmp_path), clock=Clock())
+    old = spark.createDataFrame([("S", "RECEIVING", datetime(2026, 4, 1, tzinfo=timezone.utc))], "submissionId string, status string, updatedAt timestamp")
+    engine.append("submissions", old, engine.next_seq())
+    engine.monitor()
+    engine.monitor()
+    assert engine.state("manual_review").count() == 2 and engine.review_queue().count() == 1
+    for _ in range(5):
+        assert [r["submissionId"] for r in engine.receive_reviews().collect()] == ["S"]
+        assert engine.receive_reviews().count() == 0  # in flight
+        engine.clock.at += timedelta(minutes=2)
+    assert engine.receive_reviews().count() == 0 and [r["state"] for r in engine.review_queue().collect()] == ["DEAD"]
+    engine.monitor()  # later than five minutes: a new message
+    got = engine.receive_reviews()
+    assert got.count() == 1
+    engine.delete_reviews(got)
+    engine.clock.at += timedelta(minutes=2)
+    assert sorted(r["state"] for r in engine.review_queue().collect()) == ["DEAD", "DELETED"]
+
+
+def test_accepted_messages_silence_from_themselves_on(spark):
+    """Against a plain loop, hot contents in stretches of a few times; equal times, null groups and contents."""
+    import random
+
+    from tessera.operators import review
+
+    start, rnd = datetime(2026, 5, 1), random.Random(7)
+    at = lambda s: start + timedelta(seconds=s)
+    two = spark.createDataFrame([(1, "g", "c", at(299)), (2, "g", "c", at(301)), (3, "g", "c", at(599)), (4, "g", "c", None)], "messageId long, alertType string, c string, sentAt timestamp_ntz")
+    assert sorted(r["messageId"] for r in review.accepted(two, F.col("c")).collect()) == [1, 3]
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice(["x", "x", "x", "y", None]), at(rnd.randint(0, 9000))) for i in range(700)]
+    last, want = {}, []
+    for i, g, c, t in sorted(rows, key=lambda r: (r[3], r[0])):
+        if (g, c) not in last or t - last[g, c] >= timedelta(minutes=5):
+            last[g, c] = t
+            want.append(i)
+    frame = spark.createDataFrame(rows, "messageId long, alertType string, c string, sentAt timestamp_ntz")
+    for stretch in (5, 40, None):
+        got = review.accepted(frame, F.col("c"), stretch=stretch)
+        assert sorted(r["messageId"] for r in got.collect()) == sorted(want)
+    assert review.accepted(frame.limit(0), F.col("c")).collect() == []
