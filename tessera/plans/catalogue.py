@@ -17,6 +17,7 @@ from ..operators import attach, chunking, dedupe, indexing, monitor, ordered, re
 from ..schemas import UPLOAD_EVENT
 from ..sources import objects, registry
 from ..session import checkpoint_folder, workers_find_library
+from ..streaming import alarms
 from ..streaming import receipts as streams
 
 NOW = datetime(2024, 1, 30, 12, 0)
@@ -775,6 +776,44 @@ def stream_receipts(spark, sf_dir):
     return log.groupBy(F.col("submissionId").alias("submission_id"), F.col("fileId").alias("file_id")).agg(F.min("arrived.event_id").alias("first_event"), F.sum("deliveries").alias("deliveries"))
 
 
+#: Events as metrics: occurrences of two kinds are summed up, the values of two others' are watched for their maximum.
+EVENT_ALARMS = (alarms.Alarm("many clicks", "click", "Sum", 3), alarms.Alarm("any error", "error", "Sum"), alarms.Alarm("large view", "view", "Maximum", 60), alarms.Alarm("large purchase", "purchase", "Maximum", 90))
+ALARM_SQL = """with p as (select event_type as t, time_bucket(interval '5 minutes', ts) + interval '5 minutes' as e, count(*) as n, max(value) as most from events where ts is not null and value is not null group by 1, 2),
+b as (select case t when 'click' then 'many clicks' when 'error' then 'any error' when 'view' then 'large view' when 'purchase' then 'large purchase' end as alarm, e from p
+  where (t = 'click' and n >= 3) or (t = 'error' and n >= 1) or (t = 'view' and most >= 60) or (t = 'purchase' and most >= 90)),
+x as (select alarm, e, 'OK' as from_state, 'ALARM' as to_state from b where not exists (select 1 from b c where c.alarm = b.alarm and c.e = b.e - interval '5 minutes')
+  union all select alarm, e + interval '5 minutes', 'ALARM', 'OK' from b where not exists (select 1 from b c where c.alarm = b.alarm and c.e = b.e + interval '5 minutes'))
+select alarm, epoch(e) as at, from_state, to_state from x where e < (select date_trunc('millisecond', max(ts)) from events)"""
+
+
+def event_metrics(rows: DataFrame) -> DataFrame:
+    counted = F.when(F.col("event_type").isin("click", "error"), F.when(F.col("value").isNotNull(), 1.0)).otherwise(F.col("value"))
+    return rows.select(F.col("event_type").alias("name"), F.col("ts").cast("timestamp").alias("ts"), counted.alias("value"))
+
+
+def shown_transitions(found: DataFrame) -> DataFrame:
+    return found.select("alarm", F.unix_timestamp("at").cast("double").alias("at"), F.col("fromState").alias("from_state"), F.col("toState").alias("to_state"))
+
+
+@query(ALARM_SQL)
+def alarm_states(spark, sf_dir):
+    """Transitions of alarms over the whole table at once."""
+    rows = event_metrics(read(spark, sf_dir, "events"))
+    newest = rows.agg(F.date_trunc("millisecond", F.max("ts")).alias("ts")).first()["ts"]
+    return shown_transitions(alarms.transitions(rows, F.lit(newest).cast("timestamp"), EVENT_ALARMS))
+
+
+@query(ALARM_SQL)
+def stream_alarm_states(spark, sf_dir):
+    """The same with the table as a stream: open periods and timers in a state store."""
+    import uuid
+
+    folder = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
+    found = alarms.transition_stream(event_metrics(streams.table_stream(spark, f"{sf_dir}/events.parquet")), EVENT_ALARMS)
+    streams.drain(found, lambda batch, i: batch.write.mode("overwrite").parquet(f"{folder}/log/batch={i}"), f"{folder}/state")
+    return shown_transitions(spark.read.schema(alarms.TRANSITION).parquet(f"{folder}/log"))
+
+
 # the workflow
 
 

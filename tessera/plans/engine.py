@@ -24,6 +24,7 @@ from ..functions.text import CHUNK_CHARS
 from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, review, validate, versions
 from ..session import checkpoint_folder, workers_find_library
 from ..sources import objects, registry
+from ..streaming import alarms
 from ..streaming import receipts as streams
 
 CHUNK = schemas.struct(documentId=schemas.S, chunkIndex=schemas.T.IntegerType(), contentKey=schemas.S, metadataKey=schemas.S, content=schemas.S, metadata=schemas.S)
@@ -88,11 +89,11 @@ class Engine:
     ):
         checkpoint_folder(workers_find_library(spark))
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
-        self.last_seq, self.said, self.noted = 0, [], []
+        self.last_seq, self.said, self.noted, self.counted = 0, [], [], []
 
     def together(self, *steps: Callable[[], object]) -> None:
         """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
-        with ThreadPoolExecutor(len(steps)) as pool:
+        with ThreadPoolExecutor(max(1, len(steps))) as pool:
             done = [pool.submit(step) for step in steps]
         for step in done:
             step.result()
@@ -154,9 +155,18 @@ class Engine:
 
     def write_log(self) -> None:
         lines = [*self.said, *([self.spark.createDataFrame(self.noted, schemas.AUDIT)] if self.noted else [])]
-        self.said, self.noted = [], []
-        if lines:
-            self.append("audit_log", reduce(DataFrame.unionByName, lines), self.next_seq())
+        counted = self.counted
+        self.said, self.noted, self.counted = [], [], []
+        steps = [lambda: self.append("audit_log", reduce(DataFrame.unionByName, lines), self.next_seq())] if lines else []
+        if counted:
+            steps.append(lambda: self.append("metrics", reduce(DataFrame.unionByName, counted), self.next_seq()))
+        self.together(*steps)
+
+    def count(self, name: str, value: DataFrame | float, **dimensions: str) -> None:
+        """A metric's point, written with the step's log lines. value: a number, or a frame with one in one row."""
+        rows = value if isinstance(value, DataFrame) else self.spark.createDataFrame([(float(value),)], "value double")
+        dims = F.create_map(*(F.lit(x) for pair in dimensions.items() for x in pair))
+        self.counted.append(rows.select(F.lit(name).alias("name"), dims.alias("dimensions"), self.now().alias("ts"), F.col(rows.columns[0]).cast("double").alias("value")))
 
     # steps
 
@@ -220,6 +230,7 @@ class Engine:
         if raw is None:
             ids = [r["submissionId"] for r in verdict.where("isValid").select("submissionId").limit(LISTED + 1).collect()]
             if not ids:
+                self.count("ExecutionsFailed", verdict.agg(F.count("*")), StateMachine="submission-orchestration")
                 return verdict.select(*VERDICT.names)
             raw = objects.raw_files(self.spark, self.root, *(ids if len(ids) <= LISTED else ()))
         claim_seq, seq = self.next_seq(), self.next_seq()
@@ -299,6 +310,7 @@ class Engine:
         per = files.groupBy("submissionId").agg(F.bool_or(open_file).alias("open"), F.bool_or(open_file & ~waits).alias("lost"))
         said = F.when(F.col("lost"), UNRESOLVED).when(F.col("open"), IN_PROGRESS).otherwise(F.col("reason"))
         out = verdict.join(per, "submissionId", "left").withColumn("reason", said).withColumn("isValid", F.col("isValid") & ~F.coalesce("open", F.lit(False))).checkpoint()
+        self.count("ExecutionsFailed", out.agg(F.count_if(~F.col("isValid") & (F.col("reason") != IN_PROGRESS))), StateMachine="submission-orchestration")
         good = out.where("isValid").select("submissionId")
         mine = subs.join(good, "submissionId", "left_semi")
         complete = attach.attached(mine, files).withColumns({"status": F.lit("COMPLETE"), "updatedAt": self.now()})
@@ -379,6 +391,7 @@ class Engine:
             answer = (job or self.index)(documents)
         except Exception as e:
             self.settle(run_id, documents, None, started, {"status": "FAILED", "failureReasons": [str(e)]}, seq + 1)
+            self.count("Errors", 1, FunctionName="kb-coordinator")
             self.note("kb_coordinator_ingestion_submit_failed", ingestionRunId=run_id, errorType=type(e).__name__, errorMessage=str(e))
             raise
         return self.settle(run_id, documents, answer.get("ingestionJobId"), started, answer, seq + 1)
@@ -499,3 +512,18 @@ class Engine:
         self.audit(found, "ops_monitor_manual_review_enqueued", "alertType", "submissionId", "documentId")
         self.audit(metrics.where("dimensions['Status'] is null").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("m")).select(*(F.col("m")[c].alias(c) for c in monitor.COUNTERS)), "ops_monitor_completed", *monitor.COUNTERS)
         return monitor.metric_batches(metrics, ("name", F.coalesce(F.col("dimensions")["Status"], F.lit("")))), found
+
+    # alarms
+
+    def alarms_until(self, until: datetime) -> DataFrame:
+        """The alarms' transitions in all periods that ended before a time."""
+        return alarms.transitions(self.log("metrics"), F.lit(until).cast("timestamp"))
+
+    def watch_alarms(self, checkpoint: str, late: str = "0 seconds") -> None:
+        """Takes the metrics that came since the last call; new transitions go to their log, each batch once."""
+        schema = StructType([*schemas.METRIC.fields, StructField("seq", LongType())])
+        points = self.spark.readStream.schema(schema).parquet(self.path("metrics"))
+        streams.drain(alarms.transition_stream(points, late=late), lambda batch, i: batch.write.mode("overwrite").parquet(f"{self.path('alarms')}/batch={i}"), checkpoint)
+
+    def alarm_log(self) -> DataFrame:
+        return self.read(self.path("alarms"), alarms.TRANSITION)

@@ -432,3 +432,31 @@ def test_accepted_messages_silence_from_themselves_on(spark):
         got = review.accepted(frame, F.col("c"), stretch=stretch)
         assert sorted(r["messageId"] for r in got.collect()) == sorted(want)
     assert review.accepted(frame.limit(0), F.col("c")).collect() == []
+
+
+def test_alarms_of_the_engine(spark, tmp_path):
+    """A failed completion, a failing job, a stuck submission: alarms go on and off; the stream restarts from its checkpoint."""
+    engine, told = Engine(spark, str(tmp_path), clock=Clock()), []
+    watch = lambda: engine.watch_alarms(f"{tmp_path}/watch")
+    assert engine.complete("nobody", ["x"])["reason"] == "SUBMISSION_NOT_FOUND"
+    upload(spark, engine, tmp_path, "X", [("ok.json", report(9, "soap"))])
+    engine.complete("X", ["ok.json"])
+
+    def job(documents):
+        raise RuntimeError("gone")
+
+    with pytest.raises(RuntimeError):
+        engine.coordinate(job=job)
+    watch()
+    assert engine.alarm_log().count() == 0  # the period isn't over
+    for minutes in (6, 6, 15, 6, 30):
+        engine.clock.at += timedelta(minutes=minutes)
+        engine.monitor()
+        watch()  # a query of its own each time
+        told.append(engine.alarm_log().count())
+    newest = engine.log("metrics").agg(F.max("ts")).first()[0]
+    rows = lambda frame: sorted(tuple(r) for r in frame.select("alarm", "at", "fromState", "toState").collect())
+    assert rows(engine.alarm_log()) == rows(engine.alarms_until(newest)) and told == sorted(told)
+    kinds = {(r["alarm"], r["toState"]) for r in engine.alarm_log().collect()}
+    assert {(a, t) for a in ("submission-orchestration-failed", "kb-coordinator-errors") for t in ("ALARM", "OK")} <= kinds
+    assert ("submissions-stuck-non-terminal", "ALARM") in kinds and ("documents-stuck-ingesting", "ALARM") not in kinds
