@@ -36,17 +36,18 @@ CANDIDATE = schemas.struct(
 CANDIDATE_ORDER = ("seq", "turn", "submissionId", "place")
 ORDER = CANDIDATE_ORDER[1:]
 RECEIPT = schemas.struct(submissionId=schemas.S, fileId=schemas.S, key=schemas.S, receivedAt=schemas.TS)
+#: Schema, key of the latest state (None: every row counts), and the column by whose buckets snapshots are laid out.
 LOGS = {
-    "receipts": (RECEIPT, None), "submissions": (schemas.SUBMISSION, "submissionId"), "raw_files": (schemas.RAW_FILE, "rawFileHash"),
-    "documents": (schemas.DOCUMENT, "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId"), "chunks": (CHUNK, None),  # below canonical/
-    "candidates": (CANDIDATE, None), "vectors": (VECTOR, None), "manual_review": (schemas.MANUAL_REVIEW, None), "review_receives": (schemas.REVIEW_RECEIVE, None), "metrics": (schemas.METRIC, None),
-    "audit_log": (schemas.AUDIT, None),
+    "receipts": (RECEIPT, None, "submissionId"), "submissions": (schemas.SUBMISSION, "submissionId", "submissionId"), "raw_files": (schemas.RAW_FILE, "rawFileHash", "rawFileHash"),
+    "documents": (schemas.DOCUMENT, "documentId", "documentId"), "runs": (schemas.INGESTION_RUN, "ingestionRunId", "ingestionRunId"), "candidates": (CANDIDATE, None, "businessDocumentKey"),
+    "vectors": (VECTOR, None, "documentId"), "manual_review": (schemas.MANUAL_REVIEW, None, "messageId"), "review_receives": (schemas.REVIEW_RECEIVE, None, "messageId"),
+    "metrics": (schemas.METRIC, None, None), "audit_log": (schemas.AUDIT, None, None),
 }
-
-
-#: Snapshots of logs: which states were written where, and up to which sequence number.
+#: Snapshots of logs: where they are, in how many buckets, and the first generation of appended rows that they don't hold.
 SNAPSHOTS = "snapshots"
-SNAPSHOT = schemas.struct(name=schemas.S, path=schemas.S, seq=schemas.L)
+SNAPSHOT = schemas.struct(name=schemas.S, path=schemas.S, buckets=schemas.T.IntegerType(), generation=schemas.T.IntegerType())
+#: Files of a log's generation from which on `tidy` makes a snapshot.
+TIDY_FILES = 200
 #: Sequence numbers that one step may use.
 STEP_ROWS = 1 << 20
 #: A raw file that another submission processes is waited for so often and so many seconds each time.
@@ -89,7 +90,7 @@ class Engine:
     ):
         checkpoint_folder(workers_find_library(spark))
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
-        self.last_seq, self.said, self.noted, self.counted = 0, [], [], []
+        self.last_seq, self.said, self.noted, self.counted, self.snapshots = 0, [], [], [], None
 
     def together(self, *steps: Callable[[], object]) -> None:
         """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
@@ -101,7 +102,8 @@ class Engine:
     # logs
 
     def path(self, name: str) -> str:
-        return self.root + ("/canonical" if name == "chunks" else f"/registry/{name}")
+        """Where rows are appended now: the log's current generation, or all of a log that has no snapshots."""
+        return f"{self.root}/registry/{name}" + (f"/generation-{self.snapshot(name)['generation']}" if LOGS[name][2] else "")
 
     def read(self, path: str, schema: StructType) -> DataFrame:
         try:
@@ -111,25 +113,55 @@ class Engine:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def log(self, name: str) -> DataFrame:
-        """A log's rows: its last snapshot and what was appended since, as Parquet's statistics leave older files unread."""
-        schema = StructType([*LOGS[name][0].fields, StructField("seq", LongType())])
-        rows = self.read(self.path(name), schema)
-        if LOGS[name][1] is None:
+    def snapshot(self, name: str) -> dict:
+        """The log's last snapshot, as this writer knows it."""
+        if self.snapshots is None:
+            rows = self.read(f"{self.root}/registry/{SNAPSHOTS}", SNAPSHOT).groupBy("name").agg(F.max_by(F.struct("path", "buckets", "generation"), "generation").alias("last"))
+            self.snapshots = {r["name"]: r["last"].asDict() for r in rows.collect()}
+        return self.snapshots.get(name, {"path": None, "buckets": 0, "generation": 0})
+
+    def log(self, name: str, of: list | DataFrame | None = None) -> DataFrame:
+        """A log's rows: its last snapshot and what was appended since. of: values of the log's bucket column, as a list or
+        a frame with that column; then only their buckets of the snapshot are read."""
+        fields, _, column = LOGS[name]
+        schema = StructType([*fields.fields, StructField("seq", LongType())])
+        rows, last = self.read(self.path(name), schema), self.snapshot(name)
+        if of is not None:
+            rows = rows.where(F.col(column).isin(of)) if isinstance(of, list) and len(of) <= registry.LISTED_KEYS else registry.of_keys(rows.withColumn("bucket", registry.bucket_of(F.col(column), 1)), column, of, 1)
+        if not last["path"]:
             return rows
-        last = self.read(f"{self.root}/registry/{SNAPSHOTS}", SNAPSHOT).where(F.col("name") == name).orderBy(F.desc("seq")).first()
-        return self.spark.read.schema(schema).parquet(last["path"]).unionByName(rows.where(F.col("seq") > last["seq"])) if last else rows
+        held = self.spark.read.schema(StructType([*schema.fields, StructField("bucket", schemas.T.IntegerType())])).parquet(last["path"])
+        return (held.drop("bucket") if of is None else registry.of_keys(held, column, of, last["buckets"])).unionByName(rows)
 
     def compact(self, name: str) -> None:
-        """Writes the latest states as a snapshot, and then a row that makes readers use it."""
-        seq = self.next_seq()
-        path = f"{self.root}/registry/{SNAPSHOTS}-{name}-{seq}"
-        registry.latest_state(self.log(name), LOGS[name][1], "seq").write.parquet(path)
-        registry.append(self.spark.createDataFrame([(name, path, seq)], SNAPSHOT), f"{self.root}/registry/{SNAPSHOTS}")
+        """Writes the latest states (or all rows) as a bucketed snapshot, and then a row that makes readers use it.
 
-    def state(self, name: str) -> DataFrame:
+        From then on rows go to a new generation, so neither old files nor old snapshots are listed again.
+        """
+        _, key, column = LOGS[name]
+        rows = (registry.latest_state(self.log(name), key, "seq") if key else self.log(name)).checkpoint()
+        buckets = max(1, min(registry.MOST_BUCKETS, -(-rows.count() // registry.BUCKET_ROWS)))
+        generation = self.snapshot(name)["generation"] + 1
+        path = f"{self.root}/registry/{SNAPSHOTS}-{name}-{generation}"
+        registry.write_bucketed(rows, column, buckets, path, "overwrite")  # over what a stopped one may have left
+        registry.append(self.spark.createDataFrame([(name, path, buckets, generation)], SNAPSHOT), f"{self.root}/registry/{SNAPSHOTS}")
+        self.snapshots[name] = {"path": path, "buckets": buckets, "generation": generation}
+
+    def tidy(self, files: int = TIDY_FILES) -> list[str]:
+        """Compacts the logs that have many files since their last snapshot; returns their names."""
+        due = [name for name in LOGS if LOGS[name][2] and objects.files_in(self.spark, self.path(name)) >= files]
+        for name in due:
+            self.compact(name)
+        return due
+
+    def state(self, name: str, of: list | DataFrame | None = None) -> DataFrame:
         key = LOGS[name][1]
-        return registry.latest_state(self.log(name), key, "seq").drop("seq") if key else self.log(name).drop("seq")
+        return registry.latest_state(self.log(name, of), key, "seq").drop("seq") if key else self.log(name, of).drop("seq")
+
+    def chunks(self, of: list | DataFrame | None = None) -> DataFrame:
+        """The chunk store, or the chunks of some documents."""
+        stored = self.read(f"{self.root}/canonical", StructType([*CHUNK.fields, StructField("bucket", schemas.T.IntegerType())]))
+        return stored.drop("bucket") if of is None else registry.of_keys(stored, "documentId", of, objects.CHUNK_BUCKETS)
 
     def append(self, name: str, rows: DataFrame, seq) -> None:
         schema = LOGS[name][0]
@@ -175,12 +207,13 @@ class Engine:
         """Records receipts of new files; returns how many records had which action."""
         rows = receipts.classified(receipts.unnested(events)).checkpoint()
         good = rows.where("action = 'recorded'").select("submissionId", "fileId", "key", self.now().alias("receivedAt"), F.col("sequencer"))
-        new, _ = registry.insert_if_absent(good.withColumn("pair", F.struct("submissionId", "fileId")), self.log("receipts").select(F.struct("submissionId", "fileId").alias("pair")), "pair", F.col("sequencer"))
+        before = self.log("receipts", good)
+        new, _ = registry.insert_if_absent(good.withColumn("pair", F.struct("submissionId", "fileId")), before.select(F.struct("submissionId", "fileId").alias("pair")), "pair", F.col("sequencer"))
         new = new.checkpoint()
         seq = self.next_seq()
+        touched = before.join(new.select("submissionId").distinct(), "submissionId", "left_semi").unionByName(new.select(*RECEIPT.names, F.lit(seq).alias("seq"))).checkpoint()
         self.append("receipts", new, seq)
-        touched = self.log("receipts").join(new.select("submissionId").distinct(), "submissionId", "left_semi")
-        rolled = receipts.submissions(touched, ("seq", "key")).join(self.state("submissions").select("submissionId", F.struct("*").alias("old")), "submissionId", "left")
+        rolled = receipts.submissions(touched, ("seq", "key")).join(self.state("submissions", new).select("submissionId", F.struct("*").alias("old")), "submissionId", "left")
         self.append(
             "submissions",
             rolled.select(
@@ -223,7 +256,7 @@ class Engine:
         """
         turn = F.col("turn") if "turn" in requests.columns else F.lit(0)
         asked = requests.select("submissionId", "expectedFileIds", turn.cast("long").alias("turn"))
-        subs = self.state("submissions")
+        subs = self.state("submissions", asked)
         verdict = validate.validated(asked, subs).checkpoint()
         self.audit(verdict.withColumn("missingFileIds", F.array_join("missingFileIds", ",")), "submission_validation_completed", "submissionId", "reason", "missingFileIds")
         wanted = verdict.where("isValid").select("submissionId", "turn", F.posexplode(F.array_distinct("expectedFileIds")).alias("place", "fileId"))
@@ -234,8 +267,8 @@ class Engine:
                 return verdict.select(*VERDICT.names)
             raw = objects.raw_files(self.spark, self.root, *(ids if len(ids) <= LISTED else ()))
         claim_seq, seq = self.next_seq(), self.next_seq()
-        known = self.state("raw_files")
-        hashed = dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"])
+        hashed = dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"]).checkpoint()
+        known = self.state("raw_files", hashed)
         claims = dedupe.claims(hashed, known, ORDER).checkpoint()
         owner, now = F.col("ownershipClaimed"), self.now()
         owned = claims.where(owner).select("key", "submissionId", "fileId", "turn", "place", "rawFileHash")
@@ -260,7 +293,7 @@ class Engine:
         self.together(claimed, lambda: held.update(rendered=rendered.checkpoint()))
         rendered = held["rendered"]
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
-        old_documents = self.state("documents")
+        old_documents = self.state("documents")  # looked up by three keys
         made = dedupe.resolved(good, old_documents, ORDER).checkpoint()
         self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "submissionId", "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
@@ -270,7 +303,8 @@ class Engine:
         fresh = created.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), now.alias("createdAt"), now.alias("updatedAt"))
         mine = made.where("businessDocumentKey is not null").withColumn("seq", F.lit(seq))
         touched = made.select("documentId").distinct()
-        candidates = self.log("candidates").join(mine.select("businessDocumentKey").distinct(), "businessDocumentKey", "left_semi").unionByName(mine.select(*self.log("candidates").columns))
+        history = self.log("candidates", mine)
+        candidates = history.unionByName(mine.select(*history.columns))
         base = old_documents.join(touched, "documentId", "left_semi").unionByName(fresh.select(*(c for c in fresh.columns if c in old_documents.columns)), allowMissingColumns=True)
         renewed = versions.renewed(base, made.where("not created"), ORDER).withColumn("updatedAt", now)
         rivals = old_documents.join(mine.select("businessDocumentKey").distinct(), "businessDocumentKey", "left_semi").join(touched, "documentId", "left_anti")
@@ -355,7 +389,7 @@ class Engine:
         folder = f"{self.root}/canonical"
         objects.write_chunks(records, folder)
         of = records.select("documentId").distinct()
-        listed = lambda: self.read(folder, CHUNK).join(of, "documentId", "left_semi").select("contentKey")
+        listed = lambda: self.chunks(of).select("contentKey")
         objects.verified(records, listed, lambda missing: objects.write_chunks(missing, folder), "contentKey")
         self.audit(records.agg((2 * F.count("*")).alias("objects")), "canonical_chunk_persistence_verified", "objects")
 
@@ -383,7 +417,7 @@ class Engine:
         started = self.clock()
         self.note("kb_coordinator_documents_selected", ingestionRunId=run_id, documents=len(documents))
         run_row = self.spark.createDataFrame([(run_id, "STARTED", documents)], "ingestionRunId string, status string, documentIds array<string>").withColumn("startedAt", F.lit(started))
-        chosen = self.state("documents").where(F.col("documentId").isin(documents))
+        chosen = self.state("documents", documents)
         begun = indexing.fanned_out(chosen, run_row.withColumn("errorSummary", F.lit(None).cast("string"))).withColumn("updatedAt", self.now())
         self.together(lambda: self.append("runs", run_row, seq), lambda: self.append("documents", begun, seq))  # INGESTING before the job starts
         self.note("kb_coordinator_ingestion_requested", ingestionRunId=run_id, clientToken=keys.client_token(run_id))
@@ -398,8 +432,7 @@ class Engine:
 
     def index(self, documents: list[str]) -> dict:
         """The built-in job: embeds and appends the chunks of the documents."""
-        mine = self.state("chunks").where(F.col("documentId").isin(documents))
-        self.append("vectors", retrieval.index_new(mine, self.state("vectors")), self.next_seq())
+        self.append("vectors", retrieval.index_new(self.chunks(documents), self.log("vectors", documents)), self.next_seq())
         return {"ingestionJobId": f"job-{uuid.uuid4()}", "status": "COMPLETE"}
 
     def settle(self, run_id: str, documents: list[str], operation: str | None, started, answer: dict, seq: int) -> str:
@@ -408,7 +441,7 @@ class Engine:
         said = indexing.run_status(F.coalesce("job", F.lit("")), indexing.has_failures(F.col("failed"), F.col("reasons")))
         run = self.spark.createDataFrame(row, schema).select("*", said.alias("status"), indexing.error_summary(F.col("reasons")).alias("errorSummary"))
         ended = F.when(F.col("status") != "STARTED", self.now())
-        hit = self.state("documents").where(F.col("documentId").isin(documents))
+        hit = self.state("documents", documents)
         ended_documents = indexing.fanned_out(hit, run.select("ingestionRunId", "status", "documentIds", "errorSummary")).withColumn("updatedAt", self.now())
         self.together(
             lambda: self.append("documents", ended_documents, seq),
@@ -461,7 +494,7 @@ class Engine:
         """Waits until all expected files are recorded; shortly before the time is up the missing ones' events are replayed once."""
         until, replayed = time.monotonic() + seconds, False
         while True:
-            row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
+            row = self.state("submissions", [submission]).first()
             missing = sorted(set(expected) - set(row["fileIds"] or [] if row else []))
             if not missing or time.monotonic() >= until:
                 return not missing
@@ -482,7 +515,7 @@ class Engine:
         while True:
             self.coordinate(**{k: v for k, v in callbacks.items() if k in ("job", "poll")})
             self.refresh(callbacks.get("callback"))
-            row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
+            row = self.state("submissions", [submission]).first()
             status = row["status"] if row else "UNKNOWN"
             if status in ("READY", "FAILED", "UNKNOWN") or time.monotonic() + pause > until:
                 return status
@@ -490,14 +523,13 @@ class Engine:
 
     def query(self, submission: str, text: str, results: int | None = None, model: Callable[[str], str] | None = None, embedder: Callable[[str], list[float]] = retrieval.embed) -> dict:
         """Retrieval strictly within one submission's documents; its status is echoed, READY is not required."""
-        row = registry.lookup(self.state("submissions"), "submissionId", submission).first()
+        row = self.state("submissions", [submission]).first()
         if row is None:
             raise ValueError(f"unknown submission {submission}")
         out = {"submissionId": submission, "submissionStatus": row["status"], "query": text.strip(), "documentIds": list(row["documentIds"] or []), "retrievalResults": [], "retrievedDocumentIds": []}
         if not out["documentIds"]:
             return out | {"summary": retrieval.NO_DOCUMENTS, "modelInvoked": False, "modelError": None}
-        scope = self.spark.createDataFrame([(d,) for d in out["documentIds"]], "documentId string")
-        found = retrieval.nearest(retrieval.scoped(self.state("vectors"), scope, len(out["documentIds"])), embedder(text.strip()), results)
+        found = retrieval.nearest(self.log("vectors", out["documentIds"]), embedder(text.strip()), results)
         rows = [r.asDict() for r in retrieval.projected(found).collect()]
         out |= {"retrievalResults": rows, "retrievedDocumentIds": sorted({r["documentId"] for r in rows if r["documentId"]})}
         return out | retrieval.summarized(submission, text.strip(), rows, model)
@@ -510,6 +542,7 @@ class Engine:
         metrics = monitor.metrics(submissions, runs, found, environment, now).checkpoint()
         self.together(lambda: self.enqueue(found), lambda: self.append("metrics", metrics, self.next_seq()))
         self.audit(found, "ops_monitor_manual_review_enqueued", "alertType", "submissionId", "documentId")
+        self.tidy()
         self.audit(metrics.where("dimensions['Status'] is null").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("m")).select(*(F.col("m")[c].alias(c) for c in monitor.COUNTERS)), "ops_monitor_completed", *monitor.COUNTERS)
         return monitor.metric_batches(metrics, ("name", F.coalesce(F.col("dimensions")["Status"], F.lit("")))), found
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys
+from . import registry
 
 #: Days that objects are kept, by prefix; canonical chunks have no end.
 RETENTION_DAYS = {"ingestion/": 14, "processed/": 3}
@@ -38,6 +39,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def files_in(spark: SparkSession, path: str) -> int:
+    """How many files a folder has; 0 if it isn't there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for f in system.listStatus(where) if f.getPath().getName().endswith(".parquet")) if system.exists(where) else 0
+
+
 def listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     """Keys below a prefix; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/{prefix}")
@@ -71,9 +79,13 @@ def write_processed(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("submissionId").parquet(path)
 
 
+#: Folders of the chunk store.
+CHUNK_BUCKETS = 256
+
+
 def write_chunks(rows: DataFrame, path: str) -> None:
-    """Chunks of a document lie together: one shuffle by document, then one folder a document."""
-    rows.repartition("documentId").write.mode("append").partitionBy("documentId").parquet(path)
+    """Chunks of a document lie together, in one of CHUNK_BUCKETS folders, however many documents there are."""
+    registry.write_bucketed(rows, "documentId", CHUNK_BUCKETS, path, "append")
 
 
 def missing_keys(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:

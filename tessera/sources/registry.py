@@ -7,14 +7,41 @@ Parquet has no MERGE, and none is needed: a registry is the latest row of each k
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Rows of a snapshot's bucket, and most buckets of one.
+BUCKET_ROWS, MOST_BUCKETS = 1 << 18, 4096
+#: Keys that are written into a filter; more of them are joined.
+LISTED_KEYS = 1000
+
 
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(rows: DataFrame, key: str, buckets: int, path: str, mode: str = "errorifexists") -> None:
+    """Rows in a folder a bucket of their key, each bucket's sorted by it, so that Parquet's statistics tell its pages apart."""
+    placed = rows.withColumn("bucket", bucket_of(F.col(key), buckets))
+    placed.repartition("bucket").sortWithinPartitions("bucket", key).write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def of_keys(bucketed: DataFrame, key: str, keys: list | DataFrame, buckets: int) -> DataFrame:
+    """The rows of some keys, from their buckets' folders alone. keys: a list, or a frame with the key column.
+
+    A long list or a frame is joined by bucket and key; where it is small enough to be broadcast, the buckets that it
+    has are known before files are read.
+    """
+    if isinstance(keys, list) and len(keys) <= LISTED_KEYS:  # the buckets are constants to the planner
+        return bucketed.where(F.col("bucket").isin(*(bucket_of(F.lit(k), buckets) for k in keys)) & F.col(key).isin(keys)).drop("bucket")
+    frame = bucketed.sparkSession.createDataFrame([(k,) for k in keys], f"`{key}` string") if isinstance(keys, list) else keys.select(key)
+    asked = frame.distinct().withColumn("bucket", bucket_of(F.col(key), buckets))
+    return bucketed.join(asked, ["bucket", key], "left_semi").drop("bucket")
+
+
 def latest_state(log: DataFrame, key: str, sequence: str) -> DataFrame:
     """The last row written for each key: an aggregate, so copies of a hot key shrink before the shuffle."""
     others = [c for c in log.columns if c != key]
@@ -23,12 +50,18 @@ def latest_state(log: DataFrame, key: str, sequence: str) -> DataFrame:
 
 
 def insert_if_absent(new: DataFrame, registry: DataFrame, key: str, order: Column) -> tuple[DataFrame, DataFrame]:
-    """(inserted, refused): within the batch the first row of a key wins, and only if the registry lacks the key."""
-    place = new.withColumn("__place", F.row_number().over(W.partitionBy(key).orderBy(order)))
+    """(inserted, refused): within the batch the first row of a key wins, and only if the registry lacks the key.
+
+    The first is an aggregate that combines before the shuffle, so a key that comes a million times is no task of its
+    own. Rows of a key with equal orders are told apart by their number.
+    """
+    turn = F.struct(order.alias("turn"), F.col("__row").alias("row"))
+    rows = new.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    first = rows.groupBy(key).agg(F.min(turn).alias("__least"))
     known = registry.select(F.col(key), F.lit(True).alias("__known")).distinct()
-    marked = place.join(known, key, "left").withColumn("__in", F.col("__known").isNull() & (F.col("__place") == 1))
-    drop = ("__place", "__known", "__in")
-    return marked.where("__in").drop(*drop), marked.where("not __in").drop(*drop)
+    least = first.join(known, key, "left").where("__known is null").select(F.col("__least.row").alias("__row"), F.lit(True).alias("__in"))
+    marked = rows.join(least, "__row", "left")
+    return marked.where("__in").drop("__row", "__in"), marked.where("__in is null").drop("__row", "__in")
 
 
 def upsert(registry: DataFrame, changes: DataFrame, key: str, sequence: str) -> DataFrame:

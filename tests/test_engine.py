@@ -215,7 +215,9 @@ def test_a_file_in_progress_is_waited_for(spark, tmp_path):
 
 def test_chunks_lie_below_canonical(spark, world):
     rows = spark.read.parquet(f"{world.root}/canonical")
-    assert sorted(r["contentKey"] for r in rows.collect()) == sorted(r["contentKey"] for r in world.state("chunks").collect()) != []
+    assert sorted(r["contentKey"] for r in rows.collect()) == sorted(r["contentKey"] for r in world.chunks().collect()) != []
+    documents = [r["documentId"] for r in rows.select("documentId").distinct().limit(2).collect()]
+    assert {r["documentId"] for r in world.chunks(documents).collect()} == set(documents)
 
 
 def test_lost_chunk_objects_are_written_again(spark, tmp_path, monkeypatch):
@@ -244,8 +246,53 @@ def test_snapshots_read_like_the_whole_log(spark, tmp_path):
     engine.append("submissions", row(2, "READY"), engine.next_seq())
     engine.compact("submissions")
     engine.append("submissions", row(0, "FAILED"), engine.next_seq())
-    assert {r["submissionId"]: r["status"] for r in engine.state("submissions").collect()} == {"s0": "FAILED", "s1": "COMPLETE", "s2": "READY"}
-    assert engine.log("submissions").count() == 4
+    for reader in (engine, Engine(spark, str(tmp_path))):
+        assert {r["submissionId"]: r["status"] for r in reader.state("submissions").collect()} == {"s0": "FAILED", "s1": "COMPLETE", "s2": "READY"}
+        assert {r["submissionId"]: r["status"] for r in reader.state("submissions", ["s0", "s2", "s9"]).collect()} == {"s0": "FAILED", "s2": "READY"}
+        assert reader.log("submissions").count() == 4
+    assert engine.tidy(files=1) == ["submissions"] and engine.log("submissions").count() == 3
+
+
+def files_read(frame) -> int:
+    """Files that a frame's scans have read."""
+    frame.collect()
+    total, plans = 0, [frame._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind == "FileSourceScanExec":
+            total += plan.metrics().apply("numFiles").value()
+        else:
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return total
+
+
+def test_lookups_read_as_many_files_however_long_the_history(spark, tmp_path, monkeypatch):
+    from tessera.sources import registry
+
+    monkeypatch.setattr(registry, "BUCKET_ROWS", 50)
+    read = []
+    for n in (200, 2000):
+        engine = Engine(spark, f"{tmp_path}/{n}", clock=Clock())
+        rows = spark.range(n).select(F.concat(F.lit("s"), F.col("id") % (n // 2)).alias("submissionId"), F.lit("RECEIVING").alias("status"))
+        engine.append("submissions", rows, engine.next_seq())
+        vectors = spark.range(n).select(F.concat(F.lit("d"), "id").alias("documentId"), F.lit("k").alias("contentKey"))
+        engine.append("vectors", vectors, engine.next_seq())
+        for name in ("submissions", "vectors"):
+            engine.compact(name)
+        one = engine.state("submissions", ["s7"])
+        assert one.count() == 1 and engine.state("submissions").count() == n // 2
+        many = engine.state("submissions", spark.createDataFrame([("s7",), ("s8",)], "submissionId string"))
+        assert many.count() == 2
+        scope = engine.log("vectors", ["d1", "d2"])
+        assert scope.count() == 2
+        read.append((files_read(one), files_read(scope), files_read(engine.state("submissions"))))
+    (few, scoped, every), (few_later, scoped_later, every_later) = read
+    assert few_later <= few <= 2 and scoped_later <= max(scoped, 2) and every_later > 4 * every
 
 
 def test_missing_events_are_replayed_before_the_deadline(spark, tmp_path):
