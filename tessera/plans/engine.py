@@ -79,6 +79,9 @@ def logged(step: Callable) -> Callable:
                 error.add_note(f"its log lines are lost: {second}"[:500])
             raise
         self.write_log()
+        for path in self.holding:
+            objects.remove(self.spark, path)
+        self.holding = []
         return out
 
     return run
@@ -90,7 +93,7 @@ class Engine:
     ):
         checkpoint_folder(workers_find_library(spark))
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
-        self.last_seq, self.said, self.noted, self.counted, self.snapshots = 0, [], [], [], None
+        self.last_seq, self.said, self.noted, self.counted, self.snapshots, self.holding = 0, [], [], [], None, []
 
     def together(self, *steps: Callable[[], object]) -> None:
         """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
@@ -99,6 +102,13 @@ class Engine:
         for step in done:
             step.result()
 
+    def held(self, frame: DataFrame) -> DataFrame:
+        """A frame as files in the shared folder, until the step ends. It is computed once, where checkpoint() does it twice."""
+        path = f"{self.spark.sparkContext.getCheckpointDir()}/held-{uuid.uuid4().hex}"
+        self.holding.append(path)
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
     # logs
 
     def path(self, name: str) -> str:
@@ -205,28 +215,25 @@ class Engine:
     @logged
     def receive(self, events: DataFrame) -> DataFrame:
         """Records receipts of new files; returns how many records had which action."""
-        rows = receipts.classified(receipts.unnested(events)).checkpoint()
+        rows = self.held(receipts.classified(receipts.unnested(events)))
         good = rows.where("action = 'recorded'").select("submissionId", "fileId", "key", self.now().alias("receivedAt"), F.col("sequencer"))
         before = self.log("receipts", good)
         new, _ = registry.insert_if_absent(good.withColumn("pair", F.struct("submissionId", "fileId")), before.select(F.struct("submissionId", "fileId").alias("pair")), "pair", F.col("sequencer"))
-        new = new.checkpoint()
+        new = self.held(new)
         seq = self.next_seq()
-        touched = before.join(new.select("submissionId").distinct(), "submissionId", "left_semi").unionByName(new.select(*RECEIPT.names, F.lit(seq).alias("seq"))).checkpoint()
-        self.append("receipts", new, seq)
+        touched = before.join(new.select("submissionId").distinct(), "submissionId", "left_semi").unionByName(new.select(*RECEIPT.names, F.lit(seq).alias("seq")))
         rolled = receipts.submissions(touched, ("seq", "key")).join(self.state("submissions", new).select("submissionId", F.struct("*").alias("old")), "submissionId", "left")
-        self.append(
-            "submissions",
-            rolled.select(
-                "submissionId", F.coalesce("old.externalRequestId", F.lit("")).alias("externalRequestId"), F.coalesce("old.status", F.lit("RECEIVING")).alias("status"),
-                "receivedFileCount", F.lit(False).alias("manifestReceived"), F.concat(F.lit("ingestion/"), "submissionId", F.lit("/")).alias("ingestionPrefix"), "fileIds", "old.documentIds",
-                "old.readyAt", "old.callbackStatus", F.coalesce("old.createdAt", self.now()).alias("createdAt"), self.now().alias("updatedAt"),
-            ),
-            seq,
+        submissions = rolled.select(
+            "submissionId", F.coalesce("old.externalRequestId", F.lit("")).alias("externalRequestId"), F.coalesce("old.status", F.lit("RECEIVING")).alias("status"),
+            "receivedFileCount", F.lit(False).alias("manifestReceived"), F.concat(F.lit("ingestion/"), "submissionId", F.lit("/")).alias("ingestionPrefix"), "fileIds", "old.documentIds",
+            "old.readyAt", "old.callbackStatus", F.coalesce("old.createdAt", self.now()).alias("createdAt"), self.now().alias("updatedAt"),
         )
+        self.together(lambda: self.append("receipts", new, seq), lambda: self.append("submissions", submissions, seq))
         known = new.select("key", F.lit(True).alias("new")).dropDuplicates(["key"])
         said = F.when(F.col("action") == "ignored", "ignore_non_ingestion_key").when(F.col("action") == "malformed", "malformed_ingestion_key").when(F.col("new"), "recorded_submission_file").otherwise("ignored_duplicate_submission_file")
         self.audit(rows.join(known, "key", "left"), said, "key", "submissionId", "fileId", "sequencer")
-        return rows.groupBy("action").agg(F.count("*").alias("n"))
+        counts = [tuple(r) for r in rows.groupBy("action").agg(F.count("*").alias("n")).collect()]
+        return self.spark.createDataFrame(counts, "action string, n long")
 
     def complete(self, submission: str, expected: list[str], fail: bool = False) -> dict:
         """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents.
@@ -257,19 +264,19 @@ class Engine:
         turn = F.col("turn") if "turn" in requests.columns else F.lit(0)
         asked = requests.select("submissionId", "expectedFileIds", turn.cast("long").alias("turn"))
         subs = self.state("submissions", asked)
-        verdict = validate.validated(asked, subs).checkpoint()
+        verdict = self.held(validate.validated(asked, subs))
         self.audit(verdict.withColumn("missingFileIds", F.array_join("missingFileIds", ",")), "submission_validation_completed", "submissionId", "reason", "missingFileIds")
         wanted = verdict.where("isValid").select("submissionId", "turn", F.posexplode(F.array_distinct("expectedFileIds")).alias("place", "fileId"))
         if raw is None:
             ids = [r["submissionId"] for r in verdict.where("isValid").select("submissionId").limit(LISTED + 1).collect()]
             if not ids:
                 self.count("ExecutionsFailed", verdict.agg(F.count("*")), StateMachine="submission-orchestration")
-                return verdict.select(*VERDICT.names)
+                return verdict.select(*VERDICT.names).checkpoint()
             raw = objects.raw_files(self.spark, self.root, *(ids if len(ids) <= LISTED else ()))
         claim_seq, seq = self.next_seq(), self.next_seq()
-        hashed = dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"]).checkpoint()
+        hashed = self.held(dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"]))
         known = self.state("raw_files", hashed)
-        claims = dedupe.claims(hashed, known, ORDER).checkpoint()
+        claims = self.held(dedupe.claims(hashed, known, ORDER))
         owner, now = F.col("ownershipClaimed"), self.now()
         owned = claims.where(owner).select("key", "submissionId", "fileId", "turn", "place", "rawFileHash")
         n = claims.agg(F.count_if(owner).alias("owned"), F.count_if(~owner).alias("others")).first()
@@ -290,15 +297,15 @@ class Engine:
             claimed()
             return self.attach(verdict, claims, self.spark.createDataFrame([], "rawFileHash string, documentId string"), subs, seq)
         held: dict[str, DataFrame] = {}
-        self.together(claimed, lambda: held.update(rendered=rendered.checkpoint()))
+        self.together(claimed, lambda: held.update(rendered=self.held(rendered)))
         rendered = held["rendered"]
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
         old_documents = self.state("documents")  # looked up by three keys
-        made = dedupe.resolved(good, old_documents, ORDER).checkpoint()
+        made = self.held(dedupe.resolved(good, old_documents, ORDER))
         self.audit(rendered, F.when(F.col("error").isNull(), "preprocessing_completed").otherwise("preprocessing_failed"), "submissionId", "fileId", "canonicalHash", "chars", "lines", "segmentIds", "error")
         self.audit(made, F.when(F.col("created"), "canonical_document_created").otherwise("canonical_document_reused"), "documentId", "canonicalHash")
         created = made.where("created").withColumn("canonicalS3Prefix", keys.canonical_prefix(F.col("documentId")))
-        records = chunking.chunk_records(created, self.chunk_chars).checkpoint()
+        records = self.held(chunking.chunk_records(created, self.chunk_chars))
         sizes = records.groupBy("documentId").agg(F.count("*").alias("canonicalChunkCount"))
         fresh = created.join(sizes, "documentId").select("*", F.lit("PENDING_INGESTION").alias("kbIngestionStatus"), now.alias("createdAt"), now.alias("updatedAt"))
         mine = made.where("businessDocumentKey is not null").withColumn("seq", F.lit(seq))
@@ -338,7 +345,7 @@ class Engine:
         own = claims.select("submissionId", "rawFileHash", "rawFileStatus", "action", F.col("documentId").alias("resolvedDocumentId")).join(
             made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left"
         )
-        files = attach.document_of(own).checkpoint()
+        files = attach.document_of(own)
         open_file = F.col("documentId").isNull()
         waits = open_file & (F.col("action") == dedupe.IN_PROGRESS) & (F.col("rawFileStatus") == "PROCESSING")
         per = files.groupBy("submissionId").agg(F.bool_or(open_file).alias("open"), F.bool_or(open_file & ~waits).alias("lost"))

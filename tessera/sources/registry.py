@@ -53,10 +53,11 @@ def insert_if_absent(new: DataFrame, registry: DataFrame, key: str, order: Colum
     """(inserted, refused): within the batch the first row of a key wins, and only if the registry lacks the key.
 
     The first is an aggregate that combines before the shuffle, so a key that comes a million times is no task of its
-    own. Rows of a key with equal orders are told apart by their number.
+    own. Rows of a key with equal orders are told apart by their number, so `new` must be rows at rest: a table or what
+    was written of one.
     """
     turn = F.struct(order.alias("turn"), F.col("__row").alias("row"))
-    rows = new.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    rows = new.withColumn("__row", F.monotonically_increasing_id())
     first = rows.groupBy(key).agg(F.min(turn).alias("__least"))
     known = registry.select(F.col(key), F.lit(True).alias("__known")).distinct()
     least = first.join(known, key, "left").where("__known is null").select(F.col("__least.row").alias("__row"), F.lit(True).alias("__in"))

@@ -395,7 +395,7 @@ def test_jobs_do_not_grow_with_the_batch(spark, tmp_path):
         verdicts = engine.complete_many(requests(spark, *((sid, ["x", "y"], 0) for sid in held)))
         took.append(jobs(spark) - before)
         assert {r["reason"] for r in verdicts.collect()} == {"OK"}
-    assert took[1] <= took[0] + 4  # broadcasts and re-plans differ, not the steps
+    assert took[1] <= 1.25 * took[0]  # broadcasts and re-plans differ, not the steps
 
 
 def test_seen_again_and_waiting_submissions(spark, tmp_path):
