@@ -563,7 +563,7 @@ class Engine:
         """Takes the metrics that came since the last call; new transitions go to their log, each batch once."""
         schema = StructType([*schemas.METRIC.fields, StructField("seq", LongType())])
         points = self.spark.readStream.schema(schema).parquet(self.path("metrics"))
-        streams.drain(alarms.transition_stream(points, late=late), lambda batch, i: batch.write.mode("overwrite").parquet(f"{self.path('alarms')}/batch={i}"), checkpoint)
+        streams.drain(alarms.transition_stream(points, late=late), lambda batch, i: batch.write.mode("overwrite").parquet(f"{self.root}/registry/alarms/batch={i}"), checkpoint)
 
     def alarm_log(self) -> DataFrame:
-        return self.read(self.path("alarms"), alarms.TRANSITION)
+        return self.read(f"{self.root}/registry/alarms", alarms.TRANSITION)
