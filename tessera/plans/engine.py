@@ -1,8 +1,13 @@
 """The ingestion workflow over logs in one folder: receive, complete, coordinate, refresh, query, monitor.
 
 Each registry is an append-only Parquet log with a sequence column; a step reads the latest states, computes its rows
-with the operators and appends them. One writer at a time. Contents never pass a shuffle before they are unique:
-hashes and keys do, and only claimed files are read into the renderer.
+with the operators and appends them. Contents never pass a shuffle before they are unique: hashes and keys do, and
+only claimed files are read into the renderer.
+
+Claims of raw files are safe between writers: a step writes its claims, then tries to make the next of a row of
+numbered commit objects. If another step has made that one, the claims don't count and are computed again with the
+other's in sight, so each content has one owner. The remaining registries take one writer a key (a submission is
+completed by one step at a time, and so are files with equal texts or business keys), and compaction takes one writer in all.
 """
 
 from __future__ import annotations
@@ -52,6 +57,9 @@ TIDY_FILES = 200
 STEP_ROWS = 1 << 20
 #: A raw file that another submission processes is waited for so often and so many seconds each time.
 RAW_WAITS, RAW_WAIT_SECONDS = 3, 2.0
+#: Claims of raw files: what is kept of them, and how often a step tries to commit its own.
+CLAIM = schemas.struct(rawFileHash=schemas.S, ownershipClaimed=schemas.B, claimedAt=schemas.TS, claimSeq=schemas.L)
+CLAIM_TRIES = 20
 #: Submissions that are called back before their outcomes are written.
 CALLBACK_BATCH = 1000
 #: Submissions whose own folders are listed; for more of them the whole prefix is.
@@ -94,6 +102,7 @@ class Engine:
         checkpoint_folder(workers_find_library(spark))
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
         self.last_seq, self.said, self.noted, self.counted, self.snapshots, self.holding = 0, [], [], [], None, []
+        self.committed: dict[str, dict[str, str]] = {}
 
     def together(self, *steps: Callable[[], object]) -> None:
         """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
@@ -136,6 +145,8 @@ class Engine:
         fields, _, column = LOGS[name]
         schema = StructType([*fields.fields, StructField("seq", LongType())])
         rows, last = self.read(self.path(name), schema), self.snapshot(name)
+        if name == "raw_files" and (paths := self.claim_paths()):
+            rows = rows.unionByName(self.claimed(paths), allowMissingColumns=True)
         if of is not None:
             rows = rows.where(F.col(column).isin(of)) if isinstance(of, list) and len(of) <= registry.LISTED_KEYS else registry.of_keys(rows.withColumn("bucket", registry.bucket_of(F.col(column), 1)), column, of, 1)
         if not last["path"]:
@@ -143,6 +154,40 @@ class Engine:
         held = self.spark.read.schema(StructType([*schema.fields, StructField("bucket", schemas.T.IntegerType())])).parquet(last["path"])
         return (held.drop("bucket") if of is None else registry.of_keys(held, column, of, last["buckets"])).unionByName(rows)
 
+    # claims of raw files
+
+    def claim_folder(self) -> str:
+        """Claims since the last snapshot of the raw files, which holds earlier ones."""
+        return f"{self.root}/registry/raw_file_claims/generation-{self.snapshot('raw_files')['generation']}"
+
+    def claim_paths(self) -> list[str]:
+        """Folders of the claims that count, by commit."""
+        folder = self.claim_folder()
+        found = self.committed[folder] = objects.texts(self.spark, f"{folder}/commits", ".commit", self.committed.get(folder, {}))
+        return [f"{folder}/{found[name]}" for name in sorted(found)]
+
+    def claimed(self, paths: list[str]) -> DataFrame:
+        rows = self.spark.read.schema(CLAIM).parquet(*paths).where("ownershipClaimed")
+        return rows.select("rawFileHash", F.lit("PROCESSING").alias("status"), *(F.col("claimedAt").alias(c) for c in ("firstSeenAt", "lastSeenAt", "updatedAt")), F.col("claimSeq").alias("seq"))
+
+    def claim(self, hashed: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
+        """(claims, raw files known before, owned, others): of contents that several steps claim at once, one gets each."""
+        for _ in range(CLAIM_TRIES):
+            folder, turn = self.claim_folder(), len(self.claim_paths())
+            known = registry.latest_state(self.log("raw_files", hashed), "rawFileHash", "seq")
+            token = uuid.uuid4().hex
+            frame = dedupe.claims(hashed, known, ORDER).withColumns({"claimedAt": self.now(), "claimSeq": F.lit(self.next_seq())})
+            frame.write.parquet(f"{folder}/{token}")
+            claims = self.spark.read.schema(frame.schema).parquet(f"{folder}/{token}")
+            n = claims.agg(F.count_if("ownershipClaimed").alias("owned"), F.count_if(~F.col("ownershipClaimed")).alias("others")).first()
+            if not n["owned"] or objects.create_once(self.spark, f"{folder}/commits/{turn:09d}.commit", token):
+                if not n["owned"]:
+                    self.holding.append(f"{folder}/{token}")
+                return claims.drop("claimedAt", "claimSeq"), known, n["owned"], n["others"]
+            self.note("raw_file_claims_conflict", commit=turn)
+            objects.remove(self.spark, f"{folder}/{token}")
+        raise RuntimeError(f"other steps committed their claims before this one {CLAIM_TRIES} times")
+
     def compact(self, name: str) -> None:
         """Writes the latest states (or all rows) as a bucketed snapshot, and then a row that makes readers use it.
 
@@ -159,7 +204,8 @@ class Engine:
 
     def tidy(self, files: int = TIDY_FILES) -> list[str]:
         """Compacts the logs that have many files since their last snapshot; returns their names."""
-        due = [name for name in LOGS if LOGS[name][2] and objects.files_in(self.spark, self.path(name)) >= files]
+        count = lambda name: objects.files_in(self.spark, self.path(name)) + (len(self.claim_paths()) if name == "raw_files" else 0)
+        due = [name for name in LOGS if LOGS[name][2] and count(name) >= files]
         for name in due:
             self.compact(name)
         return due
@@ -273,31 +319,28 @@ class Engine:
                 self.count("ExecutionsFailed", verdict.agg(F.count("*")), StateMachine="submission-orchestration")
                 return verdict.select(*VERDICT.names).checkpoint()
             raw = objects.raw_files(self.spark, self.root, *(ids if len(ids) <= LISTED else ()))
-        claim_seq, seq = self.next_seq(), self.next_seq()
         hashed = self.held(dedupe.hashed(raw, "content").select("submissionId", "fileId", "key", "rawFileHash").join(wanted, ["submissionId", "fileId"]))
-        known = self.state("raw_files", hashed)
-        claims = self.held(dedupe.claims(hashed, known, ORDER))
+        claims, known, n_owned, n_others = self.claim(hashed)
+        seq = self.next_seq()
         owner, now = F.col("ownershipClaimed"), self.now()
         owned = claims.where(owner).select("key", "submissionId", "fileId", "turn", "place", "rawFileHash")
-        n = claims.agg(F.count_if(owner).alias("owned"), F.count_if(~owner).alias("others")).first()
         self.audit(claims, F.col("action"), "submissionId", "fileId", "rawFileHash", "documentId")
-        contents = raw.select("key", "content").join(F.broadcast(owned) if n["owned"] <= BROADCAST_KEYS else owned, "key")
+        contents = raw.select("key", "content").join(F.broadcast(owned) if n_owned <= BROADCAST_KEYS else owned, "key")
         rendered = contents.select(*(c for c in owned.columns if c != "key"), "key", markdown.normalize_document("content").alias("r")).select(*owned.columns, "r.*")
         if fail:
             rendered = rendered.withColumn("error", F.lit("RuntimeError: forced failure"))
 
-        def claimed() -> None:
-            first = owned.select("rawFileHash", F.lit("PROCESSING").alias("status"), *(now.alias(c) for c in ("firstSeenAt", "lastSeenAt", "updatedAt")))
-            if n["others"]:  # contents that were known before are seen again
-                again = claims.where(~owner).select("rawFileHash").distinct()
-                first = first.unionByName(known.join(again, "rawFileHash").withColumns({"lastSeenAt": now, "updatedAt": now}), allowMissingColumns=True)
-            self.append("raw_files", first, claim_seq)
+        def seen_again() -> None:
+            """Directly behind the rows that were read, so that an outcome which its owner writes meanwhile stays the last word."""
+            again = claims.where(~owner).select("rawFileHash").distinct()
+            self.append("raw_files", known.join(again, "rawFileHash").withColumns({"lastSeenAt": now, "updatedAt": now}), F.col("seq") + 1)
 
-        if not n["owned"]:
-            claimed()
+        again = [seen_again] if n_others else []
+        if not n_owned:
+            self.together(*again)
             return self.attach(verdict, claims, self.spark.createDataFrame([], "rawFileHash string, documentId string"), subs, seq)
         held: dict[str, DataFrame] = {}
-        self.together(claimed, lambda: held.update(rendered=self.held(rendered)))
+        self.together(*again, lambda: held.update(rendered=self.held(rendered)))
         rendered = held["rendered"]
         good, bad = rendered.where("error is null"), rendered.where("error is not null")
         old_documents = self.state("documents")  # looked up by three keys

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,60 @@ def put(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def create_once(spark: SparkSession, path: str, content: str) -> bool:
+    """Writes an object with all its content unless it is there; False if it is. Of several that try, one succeeds.
+
+    The object is written beside its place and put there by a step that refuses to replace: a hard link in a local
+    file system, else a rename without overwriting, which HDFS does atomically. A store in which a rename copies
+    (plain object stores) does not give that, and wants one writer.
+    """
+    beside = f"{path}.{uuid.uuid4().hex}.tmp"
+    put(spark, beside, content.encode())
+    jvm = spark.sparkContext._jvm
+    where, held = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        if where.getFileSystem(conf).getUri().getScheme() == "file":
+            os.link(held.toUri().getPath(), where.toUri().getPath())
+        else:
+            rename_new(spark, beside, path)
+    except FileExistsError:
+        return False
+    finally:
+        remove(spark, beside)
+    return True
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Renames an object; FileExistsError if there is one at its new place."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(hadoop.Path(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    plain[0] = hadoop.Options.Rename.NONE
+    try:
+        context.rename(hadoop.Path(source), hadoop.Path(target), plain)
+    except Exception as error:
+        if "FileAlreadyExistsException" in str(error):
+            raise FileExistsError(target) from error
+        raise
+
+
+def texts(spark: SparkSession, path: str, suffix: str, known: dict[str, str]) -> dict[str, str]:
+    """Contents of the small objects of a folder by name, of names with the suffix; those that are known are not read again."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = dict(known)
+    for f in system.listStatus(where) if system.exists(where) else ():
+        name = f.getPath().getName()
+        if name.endswith(suffix) and name not in found:
+            stream = system.open(f.getPath())
+            try:
+                found[name] = bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+    return found
+
+
 def text_of(content: Column) -> Column:
     """Strict UTF-8."""
     return F.decode(content, "UTF-8")

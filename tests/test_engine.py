@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import receipts
+from tessera.plans import engine as engine_module
 from tessera.plans.engine import Engine
 from tessera.schemas import UPLOAD_EVENT
 from tessera.sources import manifests, objects, reports
@@ -507,3 +508,72 @@ def test_alarms_of_the_engine(spark, tmp_path):
     kinds = {(r["alarm"], r["toState"]) for r in engine.alarm_log().collect()}
     assert {(a, t) for a in ("submission-orchestration-failed", "kb-coordinator-errors") for t in ("ALARM", "OK")} <= kinds
     assert ("submissions-stuck-non-terminal", "ALARM") in kinds and ("documents-stuck-ingesting", "ALARM") not in kinds
+
+
+def test_one_of_many_creates_an_object(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: objects.create_once(spark, f"{tmp_path}/c/0.commit", f"writer {i}"), range(16)))
+    assert won.count(True) == 1 and objects.texts(spark, f"{tmp_path}/c", ".commit", {}) == {"0.commit": f"writer {won.index(True)}"}
+    assert [p.name for p in (tmp_path / "c").glob("*") if not p.name.startswith(".")] == ["0.commit"]
+    assert objects.texts(spark, f"{tmp_path}/c", ".commit", {"0.commit": "known"}) == {"0.commit": "known"} and objects.texts(spark, f"{tmp_path}/none", "", {}) == {}
+    objects.put(spark, f"{tmp_path}/d/a", b"1")
+    objects.rename_new(spark, f"{tmp_path}/d/a", f"{tmp_path}/d/b")
+    objects.put(spark, f"{tmp_path}/d/a", b"2")
+    with pytest.raises(FileExistsError):
+        objects.rename_new(spark, f"{tmp_path}/d/a", f"{tmp_path}/d/b")
+    assert (tmp_path / "d/b").read_bytes() == b"1"
+
+
+def test_two_engines_claim_equal_bytes(spark, tmp_path, monkeypatch):
+    """Both have computed their claims before either commits: one owns the content, the other waits and reuses its document."""
+    import threading
+    from concurrent.futures import ThreadPoolExecutor
+
+    first_done, both = threading.Event(), threading.Barrier(2)
+    tries, create = threading.local(), objects.create_once
+
+    def together(*args):
+        if not getattr(tries, "made", False):
+            tries.made = True
+            both.wait(120)
+        return create(*args)
+
+    monkeypatch.setattr(objects, "create_once", together)
+    engines = [Engine(spark, str(tmp_path), clock=Clock(), wait=lambda _: first_done.wait(120)) for _ in range(2)]
+    for sid in "XY":
+        upload(spark, engines[0], tmp_path, sid, [("a", report(1, "soap"))])
+
+    def run(engine, sid):
+        verdict = engine.complete(sid, ["a"])
+        first_done.set()
+        return verdict
+
+    with ThreadPoolExecutor(2) as pool:
+        verdicts = list(pool.map(run, engines, "XY"))
+    assert [v["reason"] for v in verdicts] == ["OK", "OK"]
+    engine = Engine(spark, str(tmp_path))
+    actions = [r["action"] for r in engine.state("audit_log").collect()]
+    assert (actions.count("raw_file_claimed"), actions.count("raw_file_claims_conflict"), actions.count("canonical_document_created")) == (1, 1, 1) and "raw_file_reused" in actions
+    assert [r["status"] for r in engine.state("raw_files").collect()] == ["RESOLVED"] and len(engine.claim_paths()) == 1
+    ids = documents_of(engine)
+    assert ids["X"] == ids["Y"] and len(ids["X"]) == 1
+    engine.compact("raw_files")
+    assert engine.claim_paths() == [] and [r["status"] for r in engine.state("raw_files").collect()] == ["RESOLVED"]
+
+
+def test_claims_without_a_commit_do_not_count(spark, tmp_path, monkeypatch):
+    """A step that dies before its commit leaves nothing behind that others see; one that sees no commit left gives up."""
+    engine = Engine(spark, str(tmp_path), clock=Clock())
+    upload(spark, engine, tmp_path, "X", [("a", report(1, "soap"))])
+    with monkeypatch.context() as m:
+        m.setattr(objects, "create_once", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            engine.complete("X", ["a"])
+        m.setattr(objects, "create_once", lambda *_: False)
+        m.setattr(engine_module, "CLAIM_TRIES", 2)
+        with pytest.raises(RuntimeError, match="2 times"):
+            engine.complete("X", ["a"])
+    assert engine.state("raw_files").count() == 0
+    assert engine.complete("X", ["a"])["reason"] == "OK"
