@@ -424,15 +424,28 @@ f as (select k, len(turns) as n, list_reduce(turns, lambda s, x: case when s.d =
 """
 
 
-@query(NULL_ORDERS + "select k as business_key, won.d as active_document, cast(n as bigint) as candidates from f")
-def election_without_orders(spark, sf_dir):
-    """Elections in which some candidates have a date only, and some no order at all: every turn against the one before."""
+def orders_with_nulls(spark, sf_dir) -> DataFrame:
     i = F.col("doc_id")
-    rows = read(spark, sf_dir, "documents").where("source is not null").select(
+    return read(spark, sf_dir, "documents").where("source is not null").select(
         F.concat("source", F.lit("-"), F.floor(i / 997) % 5).alias("businessDocumentKey"), F.concat(F.lit("d"), i % 17).alias("documentId"),
         F.when(i % 3 != 1, F.concat(F.lit("v"), i * 7 % 13)).alias("sourceVersion"), F.when(i % 6 == 1, F.concat(F.lit("2026-"), i % 9)).alias("sourceUpdatedAt"), i.alias("seq"),
     )
-    found = versions.elected(rows, "seq")
+
+
+ELECTION_SQL = "select k as business_key, won.d as active_document, cast(n as bigint) as candidates from f"
+
+
+@query(NULL_ORDERS + ELECTION_SQL)
+def election_without_orders(spark, sf_dir):
+    """Elections in which some candidates have a date only, and some no order at all: every turn against the one before."""
+    found = versions.elected(orders_with_nulls(spark, sf_dir), "seq")
+    return found.select(F.col("businessDocumentKey").alias("business_key"), F.col("activeDocumentId").alias("active_document"), "candidates")
+
+
+@query(NULL_ORDERS + ELECTION_SQL)
+def election_in_stretches(spark, sf_dir):
+    """The same, with each key's candidates spread over tasks, as those of a hot key are."""
+    found = versions.elected(orders_with_nulls(spark, sf_dir), "seq", fold_rows=40, stretch_rows=1000)
     return found.select(F.col("businessDocumentKey").alias("business_key"), F.col("activeDocumentId").alias("active_document"), "candidates")
 
 

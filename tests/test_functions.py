@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -88,7 +90,6 @@ def reference_chunks(t: str, most: int) -> list[str]:
 
 
 def test_chunks_agree_with_plain_steps(spark):
-    import random
 
     rnd = random.Random(5)
     texts = ["", "   ", "a", "x" * 25, "ab cd\n" * 9, "a\n\nb", "long line " * 6 + "\nshort\n\ntail"]
@@ -119,6 +120,54 @@ def test_election(spark, turns, winner):
     assert versions.elected(rows, "seq").first()["activeDocumentId"] == winner
 
 
+def active_in_turn(turns):
+    now = None
+    for document, rank in turns:
+        if now is None or now[0] == document or now[1] is None or rank is None or rank >= now[1]:
+            now = document, rank
+    return now[0]
+
+
+def test_elections_in_stretches(spark):
+    """Lists and stretches of every size against a plain loop: repeated documents with lesser orders, ties, dates, null orders."""
+    rnd = random.Random(11)
+    rows, want = [], {}
+    for k in range(60):
+        nulls, documents, ranks = rnd.choice([0, 0, 0.05, 0.3]), rnd.choice([2, 4, 40]), rnd.choice([3, 30])
+        turns = []
+        for i in range(rnd.choice([1, 2, 7, 30, 90])):
+            at = None if rnd.random() < nulls else rnd.randrange(ranks) - (i if k % 3 == 0 else 0)  # a third of the keys falls
+            version, date = (None, None) if at is None else (f"v{at + 500}", "x") if rnd.random() < 0.9 else (None, f"{at + 500}")
+            turns.append((f"d{rnd.randrange(documents)}", version, date))
+        rows += [(f"k{k}", d, v, u, i * i) for i, (d, v, u) in enumerate(turns)]
+        want[f"k{k}"] = active_in_turn([(d, ("version", v) if v else ("updated_at", u) if u else None) for d, v, u in turns]), len(turns)
+    rnd.shuffle(rows)
+    frame = spark.createDataFrame([*rows, (None, "d", "v1", None, 1)], "businessDocumentKey string, documentId string, sourceVersion string, sourceUpdatedAt string, seq long")
+    for fold_rows, stretch_rows in ((1000, 1000), (20, 50), (0, 100), (0, 400)):
+        found = versions.elected(frame, "seq", fold_rows, stretch_rows)
+        assert {r["businessDocumentKey"]: (r["activeDocumentId"], r["candidates"]) for r in found.collect()} == want
+    assert versions.elected(frame.limit(0), "seq").collect() == []
+
+
+def test_outcomes_of_stretches_of_all_lengths():
+    """Every way to cut a key's turns, without a session."""
+    rnd = random.Random(5)
+    for _ in range(400):
+        turns = [(rnd.choice("abcd"), None if rnd.random() < 0.08 else ("version", rnd.choice("123456"))) for _ in range(rnd.randint(1, 14))]
+        cuts = sorted({0, len(turns), *(rnd.randint(0, len(turns)) for _ in range(rnd.randint(0, 5)))})
+        told = pd.concat([versions.outcomes("k", i, turns[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))])
+        row = versions.through_stretches(told).iloc[0]
+        assert (row["activeDocumentId"], row["candidates"]) == (active_in_turn(turns), len(turns)), (turns, cuts)
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    rows = spark.range(4000).select(F.lit("k").alias("businessDocumentKey"), F.concat(F.lit("d"), F.col("id") % 7).alias("documentId"), F.struct(F.lit("version").alias("kind"), F.lpad((9000 - F.col("id")).cast("string"), 5, "0").alias("value")).alias("rank"), F.struct("id").alias("seq"))
+    order = ["businessDocumentKey", "seq"]
+    sizes = [r["n"] for r in rows.repartitionByRange(8, *order).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 500
+    assert tuple(versions.in_stretches(rows, 8).first()) == ("k", "d0", 4000)  # orders fall, so the first document stays, by itself
+
+
 def test_job_status_table(spark):
     rows = [("STARTING", 0, []), ("COMPLETE", 0, []), ("COMPLETE", 1, []), ("COMPLETE", None, ["x"]), ("FAILED", 0, []), ("odd", 0, None), (None, 0, [])]
     found = spark.createDataFrame(rows, "s string, n long, r array<string>").select(indexing.run_status(F.col("s"), indexing.has_failures(F.col("n"), F.col("r"))).alias("x"))
