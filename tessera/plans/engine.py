@@ -338,7 +338,7 @@ class Engine:
         again = [seen_again] if n_others else []
         if not n_owned:
             self.together(*again)
-            return self.attach(verdict, claims, self.spark.createDataFrame([], "rawFileHash string, documentId string"), subs, seq)
+            return self.attach(verdict, wanted, claims, self.spark.createDataFrame([], "rawFileHash string, documentId string"), subs, seq)
         held: dict[str, DataFrame] = {}
         self.together(*again, lambda: held.update(rendered=self.held(rendered)))
         rendered = held["rendered"]
@@ -379,18 +379,19 @@ class Engine:
         self.together(
             lambda: self.append("raw_files", outcome, seq),
             lambda: bad.isEmpty() or self.enqueue(review),
-            lambda: held.update(verdict=self.attach(verdict, claims, made.select("rawFileHash", "documentId"), subs, seq)),
+            lambda: held.update(verdict=self.attach(verdict, wanted, claims, made.select("rawFileHash", "documentId"), subs, seq)),
         )
         return held["verdict"]
 
-    def attach(self, verdict: DataFrame, claims: DataFrame, made: DataFrame, subs: DataFrame, seq: int) -> DataFrame:
-        """Submissions with all their documents become COMPLETE; the others' reasons are told."""
-        own = claims.select("submissionId", "rawFileHash", "rawFileStatus", "action", F.col("documentId").alias("resolvedDocumentId")).join(
+    def attach(self, verdict: DataFrame, wanted: DataFrame, claims: DataFrame, made: DataFrame, subs: DataFrame, seq: int) -> DataFrame:
+        """Submissions with all their documents become COMPLETE; the others' reasons are told. A wanted file whose object is
+        gone (it has expired, or its receipt was wrong) has no claim, and leaves its submission unresolved."""
+        own = claims.select("submissionId", "fileId", "rawFileHash", "rawFileStatus", "action", F.col("documentId").alias("resolvedDocumentId")).join(
             made.select("rawFileHash", F.col("documentId").alias("canonicalDocumentId")), "rawFileHash", "left"
         )
-        files = attach.document_of(own)
+        files = wanted.select("submissionId", "fileId").join(attach.document_of(own), ["submissionId", "fileId"], "left")
         open_file = F.col("documentId").isNull()
-        waits = open_file & (F.col("action") == dedupe.IN_PROGRESS) & (F.col("rawFileStatus") == "PROCESSING")
+        waits = open_file & F.col("action").eqNullSafe(dedupe.IN_PROGRESS) & F.col("rawFileStatus").eqNullSafe("PROCESSING")
         per = files.groupBy("submissionId").agg(F.bool_or(open_file).alias("open"), F.bool_or(open_file & ~waits).alias("lost"))
         said = F.when(F.col("lost"), UNRESOLVED).when(F.col("open"), IN_PROGRESS).otherwise(F.col("reason"))
         out = verdict.join(per, "submissionId", "left").withColumn("reason", said).withColumn("isValid", F.col("isValid") & ~F.coalesce("open", F.lit(False))).checkpoint()
@@ -414,6 +415,22 @@ class Engine:
             found = found.where(F.col("reason") != IN_PROGRESS).unionByName(again).checkpoint()
         return found.withColumn("reason", F.when(F.col("reason") == IN_PROGRESS, UNRESOLVED).otherwise(F.col("reason")))
 
+    @logged
+    def expire(self) -> int:
+        """Deletes raw and processed objects whose retention is over, in the executors; returns how many were due.
+
+        Each has a line in the log, `object_expired`. Documents and their chunks stay. A submission that is completed after
+        one of its files has expired is unresolved, unless it is complete already.
+        """
+        folders = [p for p in objects.RETENTION_DAYS if objects.exists(self.spark, f"{self.root}/{p}")]
+        if not folders:
+            return 0
+        found = reduce(DataFrame.unionByName, (objects.listed(self.spark, self.root, p) for p in folders))
+        due = self.held(found.where(objects.expired(F.col("key"), F.col("modificationTime"), self.now())))
+        self.held(objects.delete_all(due))
+        self.audit(due, "object_expired", "key")
+        return due.count()
+
     # manual review
 
     def enqueue(self, alerts: DataFrame) -> None:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,10 +56,15 @@ def files_in(spark: SparkSession, path: str) -> int:
     return sum(1 for f in system.listStatus(where) if f.getPath().getName().endswith(".parquet")) if system.exists(where) else 0
 
 
+def listed(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """(key, path, modificationTime) of the objects below a prefix; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/{prefix}")
+    return files.select(key_below(root).alias("key"), "path", "modificationTime")
+
+
 def listing(spark: SparkSession, root: str, prefix: str) -> DataFrame:
     """Keys below a prefix; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/{prefix}")
-    return files.select(key_below(root).alias("key")).distinct()
+    return listed(spark, root, prefix).select("key").distinct()
 
 
 def put(spark: SparkSession, path: str, content: bytes) -> None:
@@ -128,12 +136,39 @@ def text_of(content: Column) -> Column:
     return F.decode(content, "UTF-8")
 
 
+def expired(key: Column, modified: Column, now: Column) -> Column:
+    """Whether the retention of an object's prefix is over."""
+    found = F.lit(False)
+    for prefix, days in RETENTION_DAYS.items():
+        found = found | (key.startswith(prefix) & (modified < now - F.make_dt_interval(F.lit(days))))
+    return found
+
+
 def live(objects: DataFrame, key: str, modified: str, now: Column) -> DataFrame:
     """Objects that their prefix's retention still keeps."""
-    expired = F.lit(False)
-    for prefix, days in RETENTION_DAYS.items():
-        expired = expired | (F.col(key).startswith(prefix) & (F.col(modified) < now - F.make_dt_interval(F.lit(days))))
-    return objects.where(~expired)
+    return objects.where(~expired(F.col(key), F.col(modified), now))
+
+
+def delete_all(paths: DataFrame) -> DataFrame:
+    """Deletes objects (column path) in the executors; adds whether this attempt removed them. Again, it does no harm."""
+    return paths.select("path").mapInPandas(delete_files, "path string, removed boolean")
+
+
+def delete_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    systems: dict[str, tuple[fs.FileSystem, str]] = {}
+    for batch in batches:
+        removed = []
+        for path in batch["path"]:
+            scheme, store, name = re.fullmatch(r"(?:(\w+):)?(?://([^/]*))?(/.*)", path, re.S).groups()
+            if (home := f"{'s3' if scheme == 's3a' else scheme}://{store or ''}/") not in systems:
+                systems[home] = (fs.LocalFileSystem(), "") if scheme in (None, "file") else fs.FileSystem.from_uri(home)
+            system, base = systems[home]
+            try:
+                system.delete_file(base.rstrip("/") + name)
+                removed.append(True)
+            except FileNotFoundError:
+                removed.append(False)
+        yield batch.assign(removed=removed)
 
 
 def write_processed(rows: DataFrame, path: str) -> None:

@@ -577,3 +577,31 @@ def test_claims_without_a_commit_do_not_count(spark, tmp_path, monkeypatch):
             engine.complete("X", ["a"])
     assert engine.state("raw_files").count() == 0
     assert engine.complete("X", ["a"])["reason"] == "OK"
+
+
+def test_objects_expire_by_prefix(spark, tmp_path):
+    """Old raw and processed objects go, also with odd names; younger ones and the chunks stay; a lost file leaves its submission open."""
+    import os
+
+    start = datetime.now(timezone.utc).replace(microsecond=0)
+    clock = Clock()
+    clock.at = start
+    engine = Engine(spark, str(tmp_path), clock=clock)
+    assert engine.expire() == 0
+    upload(spark, engine, tmp_path, "X", [("a", report(1, "soap")), ("odd é.json", report(2, "tea"))])
+    upload(spark, engine, tmp_path, "Y", [("b", report(3, "ink"))])
+    assert engine.complete("X", ["a", "odd é.json"])["reason"] == "OK"
+    objects.put(spark, f"{tmp_path}/ingestion/Z/a%20b+c#.json", b"no receipt")
+    chunks = engine.chunks().count()
+    files = lambda prefix: sorted(p.name for p in (tmp_path / prefix).rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
+    assert engine.expire() == 0 and len(files("ingestion")) == 4 and files("processed")
+    for name in ("ingestion/X/odd é.json", "ingestion/Y/b", "ingestion/Z/a%20b+c#.json"):
+        os.utime(tmp_path / name, (start.timestamp() - 15 * 86400,) * 2)
+    clock.at = start + timedelta(days=4)
+    processed = len(files("processed"))
+    assert engine.expire() == 3 + processed and files("ingestion") == ["a"] and files("processed") == []
+    assert engine.expire() == 0 and engine.chunks().count() == chunks > 0
+    gone = {r["fields"]["key"] for r in engine.state("audit_log").where("action = 'object_expired'").collect()}
+    assert {"ingestion/X/odd é.json", "ingestion/Y/b", "ingestion/Z/a%20b+c#.json"} <= gone and len(gone) == 3 + processed
+    assert engine.complete("Y", ["b"])["reason"] == "FILES_UNRESOLVED"
+    assert {r["submissionId"]: r["status"] for r in engine.state("submissions").collect()} == {"X": "COMPLETE", "Y": "RECEIVING"}
