@@ -131,8 +131,12 @@ def embed(text: str, dims: int = DIMENSIONS) -> list[float]:
 
 
 def embedded(chunks: DataFrame, embedder: Callable[[str], list[float]] = embed, content: str = "content") -> DataFrame:
+    """embedder: a function of a text; one that has `many` (a model of `semantic`) takes a batch of texts at once."""
+
     @F.pandas_udf("array<float>")
     def vectors(texts: pd.Series) -> pd.Series:
+        if hasattr(embedder, "many"):
+            return pd.Series(list(embedder.many(texts.tolist())), index=texts.index, dtype=object)
         return texts.map(lambda t: embedder(t or ""))
 
     return chunks.withColumn("embedding", vectors(content))

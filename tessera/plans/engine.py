@@ -26,14 +26,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .. import schemas
 from ..functions import keys, markdown
 from ..functions.text import CHUNK_CHARS
-from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, review, validate, versions
+from ..operators import attach, chunking, dedupe, indexing, monitor, readiness, receipts, retrieval, review, semantic, validate, versions
 from ..session import checkpoint_folder, workers_find_library
 from ..sources import objects, registry
 from ..streaming import alarms
 from ..streaming import receipts as streams
 
 CHUNK = schemas.struct(documentId=schemas.S, chunkIndex=schemas.T.IntegerType(), contentKey=schemas.S, metadataKey=schemas.S, content=schemas.S, metadata=schemas.S)
-VECTOR = StructType([*CHUNK.fields, StructField("embedding", schemas.T.ArrayType(schemas.T.FloatType()))])
+#: model: which embedding model made the vector; null for the hashed words that stand in for one.
+VECTOR = StructType([*CHUNK.fields, StructField("embedding", schemas.T.ArrayType(schemas.T.FloatType())), StructField("model", schemas.T.StringType())])
 CANDIDATE = schemas.struct(
     businessDocumentKey=schemas.S, documentId=schemas.S, sourceVersion=schemas.S, sourceUpdatedAt=schemas.S, turn=schemas.L, submissionId=schemas.S, place=schemas.T.IntegerType()
 )
@@ -50,6 +51,7 @@ LOGS = {
 }
 #: Snapshots of logs: where they are, in how many buckets, and the first generation of appended rows that they don't hold.
 SNAPSHOTS = "snapshots"
+MODELS = schemas.struct(model=schemas.S, learnedAt=schemas.TS, seq=schemas.L)
 SNAPSHOT = schemas.struct(name=schemas.S, path=schemas.S, buckets=schemas.T.IntegerType(), generation=schemas.T.IntegerType())
 #: Files of a log's generation from which on `tidy` makes a snapshot.
 TIDY_FILES = 200
@@ -103,6 +105,7 @@ class Engine:
         self.spark, self.root, self.chunk_chars, self.clock, self.wait = spark, root.rstrip("/"), chunk_chars, clock, wait
         self.last_seq, self.said, self.noted, self.counted, self.snapshots, self.holding = 0, [], [], [], None, []
         self.committed: dict[str, dict[str, str]] = {}
+        self.model: tuple[str | None, Callable[[str], list[float]]] | None = None
 
     def together(self, *steps: Callable[[], object]) -> None:
         """Steps that don't depend on each other, as jobs side by side; the first error is raised when all have ended."""
@@ -195,6 +198,8 @@ class Engine:
         """
         _, key, column = LOGS[name]
         rows = (registry.latest_state(self.log(name), key, "seq") if key else self.log(name)).checkpoint()
+        if name == "vectors":  # those of earlier models go
+            rows = rows.where(F.col("model").eqNullSafe(self.embedding()[0]))
         buckets = max(1, min(registry.MOST_BUCKETS, -(-rows.count() // registry.BUCKET_ROWS)))
         generation = self.snapshot(name)["generation"] + 1
         path = f"{self.root}/registry/{SNAPSHOTS}-{name}-{generation}"
@@ -497,9 +502,39 @@ class Engine:
             raise
         return self.settle(run_id, documents, answer.get("ingestionJobId"), started, answer, seq + 1)
 
+    def embedding(self) -> tuple[str | None, Callable[[str], list[float]]]:
+        """(name, function) of the model learned last, as this engine knows it; hashed words while there is none."""
+        if self.model is None:
+            last = self.read(f"{self.root}/registry/models", MODELS).agg(F.max_by("model", "seq").alias("model")).first()["model"]
+            self.model = (last, semantic.Model.read(self.read(f"{self.root}/models/{last}", semantic.MODEL)) if last else retrieval.embed)
+        return self.model
+
+    @logged
+    def learn_embedding(self, dims: int = semantic.DIMENSIONS) -> str:
+        """Learns an embedding model from the chunk store and embeds anew what is indexed.
+
+        Vectors carry their model's name. The new ones are appended first and the model is named then, so a stopped run
+        changes nothing, and other engines ask the earlier vectors until they are begun anew.
+        """
+        name, seq = f"semantic-{uuid.uuid4().hex}", self.next_seq()
+        old = self.embedding()[0]
+        model = semantic.learned(self.chunks(), "content", dims)
+        model.table(self.spark).coalesce(1).write.parquet(f"{self.root}/models/{name}")
+        indexed = self.log("vectors").where(F.col("model").eqNullSafe(old)).drop("embedding", "seq")
+        self.append("vectors", retrieval.embedded(indexed, model).withColumn("model", F.lit(name)), seq)
+        registry.append(self.spark.createDataFrame([(name, self.clock(), seq)], MODELS.simpleString()), f"{self.root}/registry/models")
+        self.model = name, model
+        self.note("embedding_model_learned", model=name, dimensions=dims)
+        return name
+
+    def vectors(self, of: list | DataFrame | None = None) -> DataFrame:
+        """Vectors of the current model."""
+        return self.log("vectors", of).where(F.col("model").eqNullSafe(self.embedding()[0]))
+
     def index(self, documents: list[str]) -> dict:
         """The built-in job: embeds and appends the chunks of the documents."""
-        self.append("vectors", retrieval.index_new(self.chunks(documents), self.log("vectors", documents)), self.next_seq())
+        name, embedder = self.embedding()
+        self.append("vectors", retrieval.index_new(self.chunks(documents), self.vectors(documents), embedder).withColumn("model", F.lit(name).cast("string")), self.next_seq())
         return {"ingestionJobId": f"job-{uuid.uuid4()}", "status": "COMPLETE"}
 
     def settle(self, run_id: str, documents: list[str], operation: str | None, started, answer: dict, seq: int) -> str:
@@ -588,7 +623,7 @@ class Engine:
                 return status
             self.wait(pause)
 
-    def query(self, submission: str, text: str, results: int | None = None, model: Callable[[str], str] | None = None, embedder: Callable[[str], list[float]] = retrieval.embed) -> dict:
+    def query(self, submission: str, text: str, results: int | None = None, model: Callable[[str], str] | None = None) -> dict:
         """Retrieval strictly within one submission's documents; its status is echoed, READY is not required."""
         row = self.state("submissions", [submission]).first()
         if row is None:
@@ -596,7 +631,7 @@ class Engine:
         out = {"submissionId": submission, "submissionStatus": row["status"], "query": text.strip(), "documentIds": list(row["documentIds"] or []), "retrievalResults": [], "retrievedDocumentIds": []}
         if not out["documentIds"]:
             return out | {"summary": retrieval.NO_DOCUMENTS, "modelInvoked": False, "modelError": None}
-        found = retrieval.nearest(self.log("vectors", out["documentIds"]), embedder(text.strip()), results)
+        found = retrieval.nearest(self.vectors(out["documentIds"]), self.embedding()[1](text.strip()), results)
         rows = [r.asDict() for r in retrieval.projected(found).collect()]
         out |= {"retrievalResults": rows, "retrievedDocumentIds": sorted({r["documentId"] for r in rows if r["documentId"]})}
         return out | retrieval.summarized(submission, text.strip(), rows, model)
