@@ -12,7 +12,9 @@ Items are sent to executors only in slices of at most SLICE_BYTES of text; a lar
 slices, each against all texts. Texts are worked on whole, long ones in parts that overlap by two items' length.
 
 Edge cases: null and empty texts hold nothing; null, empty or folded-to-nothing items match nothing. Items shorter than
-LEAST_BYTES would occur by chance: they match a text that is nothing else, without edits. Items and texts that are repeated each give their own rows,
+LEAST_BYTES are too short for edits: they match where their words stand whole and unchanged in a text. Those of fewer
+than `least` bytes would be everywhere by chance (LEAST_BYTES, where nothing else is said) and match only a text that is
+nothing else; with `least` = 0 there are none. Items and texts that are repeated each give their own rows,
 one for each pair of row ids; the best region (fewest edits, then first) is shown. Null ids are kept.
 """
 
@@ -111,9 +113,10 @@ def plan(length: int) -> tuple[int, int, int] | None:
 class Index:
     """The q-grams of one slice of items, one table for each q."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], least: int = LEAST_BYTES):
         self.items = []
         self.short: dict[bytes, list[int]] = {}
+        self.words: dict[int, dict[bytes, list[int]]] = {}
         by_q: dict[int, list] = {}
         for key, text in items:
             chars = fold_text(text)
@@ -121,7 +124,8 @@ class Index:
                 by_q.setdefault(p[0], []).append((grams(chars, p[0]), len(self.items)))
                 self.items.append((key, chars, *p))
             elif len(chars):
-                self.short.setdefault(chars.tobytes(), []).append(len(self.items))
+                known = self.short if len(chars) < least else self.words.setdefault(len(chars), {})
+                known.setdefault(chars.tobytes(), []).append(len(self.items))
                 self.items.append((key, chars, 0, 0, 1))
         self.edits = np.array([x[3] for x in self.items], np.int64)
         self.least = np.array([x[4] for x in self.items], np.int64)
@@ -189,6 +193,28 @@ class Index:
         if wide:
             yield wide
 
+    def whole_words(self, chars: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(row, item, place) of short items whose words stand whole in a text; each length is one pass over the words' beginnings."""
+        blank = chars == 32
+        begins = ~blank & np.r_[True, blank[:-1]][: len(blank)]
+        begins[bounds[:-1][np.diff(bounds) > 0]] = True
+        begin = np.flatnonzero(begins & ~blank)
+        row = np.searchsorted(bounds, begin, "right") - 1
+        for length, items in self.words.items():
+            end = begin + length
+            fits = np.flatnonzero(end <= bounds[row + 1])
+            fits = fits[(end[fits] == bounds[row[fits] + 1]) | blank[np.minimum(end[fits], len(chars) - 1)]]
+            mark = np.zeros(len(fits), np.uint64)
+            for i in range(length):
+                mark = mark * np.uint64(0x9E3779B97F4A7C15) + chars[begin[fits] + i] + np.uint64(1)
+            own = np.frombuffer(b"".join(items), np.uint8).reshape(-1, length)
+            marks = np.zeros(len(own), np.uint64)
+            for i in range(length):
+                marks = marks * np.uint64(0x9E3779B97F4A7C15) + own[:, i] + np.uint64(1)
+            for k in fits[np.isin(mark, marks)].tolist():
+                for i in items.get(chars[begin[k] : end[k]].tobytes(), ()):
+                    yield int(row[k]), i, int(begin[k])
+
     def verify(self, i: int, chars: np.ndarray, low: int, high: int) -> tuple[int, int, int] | None:
         """Banded alignment of a whole item with any region on diagonals low..high: (edits, start, end), or None."""
         _, item, _, most, _ = self.items[i]
@@ -236,6 +262,10 @@ def search(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[in
                 shift = begin - int(bounds[r])
                 found = found[0], found[1] + shift, found[2] + shift
                 best[r, i] = min(best.get((r, i), found), found)
+    if index.words:
+        for r, i, at in index.whole_words(folded, bounds):
+            at -= int(bounds[r])
+            best.setdefault((r, i), (0, at, at + len(index.items[i][1])))
     if index.short:
         length = np.diff(bounds)
         for r in np.flatnonzero((length > 0) & (length <= index.longest_short + 2)).tolist():
@@ -250,8 +280,10 @@ def slices_of(benchmark: DataFrame, item_column: str, item_text: str) -> Iterato
     spark = ready(benchmark.sparkSession)
     sized = benchmark.select(F.col(item_column).alias("item"), F.col(item_text).alias("words")).where("words is not null and words <> ''")
     slices = max(1, -(-int(sized.agg(F.sum(F.octet_length("words"))).first()[0] or 0) // SLICE_BYTES))
+    if slices > 1:  # rows of a slice lie together, so the benchmark is shuffled once and each slice reads its own
+        sized = sized.withColumn("slice", F.pmod(F.xxhash64("words"), F.lit(slices))).repartitionByRange(slices, "slice").checkpoint()
     for k in range(slices):
-        some = sized.where(F.pmod(F.xxhash64("words"), F.lit(slices)) == k).orderBy("item", "words").collect()
+        some = (sized.where(F.col("slice") == k).drop("slice") if slices > 1 else sized).orderBy("item", "words").collect()
         yield spark.sparkContext.broadcast([(r["item"], r["words"]) for r in some])
 
 
@@ -261,8 +293,10 @@ def found_in(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int, in
     return [(r + i, *x) for i, j in steps(offsets, PART) for r, *x in search(index, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])] if index.items else []
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", least: int = LEAST_BYTES) -> DataFrame:
     """(id, item, edits, start, end): each text that holds an item, with the best region (places in the folded text)."""
+    if id_column == item_column:
+        raise ValueError(f"texts and items have the same id column {id_column}; rename one of them")
     kind, item_kind = docs.schema[id_column].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, `{item_column}` {item_kind}, edits int, start long, end long"
     source = docs.select(F.col(id_column), F.col(text_column).alias("__text"))
@@ -271,7 +305,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     for shared in slices_of(benchmark, item_column, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+            index = Index(shared.value, least)
             for batch in batches:
                 which, item, *rest = list(zip(*found_in(index, batch.column(1)), strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -284,14 +318,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     return out
 
 
-def without(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
+def without(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", least: int = LEAST_BYTES) -> DataFrame:
     """The rows of docs whose text holds no item, in the same columns: one pass, judged row by row, whatever their ids."""
     at = docs.columns.index(text_column)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     for shared in slices_of(benchmark, item_column, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value)
+            index = Index(shared.value, least)
             for batch in batches:
                 clean = np.ones(len(batch), bool)
                 clean[[r for r, *_ in found_in(index, batch.column(at))]] = False

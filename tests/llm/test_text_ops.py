@@ -45,6 +45,46 @@ def test_decontamination_against_edit_distances(monkeypatch):
                 assert got.get((r, i)) == (best if best <= item[3] else None)
 
 
+def test_short_items_in_texts_as_whole_words(spark, monkeypatch):
+    """With least = 0 every short item is found wherever its words stand whole, also in parts and long texts; against str.find."""
+    import random
+
+    rnd = random.Random(5)
+    words = ["a", "ab", "yes", "no", "blue", "größe", "7", "of the"]
+    texts = ["", " ", "YES!", "ayes", *(rnd.choice(["", " "]) + " ".join(rnd.choices(words, k=rnd.randrange(1, 40))) + rnd.choice(["", ".", " "]) for _ in range(120))]
+    items = [(i, " ".join(rnd.choices(words, k=rnd.randrange(1, 4)))) for i in range(25)] + [(99, " ?!"), (100, "No."), (101, "no")]
+    items = [(i, t) for i, t in items if len(decontaminate.fold_text(t)) < decontaminate.LEAST_BYTES]
+    want = set()
+    for r, t in enumerate(texts):
+        held = b" " + decontaminate.fold_text(t).tobytes() + b" "
+        want |= {(r, i) for i, x in items if len(f := decontaminate.fold_text(x)) and b" " + f.tobytes() + b" " in held}
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.r_[0, np.cumsum([len(t.encode()) for t in texts])]
+    for least in (0, 3, decontaminate.LEAST_BYTES):
+        index = decontaminate.Index(items, least)
+        folded, bounds = decontaminate.fold(data, offsets)
+        found = decontaminate.search(index, data, offsets)
+        alone = lambda r, i: decontaminate.fold_text(texts[r]).tobytes() == decontaminate.fold_text(dict(items)[i]).tobytes()
+        assert {(r, index.items[i][0]) for r, i, *_ in found} == {(r, i) for r, i in want if len(decontaminate.fold_text(dict(items)[i])) >= least or alone(r, i)}
+        for r, i, edits, start, end in found:
+            assert edits == 0 and folded[bounds[r] + start : bounds[r] + end].tobytes() == index.items[i][1].tobytes()
+    assert len(found) < len(want)
+    docs, bench = corpus.frame(spark, [(1, "say no more"), (2, "know"), (3, None)]), spark.createDataFrame([(5, "no"), (6, None)], "item_id int, text string")
+    assert [(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in decontaminate.matches(docs, bench, least=0).collect()] == [(1, 5, 4, 6)]
+    assert decontaminate.matches(docs, bench).collect() == []
+    assert {r["doc_id"] for r in decontaminate.without(docs, bench, least=0).collect()} == {2, 3}
+    with pytest.raises(ValueError, match="same id column"):
+        decontaminate.matches(docs, bench.withColumnRenamed("item_id", "doc_id"), item_column="doc_id")
+
+
+def test_slices_of_a_large_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 64)
+    items = [(i, f"item number {i} of a long benchmark, with its words") for i in range(9)]
+    docs = corpus.frame(spark, [(i, f"before it {t} and after") for i, t in items])
+    found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found if r["edits"] == 0} == {(i, i) for i in range(9)}
+
+
 def test_decontamination_of_a_table(spark):
     item = "every quiet river bends twice before the old stone bridge and then runs straight to the sea"
     rows = [(1, f"x {item.upper()} y"), (2, item.replace(" ", " | ")), (3, "river"), (4, None), (None, item), (5, ""), (1, f"x {item.upper()} y")]
