@@ -51,6 +51,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return workers_find_library(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as files: one without a text is a file without bytes."""
+    return read(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def now() -> Column:
     return F.lit(NOW).cast("timestamp_ntz")
 
@@ -141,18 +146,18 @@ def submission_not_found(spark, sf_dir):
 
 def hashed_documents(spark, sf_dir) -> DataFrame:
     """doc_id and hash only: contents stay behind."""
-    return dedupe.hashed(read(spark, sf_dir, "documents").where("text is not null"), "text").select("doc_id", "source", "rawFileHash")
+    return dedupe.hashed(files(spark, sf_dir), "text").select("doc_id", "source", "rawFileHash")
 
 
 @query("""
 select doc_id, 'sha256:' || sha256(text) as raw_file_hash, row_number() over (partition by sha256(text) order by doc_id) = 1 as ownership_claimed,
-  case when row_number() over (partition by sha256(text) order by doc_id) = 1 then 'raw_file_claimed' else 'raw_file_reused' end as action from documents where text is not null""")
+  case when row_number() over (partition by sha256(text) order by doc_id) = 1 then 'raw_file_claimed' else 'raw_file_reused' end as action from (select * replace (coalesce(text, '') as text) from documents)""")
 def raw_claims(spark, sf_dir):
     found = dedupe.claims(hashed_documents(spark, sf_dir), empty_raw(spark), ("doc_id",))
     return found.select("doc_id", F.col("rawFileHash").alias("raw_file_hash"), F.col("ownershipClaimed").alias("ownership_claimed"), "action")
 
 
-@query("select 'sha256:' || sha256(text) as raw_file_hash, min(doc_id) as first_seen, max(doc_id) as last_seen, count(*) as deliveries from documents where text is not null group by 1")
+@query("select 'sha256:' || sha256(text) as raw_file_hash, min(doc_id) as first_seen, max(doc_id) as last_seen, count(*) as deliveries from (select * replace (coalesce(text, '') as text) from documents) group by 1")
 def raw_registry(spark, sf_dir):
     found = dedupe.seen(hashed_documents(spark, sf_dir), "doc_id")
     return found.select(F.col("rawFileHash").alias("raw_file_hash"), F.col("firstSeenAt").alias("first_seen"), F.col("lastSeenAt").alias("last_seen"), "deliveries")
@@ -160,7 +165,7 @@ def raw_registry(spark, sf_dir):
 
 def variants(spark, sf_dir) -> DataFrame:
     """Each text as it is and with other newlines: other bytes, the same canonical text."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "source", "text")
+    docs = files(spark, sf_dir).select("doc_id", "source", "text")
     both = docs.select("*", F.lit(0).alias("variant")).unionByName(docs.select("doc_id", "source", F.replace("text", F.lit("\n"), F.lit("\r\n")).alias("text"), F.lit(1).alias("variant")))
     return both.select("doc_id", "source", "variant", keys.content_hash(F.col("text")).alias("rawFileHash"), keys.content_hash(text.normalized(F.col("text"))).alias("canonicalHash"))
 
@@ -169,7 +174,7 @@ def empty_documents(spark) -> DataFrame:
     return spark.createDataFrame([], "documentId string, canonicalHash string")
 
 
-VARIANTS = """with v as (select doc_id, source, 0 as variant, text from documents where text is not null union all select doc_id, source, 1, replace(text, chr(10), chr(13) || chr(10)) from documents where text is not null),
+VARIANTS = """with v as (select doc_id, source, 0 as variant, text from (select * replace (coalesce(text, '') as text) from documents) union all select doc_id, source, 1, replace(text, chr(10), chr(13) || chr(10)) from (select * replace (coalesce(text, '') as text) from documents)),
 h as (select doc_id, source, variant, 'sha256:' || sha256(text) as raw, 'sha256:' || sha256(trim(replace(text, chr(13) || chr(10), chr(10)), chr(10) || ' ' || chr(9))) as canonical from v)
 """
 
@@ -207,13 +212,13 @@ def render_documents(spark, sf_dir):
     return rows.select("event_id", "h").join(made, "h").select("event_id", "r.markdown", F.col("r.canonicalHash").alias("canonical_hash"), F.col("r.topLevelType").alias("top_level_type"), F.col("r.sizeBytes").alias("size_bytes"))
 
 
-@query("select doc_id, cast(strlen(text) as bigint) as size_bytes, cast(length(text) as bigint) as chars, cast(case when text = '' then 0 else length(text) - length(replace(text, chr(10), '')) + 1 end as bigint) as lines from documents where text is not null")
+@query("select doc_id, cast(strlen(text) as bigint) as size_bytes, cast(length(text) as bigint) as chars, cast(case when text = '' then 0 else length(text) - length(replace(text, chr(10), '')) + 1 end as bigint) as lines from (select * replace (coalesce(text, '') as text) from documents)")
 def extracted_metadata(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").where("text is not null")
+    docs = files(spark, sf_dir)
     return docs.select("doc_id", F.octet_length("text").cast("long").alias("size_bytes"), F.length("text").cast("long").alias("chars"), text.line_count(F.col("text")).alias("lines"))
 
 
-REGISTRY_SQL = """with h as (select doc_id, source, 'sha256:' || sha256(text) as raw from documents where text is not null),
+REGISTRY_SQL = """with h as (select doc_id, source, 'sha256:' || sha256(text) as raw from (select * replace (coalesce(text, '') as text) from documents)),
 k as (select raw, min(doc_id) % 4 as kind from h group by raw having min(doc_id) % 4 <> 3),
 c as (select doc_id, raw, kind, row_number() over (partition by raw order by doc_id) as turn from h left join k using (raw))
 """
@@ -303,11 +308,11 @@ c as (select doc_id, unnest(found) as content, generate_subscripts(found, 1) as
 """
 
 
-CHUNKS_SQL = chunks_sql("select doc_id, text from documents where text is not null")
+CHUNKS_SQL = chunks_sql("select doc_id, text from (select * replace (coalesce(text, '') as text) from documents)")
 
 
 def document_chunks(spark, sf_dir) -> DataFrame:
-    return chunking.chunk_records(read(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text"), CHUNK, "doc_id", "text")
+    return chunking.chunk_records(files(spark, sf_dir).select("doc_id", "text"), CHUNK, "doc_id", "text")
 
 
 @query(CHUNKS_SQL + "select doc_id, cast(chunk_index as bigint) as chunk_index, cast(length(content) as bigint) as chars, sha256(content) as content_sha256 from c")
@@ -320,21 +325,21 @@ def chunks(spark, sf_dir):
 RAGGED = "\u00a0\x0b \n   \t"
 
 
-@query(chunks_sql("select doc_id, replace(text, ', ', chr(160) || chr(11) || ' ' || chr(10) || '   ' || chr(9)) || chr(10) || chr(160) as text from documents where text is not null") + "select doc_id, cast(chunk_index as bigint) as chunk_index, cast(length(content) as bigint) as chars, sha256(content) as content_sha256 from c")
+@query(chunks_sql("select doc_id, replace(text, ', ', chr(160) || chr(11) || ' ' || chr(10) || '   ' || chr(9)) || chr(10) || chr(160) as text from (select * replace (coalesce(text, '') as text) from documents)") + "select doc_id, cast(chunk_index as bigint) as chunk_index, cast(length(content) as bigint) as chars, sha256(content) as content_sha256 from c")
 def ragged_chunks(spark, sf_dir):
     """Indented lines with white space of every kind at their ends, as rendered documents have them."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit(RAGGED)), F.lit("\n\u00a0")).alias("text"))
+    docs = files(spark, sf_dir).select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit(RAGGED)), F.lit("\n\u00a0")).alias("text"))
     found = chunking.chunk_records(docs, CHUNK, "doc_id", "text")
     return found.select("doc_id", F.col("chunkIndex").cast("long").alias("chunk_index"), F.length("content").cast("long").alias("chars"), F.sha2("content", 256).alias("content_sha256"))
 
 
 @query(f"""
-with d as (select doc_id, replace(text, ', ', chr(160) || chr(9) || chr(13) || chr(10) || '  ') || ' ' || chr(13) as text from documents where text is not null),
+with d as (select doc_id, replace(text, ', ', chr(160) || chr(9) || chr(13) || chr(10) || '  ') || ' ' || chr(13) as text from (select * replace (coalesce(text, '') as text) from documents)),
 n as (select doc_id, {strip_sql("array_to_string(list_transform(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda l: regexp_replace(l, '" + SPACE_SQL + "$', '')), chr(10))")} as t from d)
 select doc_id, sha256(t) as canonical_sha256, cast(case when t = '' then 0 else length(t) - length(replace(t, chr(10), '')) + 1 end as bigint) as lines from n""")
 def normalized_texts(spark, sf_dir):
     """Newlines of three kinds and white space at line ends: the canonical text's hash and lines."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit("\u00a0\t\r\n  ")), F.lit(" \r")).alias("text"))
+    docs = files(spark, sf_dir).select("doc_id", F.concat(F.replace("text", F.lit(", "), F.lit("\u00a0\t\r\n  ")), F.lit(" \r")).alias("text"))
     made = docs.select("doc_id", text.normalized(F.col("text")).alias("t"))
     return made.select("doc_id", F.sha2("t", 256).alias("canonical_sha256"), text.line_count(F.col("t")).alias("lines"))
 
@@ -351,7 +356,7 @@ def chunk_keys(spark, sf_dir):
 
 
 @query(f"""
-with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from documents where text is not null),
+with d as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9))), lambda l: l <> '') as ps from (select * replace (coalesce(text, '') as text) from documents)),
 q as (select doc_id, list_reduce(list_transform(ps, lambda l: case when length(l) <= {CHUNK} then {{'done': cast([] as varchar[]), 'now': l}}
   else {{'done': list_filter(list_transform(range(0, cast(length(l) as bigint), {CHUNK}), lambda i: trim(substr(l, i + 1, {CHUNK}))), lambda x: x <> ''), 'now': cast(null as varchar)}} end),
   lambda s, x: case when x.now is null then {{'done': list_concat(case when s.now is null then s.done else list_append(s.done, s.now) end, x.done), 'now': cast(null as varchar)}}
@@ -361,7 +366,7 @@ c as (select doc_id, case when len(ps) = 0 then [''] when f.now is null then f.d
 select doc_id, cast(len(c.found) as bigint) as chunks, sha256(array_to_string(c.found, '|')) as contents_sha256 from c""")
 def paragraph_chunks_all(spark, sf_dir):
     """Texts whose lines are paragraphs, whole: long ones among short ones close the run and are cut; blank texts too."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
+    docs = files(spark, sf_dir).select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("t"))
     found = docs.select("doc_id", text.chunks(F.col("t"), CHUNK).alias("c"))
     return found.select("doc_id", F.size("c").cast("long").alias("chunks"), F.sha2(F.array_join("c", "|"), 256).alias("contents_sha256"))
 
@@ -375,12 +380,12 @@ def chunk_persistence_check(spark, sf_dir):
     return gone.join(first, "k", "left").agg(F.count("*").alias("missing"), csv(F.array_sort(F.collect_list(F.when(F.col("shown"), F.col("k"))))).alias("first_missing"))
 
 
-@query(VARIANTS + """, d as (select distinct 'doc-' || substr(canonical, 8, 16) as document, canonical from h), s as (select distinct source, 'doc-' || substr(canonical, 8, 16) as document from h where source is not null)
+@query(VARIANTS + """, d as (select distinct 'doc-' || substr(canonical, 8, 16) as document, canonical from h), s as (select distinct source, 'doc-' || substr(canonical, 8, 16) as document from h)
 select source as submission_id, canonical as canonical_hash, document as document_id from s join d using (document)""")
 def documents_by_hash(spark, sf_dir):
-    """Which document a submission has for a canonical hash: sources as submissions of their documents."""
+    """Which document a submission has for a canonical hash: sources as submissions of their documents, null like any other."""
     made = dedupe.resolved(variants(spark, sf_dir), empty_documents(spark), ("doc_id", "variant"))
-    of = made.where("source is not null").select(F.col("source").alias("submissionId"), "documentId").distinct()
+    of = made.select(F.col("source").alias("submissionId"), "documentId").distinct()
     found = attach.with_hash(of, made.select("documentId", "canonicalHash").distinct())
     return found.select(F.col("submissionId").alias("submission_id"), F.col("canonicalHash").alias("canonical_hash"), F.col("documentId").alias("document_id"))
 
@@ -416,9 +421,9 @@ def activation_history(spark, sf_dir):
     return found.select(F.col("seq").alias("doc_id"), F.col("businessDocumentKey").alias("business_key"), "active_version", (F.col("sourceVersion") == F.col("active_version")).alias("took_over"))
 
 
-#: Keys whose candidates have a version, a date or neither.
-NULL_ORDERS = """with c as (select doc_id, source || '-' || (doc_id // 997 % 5) as k, 'd' || (doc_id % 17) as d,
-  case when doc_id % 3 <> 1 then 'v' || (doc_id * 7 % 13) end as v, case when doc_id % 6 = 1 then '2026-' || (doc_id % 9) end as u from documents where source is not null),
+#: Keys whose candidates have a version, a date or neither. Documents without a source are those of the key "none".
+NULL_ORDERS = """with c as (select doc_id, coalesce(source, 'none') || '-' || (doc_id // 997 % 5) as k, 'd' || (doc_id % 17) as d,
+  case when doc_id % 3 <> 1 then 'v' || (doc_id * 7 % 13) end as v, case when doc_id % 6 = 1 then '2026-' || (doc_id % 9) end as u from documents),
 t as (select k, list({'d': d, 'o': case when v is not null then 'version ' || v when u is not null then 'updated_at ' || u end} order by doc_id) as turns from c group by k),
 f as (select k, len(turns) as n, list_reduce(turns, lambda s, x: case when s.d = x.d or s.o is null or x.o is null or x.o >= s.o then x else s end) as won from t)
 """
@@ -426,8 +431,8 @@ f as (select k, len(turns) as n, list_reduce(turns, lambda s, x: case when s.d =
 
 def orders_with_nulls(spark, sf_dir) -> DataFrame:
     i = F.col("doc_id")
-    return read(spark, sf_dir, "documents").where("source is not null").select(
-        F.concat("source", F.lit("-"), F.floor(i / 997) % 5).alias("businessDocumentKey"), F.concat(F.lit("d"), i % 17).alias("documentId"),
+    return read(spark, sf_dir, "documents").select(
+        F.concat(F.coalesce("source", F.lit("none")), F.lit("-"), F.floor(i / 997) % 5).alias("businessDocumentKey"), F.concat(F.lit("d"), i % 17).alias("documentId"),
         F.when(i % 3 != 1, F.concat(F.lit("v"), i * 7 % 13)).alias("sourceVersion"), F.when(i % 6 == 1, F.concat(F.lit("2026-"), i % 9)).alias("sourceUpdatedAt"), i.alias("seq"),
     )
 
@@ -587,15 +592,15 @@ def manual_review_union(spark, sf_dir):
     return found.select(F.col("alertType").alias("alert_type"), "event_id", "status", "user_id")
 
 
-REVIEW_SQL = f"""with m as (select event_id as id, event_type as kind, ts from events where event_type is not null),
+REVIEW_SQL = f"""with m as (select event_id as id, coalesce(event_type, 'UNKNOWN') as kind, ts from events),
 r as (select id, count(*) as n, max(ts + to_minutes(cast(k * (id % 4) as integer))) as last, bool_or(k = 3 and id % 7 = 0) as deleted from m, (select unnest(range(1, 7)) as k) where k <= id % 7 group by id),
 q as (select m.*, coalesce(n, 0) as n, case when deleted then 'DELETED' when ts + interval 14 days <= {NOW_SQL} then 'EXPIRED' when last + interval 60 seconds > {NOW_SQL} then 'IN_FLIGHT' when coalesce(n, 0) >= 5 then 'DEAD' else 'WAITING' end as state from m left join r using (id))
 """
 
 
 def review_queue(spark, sf_dir) -> DataFrame:
-    """events as review messages that were received up to six times each."""
-    rows = read(spark, sf_dir, "events").where("event_type is not null").select(F.col("event_id").alias("messageId"), F.col("event_type").alias("alertType"), F.col("ts").alias("sentAt"))
+    """events as review messages that were received up to six times each; one without a type is of the type UNKNOWN."""
+    rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("messageId"), F.coalesce("event_type", F.lit("UNKNOWN")).alias("alertType"), F.col("ts").alias("sentAt"))
     turns = rows.select("messageId", "sentAt", F.explode(F.sequence(F.lit(0), (F.col("messageId") % 7).cast("int"))).alias("k")).where("k > 0")
     received = turns.select("messageId", (F.col("sentAt") + F.make_dt_interval(mins=(F.col("k") * (F.col("messageId") % 4)).cast("int"))).alias("receivedAt"), ((F.col("k") == 3) & (F.col("messageId") % 7 == 0)).alias("deleted"))
     return review.with_receives(rows, received, now())
@@ -740,16 +745,16 @@ def snippets(spark, sf_dir):
 
 
 @query("""
-with n as (select source, doc_id, coalesce(left(text, 1200), '') as t, row_number() over (partition by source order by doc_id) as k from documents),
+with n as (select coalesce(source, 'none') as source, doc_id, coalesce(left(text, 1200), '') as t, row_number() over (partition by coalesce(source, 'none') order by doc_id) as k from documents),
 r as (select source, string_agg('Result ' || k || chr(10) || 'documentId: ' || doc_id || chr(10) || 's3Uri: canonical/' || doc_id || '/chunk-0001.md' || chr(10) || 'score: 0.5' || chr(10) || t, chr(10) || chr(10) order by k) as results from n where k <= 4 group by 1)
 select source, 'You are answering with only the provided scoped retrieval results.' || chr(10) || chr(10) || 'Submission ID: ' || source || chr(10) || chr(10) || 'User query: what is in it' || chr(10) || chr(10)
-  || 'Provide a short answer grounded only in these snippets. If the answer is not present, say so plainly.' || chr(10) || chr(10) || '' || chr(10) || chr(10) || results as prompt from r where source is not null""")
+  || 'Provide a short answer grounded only in these snippets. If the answer is not present, say so plainly.' || chr(10) || chr(10) || '' || chr(10) || chr(10) || results as prompt from r""")
 def prompt_context(spark, sf_dir):
-    """The prompt over each source's first documents; each task keeps only those of its own rows."""
+    """The prompt over each source's first documents (null: the source "none"); each task keeps only those of its own rows."""
     from pyspark.sql import Window as W
 
-    place = F.row_number().over(W.partitionBy("source").orderBy("doc_id"))
-    rows = read(spark, sf_dir, "documents").where("source is not null").select("source", "doc_id", F.coalesce(F.left("text", F.lit(retrieval.SNIPPET_CHARS)), F.lit("")).alias("text"), place.alias("k"))
+    place = F.row_number().over(W.partitionBy(F.coalesce("source", F.lit("none"))).orderBy("doc_id"))
+    rows = read(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("none")).alias("source"), "doc_id", F.coalesce(F.left("text", F.lit(retrieval.SNIPPET_CHARS)), F.lit("")).alias("text"), place.alias("k"))
     kept = rows.where(F.col("k") <= retrieval.CONTEXT_SNIPPETS).groupBy("source").agg(F.array_sort(F.collect_list(F.struct("k", "doc_id", "text"))).alias("all"))
     results = F.transform("all", lambda x: F.struct(x["doc_id"].cast("string").alias("documentId"), keys.chunk_key(x["doc_id"].cast("string"), F.lit(1)).alias("s3Uri"), F.lit("0.5").alias("score"), x["text"].alias("text")))
     return kept.select("source", retrieval.prompt_text(F.col("source"), F.lit("what is in it"), results).alias("prompt"))
