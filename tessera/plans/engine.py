@@ -265,15 +265,20 @@ class Engine:
 
     @logged
     def receive(self, events: DataFrame) -> DataFrame:
-        """Records receipts of new files; returns how many records had which action."""
+        """Records receipts of new files; returns how many records had which action.
+
+        Every submission that the events name is rolled up from its receipts and written where that changes it, so events
+        that are given again mend what a stopped call has left undone, and change nothing else.
+        """
         rows = self.held(receipts.classified(receipts.unnested(events)))
         good = rows.where("action = 'recorded'").select("submissionId", "fileId", "key", self.now().alias("receivedAt"), F.col("sequencer"))
         before = self.log("receipts", good)
         new, _ = registry.insert_if_absent(good.withColumn("pair", F.struct("submissionId", "fileId")), before.select(F.struct("submissionId", "fileId").alias("pair")), "pair", F.col("sequencer"))
         new = self.held(new)
         seq = self.next_seq()
-        touched = before.join(new.select("submissionId").distinct(), "submissionId", "left_semi").unionByName(new.select(*RECEIPT.names, F.lit(seq).alias("seq")))
-        rolled = receipts.submissions(touched, ("seq", "key")).join(self.state("submissions", new).select("submissionId", F.struct("*").alias("old")), "submissionId", "left")
+        touched = before.unionByName(new.select(*RECEIPT.names, F.lit(seq).alias("seq")))
+        rolled = receipts.submissions(touched, ("seq", "key")).join(self.state("submissions", good).select("submissionId", F.struct("*").alias("old")), "submissionId", "left")
+        rolled = self.held(rolled.where(~F.col("fileIds").eqNullSafe(F.col("old.fileIds"))))
         submissions = rolled.select(
             "submissionId", F.coalesce("old.externalRequestId", F.lit("")).alias("externalRequestId"), F.coalesce("old.status", F.lit("RECEIVING")).alias("status"),
             "receivedFileCount", F.lit(False).alias("manifestReceived"), F.concat(F.lit("ingestion/"), "submissionId", F.lit("/")).alias("ingestionPrefix"), "fileIds", "old.documentIds",
@@ -286,6 +291,14 @@ class Engine:
         counts = [tuple(r) for r in rows.groupBy("action").agg(F.count("*").alias("n")).collect()]
         return self.spark.createDataFrame(counts, "action string, n long")
 
+    def receive_stream(self, events: DataFrame, checkpoint: str) -> None:
+        """Takes all upload events that came since the last call, batch by batch.
+
+        A batch that was stopped anywhere is given again by the checkpoint, and `receive` then adds what it lacks: each
+        file is recorded once for all time. The registry itself is the memory of what was seen, so none is kept beside it.
+        """
+        streams.drain(events, lambda batch, _: self.receive(batch), checkpoint)
+
     def complete(self, submission: str, expected: list[str], fail: bool = False) -> dict:
         """Runs one submission whose files are all there; returns its validation, and leaves it COMPLETE with its documents.
 
