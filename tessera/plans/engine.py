@@ -235,6 +235,10 @@ class Engine:
         self.last_seq = max(int(self.clock().timestamp() * 1e6), self.last_seq + STEP_ROWS)
         return self.last_seq
 
+    def follow(self, rows: DataFrame) -> None:
+        """Sequence numbers from now on are later than these rows', which a writer whose clock is ahead may have made."""
+        self.last_seq = max(self.last_seq, rows.agg(F.max("seq").alias("seq")).first()["seq"] or 0)
+
     def now(self):
         return F.lit(self.clock()).cast("timestamp")
 
@@ -327,6 +331,7 @@ class Engine:
         """
         turn = F.col("turn") if "turn" in requests.columns else F.lit(0)
         asked = requests.select("submissionId", "expectedFileIds", turn.cast("long").alias("turn"))
+        self.follow(self.log("submissions", asked))
         subs = self.state("submissions", asked)
         verdict = self.held(validate.validated(asked, subs))
         self.audit(verdict.withColumn("missingFileIds", F.array_join("missingFileIds", ",")), "submission_validation_completed", "submissionId", "reason", "missingFileIds")

@@ -526,9 +526,14 @@ def test_one_of_many_creates_an_object(spark, tmp_path):
     assert (tmp_path / "d/b").read_bytes() == b"1"
 
 
-def test_two_engines_claim_equal_bytes(spark, tmp_path, monkeypatch):
-    """Both have computed their claims before either commits: one owns the content, the other waits and reuses its document."""
+@pytest.mark.parametrize("first", "XY")
+def test_two_engines_claim_equal_bytes(spark, tmp_path, monkeypatch, first):
+    """Both have computed their claims before either commits: one owns the content, the other waits and reuses its document.
+
+    The engine of Y has a clock that is behind the one that recorded its files; either may be first.
+    """
     import threading
+    import time
     from concurrent.futures import ThreadPoolExecutor
 
     first_done, both = threading.Event(), threading.Barrier(2)
@@ -538,6 +543,7 @@ def test_two_engines_claim_equal_bytes(spark, tmp_path, monkeypatch):
         if not getattr(tries, "made", False):
             tries.made = True
             both.wait(120)
+            time.sleep(0 if tries.sid == first else 5)
         return create(*args)
 
     monkeypatch.setattr(objects, "create_once", together)
@@ -546,6 +552,7 @@ def test_two_engines_claim_equal_bytes(spark, tmp_path, monkeypatch):
         upload(spark, engines[0], tmp_path, sid, [("a", report(1, "soap"))])
 
     def run(engine, sid):
+        tries.sid = sid
         verdict = engine.complete(sid, ["a"])
         first_done.set()
         return verdict
