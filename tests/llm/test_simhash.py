@@ -231,3 +231,24 @@ def test_labels_of_earlier_links_stay_joined():
     for a, b in (([5], [4]), ([5, 4], [2, 0])):
         simhash.settle(label, np.array(a), np.array(b))
     assert label.tolist() == [0, 1, 0, 3, 0, 0]
+
+
+def test_similar_sets_are_found_without_comparing_all(spark, monkeypatch):
+    """No tiles of all fingerprints are made where sets are verified, and only texts that share rare shingles are candidates."""
+    import random
+
+    def tiles(*_):
+        raise AssertionError("all fingerprints are compared")
+
+    seen, verify = [], simhash.verified_links
+    monkeypatch.setattr(simhash, "links", tiles)
+    monkeypatch.setattr(simhash, "verified_links", lambda candidates, *rest: (seen.append(candidates.count()), verify(candidates, *rest))[1])
+    rnd = random.Random(3)
+    text = lambda n: [f"{rnd.choice(corpus.WORDS)}{rnd.randint(0, 999)}" for _ in range(n)]
+    rows = [(k, " ".join(text(rnd.choice([3, 30, 200])))) for k in range(150)]
+    for k in range(0, 30):  # near copies, one word appended or changed
+        w = rows[k][1].split()
+        rows.append((1000 + k, " ".join([*w, "more"] if k % 2 else [*w[:-1], "other"])))
+    found = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(corpus.frame(spark, rows), **simhash.NEAR).collect()}
+    assert found == plain_groups(rows)
+    assert len(set(found.values())) < len(rows) and seen[0] <= 60
