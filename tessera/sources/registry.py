@@ -16,7 +16,7 @@ LISTED_KEYS = 1000
 
 
 def append(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -57,12 +57,15 @@ def insert_if_absent(new: DataFrame, registry: DataFrame, key: str, order: Colum
     was written of one.
     """
     turn = F.struct(order.alias("turn"), F.col("__row").alias("row"))
-    rows = new.withColumn("__row", F.monotonically_increasing_id())
-    first = rows.groupBy(key).agg(F.min(turn).alias("__least"))
     known = registry.select(F.col(key), F.lit(True).alias("__known")).distinct()
-    least = first.join(known, key, "left").where("__known is null").select(F.col("__least.row").alias("__row"), F.lit(True).alias("__in"))
+    rows = new.withColumn("__row", F.monotonically_increasing_id())
+    # the first row travels with its order, so that rows are dealt out once
+    others = [c for c in rows.columns if c != key]
+    first = rows.groupBy(key).agg(F.min_by(F.struct(*others), turn).alias("__least"))
+    inserted = first.join(known, key, "left_anti").select(*(F.col(c) if c == key else F.col("__least")[c].alias(c) for c in new.columns))
+    least = first.join(known, key, "left").where("__known is null").select(F.col("__least.__row").alias("__row"), F.lit(True).alias("__in"))
     marked = rows.join(least, "__row", "left")
-    return marked.where("__in").drop("__row", "__in"), marked.where("__in is null").drop("__row", "__in")
+    return inserted, marked.where("__in is null").drop("__row", "__in")
 
 
 def upsert(registry: DataFrame, changes: DataFrame, key: str, sequence: str) -> DataFrame:

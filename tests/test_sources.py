@@ -88,3 +88,25 @@ def test_transforms_of_fixtures():
             manifests.file_bytes(b"[1]", bad)
     with pytest.raises(ValueError, match="unknown"):
         manifests.file_bytes(source, {"type": "odd"})
+
+
+def test_new_rows_are_dealt_out_once(spark):
+    """Rows that are inserted are not joined to their own numbers again; the first row of each key stays whole."""
+    rows = spark.createDataFrame([("a", 1, "x"), ("c", 2, "y"), ("c", 1, "z"), (None, 3, "n")], "k string, n int, s string")
+    new, refused = registry.insert_if_absent(rows, spark.createDataFrame([("a",)], "k string"), "k", F.col("n"))
+    assert new.columns == rows.columns
+    assert sorted(map(tuple, new.collect()), key=str) == [("c", 1, "z"), (None, 3, "n")]
+    assert sorted(map(tuple, refused.collect())) == [("a", 1, "x"), ("c", 2, "y")]
+    assert new._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_few_keys_are_sent_to_the_rows(spark):
+    from tessera.functions import keys
+    from tessera.operators import dedupe
+
+    rows = spark.createDataFrame([(i, f"h{i % 3}") for i in range(9)], "n int, h string")
+    both = [dedupe.with_first(rows, "h", ("n",), few) for few in (False, True)]
+    assert sorted(map(tuple, both[0].collect())) == sorted(map(tuple, both[1].collect()))
+    assert "rightHint=(strategy=broadcast)" in both[1]._jdf.queryExecution().optimizedPlan().toString()
+    said = spark.createDataFrame([("a",), (None,), ("",)], "c string").select(keys.content_hash(F.col("c")), keys.hash_of_digest(keys.digest(F.col("c"))))
+    assert all(a == b for a, b in said.collect())
