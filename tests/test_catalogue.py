@@ -86,3 +86,10 @@ def test_running_values_in_stretches(spark):
         assert found.columns == ["g", "seq", "v", "at", "most"]
         assert {r["seq"]: (r["at"], r["most"]) for r in found.collect()} == want
     assert ordered.numbered(frame.limit(0), "g", "seq", "at").collect() == []
+
+
+@pytest.mark.parametrize("name", ["documents_on_registry", "documents_by_hash"])
+def test_variants_are_hashed_once(spark, sf_dir, name):
+    """The query's own plan holds no pattern over texts: they were normalised once, before."""
+    plan = catalogue.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "documents.parquet" not in plan
