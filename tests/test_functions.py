@@ -215,3 +215,14 @@ def test_review_queue_in_order(spark):
     assert {r["messageId"]: r["state"] for r in queue.collect()} == {1: "DELETED", 2: "WAITING", 3: "IN_FLIGHT", 4: "WAITING", 5: "DEAD", 6: "WAITING", 7: "EXPIRED", 8: "WAITING", 9: "WAITING"}
     assert {r["alertType"]: (r["messageId"], r["receiveCount"]) for r in review.receivable(queue).collect()} == {"a": (2, 0), "c": (6, 0), "d": (8, 0), "e": (9, 1)}
     assert [r["messageId"] for r in review.dead_letters(queue).collect()] == [5]
+
+
+def test_keys_of_many_lines_are_titled_once():
+    from tessera.functions import markdown
+
+    markdown.title.cache_clear()
+    made = markdown.render({"lines": [{"line_number": i, "segment_id": 1} for i in range(500)]})
+    assert made.startswith("Lines:\n  -:\n    Line Number: 0\n\n  -:") and made.count("Line Number") == 500
+    assert markdown.title.cache_info().misses == 2
+    value = {"a": {"segment_id": [{"segment_id": 1}]}, "b": [1, "x", {"segment_id": None}]}
+    assert markdown.count_pruned(value) == 3 and markdown.count_pruned("segment_id") == 0
